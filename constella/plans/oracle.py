@@ -313,3 +313,195 @@ SELECT index_name, review_date, isin, TRUE AS is_member, entry_reason FROM (
 WHERE entry_reason IS NOT NULL
 """
 )
+
+oracle("buffer_chain", "membership")("SELECT * FROM membership")
+
+oracle("members_per_review", "membership", "rules")(
+    """
+SELECT index_name, review_date, count(*) AS members, count(*) = max(r.target) AS full
+FROM membership JOIN rules r USING (index_name) WHERE is_member GROUP BY index_name, review_date
+"""
+)
+
+oracle("reason_counts", "membership")(
+    "SELECT index_name, review_date, entry_reason, count(*) AS members FROM membership GROUP BY ALL"
+)
+
+oracle("ever_members", "membership")("SELECT DISTINCT index_name, isin FROM membership WHERE is_member")
+
+oracle("constituents", "constituents")("SELECT * FROM constituents")
+
+oracle("latest_constituents", "constituents", "latest")(
+    "SELECT c.* FROM constituents c JOIN latest l USING (index_name, review_date)"
+)
+
+oracle("country_top10", "constituents", "latest")(
+    """
+SELECT * FROM (
+  SELECT index_name, country, members,
+         CAST(row_number() OVER (PARTITION BY index_name ORDER BY members DESC, country ASC NULLS LAST) AS INTEGER)
+           AS place,
+         count(*) OVER (PARTITION BY index_name) AS countries,
+         CAST(sum(members) OVER (PARTITION BY index_name) AS BIGINT) AS total_members
+  FROM (SELECT index_name, country, count(*) AS members
+        FROM constituents c JOIN latest l USING (index_name, review_date) GROUP BY ALL) g) t
+WHERE place <= 10
+"""
+)
+
+cte(
+    "intervals",
+    ("membership", "review_k"),
+    """
+SELECT index_name, isin, min(review_date) AS first_included, max(review_date) AS last_included
+FROM (SELECT m.index_name, m.isin, m.review_date,
+             k.k - row_number() OVER (PARTITION BY m.index_name, m.isin ORDER BY k.k) AS island
+      FROM (SELECT DISTINCT index_name, review_date, isin FROM membership WHERE is_member) m
+      JOIN review_k k USING (index_name, review_date)) r
+GROUP BY index_name, isin, island
+""",
+)
+
+oracle("islands", "intervals")("SELECT * FROM intervals")
+
+oracle("review_dates", "reviews")("SELECT * FROM reviews")
+
+oracle("review_sizes", "entries")(
+    "SELECT index_name, review_date, count(*) AS entries, count(rank) AS ranked FROM entries GROUP BY ALL"
+)
+
+cte(
+    "rank_events",
+    ("entries", "data_reviews", "member_ranks"),
+    """
+SELECT g.index_name, g.review_date, g.ric, CAST(COALESCE(r.rank, 0) AS INTEGER) AS rank
+FROM (SELECT f.index_name, d.review_date, f.ric
+      FROM (SELECT e.index_name, e.ric, min(e.review_date) AS first_seen
+            FROM entries e JOIN data_reviews d USING (index_name, review_date)
+            WHERE e.ric IS NOT NULL GROUP BY ALL) f
+      JOIN data_reviews d ON d.index_name = f.index_name AND d.review_date >= f.first_seen) g
+LEFT JOIN member_ranks r USING (index_name, review_date, ric)
+""",
+)
+
+oracle("rank_events", "rank_events")("SELECT * FROM rank_events")
+
+oracle("ranking_daily", "daily")("SELECT * FROM daily")
+
+oracle("ranking_at", "daily", "reviews")(
+    "SELECT d.* FROM daily d WHERE EXISTS (SELECT 1 FROM reviews r WHERE r.index_name = d.index_name AND r.review_date = d.date)"
+)
+
+_wide_cols = ",\n  ".join(
+    f"max(CASE WHEN ric = '{r}' THEN rank END) AS \"{r}\"" for r in WIDE_RICS
+)
+oracle("ranking_wide", "daily")(
+    f"""
+SELECT CAST(g.date AS DATE) AS date, {", ".join(f'w."{r}"' for r in WIDE_RICS)}
+FROM (SELECT unnest(generate_series(DATE '{WIDE_START}', DATE '{AS_OF}', INTERVAL 1 DAY)) AS date) g
+LEFT JOIN (SELECT date,
+  {_wide_cols}
+  FROM daily WHERE index_name = 'PART' GROUP BY date) w ON CAST(g.date AS DATE) = w.date
+"""
+)
+
+oracle("rank_gaps", "daily", "reviews", "rules")(
+    """
+, at_review AS (
+  SELECT DISTINCT d.index_name, d.date AS review_date, d.rank FROM daily d
+  JOIN reviews r ON r.index_name = d.index_name AND r.review_date = d.date
+), expected AS (
+  SELECT r.index_name, r.review_date, unnest(generate_series(1, ru.check_to)) AS rank
+  FROM reviews r JOIN rules ru USING (index_name)
+), missing AS (
+  SELECT index_name, review_date, count(*) AS missing,
+         array_to_string(list_slice(list(rank ORDER BY rank), 1, 10), ',') AS missing_first10
+  FROM (SELECT * FROM expected e WHERE NOT EXISTS (
+          SELECT 1 FROM at_review a WHERE a.index_name = e.index_name AND a.review_date = e.review_date
+            AND a.rank = e.rank)) x
+  GROUP BY ALL
+), found AS (
+  SELECT index_name, review_date, count(*) AS distinct_ranks FROM at_review GROUP BY ALL
+)
+SELECT r.index_name, r.review_date, CAST(COALESCE(m.missing, 0) AS BIGINT) AS missing,
+       COALESCE(m.missing_first10, '') AS missing_first10,
+       CAST(COALESCE(f.distinct_ranks, 0) AS BIGINT) AS distinct_ranks,
+       CASE WHEN f.distinct_ranks IS NULL THEN 'absent' WHEN m.missing IS NULL THEN 'passed' ELSE 'failed' END
+         AS status
+FROM reviews r LEFT JOIN found f USING (index_name, review_date) LEFT JOIN missing m USING (index_name, review_date)
+"""
+)
+
+oracle("members_per_day", "daily")("SELECT index_name, date, count(*) AS ranked FROM daily GROUP BY ALL")
+
+oracle("mcap_stats", "member_caps")(
+    """
+SELECT index_name, review_date, median(cents) / 100 AS median_mcap,
+       CAST(sum(cents) AS DOUBLE) / count(*) / 100 AS mean_mcap, max(ff_mcap) AS max_mcap
+FROM member_caps GROUP BY ALL
+"""
+)
+
+oracle("mcap_histogram", "member_caps")(
+    """
+SELECT index_name, review_date, bin, count(*) AS members FROM (
+  SELECT c.index_name, c.review_date,
+         CASE WHEN b.hi = b.lo THEN 1
+              ELSE least(CAST(floor(CAST(c.cents - b.lo AS DOUBLE) * 50 / (b.hi - b.lo)) AS INTEGER) + 1, 50) END
+           AS bin
+  FROM member_caps c
+  JOIN (SELECT index_name, review_date, min(cents) AS lo, max(cents) AS hi FROM member_caps GROUP BY ALL) b
+    USING (index_name, review_date)) x
+GROUP BY ALL
+"""
+)
+
+oracle("coverage_stats", "entries", "membership")(
+    """
+SELECT e.*, m.member_rows, m.ever_members FROM
+ (SELECT index_name, min(review_date) AS first_review, count(*) AS entries, count(DISTINCT isin) AS unique_isins,
+         count(*) FILTER (WHERE rank IS NULL) AS unranked FROM entries GROUP BY index_name) e
+LEFT JOIN
+ (SELECT index_name, count(*) AS member_rows, count(DISTINCT isin) AS ever_members
+  FROM membership WHERE is_member GROUP BY index_name) m USING (index_name)
+"""
+)
+
+oracle("entries_ranked", "entries")(
+    "SELECT index_name, review_date, isin, ric, ff_mcap, rank FROM entries WHERE rank IS NOT NULL"
+)
+
+oracle("dedup_first", "entries")(
+    """
+SELECT index_name, isin, arg_min(review_date, (review_date, ordinal)) AS review_date,
+       arg_min(rank, (review_date, ordinal)) AS rank, arg_min(ff_mcap, (review_date, ordinal)) AS ff_mcap
+FROM entries GROUP BY index_name, isin
+"""
+)
+
+oracle("dq_rank_600", "entries", "rules")(
+    """
+SELECT s.index_name, s.review_date, s.entries,
+       CAST(r.target - COALESCE(p.present, 0) AS BIGINT) AS missing_ranks,
+       s.entries >= r.target AND r.target - COALESCE(p.present, 0) = 0 AS ok
+FROM (SELECT index_name, review_date, count(*) AS entries FROM entries GROUP BY ALL) s
+JOIN rules r USING (index_name)
+LEFT JOIN (SELECT e.index_name, e.review_date, count(DISTINCT e.rank) AS present
+           FROM entries e JOIN rules r USING (index_name)
+           WHERE e.rank BETWEEN 1 AND r.target GROUP BY ALL) p USING (index_name, review_date)
+"""
+)
+
+oracle("dq_keys", "entries", "assets", "reviews")(
+    """
+SELECT n.index_name, COALESCE(d.duplicate_isins, 0) AS duplicate_isins, COALESCE(o.orphan_isins, 0) AS orphan_isins
+FROM (SELECT DISTINCT index_name FROM reviews) n
+LEFT JOIN (SELECT index_name, count(*) AS duplicate_isins FROM
+             (SELECT index_name, isin FROM assets GROUP BY ALL HAVING count(*) > 1) x GROUP BY ALL) d
+  USING (index_name)
+LEFT JOIN (SELECT index_name, count(*) AS orphan_isins FROM
+             (SELECT DISTINCT index_name, isin FROM entries) e
+             WHERE NOT EXISTS (SELECT 1 FROM assets a WHERE a.index_name = e.index_name AND a.isin = e.isin)
+           GROUP BY ALL) o USING (index_name)
+"""
+)
