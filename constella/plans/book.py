@@ -15,6 +15,8 @@ from constella.operators import membership as M
 from constella.operators.intervals import membership_intervals
 from constella.operators.ranking import data_reviews
 from constella.schemas import IndexRule
+from constella.session import scratch_path
+from constella.sources.dataset import ReviewDataset
 from constella.sources.derive import RULES, review_assets, review_entries
 
 # End of the daily ranking range (the reviewed pipeline uses "today"; a fixed
@@ -61,3 +63,10 @@ class ReviewBook:
     def latest(self) -> DataFrame:
         """O1: latest review of each index."""
         return self.reviews.groupBy("index_name").agg(F.max("review_date").alias("review_date"))
+
+    @cached_property
+    def dataset(self) -> ReviewDataset:
+        """The review dataset written once to the shared folder, then read back."""
+        ds = ReviewDataset(self.spark, scratch_path(self.spark, "reviews"))
+        ds.write(self.assets, self.entries, self.membership, self.reviews)
+        return ds

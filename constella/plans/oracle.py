@@ -505,3 +505,41 @@ LEFT JOIN (SELECT index_name, count(*) AS orphan_isins FROM
            GROUP BY ALL) o USING (index_name)
 """
 )
+
+cte(
+    "entries_ric",
+    ("entries", "assets"),
+    """
+SELECT e.index_name, e.review_date, e.isin, e.ff_mcap, e.rank, e.comment, e.ordinal, a.ric
+FROM entries e LEFT JOIN (SELECT index_name, isin, min(ric) AS ric FROM assets GROUP BY ALL) a
+  USING (index_name, isin)
+""",
+)
+
+oracle("entries_with_ric", "entries_ric")("SELECT * FROM entries_ric")
+oracle("write_roundtrip", "entries_ric")("SELECT * FROM entries_ric")
+oracle("entries_at", "entries_ric", "latest")(
+    "SELECT e.* FROM entries_ric e JOIN latest l USING (index_name, review_date)"
+)
+oracle("membership_at", "membership", "latest")(
+    "SELECT m.* FROM membership m JOIN latest l USING (index_name, review_date)"
+)
+oracle("assets_snapshot", "assets")("SELECT * FROM assets")
+oracle("index_catalog", "reviews")(
+    """
+SELECT index_name, count(*) AS reviews, min(review_date) AS first_review, max(review_date) AS latest_review
+FROM reviews GROUP BY index_name
+"""
+)
+oracle("published_constituents", "membership", "latest", "assets")(
+    """
+SELECT m.*, a.ric, a.name, a.country, a.currency
+FROM membership m JOIN latest l USING (index_name, review_date)
+JOIN (SELECT index_name, isin, arg_min(ric, (ric, name, country, currency)) AS ric,
+             arg_min(name, (ric, name, country, currency)) AS name,
+             arg_min(country, (ric, name, country, currency)) AS country,
+             arg_min(currency, (ric, name, country, currency)) AS currency
+      FROM assets GROUP BY ALL) a USING (index_name, isin)
+WHERE m.is_member
+"""
+)

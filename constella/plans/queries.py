@@ -16,6 +16,7 @@ from constella.operators import ranking as R
 from constella.operators.intervals import first_per_key
 from constella.plans.book import AS_OF, ReviewBook
 from constella.functions.rules import rule_col
+from constella.sources import dataset as D
 
 KEY = ["index_name", "review_date"]
 
@@ -322,3 +323,48 @@ def dq_keys(b: ReviewBook) -> DataFrame:
         F.coalesce("duplicate_isins", F.lit(0)).alias("duplicate_isins"),
         F.coalesce("orphan_isins", F.lit(0)).alias("orphan_isins"),
     )
+
+
+# ---------------------------------------------------------------- the dataset
+
+
+@query
+def entries_with_ric(b: ReviewBook) -> DataFrame:
+    """Entries with the first RIC per ISIN from the assets."""
+    return D.entries_with_ric(b.entries, b.assets)
+
+
+@query
+def write_roundtrip(b: ReviewBook) -> DataFrame:
+    """Write assets/entries/membership partitioned, read entries back."""
+    return b.dataset.table("entries")
+
+
+@query
+def entries_at(b: ReviewBook) -> DataFrame:
+    """Entries of the latest review of each index (partition-pruned read)."""
+    return b.dataset.entries_at()
+
+
+@query
+def membership_at(b: ReviewBook) -> DataFrame:
+    """Membership of the latest review of each index."""
+    return b.dataset.membership_at()
+
+
+@query
+def assets_snapshot(b: ReviewBook) -> DataFrame:
+    """The assets snapshot read back."""
+    return b.dataset.assets()
+
+
+@query
+def index_catalog(b: ReviewBook) -> DataFrame:
+    """Indexes in the dataset with review counts."""
+    return D.catalog(b.dataset)
+
+
+@query
+def published_constituents(b: ReviewBook) -> DataFrame:
+    """J1 over the published dataset: latest members with one asset row each."""
+    return b.dataset.constituents()
