@@ -49,7 +49,7 @@ def first_per_key(df: DataFrame, keys: list[str], order_cols: list, out_cols: li
 
 def merge_snapshots(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """A2: union with widening (missing columns null); the existing row wins per key."""
-    derived = [c for c in ("first_included", "last_included", "yukka_id") if c in existing.columns]
+    derived = [c for c in ("first_included", "last_included", "entity_id") if c in existing.columns]
     old = existing.drop(*derived).withColumn("_src", F.lit(0))
     both = old.unionByName(new.withColumn("_src", F.lit(1)), allowMissingColumns=True)
     if "_row" not in both.columns:

@@ -543,3 +543,137 @@ JOIN (SELECT index_name, isin, arg_min(ric, (ric, name, country, currency)) AS r
 WHERE m.is_member
 """
 )
+
+# ------------------------------------------------------------------ resolution
+
+cte(
+    "history",
+    ("assets",),
+    """
+SELECT index_name, internal_key, 'XO' || substr(isin, 3, 10) AS isin,
+       CAST(internal_key AS BIGINT) * 4 AS ordinal
+FROM assets WHERE CAST(internal_key AS BIGINT) % 7 = 0
+UNION ALL
+SELECT index_name,
+       CASE WHEN CAST(internal_key AS BIGINT) % 13 = 0 THEN ' ' || internal_key || ' ' ELSE internal_key END,
+       CASE WHEN CAST(internal_key AS BIGINT) % 3 = 0 THEN 'KEY_' || internal_key ELSE isin END,
+       CAST(internal_key AS BIGINT) * 4 + 1
+FROM assets
+UNION ALL
+SELECT index_name, internal_key, '  ', CAST(internal_key AS BIGINT) * 4 + 2
+FROM assets WHERE CAST(internal_key AS BIGINT) % 11 = 0
+""",
+)
+
+cte(
+    "lookup",
+    ("history",),
+    """
+SELECT index_name, trim(internal_key) AS internal_key, arg_max(trim(isin), ordinal) AS isin
+FROM history
+WHERE internal_key IS NOT NULL AND internal_key <> '' AND isin IS NOT NULL AND trim(isin) <> ''
+  AND NOT starts_with(isin, 'KEY_')
+GROUP BY index_name, trim(internal_key)
+""",
+)
+
+oracle("isin_lookup", "lookup")("SELECT * FROM lookup")
+
+oracle("resolve_isin", "entries", "assets", "lookup")(
+    """
+SELECT r.index_name, r.review_date, r.internal_key, r.raw_isin,
+       CASE WHEN r.raw_isin IS NOT NULL AND lower(trim(r.raw_isin)) NOT IN ('', 'null', 'none') THEN trim(r.raw_isin)
+            ELSE COALESCE(l.isin, 'KEY_' || r.internal_key) END AS isin
+FROM (SELECT e.index_name, e.review_date, trim(a.internal_key) AS internal_key,
+             CASE WHEN CAST(a.internal_key AS BIGINT) % 17 = 0 THEN ''
+                  WHEN CAST(a.internal_key AS BIGINT) % 19 = 0 THEN 'null'
+                  WHEN CAST(a.internal_key AS BIGINT) % 23 = 0 THEN ' None'
+                  WHEN CAST(a.internal_key AS BIGINT) % 29 = 0 THEN 'NULL '
+                  ELSE e.isin END AS raw_isin
+      FROM entries e JOIN assets a USING (index_name, isin)) r
+LEFT JOIN lookup l USING (index_name, internal_key)
+"""
+)
+
+cte(
+    "entities",
+    ("assets",),
+    """
+SELECT index_name, 'isin' AS endpoint, isin AS id,
+       'E' || lpad(CAST(CAST(internal_key AS BIGINT) AS VARCHAR), 9, '0') AS alpha_id
+FROM assets WHERE CAST(internal_key AS BIGINT) % 4 <> 0
+UNION ALL
+SELECT index_name, 'ric', ric, 'E' || lpad(CAST(CAST(internal_key AS BIGINT) AS VARCHAR), 9, '0')
+FROM assets WHERE CAST(internal_key AS BIGINT) % 3 = 0
+""",
+)
+
+oracle("unnest_entities", "entities")("SELECT * FROM entities")
+
+cte(
+    "metadata",
+    ("assets",),
+    """
+SELECT index_name, isin,
+       arg_min(internal_key, (src, rw)) AS internal_key, arg_min(ric, (src, rw)) AS ric,
+       arg_min(name, (src, rw)) AS name, arg_min(country, (src, rw)) AS country,
+       arg_min(currency, (src, rw)) AS currency, arg_min(sedol, (src, rw)) AS sedol
+FROM (
+  SELECT index_name, isin, internal_key, ric, upper(name) AS name, country, currency, sedol,
+         0 AS src, CAST(internal_key AS BIGINT) * 2 AS rw
+  FROM assets WHERE CAST(internal_key AS BIGINT) % 2 = 0
+  UNION ALL
+  SELECT index_name, isin, internal_key, ric, 'DUPLICATE', country, currency, sedol,
+         0, CAST(internal_key AS BIGINT) * 2 + 1
+  FROM assets WHERE CAST(internal_key AS BIGINT) % 10 = 0
+  UNION ALL
+  SELECT index_name, isin, internal_key, ric, name, country, currency, sedol, 1, 0 FROM assets
+) u
+GROUP BY index_name, isin
+""",
+)
+
+cte(
+    "merged",
+    ("intervals", "metadata"),
+    "SELECT i.*, m.internal_key, m.ric, m.name, m.country, m.currency, m.sedol FROM intervals i LEFT JOIN metadata m USING (index_name, isin)",
+)
+
+cte(
+    "enriched",
+    ("merged", "entities"),
+    """
+SELECT m.*, COALESCE(bi.alpha_id, br.alpha_id) AS entity_id
+FROM merged m
+LEFT JOIN (SELECT index_name, id AS isin, min(alpha_id) AS alpha_id FROM entities WHERE endpoint = 'isin' GROUP BY ALL) bi
+  USING (index_name, isin)
+LEFT JOIN (
+  SELECT p.index_name, p.isin, arg_min(r.alpha_id, p.ric) AS alpha_id
+  FROM (SELECT DISTINCT index_name, isin, ric FROM merged m2
+        WHERE ric IS NOT NULL AND ric <> ''
+          AND NOT EXISTS (SELECT 1 FROM entities e WHERE e.endpoint = 'isin' AND e.index_name = m2.index_name
+                            AND e.id = m2.isin)) p
+  JOIN (SELECT index_name, id AS ric, min(alpha_id) AS alpha_id FROM entities WHERE endpoint = 'ric' GROUP BY ALL) r
+    USING (index_name, ric)
+  GROUP BY p.index_name, p.isin) br USING (index_name, isin)
+""",
+)
+
+oracle("merge_assets", "merged")("SELECT * FROM merged")
+oracle("enrich_ids", "enriched")("SELECT * FROM enriched")
+oracle("semi_unresolved", "merged", "entities")(
+    """
+SELECT index_name, isin, ric FROM merged m
+WHERE NOT EXISTS (SELECT 1 FROM entities e WHERE e.endpoint = 'isin' AND e.index_name = m.index_name AND e.id = m.isin)
+"""
+)
+oracle("unresolved_report", "enriched")(
+    """
+SELECT index_name, isin, arg_min(ric, (first_included, ric)) AS ric, arg_min(name, (first_included, ric)) AS name,
+       arg_min(country, (first_included, ric)) AS country, arg_min(currency, (first_included, ric)) AS currency,
+       CAST(min(first_included) AS VARCHAR) AS first_included,
+       CAST(arg_min(last_included, (first_included, ric)) AS VARCHAR) AS last_included
+FROM enriched WHERE entity_id IS NULL GROUP BY index_name, isin
+"""
+)
+oracle("ric_backfill", "entries_ric")("SELECT index_name, review_date, isin, ric, rank FROM entries_ric")

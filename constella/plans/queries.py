@@ -368,3 +368,79 @@ def index_catalog(b: ReviewBook) -> DataFrame:
 def published_constituents(b: ReviewBook) -> DataFrame:
     """J1 over the published dataset: latest members with one asset row each."""
     return b.dataset.constituents()
+
+
+# ------------------------------------------------------------------ resolution
+
+from constella.operators import resolve as X  # noqa: E402
+from constella.operators.intervals import assets_with_intervals, merge_snapshots  # noqa: E402
+from constella.sources import derive as G  # noqa: E402
+
+
+def _lookup(b: ReviewBook) -> DataFrame:
+    return X.isin_lookup(G.asset_history(b.spark, b.sf_dir, b.assets))
+
+
+@query
+def isin_lookup(b: ReviewBook) -> DataFrame:
+    """internal_key -> ISIN from an earlier assets file (last valid row wins)."""
+    return _lookup(b)
+
+
+@query
+def resolve_isin(b: ReviewBook) -> DataFrame:
+    """Repaired ISIN of every selection-list row (raw, else lookup, else KEY_<key>)."""
+    rows = G.selection_rows(b.spark, b.sf_dir, b.entries, b.assets)
+    out = X.resolve_isins(rows.select("index_name", "review_date", "internal_key", "raw_isin"), _lookup(b))
+    return out.select("index_name", "review_date", "internal_key", "raw_isin", "isin")
+
+
+def _entities(b: ReviewBook) -> DataFrame:
+    return X.unnest_entities(G.entity_responses(b.spark, b.sf_dir, b.assets))
+
+
+@query
+def unnest_entities(b: ReviewBook) -> DataFrame:
+    """Identity-service responses unnested to (endpoint, id, alpha_id)."""
+    return _entities(b)
+
+
+def _merged(b: ReviewBook) -> DataFrame:
+    metadata = merge_snapshots(G.previous_snapshot(b.spark, b.sf_dir, b.assets), b.assets, ["index_name", "isin"])
+    return assets_with_intervals(b.intervals, metadata)
+
+
+@query
+def merge_assets(b: ReviewBook) -> DataFrame:
+    """Intervals joined with merged asset metadata (existing rows win)."""
+    return _merged(b)
+
+
+@query
+def enrich_ids(b: ReviewBook) -> DataFrame:
+    """Entity id by ISIN, then by RIC for unresolved ISINs; rows preserved."""
+    return X.enrich_ids(_merged(b), _entities(b))
+
+
+@query
+def semi_unresolved(b: ReviewBook) -> DataFrame:
+    """Merged asset rows whose ISIN the ISIN lookup left unresolved."""
+    merged = _merged(b)
+    missing = X.unresolved_isins(merged, _entities(b))
+    return merged.join(missing, ["index_name", "isin"], "left_semi").select("index_name", "isin", "ric")
+
+
+@query
+def unresolved_report(b: ReviewBook) -> DataFrame:
+    """V7: one row per ISIN without entity id, dates as text, sorted by ISIN."""
+    return X.unresolved_report(X.enrich_ids(_merged(b), _entities(b)))
+
+
+@query
+def ric_backfill(b: ReviewBook) -> DataFrame:
+    """Entries of the older form (no RIC column) get the RIC from the assets."""
+    old = b.entries.where(F.col("review_date") < F.lit("1998-01-01").cast("date")).drop("ric")
+    new = b.entries.where(F.col("review_date") >= F.lit("1998-01-01").cast("date"))
+    rics = first_per_key(b.assets.select("index_name", "isin", "ric"), ["index_name", "isin"], ["ric"], ["ric"])
+    filled = old.join(rics, ["index_name", "isin"], "left")
+    return filled.unionByName(new).select(*KEY, "isin", "ric", "rank")

@@ -143,3 +143,100 @@ def review_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("sedol"),
     )
     return cust.unionByName(parts)
+
+
+# ----------------------------------------------------------- raw vendor inputs
+# The derived lists above are clean.  The inputs below add the defects the
+# reviewed pipeline repairs; each defect is a fixed function of the
+# instrument key, so every row of the input tables is kept.
+
+
+def _key() -> Column:
+    return F.col("internal_key").cast("bigint")
+
+
+def raw_isin_text(isin: Column, key: Column) -> Column:
+    """Vendor ISIN text: blank, 'null' or 'None' for some keys."""
+    return (
+        F.when(key % 17 == 0, F.lit(""))
+        .when(key % 19 == 0, F.lit("null"))
+        .when(key % 23 == 0, F.lit(" None"))
+        .when(key % 29 == 0, F.lit("NULL "))
+        .otherwise(isin)
+    )
+
+
+def selection_rows(spark: SparkSession, sf_dir: str, entries: DataFrame | None = None,
+                   assets: DataFrame | None = None) -> DataFrame:
+    """Rows of the vendor's selection lists: entry + instrument data, raw ISIN text."""
+    entries = entries if entries is not None else review_entries(spark, sf_dir)
+    assets = assets if assets is not None else review_assets(spark, sf_dir)
+    rows = entries.drop("ric").join(assets, ["index_name", "isin"], "inner")
+    return rows.withColumn("raw_isin", raw_isin_text(F.col("isin"), _key()))
+
+
+def asset_history(spark: SparkSession, sf_dir: str, assets: DataFrame | None = None) -> DataFrame:
+    """An earlier assets file: superseded ISINs, fallback ids, blanks, padded keys.
+
+    ``ordinal`` is the row order of that file (later rows win in the lookup).
+    """
+    assets = assets if assets is not None else review_assets(spark, sf_dir)
+    k = _key()
+    base = assets.select("index_name", "internal_key", "isin")
+    old = base.where(k % 7 == 0).select(
+        "index_name", "internal_key", F.concat(F.lit("XO"), F.substring("isin", 3, 10)).alias("isin"),
+        (k * 4).alias("ordinal"),
+    )
+    cur = base.select(
+        "index_name",
+        F.when(k % 13 == 0, F.concat(F.lit(" "), F.col("internal_key"), F.lit(" "))).otherwise(
+            F.col("internal_key")).alias("internal_key"),
+        F.when(k % 3 == 0, F.concat(F.lit("KEY_"), F.col("internal_key"))).otherwise(F.col("isin")).alias("isin"),
+        (k * 4 + 1).alias("ordinal"),
+    )
+    blank = base.where(k % 11 == 0).select("index_name", "internal_key", F.lit("  ").alias("isin"),
+                                           (k * 4 + 2).alias("ordinal"))
+    return old.unionByName(cur).unionByName(blank)
+
+
+def entity_responses(spark: SparkSession, sf_dir: str, assets: DataFrame | None = None) -> DataFrame:
+    """Identity-service answers as JSON text, 100 identifiers per response.
+
+    By ISIN: most keys resolve, every 8th is a null entity, other 4th keys are
+    absent.  By RIC: every 3rd key resolves, some others answer null.
+    """
+    assets = assets if assets is not None else review_assets(spark, sf_dir)
+    k = _key()
+    entity = F.struct(F.concat(F.lit("E"), F.lpad(k.cast("string"), 9, "0")).alias("alpha_id"))
+    null_entity = F.lit(None).cast("struct<alpha_id:string>")
+    by_isin = assets.where((k % 4 != 0) | (k % 8 == 0)).select(
+        "index_name", F.lit("isin").alias("endpoint"), F.col("isin").alias("id"),
+        F.when(k % 8 == 0, null_entity).otherwise(entity).alias("entity"), (k / 100).cast("bigint").alias("batch"),
+    )
+    by_ric = assets.where((k % 3 == 0) | (k % 5 == 1)).select(
+        "index_name", F.lit("ric").alias("endpoint"), F.col("ric").alias("id"),
+        F.when(k % 3 == 0, entity).otherwise(null_entity).alias("entity"), (k / 100).cast("bigint").alias("batch"),
+    )
+    calls = by_isin.unionByName(by_ric)
+    return calls.groupBy("index_name", "endpoint", "batch").agg(
+        F.to_json(F.map_from_entries(F.collect_list(F.struct("id", "entity")))).alias("response")
+    )
+
+
+def previous_snapshot(spark: SparkSession, sf_dir: str, assets: DataFrame | None = None) -> DataFrame:
+    """An assets snapshot published earlier: other names, duplicates, stale derived columns."""
+    assets = assets if assets is not None else review_assets(spark, sf_dir)
+    k = _key()
+    even = assets.where(k % 2 == 0)
+    first = even.select(
+        *[F.upper("name").alias("name") if c == "name" else F.col(c) for c in assets.columns],
+        (k * 2).alias("_row"),
+    )
+    dup = even.where(k % 10 == 0).select(
+        *[F.lit("DUPLICATE").alias("name") if c == "name" else F.col(c) for c in assets.columns],
+        (k * 2 + 1).alias("_row"),
+    )
+    stale = F.lit(None).cast("date")
+    return first.unionByName(dup).select(
+        "*", stale.alias("first_included"), stale.alias("last_included"), F.lit("stale").alias("entity_id")
+    )
