@@ -677,3 +677,68 @@ FROM enriched WHERE entity_id IS NULL GROUP BY index_name, isin
 """
 )
 oracle("ric_backfill", "entries_ric")("SELECT index_name, review_date, isin, ric, rank FROM entries_ric")
+
+# -------------------------------------------------------------------- calendar
+
+cte(
+    "periods",
+    ("reviews",),
+    f"""
+SELECT s.index_name, CAST(t.y AS INTEGER) AS year, CAST(u.m AS INTEGER) AS month,
+       make_date(CAST(t.y AS INTEGER), CAST(u.m AS INTEGER), 1) AS period_date
+FROM (SELECT index_name, min(review_date) AS start, DATE '{AS_OF}' AS "end" FROM reviews GROUP BY index_name) s,
+     LATERAL (SELECT unnest(generate_series(year(s.start), year(s."end"))) AS y) t,
+     LATERAL (SELECT unnest(CASE WHEN t.y = 1995 THEN [4, 7, 10] ELSE [1, 4, 7, 10] END) AS m) u
+WHERE make_date(CAST(t.y AS INTEGER), CAST(u.m AS INTEGER), 1) >= CAST(date_trunc('month', s.start) AS DATE)
+  AND make_date(CAST(t.y AS INTEGER), CAST(u.m AS INTEGER), 1) <= s."end"
+""",
+)
+
+oracle("review_calendar", "periods")("SELECT * FROM periods")
+
+oracle("publication_keys", "periods")(
+    """
+SELECT *, CASE WHEN period_date >= DATE '1999-12-01' THEN 'csv' ELSE 'legacy' END AS dialect,
+       CAST(year AS VARCHAR) || '/' || strftime(period_date, '%B') AS folder,
+       CASE WHEN period_date >= DATE '1999-12-01'
+            THEN 'slpublic_' || lower(index_name) || '_' || strftime(period_date, '%Y%m%d') || '.csv'
+            ELSE 'sl_' || lower(index_name) || '_' || strftime(period_date, '%Y%m') || '.pdf' END AS file_key
+FROM periods
+"""
+)
+
+oracle("missing_periods", "periods", "reviews")(
+    """
+SELECT p.* FROM periods p
+WHERE NOT EXISTS (SELECT 1 FROM reviews r WHERE r.review_date < DATE '2000-01-01' AND r.index_name = p.index_name
+                    AND year(r.review_date) = p.year AND month(r.review_date) = p.month)
+"""
+)
+
+oracle("match_publications", "periods")(
+    """
+, pubs AS (
+  SELECT 'CUST' AS index_name, CAST(o_orderdate AS DATE) AS pub_date FROM orders
+  UNION ALL SELECT 'PART', CAST(l_shipdate AS DATE) FROM lineitem
+), win AS (
+  SELECT p.*, period_date >= DATE '1999-12-01' AS is_csv,
+         CASE WHEN month < 3 THEN 3 WHEN month < 6 THEN 6 WHEN month < 9 THEN 9 WHEN month < 12 THEN 12 ELSE 3 END AS nq
+  FROM periods p
+), hits AS (
+  SELECT w.index_name, w.period_date, min(pb.pub_date) AS pub_date
+  FROM win w JOIN pubs pb ON pb.index_name = w.index_name AND pb.pub_date >= w.period_date
+   AND pb.pub_date < CAST(w.period_date + to_months(CASE WHEN w.is_csv AND w.nq > w.month THEN w.nq - w.month ELSE 1 END) AS DATE)
+  GROUP BY ALL
+)
+SELECT w.index_name, w.year, w.month, w.period_date, h.pub_date,
+       CASE WHEN w.is_csv THEN 'csv' ELSE 'legacy' END AS dialect,
+       CASE WHEN h.pub_date IS NOT NULL THEN
+         CASE WHEN w.is_csv THEN CAST(year(h.pub_date) AS VARCHAR) || '/' || strftime(h.pub_date, '%B')
+              ELSE CAST(w.year AS VARCHAR) || '/' || strftime(w.period_date, '%B') END END AS folder,
+       CASE WHEN h.pub_date IS NOT NULL THEN
+         CASE WHEN w.is_csv THEN 'slpublic_' || lower(w.index_name) || '_' || strftime(h.pub_date, '%Y%m%d') || '.csv'
+              ELSE 'sl_' || lower(w.index_name) || '_' || strftime(w.period_date, '%Y%m') || '.pdf' END END AS file_key,
+       CASE WHEN h.pub_date IS NOT NULL THEN 'downloaded' ELSE 'missed' END AS status
+FROM win w LEFT JOIN hits h USING (index_name, period_date)
+"""
+)

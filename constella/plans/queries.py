@@ -444,3 +444,51 @@ def ric_backfill(b: ReviewBook) -> DataFrame:
     rics = first_per_key(b.assets.select("index_name", "isin", "ric"), ["index_name", "isin"], ["ric"], ["ric"])
     filled = old.join(rics, ["index_name", "isin"], "left")
     return filled.unionByName(new).select(*KEY, "isin", "ric", "rank")
+
+
+# -------------------------------------------------------------------- calendar
+
+from constella.functions import calendar as C  # noqa: E402
+from constella.sources.tables import read_table  # noqa: E402
+
+PUBLISHED_BEFORE = "2000-01-01"
+
+
+def _periods(b: ReviewBook) -> DataFrame:
+    spans = b.reviews.groupBy("index_name").agg(
+        F.min("review_date").alias("start"), F.lit(AS_OF).cast("date").alias("end")
+    )
+    return C.review_periods(spans, C.DERIVED_CALENDAR)
+
+
+@query
+def review_calendar(b: ReviewBook) -> DataFrame:
+    """expected review periods of each index from its first review to as_of."""
+    return _periods(b)
+
+
+@query
+def publication_keys(b: ReviewBook) -> DataFrame:
+    """dialect, folder and file key of every expected period."""
+    return C.publication_keys(_periods(b), C.DERIVED_CALENDAR)
+
+
+@query
+def missing_periods(b: ReviewBook) -> DataFrame:
+    """Expected periods not yet published (dataset published up to 1999)."""
+    published = b.reviews.where(F.col("review_date") < F.lit(PUBLISHED_BEFORE).cast("date")).select(
+        "index_name", F.year("review_date").alias("year"), F.month("review_date").alias("month")
+    )
+    return _periods(b).join(published, ["index_name", "year", "month"], "left_anti")
+
+
+@query
+def match_publications(b: ReviewBook) -> DataFrame:
+    """First publication inside each period's search window (order / ship days)."""
+    orders = read_table(b.spark, b.sf_dir, "orders", ["o_orderdate"]).select(
+        F.lit("CUST").alias("index_name"), F.to_date("o_orderdate").alias("pub_date")
+    )
+    ships = read_table(b.spark, b.sf_dir, "lineitem", ["l_shipdate"]).select(
+        F.lit("PART").alias("index_name"), F.to_date("l_shipdate").alias("pub_date")
+    )
+    return C.match_publications(_periods(b), orders.unionByName(ships), C.DERIVED_CALENDAR)
