@@ -17,7 +17,9 @@ from constella.operators.ranking import data_reviews
 from constella.schemas import IndexRule
 from constella.session import scratch_path
 from constella.sources.dataset import ReviewDataset
-from constella.sources.derive import RULES, review_assets, review_entries
+from constella.functions.calendar import DERIVED_CALENDAR
+from constella.sources import selection as S
+from constella.sources.derive import RULES, review_assets, review_entries, selection_rows
 
 # End of the daily ranking range (the reviewed pipeline uses "today"; a fixed
 # date keeps results reproducible).  After the last review of every index.
@@ -70,3 +72,24 @@ class ReviewBook:
         ds = ReviewDataset(self.spark, scratch_path(self.spark, "reviews"))
         ds.write(self.assets, self.entries, self.membership, self.reviews)
         return ds
+
+    @cached_property
+    def selection_rows(self) -> DataFrame:
+        """Vendor-style list rows (entry + instrument data, raw ISIN text)."""
+        return selection_rows(self.spark, self.sf_dir, self.entries, self.assets)
+
+    @cached_property
+    def csv_dir(self) -> str:
+        """Lists from the CSV cutoff on, written as one CSV file per review."""
+        path = scratch_path(self.spark, "csv-lists")
+        cut = F.lit(DERIVED_CALENDAR.csv_cutoff).cast("date")
+        S.write_csv_lists(self.selection_rows.where(F.col("review_date") >= cut), path)
+        return path
+
+    @cached_property
+    def legacy_dir(self) -> str:
+        """Older lists, written as extracted report tables plus header lines."""
+        path = scratch_path(self.spark, "legacy-reports")
+        cut = F.lit(DERIVED_CALENDAR.csv_cutoff).cast("date")
+        S.write_legacy_reports(self.selection_rows.where(F.col("review_date") < cut), path)
+        return path

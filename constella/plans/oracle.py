@@ -742,3 +742,88 @@ SELECT w.index_name, w.year, w.month, w.period_date, h.pub_date,
 FROM win w LEFT JOIN hits h USING (index_name, period_date)
 """
 )
+
+# ------------------------------------------------------------- list dialects
+
+cte(
+    "sel_rows",
+    ("entries", "assets"),
+    """
+SELECT e.index_name, e.review_date, e.ordinal, a.internal_key, a.ric, a.name, a.country, a.currency, a.sedol,
+       e.ff_mcap, e.rank, e.comment,
+       CASE WHEN CAST(a.internal_key AS BIGINT) % 17 = 0 THEN ''
+            WHEN CAST(a.internal_key AS BIGINT) % 19 = 0 THEN 'null'
+            WHEN CAST(a.internal_key AS BIGINT) % 23 = 0 THEN ' None'
+            WHEN CAST(a.internal_key AS BIGINT) % 29 = 0 THEN 'NULL '
+            ELSE e.isin END AS raw_isin
+FROM entries e JOIN assets a USING (index_name, isin)
+""",
+)
+
+cte(
+    "csv_rows",
+    ("sel_rows", "lookup"),
+    """
+SELECT r.index_name, 'slpublic_' || lower(r.index_name) || '_' || strftime(r.review_date, '%Y%m%d') || '.csv' AS file,
+       r.review_date, trim(r.internal_key) AS internal_key,
+       CASE WHEN r.raw_isin IS NOT NULL AND lower(trim(r.raw_isin)) NOT IN ('', 'null', 'none') THEN trim(r.raw_isin)
+            ELSE COALESCE(l.isin, 'KEY_' || trim(r.internal_key)) END AS isin,
+       trim(r.ric) AS ric, trim(r.name) AS name, trim(r.country) AS country, trim(r.currency) AS currency,
+       nullif(trim(r.sedol), '') AS sedol, r.ff_mcap, r.rank, nullif(trim(r.comment), '') AS comment
+FROM sel_rows r LEFT JOIN lookup l ON l.index_name = r.index_name AND l.internal_key = trim(r.internal_key)
+WHERE r.review_date >= DATE '1999-12-01'
+""",
+)
+
+cte(
+    "legacy_rows",
+    ("sel_rows",),
+    """
+SELECT index_name, 'sl_' || lower(index_name) || '_' || strftime(review_date, '%Y%m') || '.pdf' AS file,
+       review_date, internal_key, trim(raw_isin) AS isin, trim(ric) AS ric, trim(name) AS name,
+       trim(country) AS country, trim(currency) AS currency, nullif(trim(sedol), '') AS sedol,
+       CAST(CAST(cents // 100000 AS VARCHAR) || '.' || lpad(CAST(cents % 100000 AS VARCHAR), 5, '0') AS DOUBLE) * 1000
+         AS ff_mcap,
+       rank
+FROM (SELECT *, CAST(round(ff_mcap * 100) AS BIGINT) AS cents FROM sel_rows) r
+WHERE review_date < DATE '1999-12-01' AND trim(COALESCE(raw_isin, '')) <> ''
+""",
+)
+
+_LIST = "index_name, review_date, internal_key, isin, ric, name, country, currency, sedol, ff_mcap, rank"
+oracle("sel_normalise", "csv_rows")(f"SELECT {_LIST}, comment FROM csv_rows")
+oracle("sel_assets", "csv_rows")(
+    "SELECT index_name, file, internal_key, isin, ric, name, country, currency, sedol FROM csv_rows"
+)
+oracle("dq_review_date", "csv_rows")(
+    "SELECT DISTINCT index_name, file, CAST(1 AS BIGINT) AS review_dates, TRUE AS ok FROM csv_rows"
+)
+oracle("sel_normalise_legacy", "legacy_rows")(f"SELECT {_LIST} FROM legacy_rows")
+oracle("header_dates", "sel_rows")(
+    """
+SELECT DISTINCT index_name, 'sl_' || lower(index_name) || '_' || strftime(review_date, '%Y%m') || '.pdf' AS file,
+       review_date
+FROM sel_rows WHERE review_date < DATE '1999-12-01'
+"""
+)
+oracle("norm_names", "sel_rows")(
+    r"""
+SELECT f.index_name, f.file, CAST(h.position AS INTEGER) AS position, h.raw,
+       regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(h.raw),
+         '^\s+|\s+$', '', 'g'), '[()\[\]]+', '', 'g'), '[\s\-\.]+', '_', 'g'), '_+', '_', 'g'), '^_+|_+$', '', 'g')
+         AS name
+FROM (SELECT DISTINCT index_name, 'sl_' || lower(index_name) || '_' || strftime(review_date, '%Y%m') || '.pdf' AS file
+      FROM sel_rows WHERE review_date < DATE '1999-12-01') f,
+     (SELECT * FROM (VALUES (0, 'ISIN'), (1, 'Sedol'), (2, 'RIC'), (3, 'Int.Key'), (4, 'Company Name'),
+                            (5, 'Country'), (6, 'Currency'), (7, 'Component'), (8, 'FF Mcap (BEUR)'),
+                            (9, 'Rank' || chr(10) || '(FINAL)'),
+                            (10, 'Rank' || chr(10) || '(PREVIOUS' || chr(10) || ')')) t(position, raw)) h
+"""
+)
+oracle("sel_union_dialects", "csv_rows", "legacy_rows")(
+    """
+SELECT index_name, review_date, isin, ff_mcap, rank, 'csv' AS dialect FROM csv_rows
+UNION ALL
+SELECT index_name, review_date, isin, ff_mcap, rank, 'legacy' FROM legacy_rows
+"""
+)

@@ -492,3 +492,68 @@ def match_publications(b: ReviewBook) -> DataFrame:
         F.lit("PART").alias("index_name"), F.to_date("l_shipdate").alias("pub_date")
     )
     return C.match_publications(_periods(b), orders.unionByName(ships), C.DERIVED_CALENDAR)
+
+
+# ------------------------------------------------------------- list dialects
+
+from constella.sources import selection as S  # noqa: E402
+
+LIST_COLUMNS = ["index_name", "review_date", "internal_key", "isin", "ric", "name", "country", "currency",
+                "sedol", "ff_mcap", "rank"]
+
+
+def _csv_rows(b: ReviewBook) -> DataFrame:
+    scan = S.read_csv_lists(b.spark, b.csv_dir)
+    return S.normalise_csv_lists(scan, _lookup(b), len(scan.inputFiles()))
+
+
+@query
+def sel_normalise(b: ReviewBook) -> DataFrame:
+    """CSV selection lists read, normalised and ISIN-resolved."""
+    return _csv_rows(b).select(*LIST_COLUMNS, "comment")
+
+
+@query
+def sel_assets(b: ReviewBook) -> DataFrame:
+    """Assets of each CSV list (first row per internal key)."""
+    return S.csv_assets(_csv_rows(b), by_internal_key=True)
+
+
+@query
+def dq_review_date(b: ReviewBook) -> DataFrame:
+    """V2: each CSV list carries exactly one review date."""
+    return S.csv_review_dates(S.read_csv_lists(b.spark, b.csv_dir))
+
+
+def _legacy(b: ReviewBook) -> DataFrame:
+    rows, lines = S.read_legacy_reports(b.spark, b.legacy_dir)
+    return S.normalise_legacy_reports(rows, lines)
+
+
+@query
+def sel_normalise_legacy(b: ReviewBook) -> DataFrame:
+    """Extracted report rows: width check, blank ISINs dropped, BEUR -> MEUR."""
+    return _legacy(b).select(*LIST_COLUMNS)
+
+
+@query
+def header_dates(b: ReviewBook) -> DataFrame:
+    """Review date of each report from its header lines."""
+    _, lines = S.read_legacy_reports(b.spark, b.legacy_dir)
+    return S.header_review_dates(lines)
+
+
+@query
+def norm_names(b: ReviewBook) -> DataFrame:
+    """Normalised header names of every report."""
+    rows, _ = S.read_legacy_reports(b.spark, b.legacy_dir)
+    return S.legacy_header_names(rows)
+
+
+@query
+def sel_union_dialects(b: ReviewBook) -> DataFrame:
+    """Entries of both dialects in one table."""
+    cols = ["index_name", "review_date", "isin", "ff_mcap", "rank"]
+    csv = _csv_rows(b).select(*cols, F.lit("csv").alias("dialect"))
+    old = _legacy(b).select(*cols, F.lit("legacy").alias("dialect"))
+    return csv.unionByName(old, allowMissingColumns=True)
