@@ -232,3 +232,28 @@ def chain_membership_pandas(cands: DataFrame, rules: dict[str, IndexRule]) -> Da
 def membership_counts(membership: DataFrame, keys: Iterable[str] = ("index_name", "review_date")) -> DataFrame:
     """V5 helper: members per review."""
     return membership.where("is_member").groupBy(*keys).agg(F.count(F.lit(1)).alias("members"))
+
+
+def rechain_from(
+    cands: DataFrame,
+    published: DataFrame,
+    since: DataFrame,
+    rules: dict[str, IndexRule],
+) -> DataFrame:
+    """Recompute the chain from each index's earliest changed review.
+
+    ``since`` has one row per index (index_name, review_date).  Reviews before
+    it keep their published membership; the prior of the first recomputed
+    review is the published member set of the latest review before it (Q6:
+    not the newest published review).  ``since`` and the review list are one
+    row per index / per quarter, so every join here is against a tiny side.
+    """
+    start = since.select("index_name", F.col("review_date").alias("_since"))
+    before = published.join(start, "index_name").where(F.col("review_date") < F.col("_since"))
+    last = before.groupBy("index_name").agg(F.max("review_date").alias("review_date"))
+    prior = before.join(last, KEY, "left_semi").where(F.col("is_member")).select("index_name", "isin")
+    redo = cands.join(start, "index_name").where(F.col("review_date") >= F.col("_since")).drop("_since")
+    fresh = chain_membership(redo, rules, initial_prior=prior)
+    kept = before.drop("_since").select(*KEY, "isin", "is_member", "entry_reason")
+    untouched = published.join(start, "index_name", "left_anti").select(*KEY, "isin", "is_member", "entry_reason")
+    return kept.unionByName(fresh).unionByName(untouched)

@@ -827,3 +827,6 @@ UNION ALL
 SELECT index_name, review_date, isin, ff_mcap, rank, 'legacy' FROM legacy_rows
 """
 )
+
+oracle("incremental_sync", "membership")("SELECT * FROM membership")
+oracle("backfill_chain", "membership")("SELECT * FROM membership")
