@@ -70,19 +70,29 @@ def candidates(entries: DataFrame, rules: dict[str, IndexRule], dedupe: bool = T
     return top.where(F.col("position") <= rule_col(rules, "buffer_end")).select(*KEY, "isin", "position")
 
 
-def apply_buffer_rule(cands: DataFrame, prior: DataFrame | None, rules: dict[str, IndexRule]) -> DataFrame:
+def apply_buffer_rule(
+    cands: DataFrame,
+    prior: DataFrame | None,
+    rules: dict[str, IndexRule],
+    prior_reviews: DataFrame | None = None,
+) -> DataFrame:
     """Membership of each review given the prior member set of that review.
 
     ``prior`` has (index_name, review_date, isin): the members that count as
-    prior *for* ``review_date``.  A review without prior rows is a bootstrap
-    (top ``target``).  Relational form: one window spec, no fold.
+    prior *for* ``review_date``.  A review is a bootstrap (top ``target``)
+    unless it has a prior; ``prior_reviews`` (index_name, review_date) lists
+    reviews whose prior is given even if empty, else reviews with prior rows
+    count.  Relational form: one window spec, no fold.
     """
     auto, target, end = (rule_col(rules, f) for f in ("auto", "target", "buffer_end"))
-    if prior is None:
+    if prior is None and prior_reviews is None:
         c = cands.withColumn("in_prior", F.lit(False)).withColumn("has_prior", F.lit(False))
     else:
+        if prior is None:
+            prior = cands.sparkSession.createDataFrame([], "index_name string, review_date date, isin string")
         flags = prior.select(*KEY, "isin").distinct().withColumn("in_prior", F.lit(True))
-        has = prior.select(*KEY).distinct().withColumn("has_prior", F.lit(True))
+        given = prior_reviews if prior_reviews is not None else prior
+        has = given.select(*KEY).distinct().withColumn("has_prior", F.lit(True))
         c = (
             cands.join(flags, [*KEY, "isin"], "left")
             .join(has, KEY, "left")
