@@ -21,6 +21,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Above this estimated input size the split form is used ("auto"); the
+# estimate is Catalyst's (metadata only, no job).  Session conf
+# ``constella.splitGroupsBytes`` overrides it.
+SPLIT_GROUPS_BYTES = 4 * 1024**3
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (from file sizes; no job runs)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - estimates are advisory
+        return 0
+
+
+def _split_wanted(df: DataFrame, split_groups: bool | str) -> bool:
+    if split_groups == "auto":
+        limit = int(df.sparkSession.conf.get("constella.splitGroupsBytes", str(SPLIT_GROUPS_BYTES)))
+        return estimated_bytes(df) > limit
+    return bool(split_groups)
+
 
 def _cols(items: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in items]
@@ -31,7 +51,7 @@ def ranked_within(
     group_cols: Sequence[str],
     order_cols: Sequence[str | Column],
     out_col: str,
-    split_groups: bool = False,
+    split_groups: bool | str = "auto",
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = 1-based row number of each row inside its group.
@@ -39,7 +59,7 @@ def ranked_within(
     ``order_cols`` must be a total order inside a group (end with a unique key)
     so that the numbering is deterministic.
     """
-    if not split_groups:
+    if not _split_wanted(df, split_groups):
         w = Window.partitionBy(*group_cols).orderBy(*_cols(order_cols))
         return df.withColumn(out_col, F.row_number().over(w))
 
@@ -62,3 +82,13 @@ def ranked_within(
     return out.withColumn(out_col, (F.col("_local") + F.col("_off") + 1).cast("int")).drop(
         "_pid", "_mid", "_local", "_off"
     )
+
+
+def calendar_sized(df: DataFrame) -> DataFrame:
+    """Broadcast a table with one row per (index, review) at most.
+
+    Its size is bounded by #indexes x #review dates (a calendar), not by the
+    data volume: 1 000 indexes x 100 years of quarterly reviews is 400 000
+    short rows, a few MB.
+    """
+    return F.broadcast(df)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from constella.functions.ranking import calendar_sized
+
 
 def review_index(reviews: DataFrame) -> DataFrame:
     """Dense 1-based index ``k`` of each review inside its index.
@@ -23,11 +25,10 @@ def membership_intervals(membership: DataFrame, reviews: DataFrame) -> DataFrame
     not a member, or that has no members at all, breaks the run), not in days.
     island = k - row_number() over (index, isin order by k) is constant along a
     run.  Shuffles once by (index, isin); the aggregate reuses that
-    partitioning.  The reviews side is tiny; AQE broadcasts it from its
-    measured size.
+    partitioning.  The reviews side is calendar-sized and broadcast.
     """
     members = membership.where(F.col("is_member")).select("index_name", "review_date", "isin").distinct()
-    with_k = members.join(review_index(reviews), ["index_name", "review_date"], "inner")
+    with_k = members.join(calendar_sized(review_index(reviews)), ["index_name", "review_date"], "inner")
     w = Window.partitionBy("index_name", "isin").orderBy("k")
     runs = with_k.withColumn("island", F.col("k") - F.row_number().over(w))
     return runs.groupBy("index_name", "isin", "island").agg(

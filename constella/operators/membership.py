@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from constella.functions.ranking import ranked_within
 from constella.functions.rules import max_rule, rule_col
 from constella.schemas import (
     REASON_BOOTSTRAP,
@@ -50,17 +51,26 @@ def _ranked(entries: DataFrame, dedupe: bool) -> DataFrame:
     return entries.where(F.col("rank").isNotNull()).select(*KEY, "isin", "rank")
 
 
-def positions(entries: DataFrame, dedupe: bool = True) -> DataFrame:
-    """1-based position of each ranked entry by (rank, isin) within its review."""
-    w = Window.partitionBy(*KEY).orderBy(F.col("rank").asc(), F.col("isin").asc())
-    return _ranked(entries, dedupe).withColumn("position", F.row_number().over(w)).select(
-        *KEY, "isin", "rank", "position"
-    )
+def positions(entries: DataFrame, dedupe: bool = True, split_groups: bool | str = "auto") -> DataFrame:
+    """1-based position of each ranked entry by (rank, isin) within its review.
+
+    Every ranked row gets a position, so a large review is spread over many
+    tasks when the input is large (``ranked_within``'s split form).
+    """
+    ranked = ranked_within(_ranked(entries, dedupe), KEY, [F.col("rank"), F.col("isin")], "position", split_groups)
+    return ranked.select(*KEY, "isin", "rank", "position")
 
 
 def top_n(entries: DataFrame, n: int, dedupe: bool = True) -> DataFrame:
-    """The first ``n`` positions of every review (partial top-k before the shuffle)."""
-    return positions(entries, dedupe).where(F.col("position") <= F.lit(n))
+    """The first ``n`` positions of every review (partial top-k before the shuffle).
+
+    A plain window on purpose: with a literal bound Catalyst plans a partial
+    ``WindowGroupLimit`` under the shuffle, so a review ships at most ``n``
+    rows per map task however large it is.
+    """
+    w = Window.partitionBy(*KEY).orderBy(F.col("rank").asc(), F.col("isin").asc())
+    ranked = _ranked(entries, dedupe).withColumn("position", F.row_number().over(w))
+    return ranked.where(F.col("position") <= F.lit(n)).select(*KEY, "isin", "rank", "position")
 
 
 def candidates(entries: DataFrame, rules: dict[str, IndexRule], dedupe: bool = True) -> DataFrame:

@@ -19,6 +19,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from constella.functions.ranking import calendar_sized
 from constella.operators.intervals import first_per_key
 
 KEY = ["index_name", "review_date"]
@@ -44,10 +45,10 @@ def rank_events(entries: DataFrame, membership: DataFrame) -> DataFrame:
     reviews = data_reviews(entries, membership)
     listed = entries.where(F.col("ric").isNotNull()).join(reviews, KEY, "left_semi")
     first_seen = listed.groupBy("index_name", "ric").agg(F.min("review_date").alias("first_seen"))
-    # Range join against the reviews table (one row per index and quarter,
-    # sized by AQE at runtime; equi key index_name, so never a cross join).
+    # Range join against the broadcast reviews table (one row per index and
+    # quarter); the RIC side stays partitioned, so a hot index is not one task.
     grid = first_seen.join(
-        reviews.withColumnRenamed("index_name", "_idx"),
+        calendar_sized(reviews.withColumnRenamed("index_name", "_idx")),
         (F.col("index_name") == F.col("_idx")) & (F.col("review_date") >= F.col("first_seen")),
         "inner",
     ).select("index_name", "review_date", "ric")
@@ -70,7 +71,7 @@ def ranking_daily(entries: DataFrame, membership: DataFrame, as_of: dt.date | st
     """(index, date, ric, rank) for every day a RIC holds a member rank."""
     spans = review_spans(data_reviews(entries, membership), as_of)
     ranks = member_ranks(entries, membership).where(F.col("rank") > 0)
-    return ranks.join(spans, KEY, "inner").select(
+    return ranks.join(calendar_sized(spans), KEY, "inner").select(
         "index_name",
         F.explode(F.sequence("review_date", "valid_to")).alias("date"),
         "ric",

@@ -27,14 +27,38 @@ AS_OF = "2001-12-31"
 
 
 class ReviewBook:
-    def __init__(self, spark: SparkSession, sf_dir: str, rules: dict[str, IndexRule] | None = None):
+    """Shared frames of one query.
+
+    ``entries`` and ``membership`` feed several branches of most queries.
+    Left lazy, each branch would rerun the scan-aggregate-rank derivation
+    (and the chain) from the base tables; with ``materialize`` they are
+    written once as Parquet to the shared checkpoint folder and read back,
+    which cuts lineage (executor loss reruns nothing upstream) and gives AQE
+    real file sizes for its join choices.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        rules: dict[str, IndexRule] | None = None,
+        materialize: bool = True,
+    ):
         self.spark = spark
         self.sf_dir = sf_dir
         self.rules = rules or RULES
+        self.materialize = materialize
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.materialize:
+            return df
+        path = scratch_path(self.spark, name)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.parquet(path)
 
     @cached_property
     def entries(self) -> DataFrame:
-        return review_entries(self.spark, self.sf_dir)
+        return self.stage(review_entries(self.spark, self.sf_dir), "entries")
 
     @cached_property
     def assets(self) -> DataFrame:
@@ -51,7 +75,7 @@ class ReviewBook:
 
     @cached_property
     def membership(self) -> DataFrame:
-        return M.chain_membership(self.candidates, self.rules)
+        return self.stage(M.chain_membership(self.candidates, self.rules), "membership")
 
     @cached_property
     def data_reviews(self) -> DataFrame:

@@ -21,12 +21,25 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from constella.functions.ranking import estimated_bytes
 from constella.operators.intervals import first_per_key
 
 PART_RE = re.compile(r"index_name=([^/]+)/review_date=(\d{4}-\d{2}-\d{2})")
 
 
-def _writer(df: DataFrame, partition_cols: list[str], files_per_partition: int, salt_col: str | None):
+# Target bytes per written file when the salt is chosen automatically.
+FILE_BYTES = 512 * 1024**2
+
+
+def _writer(df: DataFrame, partition_cols: list[str], files_per_partition: int | str, salt_col: str | None):
+    """Hash-partition by the output partition (plus a salt) and write zstd parquet.
+
+    With ``files_per_partition="auto"`` the salt count comes from Catalyst's
+    size estimate: a partition that would be one huge task (a review holding a
+    third of all rows) is written by up to 64 tasks instead.
+    """
+    if files_per_partition == "auto":
+        files_per_partition = max(1, min(64, estimated_bytes(df) // FILE_BYTES))
     if salt_col and files_per_partition > 1:
         salt = F.pmod(F.xxhash64(salt_col), F.lit(files_per_partition))
         df = df.repartition(*[F.col(c) for c in partition_cols], salt)
@@ -68,7 +81,7 @@ class ReviewDataset:
         entries: DataFrame,
         membership: DataFrame,
         reviews: DataFrame | None = None,
-        files_per_partition: int = 1,
+        files_per_partition: int | str = "auto",
     ) -> None:
         """Assets snapshot + entries (with RIC) + membership, by (index, review)."""
         key = ["index_name", "review_date"]
