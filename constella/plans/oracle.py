@@ -830,3 +830,16 @@ SELECT index_name, review_date, isin, ff_mcap, rank, 'legacy' FROM legacy_rows
 
 oracle("incremental_sync", "membership")("SELECT * FROM membership")
 oracle("backfill_chain", "membership")("SELECT * FROM membership")
+
+oracle("member_dates", "membership")(
+    """
+SELECT index_name, isin, list(review_date ORDER BY review_date) AS member_dates
+FROM (SELECT DISTINCT index_name, isin, review_date FROM membership WHERE is_member) m GROUP BY ALL
+"""
+)
+oracle("prior_members", "membership", "review_k")(
+    """
+SELECT m.index_name, m.isin FROM membership m JOIN review_k k USING (index_name, review_date)
+WHERE m.is_member AND k.k = (SELECT max(k2.k) - 1 FROM review_k k2 WHERE k2.index_name = k.index_name)
+"""
+)

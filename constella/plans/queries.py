@@ -596,3 +596,24 @@ def backfill_chain(b: ReviewBook) -> DataFrame:
     ordered = b.reviews.select(*KEY, F.row_number().over(k).alias("k"), F.count(F.lit(1)).over(n).alias("n"))
     since = ordered.where(F.col("k") == F.ceil(F.col("n") / 2)).select(*KEY)
     return M.rechain_from(b.candidates, b.membership, since, b.rules)
+
+
+@query
+def member_dates(b: ReviewBook) -> DataFrame:
+    """Per ISIN the sorted review dates at which it was a member (<= #reviews each)."""
+    members = b.membership.where("is_member").select("index_name", "isin", "review_date").distinct()
+    return members.groupBy("index_name", "isin").agg(F.array_sort(F.collect_list("review_date")).alias("member_dates"))
+
+
+@query
+def prior_members(b: ReviewBook) -> DataFrame:
+    """Members of the review before the latest one, read from the published dataset.
+
+    The prior dates come from the tiny reviews table; the semi join on the
+    partition columns lets dynamic partition pruning skip all other reviews.
+    """
+    ds = b.dataset
+    w = Window.partitionBy("index_name").orderBy(F.col("review_date").desc())
+    prior = ds.table("reviews").select(*KEY, F.row_number().over(w).alias("_k")).where("_k = 2").drop("_k")
+    members = ds.table("membership").where("is_member")
+    return members.join(F.broadcast(prior), KEY, "left_semi").select("index_name", "isin")
