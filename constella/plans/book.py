@@ -69,9 +69,14 @@ class ReviewBook:
         """All reviews of each index (one row per index and quarter)."""
         return self.entries.select("index_name", "review_date").distinct()
 
+    # The derived lists come out of an aggregate keyed by (review, instrument),
+    # so ISINs are unique per review and the keep-first step (a full shuffle)
+    # is skipped; lists read from files always go through it.
+    entries_unique = True
+
     @cached_property
     def candidates(self) -> DataFrame:
-        return M.candidates(self.entries, self.rules)
+        return M.candidates(self.entries, self.rules, dedupe=not self.entries_unique)
 
     @cached_property
     def membership(self) -> DataFrame:

@@ -43,21 +43,21 @@ def query(fn: Callable[[ReviewBook], DataFrame]) -> Callable[[SparkSession, str]
 @query
 def positions(b: ReviewBook) -> DataFrame:
     """Position of every ranked entry by (rank, isin) within its review."""
-    return M.positions(b.entries)
+    return M.positions(b.entries, dedupe=not b.entries_unique)
 
 
 @query
 def top_n(b: ReviewBook) -> DataFrame:
     """The first ``target`` positions of each review."""
     bound = max(r.target for r in b.rules.values())
-    top = M.top_n(b.entries, bound)
+    top = M.top_n(b.entries, bound, dedupe=not b.entries_unique)
     return top.where(F.col("position") <= rule_col(b.rules, "target"))
 
 
 @query
 def buffer_single(b: ReviewBook) -> DataFrame:
     """Rule for each review given a prior set: the previous review's top ``target``."""
-    tops = M.top_n(b.entries, max(r.target for r in b.rules.values())).where(
+    tops = M.top_n(b.entries, max(r.target for r in b.rules.values()), dedupe=not b.entries_unique).where(
         F.col("position") <= rule_col(b.rules, "target")
     )
     w = Window.partitionBy("index_name").orderBy("review_date")
