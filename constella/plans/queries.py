@@ -27,26 +27,32 @@ WIDE_START = "1995-01-01"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def query(fn: Callable[[ReviewBook], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(ReviewBook(spark, sf_dir))
+def query(fn=None, *, stage: bool = True):
+    """Register a query.  ``stage=False`` for queries that use each shared
+    frame once: staging (write + read back) only pays off for reuse."""
 
-    run.__name__ = fn.__name__
-    run.__doc__ = fn.__doc__
-    QUERIES[fn.__name__] = run
-    return run
+    def register(f: Callable[[ReviewBook], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(ReviewBook(spark, sf_dir, materialize=stage))
+
+        run.__name__ = f.__name__
+        run.__doc__ = f.__doc__
+        QUERIES[f.__name__] = run
+        return run
+
+    return register(fn) if fn is not None else register
 
 
 # ------------------------------------------------------------------ membership
 
 
-@query
+@query(stage=False)
 def positions(b: ReviewBook) -> DataFrame:
     """Position of every ranked entry by (rank, isin) within its review."""
     return M.positions(b.entries, dedupe=not b.entries_unique)
 
 
-@query
+@query(stage=False)
 def top_n(b: ReviewBook) -> DataFrame:
     """The first ``target`` positions of each review."""
     bound = max(r.target for r in b.rules.values())
@@ -70,26 +76,26 @@ def buffer_single(b: ReviewBook) -> DataFrame:
     return M.apply_buffer_rule(b.candidates, prior, b.rules)
 
 
-@query
+@query(stage=False)
 def buffer_chain(b: ReviewBook) -> DataFrame:
     """The chained rule (prior of each review = result of the previous one)."""
     return b.membership
 
 
-@query
+@query(stage=False)
 def members_per_review(b: ReviewBook) -> DataFrame:
     """V5: members per review and whether the index is full."""
     counts = M.membership_counts(b.membership)
     return counts.select(*KEY, "members", (F.col("members") == rule_col(b.rules, "target")).alias("full"))
 
 
-@query
+@query(stage=False)
 def reason_counts(b: ReviewBook) -> DataFrame:
     """A3: members per entry reason at each review."""
     return b.membership.groupBy(*KEY, "entry_reason").agg(F.count(F.lit(1)).alias("members"))
 
 
-@query
+@query(stage=False)
 def ever_members(b: ReviewBook) -> DataFrame:
     """A10/T4: every ISIN that was ever a member."""
     return b.membership.where("is_member").select("index_name", "isin").distinct()
@@ -146,13 +152,13 @@ def islands(b: ReviewBook) -> DataFrame:
     return b.intervals
 
 
-@query
+@query(stage=False)
 def review_dates(b: ReviewBook) -> DataFrame:
     """Available review dates of each index."""
     return b.reviews
 
 
-@query
+@query(stage=False)
 def review_sizes(b: ReviewBook) -> DataFrame:
     """Entries and ranked entries per review."""
     return b.entries.groupBy(*KEY).agg(
@@ -263,7 +269,7 @@ def coverage_stats(b: ReviewBook) -> DataFrame:
     return e.join(m, "index_name", "left")
 
 
-@query
+@query(stage=False)
 def entries_ranked(b: ReviewBook) -> DataFrame:
     """Ranked entries (sorted by rank within review)."""
     return (
@@ -273,7 +279,7 @@ def entries_ranked(b: ReviewBook) -> DataFrame:
     )
 
 
-@query
+@query(stage=False)
 def dedup_first(b: ReviewBook) -> DataFrame:
     """A1: the first listing of each ISIN (earliest review, then list order)."""
     return first_per_key(
@@ -328,7 +334,7 @@ def dq_keys(b: ReviewBook) -> DataFrame:
 # ---------------------------------------------------------------- the dataset
 
 
-@query
+@query(stage=False)
 def entries_with_ric(b: ReviewBook) -> DataFrame:
     """Entries with the first RIC per ISIN from the assets."""
     return D.entries_with_ric(b.entries, b.assets)
@@ -381,13 +387,13 @@ def _lookup(b: ReviewBook) -> DataFrame:
     return X.isin_lookup(G.asset_history(b.spark, b.sf_dir, b.assets))
 
 
-@query
+@query(stage=False)
 def isin_lookup(b: ReviewBook) -> DataFrame:
     """internal_key -> ISIN from an earlier assets file (last valid row wins)."""
     return _lookup(b)
 
 
-@query
+@query(stage=False)
 def resolve_isin(b: ReviewBook) -> DataFrame:
     """Repaired ISIN of every selection-list row (raw, else lookup, else KEY_<key>)."""
     rows = G.selection_rows(b.spark, b.sf_dir, b.entries, b.assets)
@@ -399,7 +405,7 @@ def _entities(b: ReviewBook) -> DataFrame:
     return X.unnest_entities(G.entity_responses(b.spark, b.sf_dir, b.assets))
 
 
-@query
+@query(stage=False)
 def unnest_entities(b: ReviewBook) -> DataFrame:
     """Identity-service responses unnested to (endpoint, id, alpha_id)."""
     return _entities(b)
@@ -461,13 +467,13 @@ def _periods(b: ReviewBook) -> DataFrame:
     return C.review_periods(spans, C.DERIVED_CALENDAR)
 
 
-@query
+@query(stage=False)
 def review_calendar(b: ReviewBook) -> DataFrame:
     """expected review periods of each index from its first review to as_of."""
     return _periods(b)
 
 
-@query
+@query(stage=False)
 def publication_keys(b: ReviewBook) -> DataFrame:
     """dialect, folder and file key of every expected period."""
     return C.publication_keys(_periods(b), C.DERIVED_CALENDAR)
@@ -482,7 +488,7 @@ def missing_periods(b: ReviewBook) -> DataFrame:
     return _periods(b).join(published, ["index_name", "year", "month"], "left_anti")
 
 
-@query
+@query(stage=False)
 def match_publications(b: ReviewBook) -> DataFrame:
     """First publication inside each period's search window (order / ship days)."""
     orders = read_table(b.spark, b.sf_dir, "orders", ["o_orderdate"]).select(
@@ -598,7 +604,7 @@ def backfill_chain(b: ReviewBook) -> DataFrame:
     return M.rechain_from(b.candidates, b.membership, since, b.rules)
 
 
-@query
+@query(stage=False)
 def member_dates(b: ReviewBook) -> DataFrame:
     """Per ISIN the sorted review dates at which it was a member (<= #reviews each)."""
     members = b.membership.where("is_member").select("index_name", "isin", "review_date").distinct()
