@@ -90,6 +90,20 @@ def ranking_wide(daily: DataFrame, index_name: str, rics: list[str], start: str,
     return days.join(wide, "date", "left").select("date", *[F.col(f"`{r}`") for r in rics])
 
 
+def ranking_wide_all(daily: DataFrame, index_name: str, start: str, as_of: str, max_columns: int = 10_000) -> DataFrame:
+    """W8 with every RIC of an index as a column (export form of the reviewed table).
+
+    The RIC list is collected to the driver only after a count shows it fits
+    ``max_columns`` (Spark's pivot limit); beyond it, use the long form.
+    """
+    rics_df = daily.where(F.col("index_name") == index_name).select("ric").distinct()
+    n = rics_df.count()
+    if n > max_columns:
+        raise ValueError(f"{n} RICs exceed {max_columns} columns; use ranking_daily (long form)")
+    rics = sorted(r.ric for r in rics_df.collect())
+    return ranking_wide(daily, index_name, rics, start, as_of)
+
+
 def rank_gaps(daily: DataFrame, reviews: DataFrame, check_to: int | dict) -> DataFrame:
     """V1: at each review date, are ranks 1..check_to all present?  Never raises.
 

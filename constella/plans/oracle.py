@@ -843,3 +843,5 @@ SELECT m.index_name, m.isin FROM membership m JOIN review_k k USING (index_name,
 WHERE m.is_member AND k.k = (SELECT max(k2.k) - 1 FROM review_k k2 WHERE k2.index_name = k.index_name)
 """
 )
+
+oracle("published_islands", "intervals")("SELECT * FROM intervals")

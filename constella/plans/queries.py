@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from constella.operators import membership as M
 from constella.operators import ranking as R
 from constella.operators.intervals import first_per_key
+from constella.operators.intervals import membership_intervals as membership_intervals_of
 from constella.plans.book import AS_OF, ReviewBook
 from constella.functions.rules import rule_col
 from constella.sources import dataset as D
@@ -623,3 +624,13 @@ def prior_members(b: ReviewBook) -> DataFrame:
     prior = ds.table("reviews").select(*KEY, F.row_number().over(w).alias("_k")).where("_k = 2").drop("_k")
     members = ds.table("membership").where("is_member")
     return members.join(F.broadcast(prior), KEY, "left_semi").select("index_name", "isin")
+
+
+@query
+def published_islands(b: ReviewBook) -> DataFrame:
+    """S9/W5 (Q8): intervals rebuilt from the published dataset, not from local state.
+
+    The reviews table keeps member-less reviews, so they still break runs.
+    """
+    ds = b.dataset
+    return membership_intervals_of(ds.table("membership"), ds.table("reviews"))

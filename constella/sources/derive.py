@@ -183,6 +183,14 @@ def selection_rows(spark: SparkSession, sf_dir: str, entries: DataFrame | None =
     return rows.withColumn("raw_isin", raw_isin_text(F.col("isin"), _key()))
 
 
+def _variants(df: DataFrame, keep_cols: list[str], *variants: tuple[Column, dict[str, Column]]) -> DataFrame:
+    """One scan, several output rows per input row: ``inline`` over an array of
+    (keep, fields) structs, then drop the variants whose condition is false."""
+    names = list(variants[0][1])
+    structs = [F.struct(cond.alias("_keep"), *[fields[n].alias(n) for n in names]) for cond, fields in variants]
+    return df.select(*keep_cols, F.inline(F.array(*structs))).where("_keep").drop("_keep")
+
+
 def asset_history(spark: SparkSession, sf_dir: str, assets: DataFrame | None = None) -> DataFrame:
     """An earlier assets file: superseded ISINs, fallback ids, blanks, padded keys.
 
@@ -190,21 +198,17 @@ def asset_history(spark: SparkSession, sf_dir: str, assets: DataFrame | None = N
     """
     assets = assets if assets is not None else review_assets(spark, sf_dir)
     k = _key()
-    base = assets.select("index_name", "internal_key", "isin")
-    old = base.where(k % 7 == 0).select(
-        "index_name", "internal_key", F.concat(F.lit("XO"), F.substring("isin", 3, 10)).alias("isin"),
-        (k * 4).alias("ordinal"),
-    )
-    cur = base.select(
-        "index_name",
-        F.when(k % 13 == 0, F.concat(F.lit(" "), F.col("internal_key"), F.lit(" "))).otherwise(
-            F.col("internal_key")).alias("internal_key"),
-        F.when(k % 3 == 0, F.concat(F.lit("KEY_"), F.col("internal_key"))).otherwise(F.col("isin")).alias("isin"),
-        (k * 4 + 1).alias("ordinal"),
+    key, isin = F.col("internal_key"), F.col("isin")
+    return _variants(
+        assets,
+        ["index_name"],
+        (k % 7 == 0, {"internal_key": key, "isin": F.concat(F.lit("XO"), F.substring("isin", 3, 10)),
+                      "ordinal": k * 4}),
+        (F.lit(True), {"internal_key": F.when(k % 13 == 0, F.concat(F.lit(" "), key, F.lit(" "))).otherwise(key),
+                       "isin": F.when(k % 3 == 0, F.concat(F.lit("KEY_"), key)).otherwise(isin),
+                       "ordinal": k * 4 + 1}),
+        (k % 11 == 0, {"internal_key": key, "isin": F.lit("  "), "ordinal": k * 4 + 2}),
     )
-    blank = base.where(k % 11 == 0).select("index_name", "internal_key", F.lit("  ").alias("isin"),
-                                           (k * 4 + 2).alias("ordinal"))
-    return old.unionByName(cur).unionByName(blank)
 
 
 def entity_responses(spark: SparkSession, sf_dir: str, assets: DataFrame | None = None) -> DataFrame:
@@ -217,15 +221,14 @@ def entity_responses(spark: SparkSession, sf_dir: str, assets: DataFrame | None
     k = _key()
     entity = F.struct(F.concat(F.lit("E"), F.lpad(k.cast("string"), 9, "0")).alias("alpha_id"))
     null_entity = F.lit(None).cast("struct<alpha_id:string>")
-    by_isin = assets.where((k % 4 != 0) | (k % 8 == 0)).select(
-        "index_name", F.lit("isin").alias("endpoint"), F.col("isin").alias("id"),
-        F.when(k % 8 == 0, null_entity).otherwise(entity).alias("entity"), (k / 100).cast("bigint").alias("batch"),
-    )
-    by_ric = assets.where((k % 3 == 0) | (k % 5 == 1)).select(
-        "index_name", F.lit("ric").alias("endpoint"), F.col("ric").alias("id"),
-        F.when(k % 3 == 0, entity).otherwise(null_entity).alias("entity"), (k / 100).cast("bigint").alias("batch"),
+    calls = _variants(
+        assets,
+        ["index_name", (k / 100).cast("bigint").alias("batch")],
+        ((k % 4 != 0) | (k % 8 == 0), {"endpoint": F.lit("isin"), "id": F.col("isin"),
+                                       "entity": F.when(k % 8 == 0, null_entity).otherwise(entity)}),
+        ((k % 3 == 0) | (k % 5 == 1), {"endpoint": F.lit("ric"), "id": F.col("ric"),
+                                       "entity": F.when(k % 3 == 0, entity).otherwise(null_entity)}),
     )
-    calls = by_isin.unionByName(by_ric)
     return calls.groupBy("index_name", "endpoint", "batch").agg(
         F.to_json(F.map_from_entries(F.collect_list(F.struct("id", "entity")))).alias("response")
     )
@@ -235,16 +238,15 @@ def previous_snapshot(spark: SparkSession, sf_dir: str, assets: DataFrame | None
     """An assets snapshot published earlier: other names, duplicates, stale derived columns."""
     assets = assets if assets is not None else review_assets(spark, sf_dir)
     k = _key()
-    even = assets.where(k % 2 == 0)
-    first = even.select(
-        *[F.upper("name").alias("name") if c == "name" else F.col(c) for c in assets.columns],
-        (k * 2).alias("_row"),
-    )
-    dup = even.where(k % 10 == 0).select(
-        *[F.lit("DUPLICATE").alias("name") if c == "name" else F.col(c) for c in assets.columns],
-        (k * 2 + 1).alias("_row"),
+    others = [c for c in assets.columns if c != "name"]
+    snap = _variants(
+        assets.where(k % 2 == 0),
+        others,
+        (F.lit(True), {"name": F.upper("name"), "_row": k * 2}),
+        (k % 10 == 0, {"name": F.lit("DUPLICATE"), "_row": k * 2 + 1}),
     )
     stale = F.lit(None).cast("date")
-    return first.unionByName(dup).select(
-        "*", stale.alias("first_included"), stale.alias("last_included"), F.lit("stale").alias("entity_id")
+    return snap.select(
+        *assets.columns, "_row", stale.alias("first_included"), stale.alias("last_included"),
+        F.lit("stale").alias("entity_id"),
     )

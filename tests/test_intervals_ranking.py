@@ -91,3 +91,13 @@ def test_merge_snapshots_existing_wins_and_widens(spark):
                                 "index_name string, isin string, name string, country string")
     got = sorted((r.isin, r.name, r.country) for r in merge_snapshots(old, new, ["index_name", "isin"]).collect())
     assert got == [("A", "Old A", None), ("B", "New B", "FR")]
+
+
+def test_wide_all_rics_guarded(spark):
+    import pytest
+    rows = [("T", d(2024, 3, 1), "A.X", 1), ("T", d(2024, 3, 2), "B.Y", 2)]
+    daily = spark.createDataFrame(rows, "index_name string, date date, ric string, rank int")
+    wide = R.ranking_wide_all(daily, "T", "2024-03-01", "2024-03-03")
+    assert wide.columns == ["date", "A.X", "B.Y"] and wide.count() == 3
+    with pytest.raises(ValueError):
+        R.ranking_wide_all(daily, "T", "2024-03-01", "2024-03-03", max_columns=1)
