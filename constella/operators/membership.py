@@ -61,15 +61,24 @@ def positions(entries: DataFrame, dedupe: bool = True, split_groups: bool | str
     return ranked.select(*KEY, "isin", "rank", "position")
 
 
-def top_n(entries: DataFrame, n: int, dedupe: bool = True) -> DataFrame:
+def top_n(entries: DataFrame, n: int, dedupe: bool = True, salts: int = 64) -> DataFrame:
     """The first ``n`` positions of every review (partial top-k before the shuffle).
 
-    A plain window on purpose: with a literal bound Catalyst plans a partial
-    ``WindowGroupLimit`` under the shuffle, so a review ships at most ``n``
-    rows per map task however large it is.
+    Up to Spark's ``windowGroupLimitThreshold`` (1000 by default) a plain
+    window with a literal bound is planned with a partial ``WindowGroupLimit``
+    under the shuffle, so a review ships at most ``n`` rows per map task
+    however large it is.  Above it the same effect is built by hand: top ``n``
+    per (review, salt) first, then top ``n`` of those ``salts * n`` rows.
     """
-    w = Window.partitionBy(*KEY).orderBy(F.col("rank").asc(), F.col("isin").asc())
-    ranked = _ranked(entries, dedupe).withColumn("position", F.row_number().over(w))
+    order = [F.col("rank").asc(), F.col("isin").asc()]
+    ranked = _ranked(entries, dedupe)
+    limit = int(entries.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > limit:
+        salt = F.pmod(F.xxhash64("isin"), F.lit(salts))
+        w1 = Window.partitionBy(*KEY, salt).orderBy(*order)
+        ranked = ranked.withColumn("_p", F.row_number().over(w1)).where(F.col("_p") <= F.lit(n)).drop("_p")
+    w = Window.partitionBy(*KEY).orderBy(*order)
+    ranked = ranked.withColumn("position", F.row_number().over(w))
     return ranked.where(F.col("position") <= F.lit(n)).select(*KEY, "isin", "rank", "position")
 
 
@@ -268,10 +277,12 @@ def rechain_from(
     not the newest published review).  ``since`` and the review list are one
     row per index / per quarter, so every join here is against a tiny side.
     """
-    start = since.select("index_name", F.col("review_date").alias("_since"))
+    # One row per index: broadcast, so a join keyed only on index_name never
+    # sends a whole index to one task.
+    start = F.broadcast(since.select("index_name", F.col("review_date").alias("_since")))
     before = published.join(start, "index_name").where(F.col("review_date") < F.col("_since"))
     last = before.groupBy("index_name").agg(F.max("review_date").alias("review_date"))
-    prior = before.join(last, KEY, "left_semi").where(F.col("is_member")).select("index_name", "isin")
+    prior = before.join(F.broadcast(last), KEY, "left_semi").where(F.col("is_member")).select("index_name", "isin")
     redo = cands.join(start, "index_name").where(F.col("review_date") >= F.col("_since")).drop("_since")
     fresh = chain_membership(redo, rules, initial_prior=prior)
     kept = before.drop("_since").select(*KEY, "isin", "is_member", "entry_reason")

@@ -16,6 +16,7 @@ from constella.operators import ranking as R
 from constella.operators.intervals import first_per_key
 from constella.operators.intervals import membership_intervals as membership_intervals_of
 from constella.plans.book import AS_OF, ReviewBook
+from constella.functions.ranking import calendar_sized
 from constella.functions.rules import rule_col
 from constella.sources import dataset as D
 
@@ -240,7 +241,7 @@ def mcap_histogram(b: ReviewBook) -> DataFrame:
     """50-bin histogram of member market caps per review (max falls in bin 50)."""
     caps = _member_caps(b)
     bounds = caps.groupBy(*KEY).agg(F.min("cents").alias("lo"), F.max("cents").alias("hi"))
-    binned = caps.join(bounds, KEY, "inner").select(
+    binned = caps.join(calendar_sized(bounds), KEY, "inner").select(
         *KEY,
         F.when(F.col("hi") == F.col("lo"), F.lit(1))
         .otherwise(

@@ -60,12 +60,13 @@ def ingest_lists(rows: DataFrame, ds: ReviewDataset, rules: dict[str, IndexRule]
         "index_name string, review_date date, isin string, ff_mcap double, rank int, comment string, "
         "ordinal bigint, ric string",
     )
-    touched = new_entries.select(*KEY).distinct()
+    # (index, review) and per-index tables below are calendar-sized: broadcast.
+    touched = F.broadcast(new_entries.select(*KEY).distinct())
     # Same-date lists that arrived earlier are kept next to the new ones.
     kept_same_date = old_entries.join(touched, KEY, "left_semi").select(*new_entries.columns)
     entries_out = new_entries.unionByName(kept_same_date).checkpoint()
 
-    start = since.select("index_name", F.col("review_date").alias("_since"))
+    start = F.broadcast(since.select("index_name", F.col("review_date").alias("_since")))
     later = old_entries.join(start, "index_name").where(F.col("review_date") >= F.col("_since"))
     later = later.join(touched, KEY, "left_anti").select(*new_entries.columns)
     cands = M.candidates(entries_out.unionByName(later), rules)
@@ -73,7 +74,7 @@ def ingest_lists(rows: DataFrame, ds: ReviewDataset, rules: dict[str, IndexRule]
         ds, "membership", "index_name string, review_date date, isin string, is_member boolean, entry_reason string"
     )
     membership = M.rechain_from(cands, published, since, rules)
-    membership = membership.join(since.select("index_name", F.col("review_date").alias("_s")), "index_name").where(
+    membership = membership.join(F.broadcast(since.select("index_name", F.col("review_date").alias("_s"))), "index_name").where(
         F.col("review_date") >= F.col("_s")
     ).drop("_s").checkpoint()
 

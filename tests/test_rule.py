@@ -165,3 +165,13 @@ def test_rechain_from_published_prior(spark):
     again = M.rechain_from(cands, full, since, rules)
     key = lambda d: sorted((r.review_date, r.isin, r.entry_reason) for r in d.collect())
     assert key(again) == key(full) == spec_chain(lists, rule)
+
+
+def test_top_n_above_window_limit_threshold(spark):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "5")
+    try:
+        df = entries(spark, 300)
+        got = sorted(r.position for r in M.top_n(df, 20, salts=7).collect())
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert got == list(range(1, 21))
