@@ -79,6 +79,27 @@ def ranking_daily(entries: DataFrame, membership: DataFrame, as_of: dt.date | st
     )
 
 
+def ranking_on(entries: DataFrame, membership: DataFrame, days: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """The daily ranking restricted to given days, without expanding every day.
+
+    ``days`` (index_name, date) is calendar-sized (e.g. the review dates).  Each
+    day is matched to the review span that covers it (a range join of two
+    calendar-sized tables), then member ranks join on (index, review): the
+    result equals ``ranking_daily`` filtered to those days.
+    """
+    spans = review_spans(data_reviews(entries, membership), as_of)
+    wanted = days.select(F.col("index_name").alias("_i"), F.col("date"))
+    covering = calendar_sized(spans).join(
+        calendar_sized(wanted),
+        (F.col("index_name") == F.col("_i")) & (F.col("date") >= F.col("review_date")) & (F.col("date") <= F.col("valid_to")),
+        "inner",
+    ).select(*KEY, "date")
+    ranks = member_ranks(entries, membership).where(F.col("rank") > 0)
+    return ranks.join(calendar_sized(covering), KEY, "inner").select(
+        "index_name", "date", "ric", F.col("rank").cast("int").alias("rank")
+    )
+
+
 def ranking_wide(daily: DataFrame, index_name: str, rics: list[str], start: str, as_of: str) -> DataFrame:
     """One row per day, one column per RIC (export form, fixed RIC list)."""
     spark = daily.sparkSession

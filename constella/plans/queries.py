@@ -185,9 +185,8 @@ def ranking_daily(b: ReviewBook) -> DataFrame:
 
 @query
 def ranking_at(b: ReviewBook) -> DataFrame:
-    """P10: the daily ranking on review dates."""
-    daily = R.ranking_daily(b.entries, b.membership, AS_OF)
-    return daily.join(b.reviews.withColumnRenamed("review_date", "date"), ["index_name", "date"], "left_semi")
+    """P10: the daily ranking on review dates (only those days are computed)."""
+    return R.ranking_on(b.entries, b.membership, b.reviews.withColumnRenamed("review_date", "date"), AS_OF)
 
 
 @query
@@ -200,8 +199,8 @@ def ranking_wide(b: ReviewBook) -> DataFrame:
 @query
 def rank_gaps(b: ReviewBook) -> DataFrame:
     """V1: ranks 1..check_to present at each review date of the daily ranking."""
-    daily = R.ranking_daily(b.entries, b.membership, AS_OF)
-    return R.rank_gaps(daily, b.reviews, rule_col(b.rules, "check_to"))
+    at_reviews = R.ranking_on(b.entries, b.membership, b.reviews.withColumnRenamed("review_date", "date"), AS_OF)
+    return R.rank_gaps(at_reviews, b.reviews, rule_col(b.rules, "check_to"))
 
 
 @query

@@ -101,3 +101,16 @@ def test_wide_all_rics_guarded(spark):
     assert wide.columns == ["date", "A.X", "B.Y"] and wide.count() == 3
     with pytest.raises(ValueError):
         R.ranking_wide_all(daily, "T", "2024-03-01", "2024-03-03", max_columns=1)
+
+
+def test_ranking_on_days_equals_filtered_daily(spark):
+    r1, r2, r3 = d(2024, 3, 1), d(2024, 6, 1), d(2024, 9, 1)
+    e = _entries(spark, [(r1, "A", "AAA.DE", 1), (r1, "B", "BBB.PA", 2), (r2, "A", "AAA.DE", 1),
+                         (r3, "A", "AAA.DE", 2), (r3, "B", "BBB.PA", 1)])
+    m = members(spark, [("A", r1), ("B", r1), ("B", r3)])  # r2 has no members: skipped, ranks carry
+    days = spark.createDataFrame([("T", r1), ("T", r2), ("T", r3), ("T", d(2024, 9, 30))], "index_name string, date date")
+    daily = R.ranking_daily(e, m, "2024-09-30").join(days, ["index_name", "date"], "left_semi")
+    on = R.ranking_on(e, m, days, "2024-09-30")
+    key = lambda df: sorted((r.date, r.ric, r.rank) for r in df.collect())
+    assert key(on) == key(daily)
+    assert (r2, "AAA.DE", 1) in key(on)
