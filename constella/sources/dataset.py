@@ -59,13 +59,6 @@ def entries_with_ric(entries: DataFrame, assets: DataFrame) -> DataFrame:
     return entries.drop("ric").join(rics, ["index_name", "isin"], "left")
 
 
-def check_one_review_per_batch(entries: DataFrame, batch_col: str) -> DataFrame:
-    """V2: review dates per write batch; a batch is valid only with exactly one."""
-    return entries.groupBy(batch_col).agg(F.countDistinct("review_date").alias("review_dates")).withColumn(
-        "ok", F.col("review_dates") == 1
-    )
-
-
 @dataclass
 class ReviewDataset:
     spark: SparkSession

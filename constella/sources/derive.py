@@ -28,13 +28,6 @@ RULES: dict[str, IndexRule] = {
 }
 
 
-def rules_frame(spark: SparkSession, rules: dict[str, IndexRule] | None = None) -> DataFrame:
-    """One row per index with its rule parameters (tiny, broadcast)."""
-    rules = rules or RULES
-    rows = [(name, r.auto, r.target, r.buffer_end, r.check_to) for name, r in sorted(rules.items())]
-    return spark.createDataFrame(rows, "index_name string, auto int, target int, buffer_end int, check_to int")
-
-
 def _quarter(ts: str) -> Column:
     return F.trunc(F.to_date(F.col(ts)), "quarter")
 
