@@ -114,3 +114,14 @@ def test_ranking_on_days_equals_filtered_daily(spark):
     key = lambda df: sorted((r.date, r.ric, r.rank) for r in df.collect())
     assert key(on) == key(daily)
     assert (r2, "AAA.DE", 1) in key(on)
+
+
+def test_late_ric_has_no_earlier_rows_and_null_rank_member_exits(spark):
+    r1, r2 = d(2024, 3, 1), d(2024, 6, 1)
+    e = _entries(spark, [(r1, "A", "AAA.DE", 1), (r2, "A", "AAA.DE", None), (r2, "C", "CCC.DE", 1)])
+    m = members(spark, [("A", r1), ("A", r2), ("C", r2)])
+    events = {(r.review_date, r.ric): r.rank for r in R.rank_events(e, m).collect()}
+    assert (r1, "CCC.DE") not in events           # Q16: no row before first listing
+    assert events[(r2, "AAA.DE")] == 0            # Q18: member without rank is an exit
+    daily = {(r.date, r.ric) for r in R.ranking_daily(e, m, "2024-06-30").collect()}
+    assert (d(2024, 6, 1), "AAA.DE") not in daily and (d(2024, 5, 31), "AAA.DE") in daily
