@@ -252,7 +252,9 @@ def normalise_legacy_reports(rows: DataFrame, lines: DataFrame) -> DataFrame:
     header = rows.where((F.col("page") == 1) & (F.col("row") == 0)).select(
         "file", F.transform("cells", normalize_name_col).alias("header")
     )
-    data = rows.where(~((F.col("page") == 1) & (F.col("row") == 0))).join(header, "file", "inner")
+    # One row per report (bounded by indexes x review periods): broadcast, so
+    # a very large report is never gathered into one task by a join on file.
+    data = rows.where(~((F.col("page") == 1) & (F.col("row") == 0))).join(F.broadcast(header), "file", "inner")
     data = data.where(F.size("cells") == F.size("header"))
     m = F.map_from_arrays("header", "cells")
 
@@ -275,4 +277,4 @@ def normalise_legacy_reports(rows: DataFrame, lines: DataFrame) -> DataFrame:
         _blank_null(cell("rank_final")).try_cast("int").alias("rank"),
     ).where(F.col("isin").isNotNull() & (F.col("isin") != ""))
     dates = header_review_dates(lines)
-    return out.join(dates.drop("index_name"), "file", "left")
+    return out.join(F.broadcast(dates.drop("index_name")), "file", "left")
