@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from constella.functions.ranking import ranked_within
+from constella.functions.ranking import calendar_sized, ranked_within
 from constella.functions.rules import max_rule, rule_col
 from constella.schemas import (
     REASON_BOOTSTRAP,
@@ -114,7 +114,7 @@ def apply_buffer_rule(
         has = given.select(*KEY).distinct().withColumn("has_prior", F.lit(True))
         c = (
             cands.join(flags, [*KEY, "isin"], "left")
-            .join(has, KEY, "left")
+            .join(calendar_sized(has), KEY, "left")
             .fillna(False, subset=["in_prior", "has_prior"])
         )
     by_pos = Window.partitionBy(*KEY).orderBy("position").rowsBetween(Window.unboundedPreceding, 0)

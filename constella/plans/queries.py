@@ -71,7 +71,7 @@ def buffer_single(b: ReviewBook) -> DataFrame:
     w = Window.partitionBy("index_name").orderBy("review_date")
     following = b.reviews.withColumn("next_review", F.lead("review_date").over(w))
     prior = (
-        tops.join(following, KEY, "inner")
+        tops.join(calendar_sized(following), KEY, "inner")
         .where(F.col("next_review").isNotNull())
         .select("index_name", F.col("next_review").alias("review_date"), "isin")
     )
@@ -109,7 +109,7 @@ def ever_members(b: ReviewBook) -> DataFrame:
 def _constituents(b: ReviewBook, at: DataFrame | None) -> DataFrame:
     members = b.membership.where("is_member")
     if at is not None:
-        members = members.join(at, KEY, "left_semi")
+        members = members.join(calendar_sized(at), KEY, "left_semi")
     return members.join(b.assets, ["index_name", "isin"], "inner").select(
         *KEY, "isin", "entry_reason", "ric", "name", "country", "currency"
     )
