@@ -11,14 +11,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from constella.functions import calendar as C
+from constella.functions.ranking import calendar_sized
+from constella.functions.rules import rule_col
 from constella.operators import membership as M
 from constella.operators import ranking as R
-from constella.operators.intervals import first_per_key
+from constella.operators import resolve as X
+from constella.operators.intervals import assets_with_intervals, first_per_key, merge_snapshots
 from constella.operators.intervals import membership_intervals as membership_intervals_of
 from constella.plans.book import AS_OF, ReviewBook
-from constella.functions.ranking import calendar_sized
-from constella.functions.rules import rule_col
+from constella.session import scratch_path
 from constella.sources import dataset as D
+from constella.sources import derive as G
+from constella.sources import selection as S
+from constella.sources.dataset import ReviewDataset
+from constella.sources.tables import read_table
+from constella.streaming.incremental import start_list_stream
 
 KEY = ["index_name", "review_date"]
 
@@ -379,10 +387,6 @@ def published_constituents(b: ReviewBook) -> DataFrame:
 
 # ------------------------------------------------------------------ resolution
 
-from constella.operators import resolve as X  # noqa: E402
-from constella.operators.intervals import assets_with_intervals, merge_snapshots  # noqa: E402
-from constella.sources import derive as G  # noqa: E402
-
 
 def _lookup(b: ReviewBook) -> DataFrame:
     return X.isin_lookup(G.asset_history(b.spark, b.sf_dir, b.assets))
@@ -455,8 +459,6 @@ def ric_backfill(b: ReviewBook) -> DataFrame:
 
 # -------------------------------------------------------------------- calendar
 
-from constella.functions import calendar as C  # noqa: E402
-from constella.sources.tables import read_table  # noqa: E402
 
 PUBLISHED_BEFORE = "2000-01-01"
 
@@ -503,7 +505,6 @@ def match_publications(b: ReviewBook) -> DataFrame:
 
 # ------------------------------------------------------------- list dialects
 
-from constella.sources import selection as S  # noqa: E402
 
 LIST_COLUMNS = ["index_name", "review_date", "internal_key", "isin", "ric", "name", "country", "currency",
                 "sedol", "ff_mcap", "rank"]
@@ -568,9 +569,6 @@ def sel_union_dialects(b: ReviewBook) -> DataFrame:
 
 # ----------------------------------------------------------------- incremental
 
-from constella.session import scratch_path  # noqa: E402
-from constella.sources.dataset import ReviewDataset  # noqa: E402
-from constella.streaming.incremental import start_list_stream  # noqa: E402
 
 FIRST_WAVE_BEFORE = "1998-07-01"
 
