@@ -1,6 +1,8 @@
 """Bench: run the headline queries and print one JSON line.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_EVENT_LOG_DIR (optional: write Spark's event log there for stage and
+task times).
 Each query is executed in full with the ``noop`` sink (no collect); the
 value is the sum of the per-query wall times after an untimed warm-up.
 """
@@ -39,7 +41,9 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8))
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir} if log_dir else None
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8), extra=extra)
     # Warm-up (untimed): JIT-compile the shared code paths on a small input.
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.01")
     for name in ("buffer_chain", "rank_events", "enrich_ids"):

@@ -845,3 +845,6 @@ WHERE m.is_member AND k.k = (SELECT max(k2.k) - 1 FROM review_k k2 WHERE k2.inde
 )
 
 oracle("published_islands", "intervals")("SELECT * FROM intervals")
+oracle("published_ranking_at", "daily", "reviews")(
+    "SELECT d.* FROM daily d WHERE EXISTS (SELECT 1 FROM reviews r WHERE r.index_name = d.index_name AND r.review_date = d.date)"
+)

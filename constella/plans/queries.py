@@ -632,3 +632,12 @@ def published_islands(b: ReviewBook) -> DataFrame:
     """
     ds = b.dataset
     return membership_intervals_of(ds.table("membership"), ds.table("reviews"))
+
+
+@query
+def published_ranking_at(b: ReviewBook) -> DataFrame:
+    """Derived tables rebuilt from the published dataset: ranks on review dates."""
+    ds = b.dataset
+    entries, membership = ds.table("entries"), ds.table("membership")
+    days = ds.table("reviews").withColumnRenamed("review_date", "date")
+    return R.ranking_on(entries, membership, days, AS_OF)

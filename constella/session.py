@@ -27,10 +27,15 @@ SESSION_DEFAULTS: dict[str, str] = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "constella") -> SparkSession:
+def build_session(
+    master: str = "local[8]",
+    shuffle_partitions: int = 8,
+    app: str = "constella",
+    extra: dict[str, str] | None = None,
+) -> SparkSession:
     """Local session for tests and the bench (a cluster passes its own session)."""
     builder = SparkSession.builder.master(master).appName(app)
-    for key, value in SESSION_DEFAULTS.items():
+    for key, value in {**SESSION_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
