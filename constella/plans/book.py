@@ -42,15 +42,17 @@ class ReviewBook:
         spark: SparkSession,
         sf_dir: str,
         rules: dict[str, IndexRule] | None = None,
-        materialize: bool = True,
+        materialize: bool | tuple[str, ...] = True,
     ):
         self.spark = spark
         self.sf_dir = sf_dir
         self.rules = rules or RULES
-        self.materialize = materialize
+        if materialize is True:
+            materialize = ("entries", "membership")
+        self.materialize = tuple(materialize or ())
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
-        if not self.materialize:
+        if name not in self.materialize:
             return df
         path = scratch_path(self.spark, name)
         df.write.option("compression", "zstd").parquet(path)

@@ -37,9 +37,10 @@ WIDE_START = "1995-01-01"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def query(fn=None, *, stage: bool = True):
-    """Register a query.  ``stage=False`` for queries that use each shared
-    frame once: staging (write + read back) only pays off for reuse."""
+def query(fn=None, *, stage: bool | tuple[str, ...] = True):
+    """Register a query.  ``stage`` names the shared frames the query uses
+    more than once (``True``: entries and membership; ``False``: none):
+    staging (write + read back) only pays off for reuse."""
 
     def register(f: Callable[[ReviewBook], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +71,7 @@ def top_n(b: ReviewBook) -> DataFrame:
     return top.where(F.col("position") <= rule_col(b.rules, "target"))
 
 
-@query
+@query(stage=("entries",))
 def buffer_single(b: ReviewBook) -> DataFrame:
     """Rule for each review given a prior set: the previous review's top ``target``."""
     tops = M.top_n(b.entries, max(r.target for r in b.rules.values()), dedupe=not b.entries_unique).where(
@@ -123,19 +124,19 @@ def _constituents(b: ReviewBook, at: DataFrame | None) -> DataFrame:
     )
 
 
-@query
+@query(stage=False)
 def constituents(b: ReviewBook) -> DataFrame:
     """Members joined with asset data, every review."""
     return _constituents(b, None)
 
 
-@query
+@query(stage=("entries",))
 def latest_constituents(b: ReviewBook) -> DataFrame:
     """O1 + J1: constituents at the latest review of each index."""
     return _constituents(b, b.latest)
 
 
-@query
+@query(stage=("entries",))
 def country_top10(b: ReviewBook) -> DataFrame:
     """A4/O3: top 10 countries by members at the latest review, with totals."""
     cons = _constituents(b, b.latest)
@@ -156,7 +157,7 @@ def country_top10(b: ReviewBook) -> DataFrame:
 # ------------------------------------------------------------------- intervals
 
 
-@query
+@query(stage=("entries",))
 def islands(b: ReviewBook) -> DataFrame:
     """Contiguous membership intervals per ISIN."""
     return b.intervals
@@ -232,7 +233,7 @@ def _member_caps(b: ReviewBook) -> DataFrame:
     )
 
 
-@query
+@query(stage=("entries",))
 def mcap_stats(b: ReviewBook) -> DataFrame:
     """A5: median / mean / max market cap of members per review."""
     caps = _member_caps(b)
@@ -263,7 +264,7 @@ def mcap_histogram(b: ReviewBook) -> DataFrame:
     return binned.groupBy(*KEY, "bin").agg(F.count(F.lit(1)).alias("members"))
 
 
-@query
+@query(stage=("entries",))
 def coverage_stats(b: ReviewBook) -> DataFrame:
     """Per index first review, row counts, unique ISINs, unranked rows, members."""
     e = b.entries.groupBy("index_name").agg(
@@ -299,7 +300,7 @@ def dedup_first(b: ReviewBook) -> DataFrame:
 # ---------------------------------------------------------------- data quality
 
 
-@query
+@query(stage=("entries",))
 def dq_rank_600(b: ReviewBook) -> DataFrame:
     """V3: per review, entries >= target and ranks 1..target all present."""
     target = rule_col(b.rules, "target")
@@ -315,7 +316,7 @@ def dq_rank_600(b: ReviewBook) -> DataFrame:
     return out.withColumn("ok", (F.col("entries") >= target) & (F.col("missing_ranks") == 0))
 
 
-@query
+@query(stage=("entries",))
 def dq_keys(b: ReviewBook) -> DataFrame:
     """V4: ISINs duplicated in assets; entry ISINs missing from assets."""
     dup = (
@@ -349,37 +350,37 @@ def entries_with_ric(b: ReviewBook) -> DataFrame:
     return D.entries_with_ric(b.entries, b.assets)
 
 
-@query
+@query(stage=("entries",))
 def write_roundtrip(b: ReviewBook) -> DataFrame:
     """Write assets/entries/membership partitioned, read entries back."""
     return b.dataset.table("entries")
 
 
-@query
+@query(stage=("entries",))
 def entries_at(b: ReviewBook) -> DataFrame:
     """Entries of the latest review of each index (partition-pruned read)."""
     return b.dataset.entries_at()
 
 
-@query
+@query(stage=("entries",))
 def membership_at(b: ReviewBook) -> DataFrame:
     """Membership of the latest review of each index."""
     return b.dataset.membership_at()
 
 
-@query
+@query(stage=("entries",))
 def assets_snapshot(b: ReviewBook) -> DataFrame:
     """The assets snapshot read back."""
     return b.dataset.assets()
 
 
-@query
+@query(stage=("entries",))
 def index_catalog(b: ReviewBook) -> DataFrame:
     """Indexes in the dataset with review counts."""
     return D.catalog(b.dataset)
 
 
-@query
+@query(stage=("entries",))
 def published_constituents(b: ReviewBook) -> DataFrame:
     """J1 over the published dataset: latest members with one asset row each."""
     return b.dataset.constituents()
@@ -610,7 +611,7 @@ def member_dates(b: ReviewBook) -> DataFrame:
     return members.groupBy("index_name", "isin").agg(F.array_sort(F.collect_list("review_date")).alias("member_dates"))
 
 
-@query
+@query(stage=("entries",))
 def prior_members(b: ReviewBook) -> DataFrame:
     """Members of the review before the latest one, read from the published dataset.
 
@@ -624,7 +625,7 @@ def prior_members(b: ReviewBook) -> DataFrame:
     return members.join(F.broadcast(prior), KEY, "left_semi").select("index_name", "isin")
 
 
-@query
+@query(stage=("entries",))
 def published_islands(b: ReviewBook) -> DataFrame:
     """S9/W5 (Q8): intervals rebuilt from the published dataset, not from local state.
 
@@ -634,7 +635,7 @@ def published_islands(b: ReviewBook) -> DataFrame:
     return membership_intervals_of(ds.table("membership"), ds.table("reviews"))
 
 
-@query
+@query(stage=("entries",))
 def published_ranking_at(b: ReviewBook) -> DataFrame:
     """Derived tables rebuilt from the published dataset: ranks on review dates."""
     ds = b.dataset
