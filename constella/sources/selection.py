@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from constella.functions.names import normalize_name, normalize_name_col
+from constella.functions.names import normalize_name_col
 from constella.operators.intervals import first_per_key
 from constella.operators.resolve import resolve_isins
 from constella.schemas import LEGACY_COLUMNS, SELECTION_CSV_COLUMNS
@@ -144,23 +144,65 @@ def write_legacy_reports(rows: DataFrame, path: str, page_size: int = 40) -> Non
 # --------------------------------------------------------------------- reading
 
 
-def read_csv_lists(spark: SparkSession, path: str) -> DataFrame:
-    """S1 scan: every column as text, names normalised (P1), plus ordinal columns."""
-    raw = (
-        spark.read.option("sep", ";")
-        .option("header", True)
-        .option("inferSchema", False)
-        .option("recursiveFileLookup", True)
-        .csv(path)
+# Normalised names of the CSV dialect's columns (selected by name, so the
+# order of columns in a file does not matter and absent ones are null).
+LIST_FIELDS = (
+    "internal_key", "isin", "ric", "instrument_name", "country", "currency", "sedol", "ff_mcap_meur",
+    "rank_final", "comment", "creation_date",
+)
+MAX_FIELDS = 32
+_CELLS_SCHEMA = ", ".join(f"c{i} string" for i in range(MAX_FIELDS))
+
+
+def _cells(line: Column) -> Column:
+    """A ';'-separated line (quotes honoured) as an array of MAX_FIELDS texts."""
+    parsed = F.from_csv(line, _CELLS_SCHEMA, {"sep": ";"})
+    return F.array(*[parsed[f"c{i}"] for i in range(MAX_FIELDS)])
+
+
+def bind_by_header(lines: DataFrame) -> DataFrame:
+    """Bind every file's rows to that file's own header line.
+
+    ``lines`` has (value, _path, _block, _mid).  The header of a file is its
+    first line (a per-file ``min_by``: one row per file, broadcast); data
+    cells are zipped with the normalised header names and selected by name.
+    """
+    order = F.struct("_block", "_mid")
+    heads = lines.groupBy("_path").agg(F.min_by(F.struct("value", "_mid"), order).alias("_h")).select(
+        "_path",
+        F.col("_h._mid").alias("_hmid"),
+        F.slice(
+            F.transform(_cells(F.col("_h.value")), normalize_name_col), 1, F.size(F.split(F.col("_h.value"), ";"))
+        ).alias("_header"),
+    )
+    data = lines.where(F.trim("value") != "").join(F.broadcast(heads), "_path", "inner").where(
+        F.col("_mid") != F.col("_hmid")
+    )
+    pairs = F.filter(
+        F.arrays_zip(F.col("_header").alias("k"), F.slice(_cells(F.col("value")), 1, F.size("_header")).alias("v")),
+        lambda z: z["k"].isNotNull() & (z["k"] != ""),
     )
-    return raw.select(
-        *[F.col(f"`{c}`").alias(normalize_name(c)) for c in raw.columns],
+    m = F.map_from_entries(pairs)
+    return data.select(
+        *[F.try_element_at(m, F.lit(name)).alias(name) for name in LIST_FIELDS], "_path", "_block", "_mid"
+    )
+
+
+def csv_lines(df: DataFrame) -> DataFrame:
+    """Text lines with their file and split (works for batch and streaming scans)."""
+    return df.select(
+        "value",
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_mid"),
     )
 
 
+def read_csv_lists(spark: SparkSession, path: str) -> DataFrame:
+    """S1 scan: all list files under ``path``, each bound to its own header."""
+    text = spark.read.option("recursiveFileLookup", True).text(path)
+    return bind_by_header(csv_lines(text).withColumn("_mid", F.monotonically_increasing_id()))
+
+
 def _per_file(df: DataFrame, table: DataFrame, n_files: int) -> DataFrame:
     side = F.broadcast(table) if n_files <= BROADCAST_FILES else table
     return df.join(side, "_path", "inner")
@@ -259,7 +301,7 @@ def normalise_legacy_reports(rows: DataFrame, lines: DataFrame) -> DataFrame:
     m = F.map_from_arrays("header", "cells")
 
     def cell(name: str) -> Column:
-        return F.element_at(m, F.lit(name))
+        return F.try_element_at(m, F.lit(name))
 
     out = data.select(
         "index_name",

@@ -21,16 +21,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from constella.functions.names import normalize_name
 from constella.operators import membership as M
 from constella.operators.intervals import first_per_key, merge_snapshots
-from constella.schemas import SELECTION_CSV_COLUMNS, IndexRule
+from constella.schemas import IndexRule
 from constella.sources.dataset import ReviewDataset, _writer
-from constella.sources.selection import normalise_csv_lists
+from constella.sources.selection import bind_by_header, csv_lines, normalise_csv_lists
 
-CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in SELECTION_CSV_COLUMNS])
 KEY = ["index_name", "review_date"]
 
 
@@ -108,25 +105,16 @@ def start_list_stream(
     lookup: DataFrame | None = None,
 ) -> None:
     """Process the files that arrived since the last run, then stop."""
-    scan = (
-        spark.readStream.schema(CSV_SCHEMA)
-        .option("sep", ";")
-        .option("header", True)
-        .option("recursiveFileLookup", True)
-        .csv(source)
-    )
-    scan = scan.select(
-        *[F.col(c).alias(normalize_name(c)) for c in SELECTION_CSV_COLUMNS],
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
+    # Text lines: each micro-batch holds whole files, so every file is bound
+    # to its own header inside the batch (column order may differ per file).
+    scan = csv_lines(spark.readStream.option("recursiveFileLookup", True).text(source))
 
     def each(batch: DataFrame, epoch: int) -> None:
-        batch = batch.withColumn("_mid", F.monotonically_increasing_id())
-        files = batch.select("_path").distinct().count()
+        lines = batch.withColumn("_mid", F.monotonically_increasing_id())
+        files = lines.select("_path").distinct().count()
         if files == 0:
             return
-        ingest_lists(normalise_csv_lists(batch, lookup, files), ds, rules)
+        ingest_lists(normalise_csv_lists(bind_by_header(lines), lookup, files), ds, rules)
 
     q = scan.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()

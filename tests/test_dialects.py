@@ -32,9 +32,14 @@ def test_csv_lists(spark):
     _write(f"{root}/index_name=IX/file=b.csv", "part-0.csv", [
         HEADER, "000007;FR0000000007;DDD.PA;Delta SA;FR;EUR;;10;1;;20240601",
     ])
+    # Another layout: columns reordered, Sedol and Comment absent, quoted text.
+    _write(f"{root}/index_name=IX/file=c.csv", "part-0.csv", [
+        "Creation Date;Rank (Final);ISIN;Internal-Key;FF Mcap [MEUR];RIC;Instrument Name;Country;Currency",
+        '20240901;3;IT0000000009;000009;55.5;EEE.MI;"Epsilon; SpA";IT;EUR',
+    ])
     scan = S.read_csv_lists(spark, root)
     lookup = spark.createDataFrame([("IX", "039602", "DE0000000003")], "index_name string, internal_key string, isin string")
-    rows = {r.internal_key: r for r in S.normalise_csv_lists(scan, lookup, 2).collect()}
+    rows = {r.internal_key: r for r in S.normalise_csv_lists(scan, lookup, 3).collect()}
     a, b, c, d = rows["039600"], rows["039601"], rows["039602"], rows["000007"]
     assert a.review_date == b.review_date == dt.date(2024, 3, 1)  # first row's creation date
     assert d.review_date == dt.date(2024, 6, 1)
@@ -42,8 +47,11 @@ def test_csv_lists(spark):
     assert a.name == "Alpha AG" and a.sedol is None and a.ff_mcap == 1234.5 and a.rank == 1
     assert b.ff_mcap is None and b.rank is None and b.comment == "new"
     assert c.comment == "kept"
+    e = rows["000009"]
+    assert (e.isin, e.rank, e.ff_mcap, e.name, e.sedol, e.comment) == ("IT0000000009", 3, 55.5, "Epsilon; SpA", None, None)
+    assert e.review_date == dt.date(2024, 9, 1)
     dq = {r.file: (r.review_dates, r.ok) for r in S.csv_review_dates(scan).collect()}
-    assert dq == {"a.csv": (2, False), "b.csv": (1, True)}
+    assert dq == {"a.csv": (2, False), "b.csv": (1, True), "c.csv": (1, True)}
 
 
 def test_legacy_reports(spark):
