@@ -60,3 +60,18 @@ def test_backfilled_list_rechains_later_reviews(spark):
     start_list_stream(spark, src, ds, ckpt, RULES)
     assert published(ds) == batch_chain(spark)
     assert ds.table("reviews").where(F.col("index_name") == "T").count() == 4
+
+
+def test_same_review_split_over_two_batches(spark):
+    src, ckpt = scratch_path(spark, "t-src"), scratch_path(spark, "t-ckpt")
+    ds = ReviewDataset(spark, scratch_path(spark, "t-ds"))
+    full = rows(spark, [0])
+    # Two files of the same review, arriving in different micro-batches: the
+    # second must be added to the published review, not overwrite it.
+    write_csv_lists(full.where(F.col("rank") <= 4), src)
+    start_list_stream(spark, src, ds, ckpt, RULES)
+    write_csv_lists(full.where(F.col("rank") > 4), f"{src}/late")
+    start_list_stream(spark, src, ds, ckpt, RULES)
+    assert ds.table("entries").count() == 8
+    got = sorted((r.isin, r.entry_reason) for r in ds.table("membership").collect())
+    assert got == [(f"XX{n}", "bootstrap") for n in "ABCD"]
