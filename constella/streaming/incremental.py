@@ -114,7 +114,9 @@ def start_list_stream(
         files = lines.select("_path").distinct().count()
         if files == 0:
             return
-        ingest_lists(normalise_csv_lists(bind_by_header(lines), lookup, files), ds, rules)
+        # Parse once per batch; every later job of the batch reads this copy.
+        parsed = normalise_csv_lists(bind_by_header(lines), lookup, files).checkpoint()
+        ingest_lists(parsed, ds, rules)
 
     q = scan.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
