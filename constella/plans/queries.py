@@ -419,7 +419,7 @@ def unnest_entities(b: ReviewBook) -> DataFrame:
 
 def _merged(b: ReviewBook) -> DataFrame:
     metadata = merge_snapshots(G.previous_snapshot(b.spark, b.sf_dir, b.assets), b.assets, ["index_name", "isin"])
-    return assets_with_intervals(b.intervals, metadata)
+    return b.stage(assets_with_intervals(b.intervals, metadata), "merged")
 
 
 @query
@@ -428,13 +428,13 @@ def merge_assets(b: ReviewBook) -> DataFrame:
     return _merged(b)
 
 
-@query
+@query(stage=("entries", "membership", "merged"))
 def enrich_ids(b: ReviewBook) -> DataFrame:
     """Entity id by ISIN, then by RIC for unresolved ISINs; rows preserved."""
     return X.enrich_ids(_merged(b), _entities(b))
 
 
-@query
+@query(stage=("entries", "membership", "merged"))
 def semi_unresolved(b: ReviewBook) -> DataFrame:
     """Merged asset rows whose ISIN the ISIN lookup left unresolved."""
     merged = _merged(b)
@@ -442,7 +442,7 @@ def semi_unresolved(b: ReviewBook) -> DataFrame:
     return merged.join(missing, ["index_name", "isin"], "left_semi").select("index_name", "isin", "ric")
 
 
-@query
+@query(stage=("entries", "membership", "merged"))
 def unresolved_report(b: ReviewBook) -> DataFrame:
     """V7: one row per ISIN without entity id, dates as text, sorted by ISIN."""
     return X.unresolved_report(X.enrich_ids(_merged(b), _entities(b)))
