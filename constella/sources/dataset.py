@@ -101,20 +101,30 @@ class ReviewDataset:
         return sorted(found)
 
     def indexes(self) -> list[str]:
-        """Index names present in the dataset."""
-        return sorted({name for name, _ in self.partitions("membership")})
+        """Index names present in the dataset (one small row per index)."""
+        return sorted(r.index_name for r in self.latest_reviews().collect())
 
     def latest(self, index_name: str) -> dt.date:
         """O1: latest review date of an index; error when there is none."""
-        dates = [d for n, d in self.partitions("membership") if n == index_name]
-        if not dates:
+        rows = self.latest_reviews().where(F.col("index_name") == index_name).collect()
+        if not rows:
             raise ValueError(f"No review dates available for index '{index_name}'")
-        return max(dates)
+        return rows[0].review_date
+
+    def latest_reviews(self) -> DataFrame:
+        """O1 as a table: latest review with a membership partition, per index.
+
+        Only partition columns are read (no data columns), and nothing is
+        listed on the driver; the result has one row per index.
+        """
+        return self.table("membership").groupBy("index_name").agg(F.max("review_date").alias("review_date"))
 
     def _at(self, table: str, at: dict[str, dt.date] | None) -> DataFrame:
         df = self.table(table)
         if at is None:
-            at = {name: self.latest(name) for name in self.indexes()}
+            # One small row per index comes back; the dates then become
+            # literal partition filters, so the scan is pruned statically.
+            at = {r.index_name: r.review_date for r in self.latest_reviews().collect()}
         cond: Column | None = None
         for name, day in sorted(at.items()):
             c = (F.col("index_name") == F.lit(name)) & (F.col("review_date") == F.lit(day))
@@ -139,10 +149,15 @@ class ReviewDataset:
 
     def prior_members(self, index_name: str, before: dt.date) -> DataFrame:
         """Members of the latest review before ``before``; empty when none."""
-        dates = [d for n, d in self.partitions("membership") if n == index_name and d < before]
-        if not dates:
+        last = (
+            self.table("membership")
+            .where((F.col("index_name") == index_name) & (F.col("review_date") < F.lit(before)))
+            .agg(F.max("review_date").alias("d"))
+            .first()
+        )
+        if last is None or last.d is None:
             return self.spark.createDataFrame([], "index_name string, isin string")
-        return self.membership_at({index_name: max(dates)}).where("is_member").select("index_name", "isin")
+        return self.membership_at({index_name: last.d}).where("is_member").select("index_name", "isin")
 
 
 def catalog(ds: ReviewDataset) -> DataFrame:
