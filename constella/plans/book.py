@@ -78,7 +78,7 @@ class ReviewBook:
 
     @cached_property
     def candidates(self) -> DataFrame:
-        return M.candidates(self.entries, self.rules, dedupe=not self.entries_unique)
+        return self.stage(M.candidates(self.entries, self.rules, dedupe=not self.entries_unique), "candidates")
 
     @cached_property
     def membership(self) -> DataFrame:

@@ -71,12 +71,11 @@ def top_n(b: ReviewBook) -> DataFrame:
     return top.where(F.col("position") <= rule_col(b.rules, "target"))
 
 
-@query(stage=("entries",))
+@query(stage=("entries", "candidates"))
 def buffer_single(b: ReviewBook) -> DataFrame:
     """Rule for each review given a prior set: the previous review's top ``target``."""
-    tops = M.top_n(b.entries, max(r.target for r in b.rules.values()), dedupe=not b.entries_unique).where(
-        F.col("position") <= rule_col(b.rules, "target")
-    )
+    # target <= buffer_end (IndexRule), so the prior sets come from the same candidates.
+    tops = b.candidates.where(F.col("position") <= rule_col(b.rules, "target"))
     w = Window.partitionBy("index_name").orderBy("review_date")
     following = b.reviews.withColumn("next_review", F.lead("review_date").over(w))
     prior = (
