@@ -100,6 +100,21 @@ def ranking_on(entries: DataFrame, membership: DataFrame, days: DataFrame, as_of
     )
 
 
+def ranked_per_day(entries: DataFrame, membership: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """V5: number of ranked RICs on every day, without expanding each RIC.
+
+    The count is constant over a review's span, so counts per review are
+    expanded to days instead of member ranks (``target`` times fewer rows).
+    """
+    spans = review_spans(data_reviews(entries, membership), as_of)
+    counts = member_ranks(entries, membership).where(F.col("rank") > 0).groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("ranked")
+    )
+    return counts.join(calendar_sized(spans), KEY, "inner").select(
+        "index_name", F.explode(F.sequence("review_date", "valid_to")).alias("date"), "ranked"
+    )
+
+
 def ranking_wide(daily: DataFrame, index_name: str, rics: list[str], start: str, as_of: str) -> DataFrame:
     """One row per day, one column per RIC (export form, fixed RIC list)."""
     spark = daily.sparkSession

@@ -213,9 +213,8 @@ def rank_gaps(b: ReviewBook) -> DataFrame:
 
 @query
 def members_per_day(b: ReviewBook) -> DataFrame:
-    """V5: ranked RICs per day of the daily ranking."""
-    daily = R.ranking_daily(b.entries, b.membership, AS_OF)
-    return daily.groupBy("index_name", "date").agg(F.count(F.lit(1)).alias("ranked"))
+    """V5: ranked RICs per day of the daily ranking (counts expanded, not RICs)."""
+    return R.ranked_per_day(b.entries, b.membership, AS_OF)
 
 
 # ------------------------------------------------------------------ analytics

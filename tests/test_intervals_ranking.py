@@ -125,3 +125,13 @@ def test_late_ric_has_no_earlier_rows_and_null_rank_member_exits(spark):
     assert events[(r2, "AAA.DE")] == 0            # Q18: member without rank is an exit
     daily = {(r.date, r.ric) for r in R.ranking_daily(e, m, "2024-06-30").collect()}
     assert (d(2024, 6, 1), "AAA.DE") not in daily and (d(2024, 5, 31), "AAA.DE") in daily
+
+
+def test_ranked_per_day_equals_counting_daily(spark):
+    r1, r2 = d(2024, 3, 1), d(2024, 6, 1)
+    e = _entries(spark, [(r1, "A", "AAA.DE", 1), (r1, "B", "BBB.PA", 2), (r2, "A", "AAA.DE", 1)])
+    m = members(spark, [("A", r1), ("B", r1), ("A", r2)])
+    daily = R.ranking_daily(e, m, "2024-07-15").groupBy("index_name", "date").count()
+    want = sorted((r.date, r["count"]) for r in daily.collect())
+    got = sorted((r.date, r.ranked) for r in R.ranked_per_day(e, m, "2024-07-15").collect())
+    assert got == want and got[0] == (r1, 2) and got[-1] == (d(2024, 7, 15), 1)
