@@ -59,15 +59,21 @@ def _windows(m: dict, data: np.ndarray) -> np.ndarray:
     return out
 
 
-def pooled_halves(m: dict, data: np.ndarray) -> np.ndarray:
-    """Filters max-pooled over each half chunk. Padding ends every text, so no window spans two texts
-    but for windows that start in the padding, which see zeros first."""
-    out = []
+#: A text's last windows, which would reach into the next text; they start in its padding.
+BEYOND = (WIDTH - STRIDE) // STRIDE
+
+
+def pooled_halves(m: dict, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Filters max-pooled over each half chunk; windows that reach into the next text do not count."""
+    out, last = [], np.cumsum(counts) - 1
     for at in range(0, len(data), BLOCK_HALVES * HALF):
         block = data[at:at + BLOCK_HALVES * HALF]
         tail = data[at + len(block):at + len(block) + WIDTH - STRIDE]
         values = _windows(m, np.concatenate([block, tail, np.zeros(-len(tail) % HALF, np.uint8)]))
-        out.append(values[:len(block) // STRIDE].reshape(-1, HALF // STRIDE, FILTERS).max(axis=1))
+        values = values[:len(block) // STRIDE].reshape(-1, HALF // STRIDE, FILTERS)
+        here = last[(last >= at // HALF) & (last < at // HALF + len(values))] - at // HALF
+        values[here, -BEYOND:] = -np.inf
+        out.append(values.max(axis=1))
     return np.concatenate(out)
 
 
@@ -86,7 +92,7 @@ def _chunks(halves: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def forward(m: dict, texts: list[str | None]) -> dict:
     data, counts = pad(texts)
-    halves = pooled_halves(m, data)
+    halves = pooled_halves(m, data, counts)
     chunks, first, starts = _chunks(halves, counts)
     pooled = np.maximum(chunks + m["filter_bias"], 0)
     units = np.maximum(pooled @ m["dense"] + m["dense_bias"], 0)
@@ -119,7 +125,10 @@ def gradients(m: dict, f: dict, labels: np.ndarray, weights: np.ndarray) -> dict
     windows = behind[starts[:, None] + np.arange(2 * HALF + WIDTH - STRIDE)]
     values = np.stack([_windows_of(m, w) for w in windows]) if len(used) else np.zeros((0, HALF, FILTERS), np.float32)
     if len(used):
-        values[chunk_of_doc == 1, HALF // STRIDE:] = -np.inf
+        values[chunk_of_doc == 1, HALF // STRIDE - BEYOND:] = -np.inf
+        final = np.zeros(len(f["units"]), bool)
+        final[ends - 1] = True
+        values[final[used], -BEYOND:] = -np.inf
     best = values.argmax(axis=1) if len(used) else np.zeros((0, FILTERS), np.int64)
     rows, columns = np.nonzero(at_filter)
     position = starts[rows] + best[rows, columns] * STRIDE

@@ -34,7 +34,7 @@ from constella.llm.quality import labelled_sample
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORDS = re.compile(r"[^\W\d_]+")
 PREFIXES = (3, 4, 5)
-MEMO_WORDS = 400_000
+MEMO_WORDS = 150_000
 
 
 def features(word: str) -> list[str]:
@@ -123,15 +123,15 @@ def noisy_or(log_odds: list[float]) -> float:
     return -math.expm1(-sum(max(x, 0.0) + math.log1p(math.exp(-abs(x))) for x in log_odds))
 
 
-_worker: dict[int, _WordWeights] = {}
+_worker: dict[int, tuple[dict, _WordWeights]] = {}  # with the model, so that its id stays its own
 
 
 def _weights(shared: Broadcast) -> _WordWeights:
     key = id(shared.value)
     if key not in _worker:
         _worker.clear()
-        _worker[key] = _WordWeights(shared.value["weights"])
-    return _worker[key]
+        _worker[key] = (shared.value, _WordWeights(shared.value["weights"]))
+    return _worker[key][1]
 
 
 def locate(documents: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
