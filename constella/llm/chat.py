@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.processors import ByteLevel
 
-from constella.llm.common import table
+from constella.llm.common import lean_batches, table
 
 VOCABULARY = "byte_bpe_50k.json"
 START, END = "<|turn|>", "<|end|>"
@@ -112,6 +112,8 @@ def conversations_by_turn(turns: DataFrame) -> DataFrame:
 def format_chats(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Per conversation: formatted text, tokens with offsets, loss mask and spans under it."""
 
+    lean_batches(turns.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(vocabulary)
         span = pa.struct([("start", pa.int32()), ("end", pa.int32())])

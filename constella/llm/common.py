@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from constella.session import ensure_checkpoint_dir, scratch_path
 
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,6 +31,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lean_batches(spark: SparkSession) -> SparkSession:
+    """Arrow batches of 1,000 rows unless the session asks for another number than Spark's default.
+
+    Batches are counted in rows; at 10,000 whole texts each, a batch takes hundreds of MB off the heap.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, "1000")
+    return spark
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
@@ -52,6 +63,27 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: int, rows: int = 256
             yield part, part.column(column).to_pylist()
 
 
+#: Words whose hash a Python worker remembers; a memo only, small enough for two workers an executor.
+MEMO_HASHES = 100_000
+_hashes: dict[bytes, int] = {}
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words."""
+    memo = _hashes
+    if len(memo) > MEMO_HASHES:
+        memo.clear()
+    get, out = memo.get, []
+    for w in words:
+        h = get(w)
+        if h is None:
+            h = xxhash.xxh3_64_intdigest(w)
+            if len(w) < 64 and len(memo) <= MEMO_HASHES:
+                memo[w] = h
+        out.append(h)
+    return np.array(out, np.uint64)
+
+
 def min_classes(pairs: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Connected classes of undirected links ``(a, b)``: rows ``(node, label)``, label = least member.
 

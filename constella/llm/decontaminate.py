@@ -26,21 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string as _parse
 
-from constella.llm.common import staged, table, text_batches
+from constella.llm.common import lean_batches, staged, table, text_batches, word_hashes
 
 WINDOW = 13
 SHINGLE = 3
 BLOCK_WORDS = 2_000_000
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
-_MEMO_WORDS = 500_000
 _FOUND = "n_words long, spans array<struct<start:long,end:long>>, items array<long>"
-_hashes: dict[bytes, int] = {}
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -48,21 +45,6 @@ def words_of(text: str | None) -> list[bytes]:
     return _WORDS.findall(text.encode().lower()) if text else []
 
 
-def _ids(words: list[bytes]) -> np.ndarray:
-    memo = _hashes
-    if len(memo) > _MEMO_WORDS:
-        memo.clear()
-    get, out = memo.get, []
-    for w in words:
-        h = get(w)
-        if h is None:
-            h = xxhash.xxh3_64_intdigest(w)
-            if len(w) < 64:
-                memo[w] = h
-        out.append(h)
-    return np.array(out, np.uint64)
-
-
 def _shingles(ids: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` words from each position on."""
     n = len(ids) - size + 1
@@ -120,7 +102,7 @@ def _document_counts(texts: DataFrame, keys: dict[int, np.ndarray]) -> dict[int,
         counts = {size: np.zeros(len(k), np.int64) for size, k in shared.value.items()}
         for _, rows in text_batches(batches, 0):
             for text in rows:
-                ids = _ids(words_of(text))
+                ids = word_hashes(words_of(text))
                 for size, k in shared.value.items():
                     s = _shingles(ids, size)
                     counts[size][np.searchsorted(k, np.unique(s[_at(k, s)]))] += 1
@@ -140,7 +122,7 @@ def build_index(windows: dict[tuple[bytes, ...], list[int]], counts: dict[int, i
     tests: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
     for number, words in enumerate(windows):
         size = min(SHINGLE, len(words))
-        hashes = _shingles(_ids(list(words)), size).tolist()
+        hashes = _shingles(word_hashes(list(words)), size).tolist()
         offset = min(range(len(hashes)), key=lambda o: ((counts or {}).get(hashes[o], 0), hashes[o]))
         tests[size][hashes[offset]].append((offset, number))
     for size, of_key in tests.items():
@@ -152,7 +134,7 @@ def build_index(windows: dict[tuple[bytes, ...], list[int]], counts: dict[int, i
 def find(text: str | None, index: dict) -> tuple[int, list[tuple[int, int]], set[int]]:
     """Number of words, merged spans of hit words, ids of the items whose windows occur."""
     words = words_of(text)
-    ids = _ids(words)
+    ids = word_hashes(words)
     hits, items = [], set()
     for size, keys in index["keys"].items():
         hashes = _shingles(ids, size)
@@ -196,7 +178,7 @@ def _finder(shared: Broadcast):
 
 def match(documents: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per row of ``documents``: ``row`` (the whole input row) and ``found`` (see ``find``)."""
-    spark = documents.sparkSession
+    spark = lean_batches(documents.sparkSession)
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
     text = F.col("row.text").cast("string")
     out = rows.withColumn("found", F.lit(None).cast(_parse(_FOUND)))
@@ -210,7 +192,7 @@ def match(documents: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_W
         keys: dict[int, set[int]] = defaultdict(set)
         for w in windows:
             size = min(SHINGLE, len(w))
-            keys[size].update(_shingles(_ids(list(w)), size).tolist())
+            keys[size].update(_shingles(word_hashes(list(w)), size).tolist())
         counts = _document_counts(documents.select(F.col("text").cast("string")),
                                   {s: np.array(sorted(k), np.uint64) for s, k in keys.items()})
         shared = spark.sparkContext.broadcast(build_index(windows, counts))

@@ -26,15 +26,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from constella.llm.common import checkpointed, fold, hashed_sample, table, text_batches
+from constella.llm.common import checkpointed, fold, hashed_sample, lean_batches, table, text_batches
 
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
-MEMO_WORDS = 400_000
+MEMO_WORDS = 150_000
 
 
 def _grams(word: str, n: int) -> list[str]:
-    padded = f" {word} "
+    padded = f" {word} " if n > 1 else word
     return [padded[i:i + n] for i in range(len(padded) - n + 1)]
 
 
@@ -76,7 +76,7 @@ def learn(labelled: DataFrame, sample_rows: int = 1500, model_words: int = 40_00
                          padded.alias("p")).where(F.length("p") >= F.col("size"))
     grams = grams.select("lang", "n", "size", F.explode(F.sequence(F.lit(1), F.length("p") - F.col("size") + 1))
                          .alias("at"), "p").select("lang", "size", F.substring("p", F.col("at"), F.col("size"))
-                                                  .alias("term"), "n")
+                                                  .alias("term"), "n").where("term <> ' '")
     counts = words.select("lang", F.lit(0).alias("size"), F.col("word").alias("term"), "n").union(
         grams.groupBy("lang", "size", "term").agg(F.sum("n").alias("n")))
     counts = checkpointed(counts.where("length(term) < 64"))
@@ -165,7 +165,7 @@ def worker_scorer(shared: Broadcast) -> Scorer:
 
 def identify(documents: DataFrame, model: dict) -> DataFrame:
     """Per row: doc_id, lang_pred, score."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = lean_batches(documents.sparkSession).sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = worker_scorer(shared)
@@ -195,7 +195,7 @@ def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str, least_scor
     Rejected: no letter, null text, or no language surer than all others together.
     """
     model = learn(training_rows(docs))
-    shared = spark.sparkContext.broadcast(model)
+    shared = lean_batches(spark).sparkContext.broadcast(model)
     columns = docs.columns
     at = columns.index("text")
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from constella.llm.common import fold, hashed_sample, table, text_batches
+from constella.llm.common import fold, hashed_sample, lean_batches, table, text_batches
 
 HALF = 128  # bytes; a chunk is two halves
 WIDTH, STRIDE = 6, 2
@@ -203,7 +203,7 @@ def learn(documents: DataFrame, labels: DataFrame, sample_rows: int = 1600, samp
 
 def score(documents: DataFrame, model: dict) -> DataFrame:
     """Per row: doc_id, score."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = lean_batches(documents.sparkSession).sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_batches(batches, 1, 64):

@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from constella.llm.common import fold, table, text_batches
+from constella.llm.common import fold, lean_batches, table, text_batches
 from constella.llm.quality import labelled_sample
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -136,7 +136,7 @@ def _weights(shared: Broadcast) -> _WordWeights:
 
 def locate(documents: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
     """Per row: doc_id, score, and the spans (code points) of sentences whose own score is ``least``."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = lean_batches(documents.sparkSession).sparkContext.broadcast(model)
     limit = math.log(least / (1 - least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
