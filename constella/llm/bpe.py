@@ -20,19 +20,28 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from constella.llm.common import table, text_batches
+from constella.llm.common import lean_batches, table, text_batches
 
 VOCABULARY = "word_bpe_49k.json"
-#: Words remembered per Python worker; a memo only, results do not depend on it.
-MEMO_WORDS = 400_000
+#: Chunks and words remembered per Python worker; memos only, results do not depend on them.
+MEMO_CHUNKS, MEMO_WORDS = 300_000, 300_000
 
 # White space of the vocabulary file's pattern (Unicode White_Space), which never belongs to a word.
 _CHUNK = re.compile("[^\t-\r \x85\xa0  -     　]+")
 
+# Chunks of these characters are their own NFC form and lower-cased character by character, and their
+# letters and numbers are the same in every Unicode version; others go through the library's normaliser.
+_PLAIN = re.compile("[!-~¡-ɏ]+")
+_PLAIN_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+# the byte alphabet: printable bytes stand for themselves, the others for the characters from 256 on
+_SELF = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(_SELF))}
+
 
 def merge_symbols(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
     """``symbols`` after all merges, always the leftmost pair of the lowest rank first."""
@@ -135,6 +144,9 @@ class BpeCodec:
         return ids
 
     def _chunk(self, chunk: str) -> bytes:
+        if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
+            return b"".join([self._word(w if w.isascii() else w.encode().decode("latin-1").translate(_ALPHABET))
+                             for w in _PLAIN_WORDS.findall(chunk.lower())])
         out = []
         for i, part in enumerate(self._special.split(chunk) if self._special else [chunk]):
             if i % 2:
@@ -152,7 +164,7 @@ class BpeCodec:
             ids = memo.get(chunk)
             if ids is None:
                 ids = self._chunk(chunk)
-                if len(memo) >= MEMO_WORDS:
+                if len(memo) >= MEMO_CHUNKS:
                     memo.clear()
                 if len(chunk) < 64:
                     memo[chunk] = ids
@@ -177,6 +189,8 @@ def codec(vocabulary: str = VOCABULARY) -> BpeCodec:
 def encode_decode(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Per row: doc_id, n_tokens, ids (packed, see ``BpeCodec.encode``), decoded (from the ids)."""
 
+    lean_batches(documents.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(vocabulary)
         for part, texts in text_batches(batches, 1):
