@@ -9,11 +9,12 @@ shingles common, keeps its similarity; common boilerplate still weighs less than
 1. Count table: each task sums its documents' cells; the partial tables are added in a tree.
 2. Signature: 48 improved consistent weighted samples (Ioffe 2010), 12 bands of 4.
 3. Equal texts become one node first, so copies cost one row each and no pair.
-4. Links. All pairs of a bucket that are not yet in one class are compared, but a bucket that one
-   group of near copies fills is first thinned in star rounds: every member is compared with one
-   leader, drawn anew each round, and buckets whose members have all come into one class leave.
-   What is left is compared pairwise, members outside a bucket's largest class against all of it.
-   Thus no pair of a bucket stays untested unless its two texts are in one class already.
+4. Links. All pairs of a bucket that are not yet in one class are compared, but where large groups
+   of near copies would make that more than a few pairs per text, star rounds come first: in half
+   of the bands, every member is compared with one of its bucket's leaders, drawn anew each round,
+   and buckets whose members have all come into one class leave. What is left is compared pairwise,
+   members outside a bucket's largest class against all of it. Thus no pair of a bucket stays
+   untested unless its two texts are in one class already.
 5. Each pair is first checked on its signatures' agreement, then verified on the exact weighted
    Jaccard similarity of the two texts (``similarity`` or more).
 6. Classes are the connected parts of the verified links, found by large-star/small-star rounds.
@@ -36,20 +37,20 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from constella.llm.common import checkpointed, min_classes, staged, table, text_batches
+from constella.llm.common import checkpointed, lean_batches, min_classes, staged, table, text_batches, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
 CELLS = 1 << 18
 SAMPLES, ROWS = 48, 4
+#: Leaders of a bucket in a star round.
+LEADERS = 8
 #: Of 48 samples this many must agree for an exact comparison; at a similarity of 0.8 the mean is 38.4
-#: and the deviation 2.8, so fewer than 22 is a matter of one in a billion.
-LEAST_AGREEING = 22
+#: and the deviation 2.8, so fewer than 26 is a matter of a few in a million.
+LEAST_AGREEING = 26
 _PARAMETERS = 1 << 14
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
-_MEMO_WORDS = 500_000
 _SIGNED = "key binary, words boolean, sig binary, bands array<long>"
-_word_hashes: dict[bytes, int] = {}
 _draws: list[np.ndarray] = []
 
 
@@ -65,18 +66,7 @@ def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
     words = _WORDS.findall(text.lower().encode())
     if not words:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    memo = _word_hashes
-    if len(memo) > _MEMO_WORDS:
-        memo.clear()
-    hashes = []
-    for w in words:
-        h = memo.get(w)
-        if h is None:
-            h = xxhash.xxh3_64_intdigest(w)
-            if len(w) < 64:
-                memo[w] = h
-        hashes.append(h)
-    ids = np.array(hashes, np.uint64)
+    ids = word_hashes(words)
     n = len(ids) - SHINGLE + 1
     if n < 1:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), 1)], np.uint64), np.ones(1, np.int64)
@@ -223,37 +213,45 @@ def _verified(pairs: DataFrame, signed: DataFrame, idf: Broadcast, similarity: f
 
 def _links(members: DataFrame, signed: DataFrame, idf: Broadcast, similarity: float, nodes: int,
            star_rounds: int) -> DataFrame:
-    """Verified links between nodes that share a bucket, enough to connect every class."""
+    """Verified links between nodes that share a bucket, enough to connect every class.
+
+    ``members``: bucket, band (its number), node, bands (all buckets of the node).
+    """
     links = members.sparkSession.createDataFrame([], "a long, b long")
-    live = members.join(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"),
-                        "bucket").withColumn("label", F.col("node"))
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    live = checkpointed(members.join(shared, "bucket").withColumn("label", F.col("node")))
     for turn in range(star_rounds + 1):
-        live = checkpointed(live)
         by_class = live.groupBy("bucket", "label").agg(F.count("*").alias("k"))
         buckets = checkpointed(by_class.groupBy("bucket").agg(
-            F.sum("k").alias("n"), F.max("k").alias("top"), F.max(F.struct("k", "label")).alias("most"),
-            F.count("*").alias("classes")).where("classes > 1").select("bucket", "n", "top", "most.label"))
+            F.sum("k").alias("n"), F.max(F.struct("k", "label")).alias("most"), F.count("*").alias("classes")).where(
+            "classes > 1").select("bucket", "n", F.col("most.k").alias("top"), F.col("most.label").alias("largest")))
         work = buckets.agg(F.sum(F.col("n") * (F.col("n") - F.col("top")))).first()[0] or 0
-        live = live.join(buckets.select("bucket"), "bucket", "left_semi")
         if work == 0:
             return links
         if work <= 8 * nodes or turn == star_rounds:
-            # members outside their bucket's largest class, against every member of another class
-            outside = live.join(buckets.select("bucket", F.col("label").alias("largest")), "bucket").where(
-                "label <> largest").select("bucket", F.col("node").alias("x"), F.col("label").alias("x_label"),
-                                           "largest")
-            pairs = outside.join(live, "bucket").where("label <> x_label and (label = largest or node < x)").select(
-                F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-            return checkpointed(links.union(_verified(pairs, signed, idf, similarity)))
-        leaders = live.groupBy("bucket").agg(F.min(F.struct(
+            # members outside their bucket's largest class, against every member of another class; a pair
+            # that shares several buckets is made in the first of them only
+            outside = live.join(buckets, "bucket").where("label <> largest").select(
+                "bucket", F.col("node").alias("x"), F.col("label").alias("x_label"), F.col("bands").alias("x_bands"),
+                "largest")
+            first = F.forall(F.zip_with(F.slice("bands", 1, F.col("band")), F.slice("x_bands", 1, F.col("band")),
+                                        lambda p, q: p != q), lambda differ: differ)
+            pairs = outside.join(live, "bucket").where(
+                (F.col("label") != F.col("x_label")) & ((F.col("label") == F.col("largest"))
+                                                        | (F.col("node") < F.col("x"))) & first)
+            return checkpointed(links.union(_verified(pairs.select(
+                F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")), signed, idf, similarity)))
+        # star round: half of the bands; a bucket has up to LEADERS leaders, each member meets one of them
+        chosen = live.where(F.pmod(F.col("band") + turn, F.lit(2)) == 0).withColumn(
+            "slot", F.pmod(F.xxhash64("bucket", "node", F.lit(turn)), F.lit(LEADERS)))
+        leaders = chosen.groupBy("bucket", "slot").agg(F.min(F.struct(
             F.xxhash64("node", F.lit(turn)).alias("h"), "node", "label")).alias("l")).select(
-            "bucket", F.col("l.node").alias("leader"), F.col("l.label").alias("leads"))
-        pairs = live.join(leaders, "bucket").where("label <> leads").select(
+            "bucket", "slot", F.col("l.node").alias("leader"), F.col("l.label").alias("leads"))
+        pairs = chosen.join(leaders, ["bucket", "slot"]).where("label <> leads").select(
             F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
         links = checkpointed(links.union(_verified(pairs, signed, idf, similarity)))
-        labels = min_classes(links)
-        live = live.drop("label").join(labels, "node", "left").select(
-            "bucket", "node", F.coalesce("label", "node").alias("label"))
+        live = checkpointed(live.drop("label").join(min_classes(links), "node", "left").withColumn(
+            "label", F.coalesce("label", "node")))
     raise AssertionError("unreachable")
 
 
@@ -261,7 +259,7 @@ def classify(documents: DataFrame, similarity: float = SIMILARITY, idf_power: fl
              star_rounds: int = 4) -> DataFrame:
     """Per row of ``documents``: ``row`` (the whole input row), ``rid`` (its number), ``class_rid``
     (least row number of its class) and ``class_id`` (least doc_id of its class)."""
-    spark = documents.sparkSession
+    spark = lean_batches(documents.sparkSession)
     texts = documents.select(F.col("text").cast("string").alias("text"))
     idf = spark.sparkContext.broadcast(idf_table(texts, idf_power))
     signed = staged(documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")).select(
@@ -272,8 +270,9 @@ def classify(documents: DataFrame, similarity: float = SIMILARITY, idf_power: fl
     copies = rows.where("key is not null").groupBy("key").agg(
         F.min("rid").alias("node"), F.min("doc_id").alias("doc_id"))
     nodes = checkpointed(copies)
-    members = signed.where("s.words").select("rid", F.explode("s.bands").alias("bucket")).join(
-        nodes.select(F.col("node").alias("rid")), "rid", "left_semi").select("bucket", F.col("rid").alias("node"))
+    members = signed.where("s.words").select("rid", F.col("s.bands").alias("bands")).join(
+        nodes.select(F.col("node").alias("rid")), "rid", "left_semi").select(
+        F.col("rid").alias("node"), "bands", F.posexplode("bands").alias("band", "bucket"))
     links = _links(members, signed, idf, similarity, nodes.count(), star_rounds)
     labels = min_classes(links)
     of_node = nodes.join(labels, "node", "left").select(
