@@ -11,8 +11,10 @@ shingles common, keeps its similarity; common boilerplate still weighs less than
 3. Equal texts become one node first, so copies cost one row each and no pair.
 4. Links. All pairs of a bucket that are not yet in one class are compared, but where large groups
    of near copies would make that more than a few pairs per text, star rounds come first: in half
-   of the bands, every member is compared with one of its bucket's leaders, drawn anew each round,
-   and buckets whose members have all come into one class leave. What is left is compared pairwise,
+   of the bands, every member is compared with one of its bucket's leaders, and buckets whose members
+   have all come into one class leave. The first leaders are drawn by hash; later ones are the
+   members not yet used whose comparisons so far succeeded most often, which are the texts in the
+   middle of a group (the original and its lightly edited copies). What is left is compared pairwise,
    members outside a bucket's largest class against all of it. Thus no pair of a bucket stays
    untested unless its two texts are in one class already.
 5. Each pair is first checked on its signatures' agreement, then verified on the exact weighted
@@ -31,6 +33,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
@@ -43,6 +46,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 CELLS = 1 << 18
 SAMPLES, ROWS = 48, 4
+#: Texts of a block in verification.
+BLOCK = 64
 #: Leaders of a bucket in a star round.
 LEADERS = 8
 #: Of 48 samples this many must agree for an exact comparison; at a similarity of 0.8 the mean is 38.4
@@ -185,30 +190,34 @@ def _signer(idf: Broadcast):
     return sign
 
 
-def _verified(pairs: DataFrame, signed: DataFrame, idf: Broadcast, similarity: float) -> DataFrame:
-    """Of distinct candidate pairs (a, b), those whose texts reach the similarity."""
+def _verified(pairs: DataFrame, signed: DataFrame, idf: Broadcast, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Distinct candidate pairs (a, b), and those of them whose texts reach the similarity.
 
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, SAMPLES)
-                    for k in (2, 3))
-            yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= LEAST_AGREEING))
+    Nodes are dealt into blocks of about ``BLOCK`` by hash, and a group holds the pairs of two blocks
+    with each text they need once: where many pairs meet in few texts, texts are not sent per pair.
+    """
+    pairs = checkpointed(pairs)
+    nodes = pairs.select("a").union(pairs.select("b")).distinct().count()
+    block = lambda c: F.pmod(F.xxhash64(c, F.lit(11)), F.lit(max(1, nodes // BLOCK)))
+    keyed = pairs.select(block("a").alias("i"), block("b").alias("j"), "a", "b")
+    texts = signed.select("rid", F.col("s.sig").alias("sig"), F.col("row.text").cast("string").alias("text"))
+    needed = keyed.select(F.col("i").alias("p"), F.col("j").alias("q"), F.col("a").alias("rid")).union(
+        keyed.select("i", "j", "b")).distinct().join(texts, "rid")
+
+    def compare(links: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        place = {r: k for k, r in enumerate(held["rid"])}
+        x, y = links["a"].map(place).to_numpy(int), links["b"].map(place).to_numpy(int)
+        sigs = np.frombuffer(b"".join(held["sig"]), np.uint8).reshape(-1, SAMPLES)
+        close = np.flatnonzero((sigs[x] == sigs[y]).sum(axis=1) >= LEAST_AGREEING)
+        weighed = {k: weigh(held["text"].iat[k], idf.value) for k in {*x[close].tolist(), *y[close].tolist()}}
+        keep = [k for k in close if weighted_jaccard(weighed[x[k]], weighed[y[k]]) >= similarity - 1e-6]
+        return links[["a", "b"]].iloc[keep]
+
+    return pairs, keyed.groupBy("i", "j").cogroup(needed.groupBy("p", "q")).applyInPandas(compare, "a long, b long")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep, last, left = [], None, None
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                if x != last:
-                    last, left = x, weigh(x, idf.value)
-                keep.append(weighted_jaccard(left, weigh(y, idf.value)) >= similarity - 1e-6)
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    sigs = signed.select(F.col("rid"), F.col("s.sig").alias("sig"))
-    texts = signed.select(F.col("rid"), F.col("row.text").cast("string").alias("text"))
-    close = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b").select(
-        "a", "b", "sig_a", "sig_b").mapInArrow(agree, "a long, b long")
-    return close.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select(
-        "a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
 
 
 def _links(members: DataFrame, signed: DataFrame, idf: Broadcast, similarity: float, nodes: int,
@@ -219,7 +228,9 @@ def _links(members: DataFrame, signed: DataFrame, idf: Broadcast, similarity: fl
     """
     links = members.sparkSession.createDataFrame([], "a long, b long")
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    live = checkpointed(members.join(shared, "bucket").withColumn("label", F.col("node")))
+    live = checkpointed(members.join(shared, "bucket").select(
+        "bucket", "band", "node", "bands", F.col("node").alias("label"), F.lit(0.5).alias("rate")))
+    tested, used = links, links.select(F.col("a").alias("node"))
     for turn in range(star_rounds + 1):
         by_class = live.groupBy("bucket", "label").agg(F.count("*").alias("k"))
         buckets = checkpointed(by_class.groupBy("bucket").agg(
@@ -240,23 +251,32 @@ def _links(members: DataFrame, signed: DataFrame, idf: Broadcast, similarity: fl
                 (F.col("label") != F.col("x_label")) & ((F.col("label") == F.col("largest"))
                                                         | (F.col("node") < F.col("x"))) & first)
             return checkpointed(links.union(_verified(pairs.select(
-                F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")), signed, idf, similarity)))
+                F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")), signed, idf, similarity)[1]))
         # star round: half of the bands; a bucket has up to LEADERS leaders, each member meets one of them
         chosen = live.where(F.pmod(F.col("band") + turn, F.lit(2)) == 0).withColumn(
             "slot", F.pmod(F.xxhash64("bucket", "node", F.lit(turn)), F.lit(LEADERS)))
-        leaders = chosen.groupBy("bucket", "slot").agg(F.min(F.struct(
-            F.xxhash64("node", F.lit(turn)).alias("h"), "node", "label")).alias("l")).select(
-            "bucket", "slot", F.col("l.node").alias("leader"), F.col("l.label").alias("leads"))
+        leaders = checkpointed(chosen.groupBy("bucket", "slot").agg(F.max(F.struct(
+            "rate", F.xxhash64("node", F.lit(turn)).alias("h"), "node", "label")).alias("l")).select(
+            "bucket", "slot", F.col("l.node").alias("leader"), F.col("l.label").alias("leads")))
         pairs = chosen.join(leaders, ["bucket", "slot"]).where("label <> leads").select(
             F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
-        links = checkpointed(links.union(_verified(pairs, signed, idf, similarity)))
-        live = checkpointed(live.drop("label").join(min_classes(links), "node", "left").withColumn(
-            "label", F.coalesce("label", "node")))
+        pairs, found = _verified(pairs, signed, idf, similarity)
+        found = checkpointed(found)
+        tested, links = tested.union(pairs), links.union(found)
+        used = used.union(leaders.select(F.col("leader").alias("node")))
+        met = _ends(tested).groupBy("node").agg(F.count("*").alias("met"))
+        held = _ends(links).groupBy("node").agg(F.count("*").alias("held"))
+        state = met.join(held, "node", "left").join(used.distinct().withColumn("spent", F.lit(-1.0)), "node", "left").join(
+            min_classes(links).withColumnRenamed("label", "class"), "node", "left").select("node", "class", F.coalesce(
+                "spent", (F.coalesce("held", F.lit(0)) + 1) / (F.col("met") + 2)).alias("now"))
+        live = checkpointed(live.join(state, "node", "left").select(
+            "bucket", "band", "node", "bands", F.coalesce("class", "node").alias("label"),
+            F.coalesce("now", "rate").alias("rate")))
     raise AssertionError("unreachable")
 
 
 def classify(documents: DataFrame, similarity: float = SIMILARITY, idf_power: float = 0.25,
-             star_rounds: int = 4) -> DataFrame:
+             star_rounds: int = 3) -> DataFrame:
     """Per row of ``documents``: ``row`` (the whole input row), ``rid`` (its number), ``class_rid``
     (least row number of its class) and ``class_id`` (least doc_id of its class)."""
     spark = lean_batches(documents.sparkSession)
