@@ -1,17 +1,11 @@
-"""Row numbering within groups.
-
-``ranked_within`` numbers rows 1..n inside each group in a total order.  The
-plain form is one window (one shuffle by the group key, one sort per group).
-A group can hold a large share of all rows (one review of a big universe);
-``split_groups=True`` then spreads every group over many tasks:
-
-1. range-partition on (group, order) — sampled bounds, so a hot group spans
-   many partitions — and sort within partitions;
-2. write that once to the shared checkpoint folder (stable partition ids and
-   row order even if executors are lost and tasks rerun);
-3. number rows locally, count rows per (group, partition) — a table of about
-   #groups + #partitions rows — and turn the counts into offsets;
-4. add the offset of the row's (group, partition) with a broadcast join.
+"""Row numbering within groups, always spread over many tasks.
+
+A group can hold a large share of all rows (one review of a big universe), so
+rows are never numbered by one window per group.  The caller gives a bucket
+that does not decrease along the order (for ranks ``rank div 1000``, for market
+caps a step of the logarithm).  Rows are numbered inside (group, bucket), and a
+bucket's offset is the running count of the buckets before it.  Buckets follow
+from the rows alone: no sampling, no size estimate, the same on every rerun.
 """
 
 from __future__ import annotations
@@ -21,66 +15,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Above this estimated input size the split form is used ("auto"); the
-# estimate is Catalyst's (metadata only, no job).  Session conf
-# ``constella.splitGroupsBytes`` overrides it.
-SPLIT_GROUPS_BYTES = 4 * 1024**3
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (from file sizes; no job runs)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - estimates are advisory
-        return 0
-
-
-def _split_wanted(df: DataFrame, split_groups: bool | str) -> bool:
-    if split_groups == "auto":
-        limit = int(df.sparkSession.conf.get("constella.splitGroupsBytes", str(SPLIT_GROUPS_BYTES)))
-        return estimated_bytes(df) > limit
-    return bool(split_groups)
-
-
-def _cols(items: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in items]
-
 
 def ranked_within(
     df: DataFrame,
     group_cols: Sequence[str],
     order_cols: Sequence[str | Column],
     out_col: str,
-    split_groups: bool | str = "auto",
-    num_partitions: int | None = None,
+    bucket: Column,
 ) -> DataFrame:
     """Add ``out_col`` = 1-based row number of each row inside its group.
 
-    ``order_cols`` must be a total order inside a group (end with a unique key)
-    so that the numbering is deterministic.
+    ``order_cols`` must be a total order inside a group (end with a unique key);
+    ``bucket`` (not null) must not decrease along it.
     """
-    if not _split_wanted(df, split_groups):
-        w = Window.partitionBy(*group_cols).orderBy(*_cols(order_cols))
-        return df.withColumn(out_col, F.row_number().over(w))
-
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*_cols(group_cols), *_cols(order_cols)]
-    staged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    staged = staged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    # Reliable checkpoint: partition ids and in-partition order become data.
-    staged = staged.checkpoint(eager=True)
-    local = staged.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
-    stats = local.groupBy(*group_cols, "_pid").agg(F.min("_local").alias("_lo"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select(
-        *group_cols, "_pid", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_lo")).alias("_off")
+    keys = [*group_cols, "_bucket"]
+    spread = df.withColumn("_bucket", bucket)
+    before = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = spread.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(
+        *keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
-    # One row per (group, partition) that holds the group: bounded by
-    # #groups + #partitions, so broadcasting it is safe.
-    out = local.join(F.broadcast(offsets), [*group_cols, "_pid"], "inner")
-    return out.withColumn(out_col, (F.col("_local") + F.col("_off") + 1).cast("int")).drop(
-        "_pid", "_mid", "_local", "_off"
+    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    numbered = spread.withColumn("_local", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return numbered.join(offsets, keys).withColumn(out_col, (F.col("_local") + F.col("_before")).cast("int")).drop(
+        "_bucket", "_local", "_before"
     )
 
 

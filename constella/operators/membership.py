@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,10 +36,12 @@ KEY = ["index_name", "review_date"]
 def first_per_isin(entries: DataFrame) -> DataFrame:
     """One row per (index, review, isin): the first by ``ordinal`` (ranked rows only).
 
-    An aggregate with ``min_by`` combines map-side before the shuffle.
+    An aggregate with ``min_by`` combines map-side before the shuffle.  Lists of
+    one date from several files are ordered by (file, row).
     """
-    picked = entries.where(F.col("rank").isNotNull()).groupBy(*KEY, "isin").agg(
-        F.min_by(F.struct("rank", "ordinal"), F.col("ordinal")).alias("_first")
+    place = F.struct("file", "ordinal") if "file" in entries.columns else F.col("ordinal")
+    picked = entries.where(F.col("rank").isNotNull() & F.col("isin").isNotNull()).groupBy(*KEY, "isin").agg(
+        F.min_by(F.struct("rank", "ordinal"), place).alias("_first")
     )
     return picked.select(*KEY, "isin", F.col("_first.rank").alias("rank"), F.col("_first.ordinal").alias("ordinal"))
 
@@ -48,35 +49,30 @@ def first_per_isin(entries: DataFrame) -> DataFrame:
 def _ranked(entries: DataFrame, dedupe: bool) -> DataFrame:
     if dedupe:
         return first_per_isin(entries)
-    return entries.where(F.col("rank").isNotNull()).select(*KEY, "isin", "rank")
+    return entries.where(F.col("rank").isNotNull() & F.col("isin").isNotNull()).select(*KEY, "isin", "rank")
 
 
-def positions(entries: DataFrame, dedupe: bool = True, split_groups: bool | str = "auto") -> DataFrame:
+def positions(entries: DataFrame, dedupe: bool = True) -> DataFrame:
     """1-based position of each ranked entry by (rank, isin) within its review.
 
-    Every ranked row gets a position, so a large review is spread over many
-    tasks when the input is large (``ranked_within``'s split form).
+    Every ranked row gets a position; the numbering is spread over steps of
+    the rank, so a large review is never one task.
     """
-    ranked = ranked_within(_ranked(entries, dedupe), KEY, [F.col("rank"), F.col("isin")], "position", split_groups)
+    step = F.floor(F.col("rank") / 1000)
+    ranked = ranked_within(_ranked(entries, dedupe), KEY, [F.col("rank"), F.col("isin")], "position", step)
     return ranked.select(*KEY, "isin", "rank", "position")
 
 
 def top_n(entries: DataFrame, n: int, dedupe: bool = True, salts: int = 64) -> DataFrame:
-    """The first ``n`` positions of every review (partial top-k before the shuffle).
+    """The first ``n`` positions of every review.
 
-    Up to Spark's ``windowGroupLimitThreshold`` (1000 by default) a plain
-    window with a literal bound is planned with a partial ``WindowGroupLimit``
-    under the shuffle, so a review ships at most ``n`` rows per map task
-    however large it is.  Above it the same effect is built by hand: top ``n``
-    per (review, salt) first, then top ``n`` of those ``salts * n`` rows.
+    Two stages: top ``n`` per (review, salt), then top ``n`` of those
+    ``salts * n`` rows at most, so a review of any size is spread first.
     """
     order = [F.col("rank").asc(), F.col("isin").asc()]
-    ranked = _ranked(entries, dedupe)
-    limit = int(entries.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > limit:
-        salt = F.pmod(F.xxhash64("isin"), F.lit(salts))
-        w1 = Window.partitionBy(*KEY, salt).orderBy(*order)
-        ranked = ranked.withColumn("_p", F.row_number().over(w1)).where(F.col("_p") <= F.lit(n)).drop("_p")
+    ranked = _ranked(entries, dedupe).withColumn("_salt", F.pmod(F.xxhash64("isin"), F.lit(salts)))
+    w1 = Window.partitionBy(*KEY, "_salt").orderBy(*order)
+    ranked = ranked.withColumn("_p", F.row_number().over(w1)).where(F.col("_p") <= F.lit(n)).drop("_p", "_salt")
     w = Window.partitionBy(*KEY).orderBy(*order)
     ranked = ranked.withColumn("position", F.row_number().over(w))
     return ranked.where(F.col("position") <= F.lit(n)).select(*KEY, "isin", "rank", "position")
@@ -154,7 +150,7 @@ def _review_lists(cands: DataFrame) -> DataFrame:
 
 def _members_of(c: Column, prior: Column, auto: Column, target: Column, end: Column) -> Column:
     """Members of one review as array<struct<isin, reason>> (array functions only)."""
-    bootstrap = prior.isNull() | (F.size(prior) == 0)
+    bootstrap = prior.isNull()  # an empty prior set is a prior: the rule applies
     top = F.slice(c, 1, auto)
     zone = F.slice(c, auto + 1, F.greatest(end - auto, F.lit(0)))
     # array_intersect / array_except keep the order of their first argument.
@@ -178,86 +174,48 @@ def chain_membership(
     cands: DataFrame,
     rules: dict[str, IndexRule],
     initial_prior: DataFrame | None = None,
+    reviews: DataFrame | None = None,
 ) -> DataFrame:
     """The buffer rule chained review by review (prior of t = result of t-1).
 
     One JVM-side ``aggregate`` fold per index over its reviews in date order;
     the state is the previous member set (<= target ISINs).  ``initial_prior``
-    (index_name, isin) seeds the first review of an index (backfill); without
-    it the first review bootstraps.
+    (index_name, seed: array of ISINs, possibly empty) seeds the first review of
+    an index (backfill); without it the first review bootstraps.  ``reviews``
+    (index_name, review_date) adds reviews without a ranked row: they have no
+    members, and the review after them has an empty prior.
     """
     auto, target, end = (rule_col(rules, f) for f in ("auto", "target", "buffer_end"))
-    per_index = _review_lists(cands).groupBy("index_name").agg(
+    lists = _review_lists(cands)
+    if reviews is not None:
+        lists = reviews.select(*KEY).distinct().join(lists, KEY, "left").select(
+            *KEY, F.coalesce("c", F.array().cast("array<string>")).alias("c")
+        )
+    per_index = lists.groupBy("index_name").agg(
         F.array_sort(F.collect_list(F.struct("review_date", "c"))).alias("reviews")
     )
     if initial_prior is not None:
-        seed = initial_prior.groupBy("index_name").agg(F.collect_set("isin").alias("seed"))
-        per_index = per_index.join(seed, "index_name", "left")
+        per_index = per_index.join(initial_prior.select("index_name", "seed"), "index_name", "left")
     else:
         per_index = per_index.withColumn("seed", F.lit(None).cast("array<string>"))
 
-    out_type = "array<struct<review_date:date,isin:string,reason:string>>"
+    out_type = "array<struct<review_date:date,members:array<struct<isin:string,reason:string>>>>"
     init = F.struct(F.col("seed").alias("prior"), F.array().cast(out_type).alias("out"))
 
     def step(acc: Column, r: Column) -> Column:
         members = _members_of(r["c"], acc["prior"], auto, target, end)
-        rows = F.transform(
-            members,
-            lambda m: F.struct(
-                r["review_date"].alias("review_date"), m["isin"].alias("isin"), m["reason"].alias("reason")
-            ),
-        )
+        review = F.struct(r["review_date"].alias("review_date"), members.alias("members"))
         return F.struct(
             F.transform(members, lambda m: m["isin"]).alias("prior"),
-            F.concat(acc["out"], rows).alias("out"),
+            F.concat(acc["out"], F.array(review)).alias("out"),  # one struct per review
         )
 
     folded = per_index.select("index_name", F.aggregate("reviews", init, step)["out"].alias("out"))
-    return folded.select("index_name", F.inline("out")).select(
+    return folded.select("index_name", F.inline("out")).select(*KEY, F.inline("members")).select(
         *KEY, "isin", F.lit(True).alias("is_member"), F.col("reason").alias("entry_reason")
     )
 
 
-def _fold_reviews_pandas(rules: dict[str, IndexRule]):
-    """Grouped-map twin of the chained rule (one index per call)."""
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        name = pdf["index_name"].iloc[0]
-        rule = rules[name]
-        out: list[tuple] = []
-        prior: set[str] | None = None
-        pdf = pdf.sort_values(["review_date", "position"])
-        for review_date, grp in pdf.groupby("review_date", sort=True):
-            ranked = list(grp["isin"])
-            picks: list[tuple[str, str]] = []
-            if not prior:
-                picks = [(i, REASON_BOOTSTRAP) for i in ranked[: rule.target]]
-            else:
-                picks = [(i, REASON_TOP) for i in ranked[: rule.auto]]
-                for i in ranked[rule.auto : rule.buffer_end]:
-                    if len(picks) >= rule.target:
-                        break
-                    if i in prior:
-                        picks.append((i, REASON_RETAINED))
-                taken = {i for i, _ in picks}
-                for i in ranked:
-                    if len(picks) >= rule.target:
-                        break
-                    if i not in taken:
-                        picks.append((i, REASON_FILL))
-            prior = {i for i, _ in picks}
-            out.extend((name, review_date, i, True, r) for i, r in picks)
-        return pd.DataFrame(out, columns=["index_name", "review_date", "isin", "is_member", "entry_reason"])
-
-    return fold
-
-
-def chain_membership_pandas(cands: DataFrame, rules: dict[str, IndexRule]) -> DataFrame:
-    """W4 via ``groupBy(index).applyInPandas`` (Arrow batches; same bound as above)."""
-    schema = "index_name string, review_date date, isin string, is_member boolean, entry_reason string"
-    return cands.groupBy("index_name").applyInPandas(_fold_reviews_pandas(rules), schema)
-
-
 def membership_counts(membership: DataFrame, keys: Iterable[str] = ("index_name", "review_date")) -> DataFrame:
     """V5 helper: members per review."""
     return membership.where("is_member").groupBy(*keys).agg(F.count(F.lit(1)).alias("members"))
@@ -282,7 +240,10 @@ def rechain_from(
     start = F.broadcast(since.select("index_name", F.col("review_date").alias("_since")))
     before = published.join(start, "index_name").where(F.col("review_date") < F.col("_since"))
     last = before.groupBy("index_name").agg(F.max("review_date").alias("review_date"))
-    prior = before.join(F.broadcast(last), KEY, "left_semi").where(F.col("is_member")).select("index_name", "isin")
+    # no earlier review: null (bootstrap); an earlier one without members: empty
+    prior = last.join(before.where(F.col("is_member")), KEY, "left").groupBy("index_name").agg(
+        F.collect_set("isin").alias("seed")
+    )
     redo = cands.join(start, "index_name").where(F.col("review_date") >= F.col("_since")).drop("_since")
     fresh = chain_membership(redo, rules, initial_prior=prior)
     kept = before.drop("_since").select(*KEY, "isin", "is_member", "entry_reason")

@@ -3,13 +3,13 @@
 The reviewed pipeline builds a wide (date x RIC) table, forward-fills it and
 turns an exit sentinel 0 into null.  Here the table stays long:
 
-* ``rank_events`` (W6): at each review every RIC seen so far gets the rank of
-  its first member row, else 0.
+* ``rank_events`` (W6): the rank of a RIC's first member row at each review, and
+  0 at the review at which it has left.
 * ``ranking_daily`` (W7): a member rank holds from its review to the day
   before the index's next review (or ``as_of``).  Only member events are
   expanded, so the wide fill's all-pairs grid is never built; the result has
   exactly the non-null cells of the wide table.
-* ``ranking_wide`` (W8) pivots a chosen set of RICs for export.
+* ``ranking_wide`` (W8) has one map RIC -> rank per index and day, for export.
 """
 
 from __future__ import annotations
@@ -41,21 +41,21 @@ def member_ranks(entries: DataFrame, membership: DataFrame) -> DataFrame:
 
 
 def rank_events(entries: DataFrame, membership: DataFrame) -> DataFrame:
-    """(index, review, ric, rank) for every RIC known at that review; 0 = not a member."""
-    reviews = data_reviews(entries, membership)
-    listed = entries.where(F.col("ric").isNotNull()).join(reviews, KEY, "left_semi")
-    first_seen = listed.groupBy("index_name", "ric").agg(F.min("review_date").alias("first_seen"))
-    # Range join against the broadcast reviews table (one row per index and
-    # quarter); the RIC side stays partitioned, so a hot index is not one task.
-    grid = first_seen.join(
-        calendar_sized(reviews.withColumnRenamed("index_name", "_idx")),
-        (F.col("index_name") == F.col("_idx")) & (F.col("review_date") >= F.col("first_seen")),
-        "inner",
-    ).select("index_name", "review_date", "ric")
-    ranks = member_ranks(entries, membership)
-    return grid.join(ranks, [*KEY, "ric"], "left").select(
-        *KEY, "ric", F.coalesce(F.col("rank"), F.lit(0)).cast("int").alias("rank")
+    """(index, review, ric, rank) of every member row, and rank 0 at the review a RIC left.
+
+    Only changes are kept: a RIC that stays out has no further rows, so the
+    output grows with the membership, not with RICs x reviews.
+    """
+    w = Window.partitionBy("index_name").orderBy("review_date")
+    following = data_reviews(entries, membership).withColumn("next_review", F.lead("review_date").over(w))
+    ranks = member_ranks(entries, membership).select(*KEY, "ric", F.col("rank").cast("int").alias("rank"))
+    exits = (
+        ranks.where(F.col("rank") > 0)
+        .join(calendar_sized(following.where(F.col("next_review").isNotNull())), KEY, "inner")
+        .select("index_name", F.col("next_review").alias("review_date"), "ric")
+        .join(ranks.select(*KEY, "ric"), [*KEY, "ric"], "left_anti")
     )
+    return ranks.unionByName(exits.withColumn("rank", F.lit(0)))
 
 
 def review_spans(reviews: DataFrame, as_of: dt.date | str) -> DataFrame:
@@ -115,29 +115,19 @@ def ranked_per_day(entries: DataFrame, membership: DataFrame, as_of: dt.date | s
     )
 
 
-def ranking_wide(daily: DataFrame, index_name: str, rics: list[str], start: str, as_of: str) -> DataFrame:
-    """One row per day, one column per RIC (export form, fixed RIC list)."""
-    spark = daily.sparkSession
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start).cast("date"), F.lit(as_of).cast("date"))).alias("date")
-    )
-    cells = daily.where((F.col("index_name") == index_name) & F.col("ric").isin(rics))
-    wide = cells.groupBy("date").pivot("ric", rics).agg(F.first("rank"))
-    return days.join(wide, "date", "left").select("date", *[F.col(f"`{r}`") for r in rics])
-
-
-def ranking_wide_all(daily: DataFrame, index_name: str, start: str, as_of: str, max_columns: int = 10_000) -> DataFrame:
-    """W8 with every RIC of an index as a column (export form of the reviewed table).
+def ranking_wide(entries: DataFrame, membership: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """One row per (index, date) with every ranked RIC in a map RIC -> rank.
 
-    The RIC list is collected to the driver only after a count shows it fits
-    ``max_columns`` (Spark's pivot limit); beyond it, use the long form.
+    A map has at most ``target`` entries, so no RIC list is collected and no
+    column limit applies.  It is built once per review, then expanded to days.
     """
-    rics_df = daily.where(F.col("index_name") == index_name).select("ric").distinct()
-    n = rics_df.count()
-    if n > max_columns:
-        raise ValueError(f"{n} RICs exceed {max_columns} columns; use ranking_daily (long form)")
-    rics = sorted(r.ric for r in rics_df.collect())
-    return ranking_wide(daily, index_name, rics, start, as_of)
+    spans = review_spans(data_reviews(entries, membership), as_of)
+    ranks = member_ranks(entries, membership).where(F.col("rank") > 0)
+    cells = ranks.groupBy(*KEY).agg(F.map_from_entries(F.array_sort(F.collect_list(
+        F.struct("ric", F.col("rank").cast("int").alias("rank"))))).alias("ranks"))
+    return cells.join(calendar_sized(spans), KEY, "inner").select(
+        "index_name", F.explode(F.sequence("review_date", "valid_to")).alias("date"), "ranks"
+    )
 
 
 def rank_gaps(daily: DataFrame, reviews: DataFrame, check_to: int | dict) -> DataFrame:

@@ -43,7 +43,10 @@ def isin_lookup(history: DataFrame, order_col: str = "ordinal") -> DataFrame:
 
 
 def resolve_isins(rows: DataFrame, lookup: DataFrame | None) -> DataFrame:
-    """Keep a valid raw ISIN, else the lookup's ISIN for the key, else KEY_<key>."""
+    """Keep a valid raw ISIN, else the lookup's ISIN for the key, else KEY_<key>.
+
+    A row with neither has a null ISIN (Q13); membership never takes such rows.
+    """
     key = F.trim(F.col("internal_key"))
     out = rows.withColumn("internal_key", key)
     if lookup is not None:
@@ -51,7 +54,7 @@ def resolve_isins(rows: DataFrame, lookup: DataFrame | None) -> DataFrame:
     else:
         out = out.withColumn("_looked_up", F.lit(None).cast("string"))
     resolved = F.when(valid_isin(F.col("raw_isin")), F.trim(F.col("raw_isin"))).otherwise(
-        F.coalesce(F.col("_looked_up"), F.concat(F.lit(FALLBACK_PREFIX), F.col("internal_key")))
+        F.coalesce(F.col("_looked_up"), F.concat(F.lit(FALLBACK_PREFIX), F.nullif(F.col("internal_key"), F.lit(""))))
     )
     return out.withColumn("isin", resolved).drop("_looked_up")
 

@@ -7,7 +7,6 @@ so the derivation of the review dataset is written once.
 from __future__ import annotations
 
 from constella.plans.book import AS_OF
-from constella.plans.queries import WIDE_RICS, WIDE_START
 
 # name -> (deps, body)
 CTES: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -163,7 +162,7 @@ SELECT index_name, k, review_date,
 FROM lists WHERE k = 1
 UNION ALL
 SELECT index_name, k, review_date,
-  CASE WHEN prior IS NULL OR len(prior) = 0
+  CASE WHEN prior IS NULL
        THEN list_transform(c[1:target], lambda x: {'isin': x, 'reason': 'bootstrap'})
        ELSE list_concat(
               list_transform(top, lambda x: {'isin': x, 'reason': 'top_550'}),
@@ -372,15 +371,17 @@ oracle("review_sizes", "entries")(
 
 cte(
     "rank_events",
-    ("entries", "data_reviews", "member_ranks"),
-    """
-SELECT g.index_name, g.review_date, g.ric, CAST(COALESCE(r.rank, 0) AS INTEGER) AS rank
-FROM (SELECT f.index_name, d.review_date, f.ric
-      FROM (SELECT e.index_name, e.ric, min(e.review_date) AS first_seen
-            FROM entries e JOIN data_reviews d USING (index_name, review_date)
-            WHERE e.ric IS NOT NULL GROUP BY ALL) f
-      JOIN data_reviews d ON d.index_name = f.index_name AND d.review_date >= f.first_seen) g
-LEFT JOIN member_ranks r USING (index_name, review_date, ric)
+    ("data_reviews", "member_ranks"),
+    """
+SELECT index_name, review_date, ric, CAST(rank AS INTEGER) AS rank FROM member_ranks
+UNION ALL
+SELECT m.index_name, n.next_review, m.ric, 0
+FROM member_ranks m
+JOIN (SELECT index_name, review_date,
+             lead(review_date) OVER (PARTITION BY index_name ORDER BY review_date) AS next_review
+      FROM data_reviews) n USING (index_name, review_date)
+WHERE m.rank > 0 AND n.next_review IS NOT NULL AND NOT EXISTS (
+  SELECT 1 FROM member_ranks k WHERE k.index_name = m.index_name AND k.review_date = n.next_review AND k.ric = m.ric)
 """,
 )
 
@@ -392,16 +393,10 @@ oracle("ranking_at", "daily", "reviews")(
     "SELECT d.* FROM daily d WHERE EXISTS (SELECT 1 FROM reviews r WHERE r.index_name = d.index_name AND r.review_date = d.date)"
 )
 
-_wide_cols = ",\n  ".join(
-    f"max(CASE WHEN ric = '{r}' THEN rank END) AS \"{r}\"" for r in WIDE_RICS
-)
 oracle("ranking_wide", "daily")(
-    f"""
-SELECT CAST(g.date AS DATE) AS date, {", ".join(f'w."{r}"' for r in WIDE_RICS)}
-FROM (SELECT unnest(generate_series(DATE '{WIDE_START}', DATE '{AS_OF}', INTERVAL 1 DAY)) AS date) g
-LEFT JOIN (SELECT date,
-  {_wide_cols}
-  FROM daily WHERE index_name = 'PART' GROUP BY date) w ON CAST(g.date AS DATE) = w.date
+    """
+SELECT index_name, date, string_agg(ric || '=' || CAST(rank AS VARCHAR), ',' ORDER BY ric) AS ranks
+FROM daily GROUP BY index_name, date
 """
 )
 

@@ -30,10 +30,6 @@ from constella.streaming.incremental import start_list_stream
 
 KEY = ["index_name", "review_date"]
 
-# Fixed RIC columns of the wide export (PART index).
-WIDE_RICS = ["P1.PX", "P2.PX", "P3.PX", "P5.PX", "P8.PX", "P13.PX", "P21.PX", "P34.PX"]
-WIDE_START = "1995-01-01"
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -181,7 +177,7 @@ def review_sizes(b: ReviewBook) -> DataFrame:
 
 @query
 def rank_events(b: ReviewBook) -> DataFrame:
-    """Rank or exit sentinel 0 of every known RIC at every review."""
+    """Ranks of member rows, and the exit sentinel 0 at the review a RIC left."""
     return R.rank_events(b.entries, b.membership)
 
 
@@ -199,9 +195,11 @@ def ranking_at(b: ReviewBook) -> DataFrame:
 
 @query
 def ranking_wide(b: ReviewBook) -> DataFrame:
-    """Wide export (one column per RIC) for a fixed RIC list."""
-    daily = R.ranking_daily(b.entries, b.membership, AS_OF)
-    return R.ranking_wide(daily, "PART", WIDE_RICS, WIDE_START, AS_OF)
+    """Wide export of both indexes: every RIC's rank per day, as sorted text."""
+    wide = R.ranking_wide(b.entries, b.membership, AS_OF)
+    cell = lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))
+    return wide.select("index_name", "date", F.array_join(F.transform(
+        F.array_sort(F.map_entries("ranks")), cell), ",").alias("ranks"))
 
 
 @query
@@ -222,11 +220,11 @@ def members_per_day(b: ReviewBook) -> DataFrame:
 
 def _member_caps(b: ReviewBook) -> DataFrame:
     """Members with their market cap in integer cents (Q24: from entries)."""
-    caps = first_per_key(
-        b.entries.where(F.col("ff_mcap").isNotNull()), [*KEY, "isin"], ["ordinal"], ["ff_mcap"]
-    )
     members = b.membership.where("is_member").select(*KEY, "isin")
-    return members.join(caps, [*KEY, "isin"], "inner").withColumn(
+    # members first: at most ``target`` rows of a review go through the keep-first step
+    listed = b.entries.where(F.col("ff_mcap").isNotNull()).join(members, [*KEY, "isin"], "left_semi")
+    caps = first_per_key(listed, [*KEY, "isin"], ["ordinal"], ["ff_mcap"])
+    return caps.withColumn(
         "cents", F.round(F.col("ff_mcap") * 100).cast("bigint")
     )
 
@@ -314,7 +312,7 @@ def dq_rank_600(b: ReviewBook) -> DataFrame:
     return out.withColumn("ok", (F.col("entries") >= target) & (F.col("missing_ranks") == 0))
 
 
-@query(stage=("entries",))
+@query(stage=False)
 def dq_keys(b: ReviewBook) -> DataFrame:
     """V4: ISINs duplicated in assets; entry ISINs missing from assets."""
     dup = (
@@ -481,7 +479,7 @@ def publication_keys(b: ReviewBook) -> DataFrame:
     return C.publication_keys(_periods(b), C.DERIVED_CALENDAR)
 
 
-@query
+@query(stage=False)
 def missing_periods(b: ReviewBook) -> DataFrame:
     """Expected periods not yet published (dataset published up to 1999)."""
     published = b.reviews.where(F.col("review_date") < F.lit(PUBLISHED_BEFORE).cast("date")).select(
@@ -510,8 +508,7 @@ LIST_COLUMNS = ["index_name", "review_date", "internal_key", "isin", "ric", "nam
 
 
 def _csv_rows(b: ReviewBook) -> DataFrame:
-    scan = S.read_csv_lists(b.spark, b.csv_dir)
-    return S.normalise_csv_lists(scan, _lookup(b), len(scan.inputFiles()))
+    return S.normalise_csv_lists(S.read_csv_lists(b.spark, b.csv_dir), _lookup(b))
 
 
 @query

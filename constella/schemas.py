@@ -64,16 +64,6 @@ ENTRY_SCHEMA = T.StructType(
     ]
 )
 
-MEMBERSHIP_SCHEMA = T.StructType(
-    [
-        T.StructField("index_name", T.StringType()),
-        T.StructField("review_date", T.DateType()),
-        T.StructField("isin", T.StringType()),
-        T.StructField("is_member", T.BooleanType()),
-        T.StructField("entry_reason", T.StringType()),
-    ]
-)
-
 # Selection-list CSV: every column is read as text; casts happen afterwards
 # with blank-tolerant try_cast (leading zeros of keys survive).
 SELECTION_CSV_COLUMNS = (

@@ -60,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="constella-ckpt-", dir=os.environ.get("CONSTELLA_SCRATCH", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
@@ -69,4 +71,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder (for staged tables)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    jvm = spark.sparkContext._jvm
+    staged = jvm.org.apache.hadoop.fs.Path(path)
+    # staged copies go when the session's JVM ends
+    staged.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(staged)
+    return path

@@ -15,38 +15,24 @@ partition columns, so Spark prunes directories before opening any file.
 from __future__ import annotations
 
 import datetime as dt
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from constella.functions.ranking import estimated_bytes
 from constella.operators.intervals import first_per_key
 
-PART_RE = re.compile(r"index_name=([^/]+)/review_date=(\d{4}-\d{2}-\d{2})")
+def _writer(df: DataFrame, partition_cols: list[str]):
+    """Write zstd parquet by partition, spread by Spark's rebalance.
 
-
-# Target bytes per written file when the salt is chosen automatically.
-FILE_BYTES = 512 * 1024**2
-
-
-def _writer(df: DataFrame, partition_cols: list[str], files_per_partition: int | str, salt_col: str | None):
-    """Hash-partition by the output partition (plus a salt) and write zstd parquet.
-
-    With ``files_per_partition="auto"`` the salt count comes from Catalyst's
-    size estimate: a partition that would be one huge task (a review holding a
-    third of all rows) is written by up to 64 tasks instead.
+    ``REBALANCE`` brings the rows of one output partition together and lets AQE
+    split what exceeds the advisory size at run time: a review that holds a
+    third of all rows is written by as many tasks as it needs, small ones share
+    a task.
     """
-    if files_per_partition == "auto":
-        files_per_partition = max(1, min(64, estimated_bytes(df) // FILE_BYTES))
-    if salt_col and files_per_partition > 1:
-        salt = F.pmod(F.xxhash64(salt_col), F.lit(files_per_partition))
-        df = df.repartition(*[F.col(c) for c in partition_cols], salt)
-    else:
-        df = df.repartition(*[F.col(c) for c in partition_cols])
     return (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *partition_cols)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy(*partition_cols)
@@ -74,15 +60,14 @@ class ReviewDataset:
         entries: DataFrame,
         membership: DataFrame,
         reviews: DataFrame | None = None,
-        files_per_partition: int | str = "auto",
     ) -> None:
         """Assets snapshot + entries (with RIC) + membership, by (index, review)."""
         key = ["index_name", "review_date"]
-        _writer(assets, ["index_name"], files_per_partition, "isin").parquet(self.path("assets"))
-        _writer(entries_with_ric(entries, assets), key, files_per_partition, "isin").parquet(self.path("entries"))
-        _writer(membership, key, files_per_partition, "isin").parquet(self.path("membership"))
+        _writer(assets, ["index_name"]).parquet(self.path("assets"))
+        _writer(entries_with_ric(entries, assets), key).parquet(self.path("entries"))
+        _writer(membership, key).parquet(self.path("membership"))
         revs = reviews if reviews is not None else entries.select(*key).distinct()
-        _writer(revs.select(*key), ["index_name"], 1, None).parquet(self.path("reviews"))
+        _writer(revs.select(*key), ["index_name"]).parquet(self.path("reviews"))
 
     # ---------------------------------------------------------------- reading
     def table(self, name: str) -> DataFrame:
@@ -91,15 +76,6 @@ class ReviewDataset:
     def assets(self) -> DataFrame:
         return self.table("assets")
 
-    def partitions(self, table: str = "membership") -> list[tuple[str, dt.date]]:
-        """(index, review) partitions from the file listing (metadata only)."""
-        found = set()
-        for f in self.table(table).inputFiles():
-            m = PART_RE.search(f)
-            if m:
-                found.add((m.group(1), dt.date.fromisoformat(m.group(2))))
-        return sorted(found)
-
     def indexes(self) -> list[str]:
         """Index names present in the dataset (one small row per index)."""
         return sorted(r.index_name for r in self.latest_reviews().collect())
@@ -112,19 +88,14 @@ class ReviewDataset:
         return rows[0].review_date
 
     def latest_reviews(self) -> DataFrame:
-        """O1 as a table: latest review with a membership partition, per index.
-
-        Only partition columns are read (no data columns), and nothing is
-        listed on the driver; the result has one row per index.
-        """
-        return self.table("membership").groupBy("index_name").agg(F.max("review_date").alias("review_date"))
+        """O1 as a table: latest published review per index, from the reviews table."""
+        return self.table("reviews").groupBy("index_name").agg(F.max("review_date").alias("review_date"))
 
     def _at(self, table: str, at: dict[str, dt.date] | None) -> DataFrame:
         df = self.table(table)
         if at is None:
-            # One small row per index comes back; the dates then become
-            # literal partition filters, so the scan is pruned statically.
-            at = {r.index_name: r.review_date for r in self.latest_reviews().collect()}
+            # semi join on the partition columns: Spark prunes the other reviews at run time
+            return df.join(self.latest_reviews(), ["index_name", "review_date"], "left_semi")
         cond: Column | None = None
         for name, day in sorted(at.items()):
             c = (F.col("index_name") == F.lit(name)) & (F.col("review_date") == F.lit(day))

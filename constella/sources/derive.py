@@ -102,6 +102,9 @@ def review_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["index_name", "review_date"],
         [F.when(F.col("eligible"), 0).otherwise(1), F.col("cents").desc(), F.col("isin")],
         "ordinal",
+        # descending steps of the market cap's logarithm, listed rows after ranked ones
+        F.when(F.col("eligible"), 0).otherwise(1) * 1000
+        - F.floor(F.log(F.greatest(F.col("cents"), F.lit(0)) + F.lit(1.0)) * 16).cast("int"),
     )
     return ordered.select(
         "index_name",

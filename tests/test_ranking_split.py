@@ -1,4 +1,4 @@
-"""The split form of group numbering equals the single-window form."""
+"""Numbering within groups is spread over buckets and equals a plain sort."""
 
 import random
 
@@ -7,22 +7,21 @@ from pyspark.sql import functions as F
 from constella.functions.ranking import ranked_within
 
 
-def test_split_groups_equals_window(spark):
+def test_spread_numbering_equals_sorting(spark):
     rng = random.Random(3)
     rows = [("hot" if rng.random() < 0.6 else f"g{rng.randint(0, 5)}", rng.randint(0, 50), f"k{i:05d}")
             for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, v int, k string")
-    order = [F.col("v").desc(), F.col("k")]
-    plain = ranked_within(df, ["g"], order, "n", split_groups=False)
-    split = ranked_within(df, ["g"], order, "n", split_groups=True, num_partitions=7)
-    a = sorted(map(tuple, plain.select("g", "k", "n").collect()))
-    b = sorted(map(tuple, split.select("g", "k", "n").collect()))
-    assert a == b
-    hot = [n for g, _, n in b if g == "hot"]
-    assert sorted(hot) == list(range(1, len(hot) + 1))
+    out = ranked_within(df, ["g"], [F.col("v").desc(), F.col("k")], "n", -F.floor(F.col("v") / 7))
+    want = []
+    for g in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[1], r[2]))
+        want += [(g, k, n) for n, (_, _, k) in enumerate(own, 1)]
+    assert sorted(map(tuple, out.select("g", "k", "n").collect())) == sorted(want)
 
 
-def test_auto_uses_window_for_small_inputs(spark):
+def test_no_window_holds_a_whole_group(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2)], "g string, v int")
-    plan = ranked_within(df, ["g"], ["v"], "n")._jdf.queryExecution().optimizedPlan().toString()
-    assert "Window" in plan
+    plan = ranked_within(df, ["g"], ["v"], "n", F.floor(F.col("v") / 10))._jdf.queryExecution().optimizedPlan().toString()
+    rows = [line for line in plan.splitlines() if "row_number" in line and "Window" in line]
+    assert rows and all("_bucket" in line for line in rows)

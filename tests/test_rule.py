@@ -1,177 +1,87 @@
-"""Buffer rule (single review and chained), modelled on the reviewed pipeline's cases."""
+"""Buffer rule over chains of reviews, held to the properties of single reviews."""
 
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
-
 from constella.operators import membership as M
 from constella.schemas import DEFAULT_RULE, IndexRule
+from tests.test_rule_property import check_review
+
+LISTED = "index_name string, review_date date, isin string, rank int, ordinal bigint"
+SMALL = IndexRule(auto=8, target=10, buffer_end=14, check_to=5)
+
+
+def day(q):
+    return dt.date(2010 + q // 2, 2 + 6 * (q % 2), 11)
+
+
+def listing(spark, reviews, name="Q"):
+    return spark.createDataFrame([(name, day(q), n, k, k) for q, names in enumerate(reviews)
+                                  for k, n in enumerate(names, 1)], LISTED)
+
+
+def by_review(out):
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.review_date, {})[r.isin] = r.entry_reason
+    return got
+
+
+def check_chain(reviews, rule, got, prior=None):
+    for q, names in enumerate(reviews):
+        check_review(names, prior, rule, got.get(day(q), {}))
+        prior = set(got.get(day(q), {}))
 
-D = dt.date(2024, 3, 1)
-RULES = {"T": DEFAULT_RULE}
 
+def test_published_sizes(spark):
+    rng = random.Random(11)
+    reviews = [[f"S{x}" for x in sorted(range(1100), key=lambda x: x + rng.gauss(0, 90))] for _ in range(4)]
+    got = by_review(M.chain_membership(M.candidates(listing(spark, reviews), {"Q": DEFAULT_RULE}), {"Q": DEFAULT_RULE}))
+    check_chain(reviews, DEFAULT_RULE, got)
+    assert {len(m) for m in got.values()} == {600}
+    assert any("buffer_retained" in m.values() for m in got.values())
 
-def entries(spark, n, day=D, name="T", ranks=None):
-    rows = [(name, day, f"ISIN{i:08d}", f"R{i}", 1000.0 - i, (ranks or {}).get(i, i + 1), None, i + 1)
-            for i in range(n)]
-    return spark.createDataFrame(
-        rows, "index_name string, review_date date, isin string, ric string, ff_mcap double, rank int, "
-              "comment string, ordinal bigint")
 
+def test_random_chains_and_empty_reviews(spark):
+    rng = random.Random(5)
+    reviews = [rng.sample([f"S{x}" for x in range(40)], rng.randint(5, 30)) for _ in range(10)]
+    reviews[4] = []  # no ranked row: no members, and the next review has an empty prior
+    all_days = spark.createDataFrame([("Q", day(q)) for q in range(10)], "index_name string, review_date date")
+    out = M.chain_membership(M.candidates(listing(spark, reviews), {"Q": SMALL}), {"Q": SMALL}, reviews=all_days)
+    got = by_review(out)
+    check_chain(reviews, SMALL, got)
+    assert day(4) not in got and "bootstrap" not in got[day(5)].values()
 
-def prior_rows(spark, isins, day=D, name="T"):
-    return spark.createDataFrame([(name, day, i) for i in isins], "index_name string, review_date date, isin string")
 
+def test_indexes_are_independent(spark):
+    a, b = [["x", "y", "z"]] * 2, [["z", "y"], ["y", "x"]]
+    rules = {"A": IndexRule(1, 2, 3, 1), "B": IndexRule(0, 1, 2, 1)}
+    out = M.chain_membership(M.candidates(listing(spark, a, "A").union(listing(spark, b, "B")), rules), rules)
+    rows = {(r.index_name, r.review_date, r.isin, r.entry_reason) for r in out.collect()}
+    assert ("B", day(1), "x", "fill_to_600") not in rows and ("B", day(1), "y", "fill_to_600") in rows
+    assert ("A", day(1), "y", "buffer_retained") in rows
 
-def reasons(df):
-    out = {}
-    for r in df.collect():
-        out[r.entry_reason] = out.get(r.entry_reason, 0) + 1
-    return out
 
+def test_rechain_equals_full_chain(spark):
+    rng = random.Random(6)
+    reviews = [rng.sample([f"S{x}" for x in range(30)], 25) for _ in range(6)]
+    rules = {"Q": SMALL}
+    old = M.chain_membership(M.candidates(listing(spark, reviews), rules), rules)
+    reviews[3] = list(reversed(reviews[3]))  # a corrected list in the middle
+    cands = M.candidates(listing(spark, reviews), rules)
+    since = spark.createDataFrame([("Q", day(3))], "index_name string, review_date date")
+    got = by_review(M.rechain_from(cands, old, since, rules))
+    assert got == by_review(M.chain_membership(cands, rules)) != by_review(old)
+    check_chain(reviews, SMALL, got)
 
-def given(spark, day=D):
-    return spark.createDataFrame([("T", day)], "index_name string, review_date date")
 
-
-def test_top_550_with_empty_prior(spark):
-    cands = M.candidates(entries(spark, 700), RULES)
-    got = reasons(M.apply_buffer_rule(cands, None, RULES, prior_reviews=given(spark)))
-    assert got == {"top_550": 550, "fill_to_600": 50}
+def test_ties_repeats_and_rows_without_rank_or_isin(spark):
+    rows = [("Q", day(0), "b", 1, 1), ("Q", day(0), "a", 1, 2), ("Q", day(0), "a", 0, 3), ("Q", day(0), "c", None, 4),
+            ("Q", day(0), None, 2, 5)]
+    got = {r.isin: (r.rank, r.position) for r in M.positions(spark.createDataFrame(rows, LISTED)).collect()}
+    assert got == {"a": (1, 1), "b": (1, 2)}
 
 
-def test_buffer_retains_prior_members(spark):
-    cands = M.candidates(entries(spark, 800), RULES)
-    prior = prior_rows(spark, [f"ISIN{i:08d}" for i in range(550, 561)])
-    got = reasons(M.apply_buffer_rule(cands, prior, RULES))
-    assert got["buffer_retained"] == 11 and got["fill_to_600"] == 39
-
-
-def test_fill_when_buffer_insufficient(spark):
-    cands = M.candidates(entries(spark, 800), RULES)
-    prior = prior_rows(spark, [f"ISIN{i:08d}" for i in range(550, 560)])
-    got = reasons(M.apply_buffer_rule(cands, prior, RULES))
-    assert got["fill_to_600"] == 40 and got["buffer_retained"] == 10
-
-
-def test_retained_deep_in_buffer_and_capped(spark):
-    cands = M.candidates(entries(spark, 1000), RULES)
-    prior = prior_rows(spark, [f"ISIN{i:08d}" for i in range(600, 800)])  # positions 601..800
-    out = M.apply_buffer_rule(cands, prior, RULES)
-    got = reasons(out)
-    assert got == {"top_550": 550, "buffer_retained": 50}
-    kept = sorted(r.isin for r in out.where("entry_reason = 'buffer_retained'").collect())
-    assert kept[0] == "ISIN00000600" and kept[-1] == "ISIN00000649"
-
-
-def test_exactly_600_and_bootstrap(spark):
-    cands = M.candidates(entries(spark, 1000), RULES)
-    assert M.apply_buffer_rule(cands, None, RULES, prior_reviews=given(spark)).count() == 600
-    boot = M.apply_buffer_rule(cands, None, RULES)
-    assert reasons(boot) == {"bootstrap": 600}
-
-
-def test_fewer_ranked_than_target(spark):
-    cands = M.candidates(entries(spark, 450), RULES)
-    assert reasons(M.apply_buffer_rule(cands, None, RULES, prior_reviews=given(spark))) == {"top_550": 450}
-
-
-def test_ties_ordered_by_isin(spark):
-    rows = [("T", D, "ISIN_B", 1), ("T", D, "ISIN_A", 1)] + [("T", D, f"ISIN_Z{i:06d}", i + 2) for i in range(598)]
-    df = spark.createDataFrame(rows, "index_name string, review_date date, isin string, rank int").select(
-        "*", F.lit(None).cast("string").alias("ric"), F.lit(None).cast("double").alias("ff_mcap"),
-        F.lit(None).cast("string").alias("comment"), F.monotonically_increasing_id().alias("ordinal"))
-    pos = {r.isin: r.position for r in M.positions(df).collect()}
-    assert pos["ISIN_A"] == 1 and pos["ISIN_B"] == 2
-
-
-def test_unranked_entries_ignored_and_duplicates_first_wins(spark):
-    rows = [("T", D, "A", 2, 1), ("T", D, "A", 1, 2), ("T", D, "B", None, 3), ("T", D, "C", 3, 4)]
-    df = spark.createDataFrame(rows, "index_name string, review_date date, isin string, rank int, ordinal bigint")
-    pos = {r.isin: (r.rank, r.position) for r in M.positions(df).collect()}
-    assert pos == {"A": (2, 1), "C": (3, 2)}
-
-
-# ------------------------------------------------------------------ chained
-
-
-def spec_chain(lists, rule):
-    """Plain-Python statement of the chained rule (prior of t = result of t-1)."""
-    out, prior = [], None
-    for day, ranked in lists:
-        if not prior:
-            picks = [(i, "bootstrap") for i in ranked[: rule.target]]
-        else:
-            picks = [(i, "top_550") for i in ranked[: rule.auto]]
-            for i in ranked[rule.auto: rule.buffer_end]:
-                if len(picks) >= rule.target:
-                    break
-                if i in prior:
-                    picks.append((i, "buffer_retained"))
-            taken = {i for i, _ in picks}
-            for i in ranked:
-                if len(picks) >= rule.target:
-                    break
-                if i not in taken:
-                    picks.append((i, "fill_to_600"))
-        prior = {i for i, _ in picks}
-        out.extend((day, i, r) for i, r in picks)
-    return sorted(out)
-
-
-def test_chain_matches_spec_on_random_lists(spark):
-    rng = random.Random(7)
-    rule = IndexRule(auto=8, target=10, buffer_end=14, check_to=5)
-    rules = {"T": rule}
-    universe = [f"I{i:03d}" for i in range(40)]
-    lists, rows = [], []
-    for q in range(12):
-        day = dt.date(2000 + q // 4, 1 + 3 * (q % 4), 1)
-        names = rng.sample(universe, rng.randint(5, 30))
-        lists.append((day, names))
-        rows += [("T", day, isin, k + 1, k + 1) for k, isin in enumerate(names)]
-    df = spark.createDataFrame(rows, "index_name string, review_date date, isin string, rank int, ordinal bigint")
-    cands = M.candidates(df, rules)
-    want = spec_chain(lists, rule)
-    native = sorted((r.review_date, r.isin, r.entry_reason) for r in M.chain_membership(cands, rules).collect())
-    pandas = sorted((r.review_date, r.isin, r.entry_reason) for r in M.chain_membership_pandas(cands, rules).collect())
-    assert native == want
-    assert pandas == want
-
-
-def test_chain_many_indexes_in_one_job(spark):
-    a = entries(spark, 30, name="A")
-    b = entries(spark, 30, name="B", day=dt.date(2024, 6, 1))
-    rules = {"A": IndexRule(5, 6, 8, 3), "B": IndexRule(10, 12, 15, 3)}
-    out = M.chain_membership(M.candidates(a.unionByName(b), rules), rules)
-    counts = {r.index_name: r["count"] for r in out.groupBy("index_name").count().collect()}
-    assert counts == {"A": 6, "B": 12}
-
-
-def test_rechain_from_published_prior(spark):
-    rule = IndexRule(auto=3, target=4, buffer_end=6, check_to=2)
-    rules = {"T": rule}
-    rows, lists = [], []
-    orders = [list("ABCDEFGH"), list("HGFEDCBA"), list("ABHGCDEF"), list("FEDCBAHG")]
-    for q, names in enumerate(orders):
-        day = dt.date(2020, 1 + 3 * q, 1)
-        lists.append((day, names))
-        rows += [("T", day, n, k + 1, k + 1) for k, n in enumerate(names)]
-    df = spark.createDataFrame(rows, "index_name string, review_date date, isin string, rank int, ordinal bigint")
-    cands = M.candidates(df, rules)
-    full = M.chain_membership(cands, rules)
-    since = spark.createDataFrame([("T", dt.date(2020, 7, 1))], "index_name string, review_date date")
-    again = M.rechain_from(cands, full, since, rules)
-    key = lambda d: sorted((r.review_date, r.isin, r.entry_reason) for r in d.collect())
-    assert key(again) == key(full) == spec_chain(lists, rule)
-
-
-def test_top_n_above_window_limit_threshold(spark):
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "5")
-    try:
-        df = entries(spark, 300)
-        got = sorted(r.position for r in M.top_n(df, 20, salts=7).collect())
-    finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
-    assert got == list(range(1, 21))
+def test_top_n_beyond_the_window_limit(spark):
+    df = listing(spark, [[f"S{x:04d}" for x in range(2600)]])
+    assert sorted(r.position for r in M.top_n(df, 1500, salts=7).collect()) == list(range(1, 1501))

@@ -1,4 +1,4 @@
-"""Property: the relational single-review rule equals the plain-Python rule."""
+"""Properties of one review under the buffer rule, on any list and prior set."""
 
 import datetime as dt
 
@@ -8,53 +8,48 @@ from hypothesis import strategies as st
 from constella.operators import membership as M
 from constella.schemas import IndexRule
 
-D = dt.date(2024, 3, 1)
+DAY = dt.date(2031, 5, 9)
 
 
-def spec_single(ranked, prior, rule):
+def check_review(ranked, prior, rule, got):
+    """``got``: {isin: reason}.  What must hold of a review, zone by zone."""
+    place = {isin: k for k, isin in enumerate(ranked, 1)}
+    by = {reason: sorted((i for i in got if got[i] == reason), key=place.get)
+          for reason in ("bootstrap", "top_550", "buffer_retained", "fill_to_600")}
+    assert len(got) == min(rule.target, len(ranked))
     if prior is None:
-        return {(i, "bootstrap") for i in ranked[: rule.target]}
-    picks = [(i, "top_550") for i in ranked[: rule.auto]]
-    for i in ranked[rule.auto: rule.buffer_end]:
-        if len(picks) >= rule.target:
-            break
-        if i in prior:
-            picks.append((i, "buffer_retained"))
-    taken = {i for i, _ in picks}
-    for i in ranked:
-        if len(picks) >= rule.target:
-            break
-        if i not in taken:
-            picks.append((i, "fill_to_600"))
-    return set(picks)
+        assert by["bootstrap"] == ranked[:rule.target]
+        return
+    assert not by["bootstrap"]
+    head = min(rule.auto, len(ranked))
+    assert by["top_550"] == ranked[:head]
+    zone = [i for i in ranked if rule.auto < place[i] <= rule.buffer_end and i in prior]
+    kept = min(len(zone), rule.target - head)
+    assert by["buffer_retained"] == zone[:kept]
+    rest = [i for i in ranked if i not in by["top_550"] and i not in by["buffer_retained"]]
+    assert by["fill_to_600"] == rest[:max(rule.target - head - kept, 0)]
 
 
 @st.composite
 def cases(draw):
-    auto = draw(st.integers(0, 6))
-    target = auto + draw(st.integers(0, 4))
-    end = target + draw(st.integers(0, 5))
-    n = draw(st.integers(0, 16))
-    names = [f"I{i:02d}" for i in range(n)]
-    prior = draw(st.none() | st.sets(st.sampled_from([f"I{i:02d}" for i in range(20)])))
-    return IndexRule(auto, target, end, 1), names, prior
+    sizes = sorted(draw(st.lists(st.integers(0, 11), min_size=3, max_size=3)))
+    names = draw(st.permutations([f"N{x}" for x in range(17)]))[:draw(st.integers(0, 17))]
+    prior = draw(st.none() | st.sets(st.sampled_from([f"N{x}" for x in range(22)])))
+    return IndexRule(*sizes, 1), list(names), prior
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(cases())
-def test_single_review_rule(spark, case):
+def test_review_properties(spark, case):
     rule, names, prior = case
-    rules = {"T": rule}
-    entries = spark.createDataFrame(
-        [("T", D, isin, k + 1, k + 1) for k, isin in enumerate(names)],
-        "index_name string, review_date date, isin string, rank int, ordinal bigint")
-    cands = M.candidates(entries, rules)
+    listed = spark.createDataFrame([("Q", DAY, n, k, k) for k, n in enumerate(names, 1)],
+                                   "index_name string, review_date date, isin string, rank int, ordinal bigint")
+    cands = M.candidates(listed, {"Q": rule})
     if prior is None:
-        out = M.apply_buffer_rule(cands, None, rules)
+        out = M.apply_buffer_rule(cands, None, {"Q": rule})
     else:
-        prior_df = spark.createDataFrame([("T", D, i) for i in sorted(prior)],
-                                         "index_name string, review_date date, isin string")
-        given_df = spark.createDataFrame([("T", D)], "index_name string, review_date date")
-        out = M.apply_buffer_rule(cands, prior_df, rules, prior_reviews=given_df)
-    got = {(r.isin, r.entry_reason) for r in out.collect()}
-    assert got == spec_single(names, prior, rule)
+        before = spark.createDataFrame([("Q", DAY, i) for i in sorted(prior)],
+                                       "index_name string, review_date date, isin string")
+        told = spark.createDataFrame([("Q", DAY)], "index_name string, review_date date")
+        out = M.apply_buffer_rule(cands, before, {"Q": rule}, prior_reviews=told)
+    check_review(names, prior, rule, {r.isin: r.entry_reason for r in out.collect()})
