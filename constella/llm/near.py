@@ -9,16 +9,13 @@ shingles common, keeps its similarity; common boilerplate still weighs less than
 1. Count table: each task sums its documents' cells; the partial tables are added in a tree.
 2. Signature: 48 improved consistent weighted samples (Ioffe 2010), 12 bands of 4.
 3. Equal texts become one node first, so copies cost one row each and no pair.
-4. Links. All pairs of a bucket that are not yet in one class are compared, but where large groups
-   of near copies would make that more than a few pairs per text, star rounds come first: in half
-   of the bands, every member is compared with one of its bucket's leaders, and buckets whose members
-   have all come into one class leave. The first leaders are drawn by hash; later ones are the
-   members not yet used whose comparisons so far succeeded most often, which are the texts in the
-   middle of a group (the original and its lightly edited copies). What is left is compared pairwise,
-   members outside a bucket's largest class against all of it. Thus no pair of a bucket stays
-   untested unless its two texts are in one class already.
-5. Each pair is first checked on its signatures' agreement, then verified on the exact weighted
-   Jaccard similarity of the two texts (``similarity`` or more).
+4. Links. The members of a bucket are dealt into blocks (by number and by bytes), and all pairs of a
+   block are verified on the exact weighted Jaccard similarity of their texts (``similarity`` or
+   more); a block returns fewer links than it has texts. A bucket of several blocks also has leaders,
+   drawn by hash, which are in all its blocks: in a group of near copies they join most members into
+   one class. The first bands go first; of the others, only buckets with several classes are left.
+5. In a bucket of several blocks, the members outside its largest class then meet all others, block by
+   block. Thus no pair of a bucket stays untested unless its two texts are in one class already.
 6. Classes are the connected parts of the verified links, found by large-star/small-star rounds.
 
 Row cases: a null text is a class of its own, always. Texts without words are equal only byte for
@@ -37,7 +34,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from constella.llm.common import checkpointed, lean_batches, min_classes, staged, table, text_batches, word_hashes
@@ -46,16 +43,13 @@ SHINGLE = 5
 SIMILARITY = 0.8
 CELLS = 1 << 18
 SAMPLES, ROWS = 48, 4
-#: Texts of a block in verification.
-BLOCK = 64
-#: Leaders of a bucket in a star round.
-LEADERS = 8
-#: Of 48 samples this many must agree for an exact comparison; at a similarity of 0.8 the mean is 38.4
-#: and the deviation 2.8, so fewer than 26 is a matter of a few in a million.
-LEAST_AGREEING = 26
+#: Texts and bytes of a block in verification, leaders of a bucket, and columns of a dense product.
+BLOCK, BLOCK_BYTES, LEADERS, COLUMNS = 192, 4 << 20, 48, 4096
+#: Bands of the first round.
+EARLY = 4
 _PARAMETERS = 1 << 14
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
-_SIGNED = "key binary, words boolean, sig binary, bands array<long>"
+_SIGNED = "key binary, words boolean, bands array<long>"
 _draws: list[np.ndarray] = []
 
 
@@ -171,112 +165,143 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
 def _signer(idf: Broadcast):
     @F.arrow_udf(_SIGNED)
     def sign(texts: pa.Array) -> pa.Array:
-        keys, words, sigs, bands = [], [], [], []
+        keys, words, bands = [], [], []
         for text in texts.to_pylist():
             features, weights = weigh(text, idf.value) if text else (np.empty(0, np.uint64), None)
             keys.append(None if text is None else xxhash.xxh3_128_digest(text.encode()))
             words.append(len(features) > 0)
             if len(features):
-                sig = samples(features, weights)
-                sigs.append((sig >> np.uint64(56)).astype(np.uint8).tobytes())
-                bands.append(bands_of(sig))
+                bands.append(bands_of(samples(features, weights)))
             else:
-                sigs.append(None)
                 bands.append(None)
         return pa.StructArray.from_arrays(
-            [pa.array(keys, pa.binary()), pa.array(words, pa.bool_()), pa.array(sigs, pa.binary()),
-             pa.array(bands, pa.list_(pa.int64()))], names=["key", "words", "sig", "bands"])
+            [pa.array(keys, pa.binary()), pa.array(words, pa.bool_()), pa.array(bands, pa.list_(pa.int64()))],
+            names=["key", "words", "bands"])
 
     return sign
 
 
-def _verified(pairs: DataFrame, signed: DataFrame, idf: Broadcast, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Distinct candidate pairs (a, b), and those of them whose texts reach the similarity.
-
-    Nodes are dealt into blocks of about ``BLOCK`` by hash, and a group holds the pairs of two blocks
-    with each text they need once: where many pairs meet in few texts, texts are not sent per pair.
-    """
-    pairs = checkpointed(pairs)
-    nodes = pairs.select("a").union(pairs.select("b")).distinct().count()
-    block = lambda c: F.pmod(F.xxhash64(c, F.lit(11)), F.lit(max(1, nodes // BLOCK)))
-    keyed = pairs.select(block("a").alias("i"), block("b").alias("j"), "a", "b")
-    texts = signed.select("rid", F.col("s.sig").alias("sig"), F.col("row.text").cast("string").alias("text"))
-    needed = keyed.select(F.col("i").alias("p"), F.col("j").alias("q"), F.col("a").alias("rid")).union(
-        keyed.select("i", "j", "b")).distinct().join(texts, "rid")
-
-    def compare(links: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        place = {r: k for k, r in enumerate(held["rid"])}
-        x, y = links["a"].map(place).to_numpy(int), links["b"].map(place).to_numpy(int)
-        sigs = np.frombuffer(b"".join(held["sig"]), np.uint8).reshape(-1, SAMPLES)
-        close = np.flatnonzero((sigs[x] == sigs[y]).sum(axis=1) >= LEAST_AGREEING)
-        weighed = {k: weigh(held["text"].iat[k], idf.value) for k in {*x[close].tolist(), *y[close].tolist()}}
-        keep = [k for k in close if weighted_jaccard(weighed[x[k]], weighed[y[k]]) >= similarity - 1e-6]
-        return links[["a", "b"]].iloc[keep]
-
-    return pairs, keyed.groupBy("i", "j").cogroup(needed.groupBy("p", "q")).applyInPandas(compare, "a long, b long")
-
-
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-
-
-def _links(members: DataFrame, signed: DataFrame, idf: Broadcast, similarity: float, nodes: int,
-           star_rounds: int) -> DataFrame:
+def _occurrences(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle occurrences of a text and their weights: the k-th occurrence of a shingle is a feature
+    of its own, so that the shared weight of two texts is the weight of their common features."""
+    features, tf = shingles(text)
+    weights = np.repeat(idf[_cells(features)].astype(np.float64), tf)
+    ids = np.repeat(features, tf)
+    nth = np.arange(len(ids)) - np.repeat(np.cumsum(tf) - tf, tf)
+    again = nth > 0
+    ids[again] = _mix(ids[again] ^ (nth[again].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    return ids, weights
+
+
+def similarities(texts: list[str], idf: np.ndarray) -> np.ndarray:
+    """Weighted Jaccard similarity of all pairs of a block of texts, by products of dense column blocks."""
+    found = [_occurrences(t, idf) for t in texts]
+    n = len(found)
+    total = np.array([w.sum() for _, w in found])
+    owner = np.repeat(np.arange(n), [len(x) for x, _ in found])
+    _, column, held = np.unique(np.concatenate([x for x, _ in found]), return_inverse=True, return_counts=True)
+    weight = np.sqrt(np.concatenate([w for _, w in found]))
+    kept = np.flatnonzero(held[column] > 1)  # a feature of one text adds to no pair
+    kept = kept[np.argsort(column[kept], kind="stable")]
+    place = (np.cumsum(held > 1) - 1)[column[kept]]
+    both = np.zeros((n, n))
+    for at in range(0, int(place[-1]) + 1 if len(place) else 0, COLUMNS):
+        lo, hi = np.searchsorted(place, [at, at + COLUMNS])
+        dense = np.zeros((n, int(place[hi - 1]) - at + 1))
+        dense[owner[kept[lo:hi]], place[lo:hi] - at] = weight[kept[lo:hi]]
+        both += dense @ dense.T
+    return both / (total[:, None] + total[None, :] - both)
+
+
+def _parts(linked: np.ndarray) -> np.ndarray:
+    """Least index of each one's connected part, of a symmetric matrix of links."""
+    label = np.arange(len(linked))
+    while True:
+        least = np.where(linked, label[None, :], len(linked)).min(axis=1)
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
+
+
+def _verified(dealt: DataFrame, signed: DataFrame, idf: Broadcast, similarity: float) -> DataFrame:
+    """Links (a, b) that connect, within each block (bucket, i, j) of ``dealt``, the texts joined by pairs
+    that reach the similarity. All pairs of a block are verified; fewer links than texts are returned."""
+    texts = signed.select(F.col("rid").alias("node"), F.col("row.text").cast("string").alias("text"))
+
+    def compare(held: pd.DataFrame) -> pd.DataFrame:
+        held = held.drop_duplicates("node").sort_values("node")
+        nodes = held["node"].to_numpy()
+        alike = similarities(held["text"].tolist(), idf.value) >= similarity - 1e-6
+        np.fill_diagonal(alike, True)
+        label = _parts(alike)
+        joined = np.flatnonzero(label != np.arange(len(label)))
+        return pd.DataFrame({"a": nodes[label[joined]], "b": nodes[joined]})
+
+    return checkpointed(dealt.select("bucket", "i", "j", "node").join(texts, "node").groupBy("bucket", "i", "j")
+                        .applyInPandas(compare, "a long, b long"))
+
+
+def _blocks(count: Column, size: Column) -> Column:
+    """Into how many blocks texts are dealt: by their number, and by their bytes."""
+    return F.greatest(F.ceil(count / F.lit(BLOCK)), F.ceil(size / F.lit(BLOCK_BYTES)), F.lit(1)).cast("int")
+
+
+def _dealt(parts: str) -> Column:
+    return F.pmod(F.xxhash64("node", "bucket", F.lit(11)), F.col(parts)).cast("int")
+
+
+def _links(members: DataFrame, signed: DataFrame, idf: Broadcast, similarity: float) -> DataFrame:
     """Verified links between nodes that share a bucket, enough to connect every class.
 
-    ``members``: bucket, band (its number), node, bands (all buckets of the node).
+    ``members``: bucket, band (its number), node, size (bytes of its text).
     """
+    # buckets of the same members (as of two copies that share many bands) count once
+    shared = members.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.sum("size").alias("bytes"), F.bit_xor(F.xxhash64("node")).alias("all"),
+        F.min("node").alias("least"), F.min("band").alias("band")).where("n > 1").groupBy(
+        "n", "bytes", "all", "least").agg(F.min(F.struct("band", "bucket")).alias("b"))
+    live = checkpointed(members.join(shared.select(
+        F.col("b.bucket").alias("bucket"), "n", _blocks(F.col("n"), F.col("bytes")).alias("parts")), "bucket"))
     links = members.sparkSession.createDataFrame([], "a long, b long")
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    live = checkpointed(members.join(shared, "bucket").select(
-        "bucket", "band", "node", "bands", F.col("node").alias("label"), F.lit(0.5).alias("rate")))
-    tested, used = links, links.select(F.col("a").alias("node"))
-    for turn in range(star_rounds + 1):
-        by_class = live.groupBy("bucket", "label").agg(F.count("*").alias("k"))
-        buckets = checkpointed(by_class.groupBy("bucket").agg(
-            F.sum("k").alias("n"), F.max(F.struct("k", "label")).alias("most"), F.count("*").alias("classes")).where(
-            "classes > 1").select("bucket", "n", F.col("most.k").alias("top"), F.col("most.label").alias("largest")))
-        work = buckets.agg(F.sum(F.col("n") * (F.col("n") - F.col("top")))).first()[0] or 0
-        if work == 0:
-            return links
-        if work <= 8 * nodes or turn == star_rounds:
-            # members outside their bucket's largest class, against every member of another class; a pair
-            # that shares several buckets is made in the first of them only
-            outside = live.join(buckets, "bucket").where("label <> largest").select(
-                "bucket", F.col("node").alias("x"), F.col("label").alias("x_label"), F.col("bands").alias("x_bands"),
-                "largest")
-            first = F.forall(F.zip_with(F.slice("bands", 1, F.col("band")), F.slice("x_bands", 1, F.col("band")),
-                                        lambda p, q: p != q), lambda differ: differ)
-            pairs = outside.join(live, "bucket").where(
-                (F.col("label") != F.col("x_label")) & ((F.col("label") == F.col("largest"))
-                                                        | (F.col("node") < F.col("x"))) & first)
-            return checkpointed(links.union(_verified(pairs.select(
-                F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")), signed, idf, similarity)[1]))
-        # star round: half of the bands; a bucket has up to LEADERS leaders, each member meets one of them
-        chosen = live.where(F.pmod(F.col("band") + turn, F.lit(2)) == 0).withColumn(
-            "slot", F.pmod(F.xxhash64("bucket", "node", F.lit(turn)), F.lit(LEADERS)))
-        leaders = checkpointed(chosen.groupBy("bucket", "slot").agg(F.max(F.struct(
-            "rate", F.xxhash64("node", F.lit(turn)).alias("h"), "node", "label")).alias("l")).select(
-            "bucket", "slot", F.col("l.node").alias("leader"), F.col("l.label").alias("leads")))
-        pairs = chosen.join(leaders, ["bucket", "slot"]).where("label <> leads").select(
-            F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
-        pairs, found = _verified(pairs, signed, idf, similarity)
-        found = checkpointed(found)
-        tested, links = tested.union(pairs), links.union(found)
-        used = used.union(leaders.select(F.col("leader").alias("node")))
-        met = _ends(tested).groupBy("node").agg(F.count("*").alias("met"))
-        held = _ends(links).groupBy("node").agg(F.count("*").alias("held"))
-        state = met.join(held, "node", "left").join(used.distinct().withColumn("spent", F.lit(-1.0)), "node", "left").join(
-            min_classes(links).withColumnRenamed("label", "class"), "node", "left").select("node", "class", F.coalesce(
-                "spent", (F.coalesce("held", F.lit(0)) + 1) / (F.col("met") + 2)).alias("now"))
-        live = checkpointed(live.join(state, "node", "left").select(
-            "bucket", "band", "node", "bands", F.coalesce("class", "node").alias("label"),
-            F.coalesce("now", "rate").alias("rate")))
-    raise AssertionError("unreachable")
-
-
-def classify(documents: DataFrame, similarity: float = SIMILARITY, idf_power: float = 0.25,
-             star_rounds: int = 3) -> DataFrame:
+    for early in (True, False):  # the first bands join most classes, whose later buckets then leave
+        if early:
+            now = live.where(F.col("band") < EARLY)
+        else:
+            now = live.where(F.col("band") >= EARLY)
+            several = now.join(min_classes(links), "node", "left").withColumn(
+                "label", F.coalesce("label", "node")).groupBy("bucket").agg(
+                F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
+            now = now.join(several.select("bucket"), "bucket", "left_semi")
+        # every member is in one block of its bucket; some, drawn by hash, are leaders and in all blocks
+        leader = (F.col("parts") > 1) & (F.pmod(F.xxhash64("node", F.lit(5)), F.col("n")) < LEADERS)
+        blocks = F.when(leader, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(_dealt("parts")))
+        dealt = now.select("bucket", "node", F.explode(blocks).alias("i"), F.lit(0).alias("j"))
+        links = links.union(_verified(dealt, signed, idf, similarity))
+    # a bucket of one block is settled; in the others, members outside the largest class meet all the rest
+    open_ = live.where("parts > 1").join(min_classes(links), "node", "left").withColumn(
+        "label", F.coalesce("label", "node"))
+    buckets = open_.groupBy("bucket", "label").agg(F.count("*").alias("k"), F.sum("size").alias("bytes")).groupBy(
+        "bucket").agg(F.sum("k").alias("n"), F.sum("bytes").alias("bytes"), F.count("*").alias("classes"),
+                      F.max(F.struct("k", "bytes", "label")).alias("most")).where("classes > 1").select(
+        "bucket", F.col("most.label").alias("largest"),
+        _blocks(F.col("n") - F.col("most.k"), F.col("bytes") - F.col("most.bytes")).alias("outer"),
+        _blocks(F.col("most.k"), F.col("most.bytes")).alias("inner"))
+    held = checkpointed(open_.select("bucket", "node", "label", "size").join(buckets, "bucket"))
+    if held.isEmpty():
+        return links
+    # blocks (i, j) with i < outer <= j: an outer and an inner one; i < j < outer: two outer ones
+    mine = _dealt("outer")
+    outside = held.where("label <> largest").select("bucket", "node", mine.alias("at"), F.explode(
+        F.sequence(F.lit(0), F.col("outer") + F.col("inner") - 1)).alias("with")).where("at <> with").select(
+        "bucket", "node", F.least("at", "with").alias("i"), F.greatest("at", "with").alias("j"))
+    inside = held.where("label = largest").select(
+        "bucket", "node", F.explode(F.sequence(F.lit(0), F.col("outer") - 1)).alias("i"),
+        (_dealt("inner") + F.col("outer")).alias("j"))
+    return links.union(_verified(outside.union(inside), signed, idf, similarity))
+
+
+def classify(documents: DataFrame, similarity: float = SIMILARITY, idf_power: float = 0.25) -> DataFrame:
     """Per row of ``documents``: ``row`` (the whole input row), ``rid`` (its number), ``class_rid``
     (least row number of its class) and ``class_id`` (least doc_id of its class)."""
     spark = lean_batches(documents.sparkSession)
@@ -290,10 +315,11 @@ def classify(documents: DataFrame, similarity: float = SIMILARITY, idf_power: fl
     copies = rows.where("key is not null").groupBy("key").agg(
         F.min("rid").alias("node"), F.min("doc_id").alias("doc_id"))
     nodes = checkpointed(copies)
-    members = signed.where("s.words").select("rid", F.col("s.bands").alias("bands")).join(
+    members = signed.where("s.words").select(
+        "rid", F.col("s.bands").alias("bands"), F.octet_length(F.col("row.text").cast("string")).cast("long").alias("size")).join(
         nodes.select(F.col("node").alias("rid")), "rid", "left_semi").select(
-        F.col("rid").alias("node"), "bands", F.posexplode("bands").alias("band", "bucket"))
-    links = _links(members, signed, idf, similarity, nodes.count(), star_rounds)
+        F.col("rid").alias("node"), "size", F.posexplode("bands").alias("band", "bucket"))
+    links = _links(members, signed, idf, similarity)
     labels = min_classes(links)
     of_node = nodes.join(labels, "node", "left").select(
         "key", F.coalesce("label", "node").alias("class_rid"), F.col("doc_id"))

@@ -59,7 +59,30 @@ def test_classes_equal_brute_force(spark):
     assert len(set(want)) < len(texts) - 100
 
 
-def test_hot_group_is_one_class_by_stars(spark):
+def test_classes_over_many_blocks_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 8)
+    monkeypatch.setattr(near, "LEADERS", 2)
+    monkeypatch.setattr(near, "COLUMNS", 64)
+    base = prose(1, 120)
+    texts = [" ".join(edited(base, k, 1 + k % 4)) for k in range(90)] + [" ".join(prose(k + 10, 80)) for k in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    idf = near.idf_table(df.select("text"), 0.25)
+    got = {r.doc_id: r.class_id for r in near.classify(df).select("row.doc_id", "class_id").collect()}
+    assert [got[i] for i in range(len(texts))] == brute_classes(texts, idf)
+
+
+def test_block_similarities_equal_pairwise(monkeypatch):
+    monkeypatch.setattr(near, "COLUMNS", 16)
+    base = prose(3, 40, 12)  # few words: shingles repeat
+    texts = [" ".join(base * 3), " ".join(base * 2 + prose(4, 9)), " ".join(edited(base * 3, 1, 4)), "one", "one two"]
+    idf = np.linspace(1, 1.2, near.CELLS).astype(np.float32)
+    weighed = [near.weigh(t, idf) for t in texts]
+    want = [[near.weighted_jaccard(a, b) for b in weighed] for a in weighed]
+    off = ~np.eye(len(texts), dtype=bool)  # a text's own features are left out of the products
+    assert np.allclose(near.similarities(texts, idf)[off], np.array(want)[off], atol=1e-6)
+
+
+def test_hot_group_is_one_class_by_leaders(spark):
     base = prose(1, 150)
     texts = [" ".join(edited(base, k, 1)) for k in range(300)] + [" ".join(prose(k + 10, 80)) for k in range(60)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
