@@ -224,10 +224,9 @@ def _parts(linked: np.ndarray) -> np.ndarray:
         label = least
 
 
-def _verified(dealt: DataFrame, signed: DataFrame, idf: Broadcast, similarity: float) -> DataFrame:
+def _verified(dealt: DataFrame, texts: DataFrame, idf: Broadcast, similarity: float) -> DataFrame:
     """Links (a, b) that connect, within each block (bucket, i, j) of ``dealt``, the texts joined by pairs
     that reach the similarity. All pairs of a block are verified; fewer links than texts are returned."""
-    texts = signed.select(F.col("rid").alias("node"), F.col("row.text").cast("string").alias("text"))
 
     def compare(held: pd.DataFrame) -> pd.DataFrame:
         held = held.drop_duplicates("node").sort_values("node")
@@ -251,10 +250,10 @@ def _dealt(parts: str) -> Column:
     return F.pmod(F.xxhash64("node", "bucket", F.lit(11)), F.col(parts)).cast("int")
 
 
-def _links(members: DataFrame, signed: DataFrame, idf: Broadcast, similarity: float) -> DataFrame:
+def _links(members: DataFrame, texts: DataFrame, idf: Broadcast, similarity: float) -> DataFrame:
     """Verified links between nodes that share a bucket, enough to connect every class.
 
-    ``members``: bucket, band (its number), node, size (bytes of its text).
+    ``members``: bucket, band (its number), node, size (bytes of its text). ``texts``: node, text.
     """
     # buckets of the same members (as of two copies that share many bands) count once
     shared = members.groupBy("bucket").agg(
@@ -263,6 +262,8 @@ def _links(members: DataFrame, signed: DataFrame, idf: Broadcast, similarity: fl
         "n", "bytes", "all", "least").agg(F.min(F.struct("band", "bucket")).alias("b"))
     live = checkpointed(members.join(shared.select(
         F.col("b.bucket").alias("bucket"), "n", _blocks(F.col("n"), F.col("bytes")).alias("parts")), "bucket"))
+    # all texts move once; the rounds move only those that share a bucket
+    texts = staged(texts.join(live.select("node").distinct(), "node", "left_semi"), "near-texts")
     links = members.sparkSession.createDataFrame([], "a long, b long")
     for early in (True, False):  # the first bands join most classes, whose later buckets then leave
         if early:
@@ -277,7 +278,7 @@ def _links(members: DataFrame, signed: DataFrame, idf: Broadcast, similarity: fl
         leader = (F.col("parts") > 1) & (F.pmod(F.xxhash64("node", F.lit(5)), F.col("n")) < LEADERS)
         blocks = F.when(leader, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(_dealt("parts")))
         dealt = now.select("bucket", "node", F.explode(blocks).alias("i"), F.lit(0).alias("j"))
-        links = links.union(_verified(dealt, signed, idf, similarity))
+        links = links.union(_verified(dealt, texts, idf, similarity))
     # a bucket of one block is settled; in the others, members outside the largest class meet all the rest
     open_ = live.where("parts > 1").join(min_classes(links), "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
@@ -298,7 +299,7 @@ def _links(members: DataFrame, signed: DataFrame, idf: Broadcast, similarity: fl
     inside = held.where("label = largest").select(
         "bucket", "node", F.explode(F.sequence(F.lit(0), F.col("outer") - 1)).alias("i"),
         (_dealt("inner") + F.col("outer")).alias("j"))
-    return links.union(_verified(outside.union(inside), signed, idf, similarity))
+    return links.union(_verified(outside.union(inside), texts, idf, similarity))
 
 
 def classify(documents: DataFrame, similarity: float = SIMILARITY, idf_power: float = 0.25) -> DataFrame:
@@ -319,7 +320,8 @@ def classify(documents: DataFrame, similarity: float = SIMILARITY, idf_power: fl
         "rid", F.col("s.bands").alias("bands"), F.octet_length(F.col("row.text").cast("string")).cast("long").alias("size")).join(
         nodes.select(F.col("node").alias("rid")), "rid", "left_semi").select(
         F.col("rid").alias("node"), "size", F.posexplode("bands").alias("band", "bucket"))
-    links = _links(members, signed, idf, similarity)
+    texts = signed.select(F.col("rid").alias("node"), F.col("row.text").cast("string").alias("text"))
+    links = _links(members, texts, idf, similarity)
     labels = min_classes(links)
     of_node = nodes.join(labels, "node", "left").select(
         "key", F.coalesce("label", "node").alias("class_rid"), F.col("doc_id"))
