@@ -489,15 +489,24 @@ LEFT JOIN (SELECT e.index_name, e.review_date, count(DISTINCT e.rank) AS present
 
 oracle("dq_keys", "entries", "assets", "reviews")(
     """
-SELECT n.index_name, COALESCE(d.duplicate_isins, 0) AS duplicate_isins, COALESCE(o.orphan_isins, 0) AS orphan_isins
-FROM (SELECT DISTINCT index_name FROM reviews) n
-LEFT JOIN (SELECT index_name, count(*) AS duplicate_isins FROM
-             (SELECT index_name, isin FROM assets GROUP BY ALL HAVING count(*) > 1) x GROUP BY ALL) d
-  USING (index_name)
-LEFT JOIN (SELECT index_name, count(*) AS orphan_isins FROM
-             (SELECT DISTINCT index_name, isin FROM entries) e
-             WHERE NOT EXISTS (SELECT 1 FROM assets a WHERE a.index_name = e.index_name AND a.isin = e.isin)
-           GROUP BY ALL) o USING (index_name)
+, snapshots AS (
+  SELECT index_name, isin, 'current' AS snapshot FROM assets
+  UNION ALL
+  SELECT index_name, isin, 'previous' FROM assets WHERE CAST(internal_key AS BIGINT) % 2 = 0
+  UNION ALL
+  SELECT index_name, isin, 'previous' FROM assets WHERE CAST(internal_key AS BIGINT) % 10 = 0),
+names AS (SELECT * FROM (SELECT DISTINCT index_name FROM reviews) r, (VALUES ('current'), ('previous')) v(snapshot))
+SELECT n.index_name, n.snapshot, COALESCE(d.duplicate_isins, 0) AS duplicate_isins,
+       COALESCE(o.orphan_isins, 0) AS orphan_isins
+FROM names n
+LEFT JOIN (SELECT index_name, snapshot, count(*) AS duplicate_isins FROM
+             (SELECT index_name, snapshot, isin FROM snapshots GROUP BY ALL HAVING count(*) > 1) x GROUP BY ALL) d
+  USING (index_name, snapshot)
+LEFT JOIN (SELECT e.index_name, e.snapshot, count(*) AS orphan_isins FROM
+             (SELECT DISTINCT e.index_name, e.isin, n.snapshot FROM entries e JOIN names n USING (index_name)) e
+             WHERE NOT EXISTS (SELECT 1 FROM snapshots a WHERE a.index_name = e.index_name
+                                 AND a.snapshot = e.snapshot AND a.isin = e.isin)
+           GROUP BY ALL) o USING (index_name, snapshot)
 """
 )
 
@@ -788,10 +797,20 @@ WHERE review_date < DATE '1999-12-01' AND trim(COALESCE(raw_isin, '')) <> ''
 _LIST = "index_name, review_date, internal_key, isin, ric, name, country, currency, sedol, ff_mcap, rank"
 oracle("sel_normalise", "csv_rows")(f"SELECT {_LIST}, comment FROM csv_rows")
 oracle("sel_assets", "csv_rows")(
-    "SELECT index_name, file, internal_key, isin, ric, name, country, currency, sedol FROM csv_rows"
+    """
+SELECT index_name, file, internal_key, isin, ric,
+       CASE WHEN CAST(internal_key AS BIGINT) % 10 = 0 THEN 'EARLIER' ELSE name END AS name, country, currency, sedol
+FROM csv_rows
+"""
 )
 oracle("dq_review_date", "csv_rows")(
-    "SELECT DISTINCT index_name, file, CAST(1 AS BIGINT) AS review_dates, TRUE AS ok FROM csv_rows"
+    """
+SELECT index_name, file, count(DISTINCT d) AS review_dates, count(DISTINCT d) = 1 AS ok
+FROM (SELECT index_name, file,
+             CASE WHEN CAST(internal_key AS BIGINT) % 499 = 0 THEN DATE '1900-01-01' ELSE review_date END AS d
+      FROM csv_rows) x
+GROUP BY ALL
+"""
 )
 oracle("sel_normalise_legacy", "legacy_rows")(f"SELECT {_LIST} FROM legacy_rows")
 oracle("header_dates", "sel_rows")(
@@ -824,7 +843,30 @@ SELECT index_name, review_date, isin, ff_mcap, rank, 'legacy' FROM legacy_rows
 )
 
 oracle("incremental_sync", "membership")("SELECT * FROM membership")
-oracle("backfill_chain", "membership")("SELECT * FROM membership")
+# The whole chain of the corrected lists, from the first review on: the middle review's candidates are
+# reversed, and the chain's statements are the same with other names.
+cte(
+    "corrected_cands",
+    ("cands", "review_k"),
+    """
+SELECT c.index_name, c.review_date, c.isin,
+       CASE WHEN k.k = (n.n + 1) // 2
+            THEN max(c.position) OVER (PARTITION BY c.index_name, c.review_date) + 1 - c.position
+            ELSE c.position END AS position
+FROM cands c JOIN review_k k USING (index_name, review_date)
+JOIN (SELECT index_name, count(*) AS n FROM review_k GROUP BY index_name) n USING (index_name)
+""",
+)
+for _name, _deps, _renamed in (
+    ("lists", ("corrected_cands", "rules"), {"FROM cands": "FROM corrected_cands"}),
+    ("chain", ("corrected_lists",), {"FROM lists": "FROM corrected_lists", "FROM chain": "FROM corrected_chain"}),
+    ("membership", ("corrected_chain",), {"FROM chain": "FROM corrected_chain"}),
+):
+    _body = CTES[_name][1]
+    for _old, _new in _renamed.items():
+        _body = _body.replace(_old, _new)
+    cte(f"corrected_{_name}", _deps, _body)
+oracle("backfill_chain", "corrected_membership")("SELECT * FROM corrected_membership")
 
 oracle("member_dates", "membership")(
     """

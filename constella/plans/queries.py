@@ -314,27 +314,29 @@ def dq_rank_600(b: ReviewBook) -> DataFrame:
 
 @query(stage=False)
 def dq_keys(b: ReviewBook) -> DataFrame:
-    """V4: ISINs duplicated in assets; entry ISINs missing from assets."""
-    dup = (
-        b.assets.groupBy("index_name", "isin")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > 1)
-        .groupBy("index_name")
-        .agg(F.count(F.lit(1)).alias("duplicate_isins"))
-    )
-    orphans = (
-        b.entries.select("index_name", "isin")
-        .distinct()
-        .join(b.assets.select("index_name", "isin"), ["index_name", "isin"], "left_anti")
-        .groupBy("index_name")
-        .agg(F.count(F.lit(1)).alias("orphan_isins"))
-    )
-    names = b.reviews.select("index_name").distinct()
-    return names.join(dup, "index_name", "left").join(orphans, "index_name", "left").select(
-        "index_name",
-        F.coalesce("duplicate_isins", F.lit(0)).alias("duplicate_isins"),
-        F.coalesce("orphan_isins", F.lit(0)).alias("orphan_isins"),
-    )
+    """V4: ISINs duplicated in an assets snapshot; entry ISINs missing from it.
+
+    Both snapshots are checked: the current one is clean, the previous one has duplicates and gaps.
+    """
+    listed = b.entries.select("index_name", "isin").distinct()
+    names = listed.select("index_name").distinct()
+    previous = G.previous_snapshot(b.spark, b.sf_dir, b.assets)
+    reports = []
+    for snapshot, assets in (("current", b.assets), ("previous", previous)):
+        counts = assets.groupBy("index_name", "isin").agg(F.count(F.lit(1)).alias("n"))
+        dup = counts.groupBy("index_name").agg(F.count_if(F.col("n") > 1).alias("duplicate_isins"))
+        orphans = (
+            listed.join(counts, ["index_name", "isin"], "left_anti")
+            .groupBy("index_name")
+            .agg(F.count(F.lit(1)).alias("orphan_isins"))
+        )
+        reports.append(names.join(dup, "index_name", "left").join(orphans, "index_name", "left").select(
+            "index_name",
+            F.lit(snapshot).alias("snapshot"),
+            F.coalesce("duplicate_isins", F.lit(0)).alias("duplicate_isins"),
+            F.coalesce("orphan_isins", F.lit(0)).alias("orphan_isins"),
+        ))
+    return reports[0].unionByName(reports[1])
 
 
 # ---------------------------------------------------------------- the dataset
@@ -519,14 +521,26 @@ def sel_normalise(b: ReviewBook) -> DataFrame:
 
 @query
 def sel_assets(b: ReviewBook) -> DataFrame:
-    """Assets of each CSV list (first row per internal key)."""
-    return S.csv_assets(_csv_rows(b), by_internal_key=True)
+    """Assets of each CSV list (first row per internal key).
+
+    Some keys are listed again under another name, before or after their own row; the first row wins.
+    """
+    key = F.col("internal_key").cast("bigint")
+    copies = _csv_rows(b).withColumn("copy", F.explode(F.array_compact(F.array(
+        F.lit("ROW"), F.when(key % 10 == 0, F.lit("EARLIER")), F.when(key % 9 == 0, F.lit("LATER"))))))
+    rows = copies.withColumn("name", F.when(F.col("copy") == "ROW", F.col("name")).otherwise(F.col("copy"))).withColumn(
+        "_block", F.when(F.col("copy") == "EARLIER", F.lit(-1)).when(
+            F.col("copy") == "LATER", F.col("_block") + (1 << 48)).otherwise(F.col("_block")))
+    return S.csv_assets(rows.drop("copy"), by_internal_key=True)
 
 
 @query
 def dq_review_date(b: ReviewBook) -> DataFrame:
-    """V2: each CSV list carries exactly one review date."""
-    return S.csv_review_dates(S.read_csv_lists(b.spark, b.csv_dir))
+    """V2: each CSV list carries exactly one review date; rows of some keys carry another one."""
+    lists = S.read_csv_lists(b.spark, b.csv_dir)
+    other = F.trim("internal_key").cast("bigint") % 499 == 0
+    return S.csv_review_dates(lists.withColumn(
+        "creation_date", F.when(other, F.lit("19000101")).otherwise(F.col("creation_date"))))
 
 
 def _legacy(b: ReviewBook) -> DataFrame:
@@ -591,12 +605,16 @@ def incremental_sync(b: ReviewBook) -> DataFrame:
 
 @query
 def backfill_chain(b: ReviewBook) -> DataFrame:
-    """A changed mid-history review re-chains every later review from its prior."""
+    """A corrected mid-history review (its candidates in reverse order) re-chains every later one."""
     k = Window.partitionBy("index_name").orderBy("review_date")
     n = Window.partitionBy("index_name")
     ordered = b.reviews.select(*KEY, F.row_number().over(k).alias("k"), F.count(F.lit(1)).over(n).alias("n"))
     since = ordered.where(F.col("k") == F.ceil(F.col("n") / 2)).select(*KEY)
-    return M.rechain_from(b.candidates, b.membership, since, b.rules)
+    # one row per corrected review: the place after its last candidate
+    ends = b.candidates.join(F.broadcast(since), KEY).groupBy(*KEY).agg((F.max("position") + 1).alias("end"))
+    corrected = b.candidates.join(F.broadcast(ends), KEY, "left").withColumn(
+        "position", F.coalesce(F.col("end") - F.col("position"), F.col("position"))).drop("end")
+    return M.rechain_from(corrected, b.membership, since, b.rules)
 
 
 @query(stage=False)
