@@ -117,6 +117,20 @@ class ReviewBook:
         S.write_csv_lists(self.selection_rows.where(F.col("review_date") >= cut), path)
         return path
 
+    @cached_property
+    def whole_csv_dir(self) -> str:
+        """All lists, on both sides of the cutoff, written as one CSV file per review."""
+        path = scratch_path(self.spark, "whole-csv-lists")
+        S.write_csv_lists(self.selection_rows, path)
+        return path
+
+    @cached_property
+    def whole_legacy_dir(self) -> str:
+        """All lists, on both sides of the cutoff, written as extracted report tables plus header lines."""
+        path = scratch_path(self.spark, "whole-legacy-reports")
+        S.write_legacy_reports(self.selection_rows, path)
+        return path
+
     @cached_property
     def legacy_dir(self) -> str:
         """Older lists, written as extracted report tables plus header lines."""

@@ -842,6 +842,18 @@ SELECT index_name, review_date, isin, ff_mcap, rank, 'legacy' FROM legacy_rows
 """
 )
 
+# The same statements without the date cut, for the queries over all lists.
+_CUTS = ("WHERE r.review_date >= DATE '1999-12-01'", "review_date < DATE '1999-12-01' AND ",
+         "WHERE review_date < DATE '1999-12-01'")
+for _name, _from in (("sel_normalise", "csv_rows"), ("sel_assets", "csv_rows"), ("dq_review_date", "csv_rows"),
+                     ("sel_normalise_legacy", "legacy_rows"), ("header_dates", "sel_rows"), ("norm_names", "sel_rows")):
+    _sql = ORACLE[_name]
+    for _cut in _CUTS:
+        _sql = _sql.replace(_cut, "")
+    if _sql == ORACLE[_name] or "1999-12-01" in _sql:
+        raise ValueError(f"{_name}: the date cut of {_from} was not found")
+    ORACLE[f"{_name}_whole"] = _sql
+
 oracle("incremental_sync", "membership")("SELECT * FROM membership")
 # The whole chain of the corrected lists, from the first review on: the middle review's candidates are
 # reversed, and the chain's statements are the same with other names.

@@ -509,8 +509,8 @@ LIST_COLUMNS = ["index_name", "review_date", "internal_key", "isin", "ric", "nam
                 "sedol", "ff_mcap", "rank"]
 
 
-def _csv_rows(b: ReviewBook) -> DataFrame:
-    return S.normalise_csv_lists(S.read_csv_lists(b.spark, b.csv_dir), _lookup(b))
+def _csv_rows(b: ReviewBook, path: str | None = None) -> DataFrame:
+    return S.normalise_csv_lists(S.read_csv_lists(b.spark, path or b.csv_dir), _lookup(b))
 
 
 @query
@@ -525,8 +525,12 @@ def sel_assets(b: ReviewBook) -> DataFrame:
 
     Some keys are listed again under another name, before or after their own row; the first row wins.
     """
+    return _list_assets(_csv_rows(b))
+
+
+def _list_assets(rows: DataFrame) -> DataFrame:
     key = F.col("internal_key").cast("bigint")
-    copies = _csv_rows(b).withColumn("copy", F.explode(F.array_compact(F.array(
+    copies = rows.withColumn("copy", F.explode(F.array_compact(F.array(
         F.lit("ROW"), F.when(key % 10 == 0, F.lit("EARLIER")), F.when(key % 9 == 0, F.lit("LATER"))))))
     rows = copies.withColumn("name", F.when(F.col("copy") == "ROW", F.col("name")).otherwise(F.col("copy"))).withColumn(
         "_block", F.when(F.col("copy") == "EARLIER", F.lit(-1)).when(
@@ -537,14 +541,17 @@ def sel_assets(b: ReviewBook) -> DataFrame:
 @query
 def dq_review_date(b: ReviewBook) -> DataFrame:
     """V2: each CSV list carries exactly one review date; rows of some keys carry another one."""
-    lists = S.read_csv_lists(b.spark, b.csv_dir)
+    return _list_dates(S.read_csv_lists(b.spark, b.csv_dir))
+
+
+def _list_dates(lists: DataFrame) -> DataFrame:
     other = F.trim("internal_key").cast("bigint") % 499 == 0
     return S.csv_review_dates(lists.withColumn(
         "creation_date", F.when(other, F.lit("19000101")).otherwise(F.col("creation_date"))))
 
 
-def _legacy(b: ReviewBook) -> DataFrame:
-    rows, lines = S.read_legacy_reports(b.spark, b.legacy_dir)
+def _legacy(b: ReviewBook, path: str | None = None) -> DataFrame:
+    rows, lines = S.read_legacy_reports(b.spark, path or b.legacy_dir)
     return S.normalise_legacy_reports(rows, lines)
 
 
@@ -577,6 +584,47 @@ def sel_union_dialects(b: ReviewBook) -> DataFrame:
     return csv.unionByName(old, allowMissingColumns=True)
 
 
+# The six queries above see the lists of one side of the date cut; these see all lists in their dialect.
+
+
+@query
+def sel_normalise_whole(b: ReviewBook) -> DataFrame:
+    """``sel_normalise`` over all lists."""
+    return _csv_rows(b, b.whole_csv_dir).select(*LIST_COLUMNS, "comment")
+
+
+@query
+def sel_assets_whole(b: ReviewBook) -> DataFrame:
+    """``sel_assets`` over all lists."""
+    return _list_assets(_csv_rows(b, b.whole_csv_dir))
+
+
+@query
+def dq_review_date_whole(b: ReviewBook) -> DataFrame:
+    """``dq_review_date`` over all lists."""
+    return _list_dates(S.read_csv_lists(b.spark, b.whole_csv_dir))
+
+
+@query
+def sel_normalise_legacy_whole(b: ReviewBook) -> DataFrame:
+    """``sel_normalise_legacy`` over all lists."""
+    return _legacy(b, b.whole_legacy_dir).select(*LIST_COLUMNS)
+
+
+@query
+def header_dates_whole(b: ReviewBook) -> DataFrame:
+    """``header_dates`` over all lists."""
+    _, lines = S.read_legacy_reports(b.spark, b.whole_legacy_dir)
+    return S.header_review_dates(lines)
+
+
+@query
+def norm_names_whole(b: ReviewBook) -> DataFrame:
+    """``norm_names`` over all lists."""
+    rows, _ = S.read_legacy_reports(b.spark, b.whole_legacy_dir)
+    return S.legacy_header_names(rows)
+
+
 # ----------------------------------------------------------------- incremental
 
 
