@@ -9,12 +9,13 @@ counted over all documents. A document's shingles are looked up among these keys
 word ``p`` of a shingle that stands at offset ``o`` of a window of ``L`` words is tested only if the
 window fits (``0 <= p - o`` and ``p - o + L <= n_words``), and then word by word.
 
-The benchmark is streamed in blocks of at most ``BLOCK_WORDS`` words (a longer item forms a block of
-its own), so each broadcast has a fixed bound; documents are read once more per block and never
-shuffled. Between blocks the partial results are written to the shared folder.
+The benchmark is streamed in blocks of at most ``BLOCK_WORDS`` words; a longer item is cut into pieces
+that share ``WINDOW - 1`` words, so no window is lost and each broadcast has a fixed bound. Documents
+are read once more per block and never shuffled. Between blocks the partial results are written to the
+shared folder.
 
 Row cases: null or wordless texts have no words and no hits. Null benchmark texts and items without
-words have no windows; items with a null id are skipped. Repeated rows of documents give repeated
+words have no windows. Items with a null id hit as any other and count as one item. Repeated rows of documents give repeated
 rows; repeated items count once per id. Extra columns of any name pass through in one struct.
 """
 
@@ -70,26 +71,41 @@ def _at(sorted_keys: np.ndarray, values: np.ndarray) -> np.ndarray:
     return maybe[sorted_keys[place] == values[maybe]]
 
 
-def windows_of(items: list[tuple[int, str | None]]) -> dict[tuple[bytes, ...], list[int]]:
+def _in_order(ids: set[int | None]) -> list[int | None]:
+    """Ids in order, a null last."""
+    return sorted(ids - {None}) + [None] * (None in ids)
+
+
+def windows_of(items: list[tuple[int | None, str | None]]) -> dict[tuple[bytes, ...], list[int | None]]:
     """Distinct windows of the items, with the ids of the items that hold them."""
-    found: dict[tuple[bytes, ...], set[int]] = defaultdict(set)
-    for item, text in items:
-        words = words_of(text)
-        if words and item is not None:
+    return _windows([(item, words_of(text)) for item, text in items])
+
+
+def _windows(pieces: list[tuple[int | None, list[bytes]]]) -> dict[tuple[bytes, ...], list[int | None]]:
+    found: dict[tuple[bytes, ...], set[int | None]] = defaultdict(set)
+    for item, words in pieces:
+        if words:
             for at in range(max(1, len(words) - WINDOW + 1)):
                 found[tuple(words[at:at + WINDOW])].add(item)
-    return {w: sorted(ids) for w, ids in found.items()}
+    return {w: _in_order(ids) for w, ids in found.items()}
+
+
+def _pieces(words: list[bytes], most: int) -> Iterator[list[bytes]]:
+    """The words in pieces of at most ``most`` (one window at least) that hold each window once."""
+    step = max(1, most - WINDOW + 1)
+    for at in range(0, max(1, len(words) - WINDOW + 1), step):
+        yield words[at:at + step + WINDOW - 1]
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[int, str | None]]]:
+def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[int | None, list[bytes]]]]:
     block, size = [], 0
     for r in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():
-        n = len(words_of(r[1]))
-        if block and size + n > block_words:
-            yield block
-            block, size = [], 0
-        block.append((r[0], r[1]))
-        size += n
+        for words in _pieces(words_of(r[1]), block_words):
+            if block and size + len(words) > block_words:
+                yield block
+                block, size = [], 0
+            block.append((r[0], words))
+            size += len(words)
     if block:
         yield block
 
@@ -168,7 +184,7 @@ def _finder(shared: Broadcast):
             if old and old["spans"]:
                 spans = merge(spans + [(s["start"], s["end"]) for s in old["spans"]])
                 items.update(old["items"])
-            rows.append({"n_words": n, "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(items)})
+            rows.append({"n_words": n, "spans": [{"start": a, "end": b} for a, b in spans], "items": _in_order(items)})
         span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
         return pa.array(rows, pa.struct([("n_words", pa.int64()), ("spans", pa.list_(span)),
                                          ("items", pa.list_(pa.int64()))]))
@@ -184,7 +200,7 @@ def match(documents: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_W
     out = rows.withColumn("found", F.lit(None).cast(_parse(_FOUND)))
     blocks = 0
     for block in _blocks(benchmark, block_words):
-        windows = windows_of(block)
+        windows = _windows(block)
         if not windows:
             continue
         if blocks:

@@ -3,8 +3,10 @@
 import itertools
 import random
 
+import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from constella.llm import common, decontaminate, near
 from tests.llm.cases import EDGE_TEXTS, documents
@@ -175,6 +177,36 @@ def test_decontamination_equals_brute_force(spark, block_words):
         assert r.bad == (hits > 0 and 20 * hits >= n)
 
 
+@pytest.mark.parametrize("block_words", [2_000_000, 40])
+def test_items_without_id_hit_as_in_sql(spark, block_words):
+    body = prose(1, 30, 500)
+    texts = ["x " + " ".join(body) + " y", " ".join(prose(2, 60, 500)), "a b c d", None]
+    items = [(None, " ".join(body)), (3, " ".join(body[5:25])), (None, "b C"), (4, None)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.match(df, bench, block_words).select("row.doc_id", decontaminate.n_hit().alias("n_hit"),
+                                                               F.size("found.items").alias("n_items"))
+    got = sorted(tuple(r) for r in found.collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    assert got == sorted(con.execute(f"SELECT doc_id, n_hit, n_items FROM ({decontaminate.OP7_SQL})").fetchall())
+    assert got == [(0, 30, 2), (1, 0, 0), (2, 2, 1), (3, 0, 0)]
+
+
+@pytest.mark.parametrize("most", [1, 13, 14, 20, 40, 1000])
+def test_pieces_hold_each_window_once(most):
+    size = decontaminate.WINDOW
+    for n in (0, 1, 12, 13, 14, 40, 41):
+        words = [str(i).encode() for i in range(n)]
+        pieces = list(decontaminate._pieces(words, most))
+        held = [tuple(p[i:i + size]) for p in pieces for i in range(max(1, len(p) - size + 1))]
+        assert held == [tuple(words[i:i + size]) for i in range(max(1, n - size + 1))]
+        assert all(len(p) <= max(most, size) for p in pieces)
+
+
 def test_decontamination_edge_rows(spark):
     docs = documents(spark)
     none = spark.createDataFrame([], "item_id long, text string")
