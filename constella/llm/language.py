@@ -189,10 +189,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str, least_score: float = 0.5) -> DataFrame:
-    """Pipeline stage: rows whose language is found with ``least_score`` stay; all columns kept.
+def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: rows whose language is found stay, whatever its score; all columns kept.
 
-    Rejected: no letter, null text, or no language surer than all others together.
+    Rejected, as ``und`` in op3: no letter, or null text.
     """
     model = learn(training_rows(docs))
     shared = lean_batches(spark).sparkContext.broadcast(model)
@@ -202,8 +202,7 @@ def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str, least_scor
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = worker_scorer(shared)
         for part, texts in text_batches(batches, at):
-            found = [scorer.predict(t) for t in texts]
-            keep = [lang != UNKNOWN and score >= least_score for lang, score in found]
+            keep = [scorer.predict(t)[0] != UNKNOWN for t in texts]
             yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

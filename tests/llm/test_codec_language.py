@@ -104,3 +104,17 @@ def test_language_edge_rows(spark):
     kept = language.stage_language(spark, docs, "")
     assert kept.columns == docs.columns
     assert kept.where("text is null").count() == 0
+
+
+def test_stage_keeps_every_row_with_a_language(spark):
+    train = [(3 * i, t, lang) for i in range(30) for t, lang in [(f"the cat and the dog {i}", "en")]] + [
+        (3 * i, t, lang) for i in range(30, 60) for t, lang in [(f"der hund und die katze {i}", "de")]] + [
+        (3 * i, t, lang) for i in range(60, 90) for t, lang in [(f"le chien et le chat {i}", "fr")]]
+    short = [(1001, "漢字", None), (1002, "the der le", None), (1003, "123 ...", None), (1004, None, None)]
+    docs = spark.createDataFrame(train + short, "doc_id long, text string, lang string")
+    scorer = language.Scorer(language.learn(language.training_rows(docs)))
+    predicted = {i: scorer.predict(t) for i, t, _ in train + short}
+    assert any(lang != language.UNKNOWN and score < 0.5 for lang, score in predicted.values())
+    kept = {r.doc_id for r in language.stage_language(spark, docs, "").collect()}
+    assert kept == {i for i, (lang, _) in predicted.items() if lang != language.UNKNOWN}
+    assert {1001, 1002} <= kept and not {1003, 1004} & kept
