@@ -7,7 +7,8 @@ fixed size (``CELLS``). The power is below 1 so that a large group of copies, wh
 shingles common, keeps its similarity; common boilerplate still weighs less than rare text.
 
 1. Count table: each task sums its documents' cells; the partial tables are added in a tree.
-2. Signature: 48 improved consistent weighted samples (Ioffe 2010), 12 bands of 4.
+2. Signature: 96 improved consistent weighted samples (Ioffe 2010), 24 bands of 4. A lone pair at
+   similarity 0.80 shares no band with probability (1 - 0.8^4)^24, under 4 in a million.
 3. Equal texts become one node first, so copies cost one row each and no pair.
 4. Links. The members of a bucket are dealt into blocks (by number and by bytes), and all pairs of a
    block are verified on the exact weighted Jaccard similarity of their texts (``similarity`` or
@@ -42,7 +43,7 @@ from constella.llm.common import checkpointed, lean_batches, min_classes, staged
 SHINGLE = 5
 SIMILARITY = 0.8
 CELLS = 1 << 18
-SAMPLES, ROWS = 48, 4
+SAMPLES, ROWS = 96, 4
 #: Texts and bytes of a block in verification, leaders of a bucket, and columns of a dense product.
 BLOCK, BLOCK_BYTES, LEADERS, COLUMNS = 192, 4 << 20, 48, 4096
 #: Bands of the first round.
@@ -127,7 +128,7 @@ def _parameters() -> list[np.ndarray]:
 
 
 def samples(features: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The 48 samples (shingle, level) of a weighted set, each as one 64-bit hash."""
+    """The 96 samples (shingle, level) of a weighted set, each as one 64-bit hash."""
     r, inverse, log_c, beta = _parameters()
     best = np.full(SAMPLES, np.inf, np.float32)
     out = np.zeros(SAMPLES, np.uint64)

@@ -118,6 +118,17 @@ def test_samples_estimate_weighted_jaccard():
     assert abs(agreed - exact) < 0.05
 
 
+def test_lone_pairs_at_the_threshold_share_a_band():
+    rng = np.random.default_rng(8)
+    ones = np.ones(90, np.float32)
+    missed = 0
+    for _ in range(8000):
+        x = rng.integers(0, 1 << 63, 100).astype(np.uint64)  # 80 of 100 in common: similarity 0.8
+        a, b = (near.bands_of(near.samples(near._mix(f), ones)) for f in (x[:90], x[10:]))
+        missed += not (a == b).any()
+    assert missed == 0
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(300 + i, 301 + i) for i in range(40)]
