@@ -93,33 +93,45 @@ def publication_keys(periods: DataFrame, cal: ReviewCalendar, day: Column | None
     )
 
 
-def match_publications(periods: DataFrame, publications: DataFrame, cal: ReviewCalendar) -> DataFrame:
-    """First publication of each period inside its search window; else missed.
+def _windows(periods: DataFrame, cal: ReviewCalendar) -> DataFrame:
+    """Periods with ``window_end``: the first month in which their list is not looked for any more.
 
     CSV periods search from the period month up to (not including) the next
     quarterly month of the same year (December: December only); older
-    periods look in their own month.  Publications are first reduced to one
-    row per (index, month) with a map-side partial aggregate, so the range
-    join runs on two calendar-sized tables.
+    periods look in their own month.
     """
-    monthly = publications.groupBy("index_name", F.trunc("pub_date", "month").alias("pub_month")).agg(
-        F.min("pub_date").alias("first_pub")
-    )
     m = F.col("month")
     nq = cal.next_quarterly_col(m)
     is_csv = F.col("period_date") >= F.lit(cal.csv_cutoff).cast("date")
     end_month = F.when(is_csv & (nq > m), nq).otherwise(m + 1)
-    windows = periods.withColumn(
-        "window_end", F.add_months(F.col("period_date"), (end_month - m).cast("int"))
-    ).withColumnRenamed("index_name", "_idx")
-    hits = windows.join(
-        monthly,
-        (monthly.index_name == windows._idx)
-        & (monthly.pub_month >= windows.period_date)
-        & (monthly.pub_month < windows.window_end),
+    return periods.withColumn("window_end", F.add_months(F.col("period_date"), (end_month - m).cast("int")))
+
+
+def _hits(windows: DataFrame, dates: DataFrame, date_col: str) -> DataFrame:
+    """(index_name, period_date, date): each date with the periods whose window holds it; calendar-sized."""
+    w = windows.select(F.col("index_name").alias("_idx"), "period_date", "window_end")
+    return dates.join(
+        w,
+        (F.col("index_name") == F.col("_idx"))
+        & (F.col(date_col) >= F.col("period_date"))
+        & (F.col(date_col) < F.col("window_end")),
         "inner",
-    ).groupBy("_idx", "period_date").agg(F.min("first_pub").alias("pub_date"))
-    out = windows.join(hits, ["_idx", "period_date"], "left").withColumnRenamed("_idx", "index_name")
+    ).drop("_idx", "window_end")
+
+
+def match_publications(periods: DataFrame, publications: DataFrame, cal: ReviewCalendar) -> DataFrame:
+    """First publication of each period inside its search window; else missed.
+
+    Publications are first reduced to one row per (index, month) with a map-side partial aggregate, so
+    the range join runs on two calendar-sized tables.
+    """
+    monthly = publications.groupBy("index_name", F.trunc("pub_date", "month").alias("pub_month")).agg(
+        F.min("pub_date").alias("first_pub")
+    )
+    windows = _windows(periods, cal)
+    hits = _hits(windows, monthly, "pub_month").groupBy("index_name", "period_date").agg(
+        F.min("first_pub").alias("pub_date"))
+    out = windows.join(hits, ["index_name", "period_date"], "left")
     keyed = publication_keys(out.select("index_name", "year", "month", "period_date", "pub_date"), cal, F.col("pub_date"))
     return keyed.select(
         "index_name",
@@ -132,3 +144,18 @@ def match_publications(periods: DataFrame, publications: DataFrame, cal: ReviewC
         F.when(F.col("pub_date").isNotNull(), F.col("file_key")).alias("file_key"),
         F.when(F.col("pub_date").isNotNull(), F.lit("downloaded")).otherwise(F.lit("missed")).alias("status"),
     )
+
+
+def periods_of_reviews(periods: DataFrame, reviews: DataFrame, cal: ReviewCalendar) -> DataFrame:
+    """Q15: each published review with the period that it closes: the latest one whose window holds its
+    date, so a list of April can close March.  A review in no window closes none (null)."""
+    hits = _hits(_windows(periods, cal), reviews.select("index_name", "review_date").distinct(), "review_date")
+    closed = hits.groupBy("index_name", "review_date").agg(F.max("period_date").alias("period_date"))
+    return reviews.select("index_name", "review_date").distinct().join(closed, ["index_name", "review_date"], "left")
+
+
+def open_periods(periods: DataFrame, reviews: DataFrame, cal: ReviewCalendar) -> DataFrame:
+    """Expected periods that no published review closes."""
+    closed = periods_of_reviews(periods, reviews, cal).where(F.col("period_date").isNotNull())
+    return periods.join(closed.select("index_name", "period_date").distinct(), ["index_name", "period_date"],
+                        "left_anti").select(*periods.columns)

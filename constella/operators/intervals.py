@@ -36,6 +36,35 @@ def membership_intervals(membership: DataFrame, reviews: DataFrame) -> DataFrame
     ).drop("island")
 
 
+def extend_intervals(
+    published: DataFrame, members: DataFrame, reviews: DataFrame, since: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """W5 kept up to date: the intervals that change when the reviews from ``since`` on are new.
+
+    ``members`` holds the membership of those reviews, ``since`` one row per index (index_name,
+    review_date), ``reviews`` all reviews.  An interval that ended before the last review ahead of
+    ``since`` stays as it is.  One that holds that review is cut there and goes on as a seed, next to
+    the new rows.  Returns (the changed intervals, (index_name, review_date)): the rows replace all
+    intervals whose last review is that date or later.
+    """
+    start = calendar_sized(since.select("index_name", F.col("review_date").alias("_since")))
+    ahead = reviews.join(start, "index_name").where(F.col("review_date") < F.col("_since")).groupBy("index_name").agg(
+        F.max("review_date").alias("_ahead"))
+    seeds = published.join(calendar_sized(ahead), "index_name").where(
+        (F.col("last_included") >= F.col("_ahead")) & (F.col("first_included") <= F.col("_ahead"))).select(
+        "index_name", F.col("_ahead").alias("review_date"), "isin", "first_included")
+    rows = members.where(F.col("is_member")).select("index_name", "review_date", "isin").distinct().withColumn(
+        "first_included", F.col("review_date")).unionByName(seeds)
+    with_k = rows.join(calendar_sized(review_index(reviews)), ["index_name", "review_date"], "inner")
+    w = Window.partitionBy("index_name", "isin").orderBy("k")
+    changed = with_k.withColumn("island", F.col("k") - F.row_number().over(w)).groupBy(
+        "index_name", "isin", "island").agg(
+        F.min("first_included").alias("first_included"), F.max("review_date").alias("last_included")).drop("island")
+    place = since.select("index_name", "review_date").join(calendar_sized(ahead), "index_name", "left").select(
+        "index_name", F.coalesce("_ahead", "review_date").alias("review_date"))
+    return changed, place
+
+
 def first_per_key(df: DataFrame, keys: list[str], order_cols: list, out_cols: list[str] | None = None) -> DataFrame:
     """A1: keep the first row per key in an explicit order (not dropDuplicates).
 

@@ -2,10 +2,10 @@
 
 Scale notes
 -----------
-* ``candidates`` keeps only positions <= buffer_end per review.  The filter
-  on a literal bound lets Catalyst insert a partial ``WindowGroupLimit`` before
-  the shuffle, so even a review that holds a third of all entries ships at
-  most buffer_end rows per map task.
+* ``candidates`` keeps only positions <= buffer_end per review, and numbers no
+  other row.  The filter on a literal bound lets Catalyst insert a partial
+  ``WindowGroupLimit`` before the shuffle, so even a review that holds a third
+  of all entries ships at most buffer_end rows per salt and map task.
 * With a prior member set, the rule never looks beyond buffer_end: at most
   target-auto picks lie past ``auto``; retained ones lie <= buffer_end and
   fills <= target.  So the chained fold per index works on
@@ -55,27 +55,32 @@ def _ranked(entries: DataFrame, dedupe: bool) -> DataFrame:
 def positions(entries: DataFrame, dedupe: bool = True) -> DataFrame:
     """1-based position of each ranked entry by (rank, isin) within its review.
 
-    Every ranked row gets a position; the numbering is spread over steps of
-    the rank, so a large review is never one task.
+    Every ranked row gets a position; the numbering deals rows evenly over tasks, so a large review is
+    never one task.
     """
-    step = F.floor(F.col("rank") / 1000)
-    ranked = ranked_within(_ranked(entries, dedupe), KEY, [F.col("rank"), F.col("isin")], "position", step)
+    ranked = ranked_within(_ranked(entries, dedupe), KEY, ["rank", "isin"], "position")
     return ranked.select(*KEY, "isin", "rank", "position")
 
 
-def top_n(entries: DataFrame, n: int, dedupe: bool = True, salts: int = 64) -> DataFrame:
-    """The first ``n`` positions of every review.
+def first_positions(rows: DataFrame, n: int, order: list[Column], salts: int | None = None) -> DataFrame:
+    """``rows`` with ``position``, only the first ``n`` of each review in the total ``order``.
 
-    Two stages: top ``n`` per (review, salt), then top ``n`` of those
-    ``salts * n`` rows at most, so a review of any size is spread first.
+    Two stages: first ``n`` per (review, salt), each limited in the map task already, then first ``n`` of
+    those.  There are as many salts as shuffle partitions, so a review of any size is spread over
+    the cluster, and the last stage reads ``n`` rows per salt at most.
     """
-    order = [F.col("rank").asc(), F.col("isin").asc()]
-    ranked = _ranked(entries, dedupe).withColumn("_salt", F.pmod(F.xxhash64("isin"), F.lit(salts)))
+    salts = salts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("isin"), F.lit(salts)))
     w1 = Window.partitionBy(*KEY, "_salt").orderBy(*order)
-    ranked = ranked.withColumn("_p", F.row_number().over(w1)).where(F.col("_p") <= F.lit(n)).drop("_p", "_salt")
+    salted = salted.withColumn("_p", F.row_number().over(w1)).where(F.col("_p") <= F.lit(n)).drop("_p", "_salt")
     w = Window.partitionBy(*KEY).orderBy(*order)
-    ranked = ranked.withColumn("position", F.row_number().over(w))
-    return ranked.where(F.col("position") <= F.lit(n)).select(*KEY, "isin", "rank", "position")
+    return salted.withColumn("position", F.row_number().over(w)).where(F.col("position") <= F.lit(n))
+
+
+def top_n(entries: DataFrame, n: int, dedupe: bool = True, salts: int | None = None) -> DataFrame:
+    """The first ``n`` positions of every review."""
+    order = [F.col("rank").asc(), F.col("isin").asc()]
+    return first_positions(_ranked(entries, dedupe), n, order, salts).select(*KEY, "isin", "rank", "position")
 
 
 def candidates(entries: DataFrame, rules: dict[str, IndexRule], dedupe: bool = True) -> DataFrame:
@@ -85,6 +90,13 @@ def candidates(entries: DataFrame, rules: dict[str, IndexRule], dedupe: bool = T
     return top.where(F.col("position") <= rule_col(rules, "buffer_end")).select(*KEY, "isin", "position")
 
 
+def listed_candidates(rows: DataFrame, rules: dict[str, IndexRule], order: list[Column]) -> DataFrame:
+    """``candidates`` of lists that carry no ranks yet: rows to rank in a total ``order`` (ISINs unique per
+    review), all columns kept.  The position is the rank, and no other row is numbered."""
+    top = first_positions(rows, max_rule(rules, "buffer_end"), order)
+    return top.where(F.col("position") <= rule_col(rules, "buffer_end"))
+
+
 def apply_buffer_rule(
     cands: DataFrame,
     prior: DataFrame | None,
@@ -221,31 +233,49 @@ def membership_counts(membership: DataFrame, keys: Iterable[str] = ("index_name"
     return membership.where("is_member").groupBy(*keys).agg(F.count(F.lit(1)).alias("members"))
 
 
-def rechain_from(
+def rechained(
     cands: DataFrame,
     published: DataFrame,
     since: DataFrame,
     rules: dict[str, IndexRule],
+    reviews: DataFrame,
 ) -> DataFrame:
-    """Recompute the chain from each index's earliest changed review.
+    """Membership of the reviews from each index's earliest changed review on.
 
-    ``since`` has one row per index (index_name, review_date).  Reviews before
-    it keep their published membership; the prior of the first recomputed
-    review is the published member set of the latest review before it (Q6:
-    not the newest published review).  ``since`` and the review list are one
-    row per index / per quarter, so every join here is against a tiny side.
+    ``since`` has one row per index (index_name, review_date); ``reviews`` lists all reviews, also those
+    without a ranked row.  The prior of the first recomputed review is the published member set of the
+    latest review before it (Q6: not the newest published one), which is empty if that review had no
+    members.  ``since`` and ``reviews`` are calendar-sized, so every join here has a tiny side, and of
+    the published membership only the prior review's partition is read.
     """
-    # One row per index: broadcast, so a join keyed only on index_name never
-    # sends a whole index to one task.
     start = F.broadcast(since.select("index_name", F.col("review_date").alias("_since")))
-    before = published.join(start, "index_name").where(F.col("review_date") < F.col("_since"))
-    last = before.groupBy("index_name").agg(F.max("review_date").alias("review_date"))
-    # no earlier review: null (bootstrap); an earlier one without members: empty
-    prior = last.join(before.where(F.col("is_member")), KEY, "left").groupBy("index_name").agg(
-        F.collect_set("isin").alias("seed")
-    )
+    known = reviews.select(*KEY).distinct().join(start, "index_name")
+    last = known.where(F.col("review_date") < F.col("_since")).groupBy("index_name").agg(
+        F.max("review_date").alias("review_date"))
+    members = published.where(F.col("is_member")).select(*KEY, "isin").join(calendar_sized(last), KEY, "left_semi")
+    # no earlier review: no row, hence a bootstrap; an earlier one without members: an empty seed
+    prior = last.join(members, KEY, "left").groupBy("index_name").agg(F.collect_set("isin").alias("seed"))
     redo = cands.join(start, "index_name").where(F.col("review_date") >= F.col("_since")).drop("_since")
-    fresh = chain_membership(redo, rules, initial_prior=prior)
-    kept = before.drop("_since").select(*KEY, "isin", "is_member", "entry_reason")
-    untouched = published.join(start, "index_name", "left_anti").select(*KEY, "isin", "is_member", "entry_reason")
-    return kept.unionByName(fresh).unionByName(untouched)
+    later = known.where(F.col("review_date") >= F.col("_since")).drop("_since")
+    return chain_membership(redo, rules, initial_prior=prior, reviews=later)
+
+
+def rechain_from(
+    cands: DataFrame,
+    published: DataFrame,
+    since: DataFrame,
+    rules: dict[str, IndexRule],
+    reviews: DataFrame | None = None,
+) -> DataFrame:
+    """The whole membership, recomputed from each index's earliest changed review on.
+
+    Reviews before it, and indexes without one, keep their published rows.  Without ``reviews`` the
+    reviews are those with candidates or published members.
+    """
+    if reviews is None:
+        reviews = cands.select(*KEY).union(published.select(*KEY)).distinct()
+    start = F.broadcast(since.select("index_name", F.col("review_date").alias("_since")))
+    kept = published.join(start, "index_name", "left").where(
+        F.col("_since").isNull() | (F.col("review_date") < F.col("_since")))
+    return kept.select(*KEY, "isin", "is_member", "entry_reason").unionByName(
+        rechained(cands, published, since, rules, reviews))

@@ -31,16 +31,24 @@ def data_reviews(entries: DataFrame, membership: DataFrame) -> DataFrame:
     return entries.select(*KEY).distinct().join(has_members, KEY, "left_semi")
 
 
-def member_ranks(entries: DataFrame, membership: DataFrame) -> DataFrame:
-    """Per (index, review, ric) the rank of the first entry row whose ISIN is a member."""
+def member_ranks(entries: DataFrame, membership: DataFrame, assets: DataFrame | None = None) -> DataFrame:
+    """Per (index, review, ric) the rank of the first entry row whose ISIN is a member.
+
+    With ``assets`` (J6) an entry without RIC takes its ISIN's from there; only members' rows are looked up.
+    """
     members = membership.where(F.col("is_member")).select(*KEY, "isin").distinct()
-    rows = entries.where(F.col("ric").isNotNull()).join(members, [*KEY, "isin"], "left_semi")
+    rows = entries.select(*KEY, "isin", "ric", "rank", "ordinal").join(members, [*KEY, "isin"], "left_semi")
+    if assets is not None:
+        rics = first_per_key(assets.select("index_name", "isin", F.col("ric").alias("_ric")), ["index_name", "isin"],
+                             ["_ric"], ["_ric"])
+        rows = rows.join(rics, ["index_name", "isin"], "left").withColumn("ric", F.coalesce("ric", "_ric")).drop("_ric")
+    rows = rows.where(F.col("ric").isNotNull())
     first = first_per_key(rows, [*KEY, "ric"], ["ordinal", "isin"], ["rank"])
     # A member without rank counts as an exit (0), not as "keep the old rank".
     return first.withColumn("rank", F.coalesce(F.col("rank"), F.lit(0)))
 
 
-def rank_events(entries: DataFrame, membership: DataFrame) -> DataFrame:
+def rank_events(entries: DataFrame, membership: DataFrame, assets: DataFrame | None = None) -> DataFrame:
     """(index, review, ric, rank) of every member row, and rank 0 at the review a RIC left.
 
     Only changes are kept: a RIC that stays out has no further rows, so the
@@ -48,7 +56,7 @@ def rank_events(entries: DataFrame, membership: DataFrame) -> DataFrame:
     """
     w = Window.partitionBy("index_name").orderBy("review_date")
     following = data_reviews(entries, membership).withColumn("next_review", F.lead("review_date").over(w))
-    ranks = member_ranks(entries, membership).select(*KEY, "ric", F.col("rank").cast("int").alias("rank"))
+    ranks = member_ranks(entries, membership, assets).select(*KEY, "ric", F.col("rank").cast("int").alias("rank"))
     exits = (
         ranks.where(F.col("rank") > 0)
         .join(calendar_sized(following.where(F.col("next_review").isNotNull())), KEY, "inner")
@@ -67,11 +75,9 @@ def review_spans(reviews: DataFrame, as_of: dt.date | str) -> DataFrame:
     ).where(F.col("review_date") <= F.col("valid_to"))
 
 
-def ranking_daily(entries: DataFrame, membership: DataFrame, as_of: dt.date | str) -> DataFrame:
-    """(index, date, ric, rank) for every day a RIC holds a member rank."""
-    spans = review_spans(data_reviews(entries, membership), as_of)
-    ranks = member_ranks(entries, membership).where(F.col("rank") > 0)
-    return ranks.join(calendar_sized(spans), KEY, "inner").select(
+def expand_daily(ranks: DataFrame, spans: DataFrame) -> DataFrame:
+    """(index, date, ric, rank) for every day of the span of a rank's review."""
+    return ranks.where(F.col("rank") > 0).join(calendar_sized(spans), KEY, "inner").select(
         "index_name",
         F.explode(F.sequence("review_date", "valid_to")).alias("date"),
         "ric",
@@ -79,27 +85,34 @@ def ranking_daily(entries: DataFrame, membership: DataFrame, as_of: dt.date | st
     )
 
 
-def ranking_on(entries: DataFrame, membership: DataFrame, days: DataFrame, as_of: dt.date | str) -> DataFrame:
-    """The daily ranking restricted to given days, without expanding every day.
+def expand_on(ranks: DataFrame, spans: DataFrame, days: DataFrame) -> DataFrame:
+    """``expand_daily`` restricted to given days (index_name, date), without expanding every day.
 
-    ``days`` (index_name, date) is calendar-sized (e.g. the review dates).  Each
-    day is matched to the review span that covers it (a range join of two
-    calendar-sized tables), then member ranks join on (index, review): the
-    result equals ``ranking_daily`` filtered to those days.
+    ``days`` is calendar-sized (e.g. the review dates).  Each day is matched to the span that covers it
+    (a range join of two calendar-sized tables), then ranks join on (index, review).
     """
-    spans = review_spans(data_reviews(entries, membership), as_of)
     wanted = days.select(F.col("index_name").alias("_i"), F.col("date"))
     covering = calendar_sized(spans).join(
         calendar_sized(wanted),
         (F.col("index_name") == F.col("_i")) & (F.col("date") >= F.col("review_date")) & (F.col("date") <= F.col("valid_to")),
         "inner",
     ).select(*KEY, "date")
-    ranks = member_ranks(entries, membership).where(F.col("rank") > 0)
-    return ranks.join(calendar_sized(covering), KEY, "inner").select(
+    return ranks.where(F.col("rank") > 0).join(calendar_sized(covering), KEY, "inner").select(
         "index_name", "date", "ric", F.col("rank").cast("int").alias("rank")
     )
 
 
+def ranking_daily(entries: DataFrame, membership: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """(index, date, ric, rank) for every day a RIC holds a member rank."""
+    return expand_daily(member_ranks(entries, membership), review_spans(data_reviews(entries, membership), as_of))
+
+
+def ranking_on(entries: DataFrame, membership: DataFrame, days: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """The daily ranking restricted to given days (index_name, date)."""
+    spans = review_spans(data_reviews(entries, membership), as_of)
+    return expand_on(member_ranks(entries, membership), spans, days)
+
+
 def ranked_per_day(entries: DataFrame, membership: DataFrame, as_of: dt.date | str) -> DataFrame:
     """V5: number of ranked RICs on every day, without expanding each RIC.
 

@@ -7,11 +7,12 @@ sort-merge join, with skew splitting, when it is not.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from constella.operators.intervals import first_per_key
 from constella.schemas import ENTITY_RESPONSE_TYPE
+from constella.session import staged
 
 # Raw ISIN texts that mean "no ISIN" (compared case-insensitively
 # after trimming), and the prefix of the synthetic fallback identifier.
@@ -72,10 +73,16 @@ def unnest_entities(responses: DataFrame) -> DataFrame:
     )
 
 
-def enrich_ids(assets: DataFrame, entities: DataFrame, id_col: str = "entity_id") -> DataFrame:
+def enrich_ids(
+    assets: DataFrame,
+    entities: DataFrame,
+    id_col: str = "entity_id",
+    seen: tuple[Observation, Observation] | None = None,
+) -> DataFrame:
     """Entity id by ISIN; for ISINs still unresolved, by RIC; row count preserved.
 
-    Q20: when several RICs of one ISIN resolve, the smallest RIC's id is used.
+    Q20: when several RICs of one ISIN resolve, the smallest RIC's id is used.  ``seen`` observes the rows
+    on their way in (``rows``) and out (``rows``, ``by_isin``, ``by_ric``, ``unresolved``).
     """
     by_isin = (
         entities.where(F.col("endpoint") == "isin")
@@ -97,10 +104,39 @@ def enrich_ids(assets: DataFrame, entities: DataFrame, id_col: str = "entity_id"
     ric_hits = pairs.join(by_ric, ["index_name", "ric"], "inner").groupBy("index_name", "isin").agg(
         F.min_by("_by_ric", F.col("ric")).alias("_by_ric")
     )
+    count = F.count(F.lit(1)).alias("rows")
+    if seen:
+        base = base.observe(seen[0], count)
     out = base.join(by_isin, ["index_name", "isin"], "left").join(ric_hits, ["index_name", "isin"], "left")
+    if seen:
+        none = F.col("_by_isin").isNull()
+        out = out.observe(
+            seen[1], count, F.count("_by_isin").alias("by_isin"),
+            F.count_if(none & F.col("_by_ric").isNotNull()).alias("by_ric"),
+            F.count_if(none & F.col("_by_ric").isNull()).alias("unresolved"))
     return out.withColumn(id_col, F.coalesce("_by_isin", "_by_ric")).drop("_by_isin", "_by_ric")
 
 
+class RowsChanged(RuntimeError):
+    """Enrichment lost or multiplied rows."""
+
+
+def enrich_counted(assets: DataFrame, entities: DataFrame, id_col: str = "entity_id") -> tuple[DataFrame, dict[str, int]]:
+    """V6: ``enrich_ids`` with its counts, taken on the one pass that writes the result.
+
+    Returns the staged rows and {rows_before, rows_after, by_isin, by_ric, unresolved}; raises
+    ``RowsChanged`` unless every row went through exactly once.
+    """
+    seen = (Observation("enrich_in"), Observation("enrich_out"))
+    out = staged(enrich_ids(assets, entities, id_col, seen), "enriched")
+    after = seen[1].get
+    counts = {"rows_before": seen[0].get["rows"], "rows_after": after["rows"],
+              **{k: after[k] for k in ("by_isin", "by_ric", "unresolved")}}
+    if counts["rows_before"] != counts["rows_after"]:
+        raise RowsChanged(f"{counts['rows_before']} rows went in, {counts['rows_after']} came out")
+    return out, counts
+
+
 def unresolved_isins(assets: DataFrame, entities: DataFrame) -> DataFrame:
     """J8 (anti): ISINs of the assets that the ISIN lookup did not resolve."""
     by_isin = entities.where(F.col("endpoint") == "isin").select("index_name", F.col("id").alias("isin"))

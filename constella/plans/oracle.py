@@ -6,6 +6,8 @@ so the derivation of the review dataset is written once.
 
 from __future__ import annotations
 
+import re
+
 from constella.plans.book import AS_OF
 
 # name -> (deps, body)
@@ -17,6 +19,15 @@ def cte(name: str, deps: tuple[str, ...], body: str) -> None:
     CTES[name] = (deps, body)
 
 
+def branch(prefix: str, names: tuple[str, ...], *replaced: str) -> None:
+    """The CTEs ``names`` again under ``prefix``, reading each other's and the ``replaced`` ones' copies."""
+    own = {*names, *replaced}
+    for name in names:
+        deps, body = CTES[name]
+        cte(prefix + name, tuple(prefix + d if d in own else d for d in deps),
+            re.sub(rf"\b(FROM|JOIN) ({'|'.join(sorted(own))})\b", rf"\1 {prefix}\2", body))
+
+
 def build(final: str, *needed: str) -> str:
     order: list[str] = []
 
@@ -272,6 +283,19 @@ FROM membership m JOIN assets a USING (index_name, isin) WHERE m.is_member
 
 oracle("positions", "positions")("SELECT * FROM positions")
 
+cte(
+    "tied_entries",
+    ("entries",),
+    """
+SELECT index_name, review_date, isin, CAST(ceil(rank / 3.0) AS INTEGER) AS rank, ordinal FROM entries
+UNION ALL
+SELECT index_name, review_date, isin, 1, ordinal + 1000000000 FROM entries
+WHERE CAST(substr(isin, 3, 10) AS BIGINT) % 10 = 0
+""",
+)
+branch("tied_", ("firsts", "positions"), "entries")
+oracle("listed_positions", "tied_positions")("SELECT * FROM tied_positions")
+
 oracle("top_n", "tops")("SELECT index_name, review_date, isin, rank, position FROM tops")
 
 oracle("buffer_single", "tops", "cands", "review_k", "rules")(
@@ -315,6 +339,21 @@ WHERE entry_reason IS NOT NULL
 
 oracle("buffer_chain", "membership")("SELECT * FROM membership")
 
+# The middle review ranks nobody.
+cte(
+    "gap_lists",
+    ("cands", "review_k", "rules"),
+    """
+SELECT k.index_name, k.review_date, coalesce(l.c, CAST([] AS VARCHAR[])) AS c, r.auto, r.target, r.buffer_end, k.k
+FROM review_k k JOIN rules r USING (index_name)
+JOIN (SELECT index_name, count(*) AS n FROM review_k GROUP BY index_name) n USING (index_name)
+LEFT JOIN (SELECT index_name, review_date, list(isin ORDER BY position) AS c FROM cands GROUP BY ALL) l
+  ON l.index_name = k.index_name AND l.review_date = k.review_date AND k.k <> (n.n + 1) // 2
+""",
+)
+branch("gap_", ("chain", "membership"), "lists")
+oracle("chain_empty_review", "gap_membership")("SELECT * FROM gap_membership")
+
 oracle("members_per_review", "membership", "rules")(
     """
 SELECT index_name, review_date, count(*) AS members, count(*) = max(r.target) AS full
@@ -386,6 +425,7 @@ WHERE m.rank > 0 AND n.next_review IS NOT NULL AND NOT EXISTS (
 )
 
 oracle("rank_events", "rank_events")("SELECT * FROM rank_events")
+oracle("rank_events_backfilled", "rank_events")("SELECT * FROM rank_events")
 
 oracle("ranking_daily", "daily")("SELECT * FROM daily")
 
@@ -665,6 +705,17 @@ LEFT JOIN (
 
 oracle("merge_assets", "merged")("SELECT * FROM merged")
 oracle("enrich_ids", "enriched")("SELECT * FROM enriched")
+oracle("enrich_counts", "merged", "enriched", "entities")(
+    """
+, seen AS (
+  SELECT entity_id, EXISTS (SELECT 1 FROM entities x WHERE x.endpoint = 'isin' AND x.index_name = e.index_name
+                              AND x.id = e.isin) AS by_isin FROM enriched e)
+SELECT (SELECT count(*) FROM merged) AS rows_before, count(*) AS rows_after, count(*) FILTER (by_isin) AS by_isin,
+       count(*) FILTER (NOT by_isin AND entity_id IS NOT NULL) AS by_ric,
+       count(*) FILTER (entity_id IS NULL) AS unresolved
+FROM seen
+"""
+)
 oracle("semi_unresolved", "merged", "entities")(
     """
 SELECT index_name, isin, ric FROM merged m
@@ -711,27 +762,59 @@ FROM periods
 """
 )
 
-oracle("missing_periods", "periods", "reviews")(
+cte(
+    "search_windows",
+    ("periods",),
+    """
+SELECT *, CAST(period_date + to_months(CASE WHEN is_csv AND nq > month THEN nq - month ELSE 1 END) AS DATE) AS window_end
+FROM (
+  SELECT p.*, period_date >= DATE '1999-12-01' AS is_csv,
+         CASE WHEN month < 3 THEN 3 WHEN month < 6 THEN 6 WHEN month < 9 THEN 9 WHEN month < 12 THEN 12 ELSE 3 END AS nq
+  FROM periods p) w
+""",
+)
+cte(
+    "late_reviews",
+    ("reviews",),
+    """
+SELECT index_name, CAST(review_date + to_months(CASE month(review_date) WHEN 4 THEN 1 WHEN 10 THEN 2 ELSE 0 END) AS DATE)
+         AS review_date
+FROM reviews
+""",
+)
+
+
+def _open_periods(published: str) -> str:
+    return f"""
+SELECT p.* FROM periods p WHERE NOT EXISTS (
+  SELECT 1 FROM (SELECT r.index_name, max(w.period_date) AS closed FROM ({published}) r JOIN search_windows w
+                   ON w.index_name = r.index_name AND r.review_date >= w.period_date AND r.review_date < w.window_end
+                 GROUP BY r.index_name, r.review_date) c
+  WHERE c.index_name = p.index_name AND c.closed = p.period_date)
+"""
+
+
+oracle("missing_periods", "periods", "reviews", "search_windows")(
+    _open_periods("SELECT * FROM reviews WHERE review_date < DATE '2000-01-01'"))
+oracle("missing_periods_late", "periods", "late_reviews", "search_windows")(_open_periods("SELECT * FROM late_reviews"))
+oracle("period_of_review", "late_reviews", "search_windows")(
     """
-SELECT p.* FROM periods p
-WHERE NOT EXISTS (SELECT 1 FROM reviews r WHERE r.review_date < DATE '2000-01-01' AND r.index_name = p.index_name
-                    AND year(r.review_date) = p.year AND month(r.review_date) = p.month)
+SELECT r.index_name, r.review_date, max(w.period_date) AS period_date
+FROM late_reviews r LEFT JOIN search_windows w
+  ON w.index_name = r.index_name AND r.review_date >= w.period_date AND r.review_date < w.window_end
+GROUP BY ALL
 """
 )
 
-oracle("match_publications", "periods")(
+oracle("match_publications", "search_windows")(
     """
 , pubs AS (
   SELECT 'CUST' AS index_name, CAST(o_orderdate AS DATE) AS pub_date FROM orders
   UNION ALL SELECT 'PART', CAST(l_shipdate AS DATE) FROM lineitem
-), win AS (
-  SELECT p.*, period_date >= DATE '1999-12-01' AS is_csv,
-         CASE WHEN month < 3 THEN 3 WHEN month < 6 THEN 6 WHEN month < 9 THEN 9 WHEN month < 12 THEN 12 ELSE 3 END AS nq
-  FROM periods p
 ), hits AS (
   SELECT w.index_name, w.period_date, min(pb.pub_date) AS pub_date
-  FROM win w JOIN pubs pb ON pb.index_name = w.index_name AND pb.pub_date >= w.period_date
-   AND pb.pub_date < CAST(w.period_date + to_months(CASE WHEN w.is_csv AND w.nq > w.month THEN w.nq - w.month ELSE 1 END) AS DATE)
+  FROM search_windows w JOIN pubs pb ON pb.index_name = w.index_name AND pb.pub_date >= w.period_date
+   AND pb.pub_date < w.window_end
   GROUP BY ALL
 )
 SELECT w.index_name, w.year, w.month, w.period_date, h.pub_date,
@@ -743,7 +826,7 @@ SELECT w.index_name, w.year, w.month, w.period_date, h.pub_date,
          CASE WHEN w.is_csv THEN 'slpublic_' || lower(w.index_name) || '_' || strftime(h.pub_date, '%Y%m%d') || '.csv'
               ELSE 'sl_' || lower(w.index_name) || '_' || strftime(w.period_date, '%Y%m') || '.pdf' END END AS file_key,
        CASE WHEN h.pub_date IS NOT NULL THEN 'downloaded' ELSE 'missed' END AS status
-FROM win w LEFT JOIN hits h USING (index_name, period_date)
+FROM search_windows w LEFT JOIN hits h USING (index_name, period_date)
 """
 )
 
@@ -775,7 +858,6 @@ SELECT r.index_name, 'slpublic_' || lower(r.index_name) || '_' || strftime(r.rev
        trim(r.ric) AS ric, trim(r.name) AS name, trim(r.country) AS country, trim(r.currency) AS currency,
        nullif(trim(r.sedol), '') AS sedol, r.ff_mcap, r.rank, nullif(trim(r.comment), '') AS comment
 FROM sel_rows r LEFT JOIN lookup l ON l.index_name = r.index_name AND l.internal_key = trim(r.internal_key)
-WHERE r.review_date >= DATE '1999-12-01'
 """,
 )
 
@@ -788,9 +870,9 @@ SELECT index_name, 'sl_' || lower(index_name) || '_' || strftime(review_date, '%
        trim(country) AS country, trim(currency) AS currency, nullif(trim(sedol), '') AS sedol,
        CAST(CAST(cents // 100000 AS VARCHAR) || '.' || lpad(CAST(cents % 100000 AS VARCHAR), 5, '0') AS DOUBLE) * 1000
          AS ff_mcap,
-       rank
+       rank, ordinal
 FROM (SELECT *, CAST(round(ff_mcap * 100) AS BIGINT) AS cents FROM sel_rows) r
-WHERE review_date < DATE '1999-12-01' AND trim(COALESCE(raw_isin, '')) <> ''
+WHERE trim(COALESCE(raw_isin, '')) <> ''
 """,
 )
 
@@ -817,7 +899,7 @@ oracle("header_dates", "sel_rows")(
     """
 SELECT DISTINCT index_name, 'sl_' || lower(index_name) || '_' || strftime(review_date, '%Y%m') || '.pdf' AS file,
        review_date
-FROM sel_rows WHERE review_date < DATE '1999-12-01'
+FROM sel_rows
 """
 )
 oracle("norm_names", "sel_rows")(
@@ -827,7 +909,7 @@ SELECT f.index_name, f.file, CAST(h.position AS INTEGER) AS position, h.raw,
          '^\s+|\s+$', '', 'g'), '[()\[\]]+', '', 'g'), '[\s\-\.]+', '_', 'g'), '_+', '_', 'g'), '^_+|_+$', '', 'g')
          AS name
 FROM (SELECT DISTINCT index_name, 'sl_' || lower(index_name) || '_' || strftime(review_date, '%Y%m') || '.pdf' AS file
-      FROM sel_rows WHERE review_date < DATE '1999-12-01') f,
+      FROM sel_rows) f,
      (SELECT * FROM (VALUES (0, 'ISIN'), (1, 'Sedol'), (2, 'RIC'), (3, 'Int.Key'), (4, 'Company Name'),
                             (5, 'Country'), (6, 'Currency'), (7, 'Component'), (8, 'FF Mcap (BEUR)'),
                             (9, 'Rank' || chr(10) || '(FINAL)'),
@@ -837,24 +919,105 @@ FROM (SELECT DISTINCT index_name, 'sl_' || lower(index_name) || '_' || strftime(
 oracle("sel_union_dialects", "csv_rows", "legacy_rows")(
     """
 SELECT index_name, review_date, isin, ff_mcap, rank, 'csv' AS dialect FROM csv_rows
+WHERE review_date >= DATE '1999-12-01'
 UNION ALL
-SELECT index_name, review_date, isin, ff_mcap, rank, 'legacy' FROM legacy_rows
+SELECT index_name, review_date, isin, ff_mcap, rank, 'legacy' FROM legacy_rows WHERE review_date < DATE '1999-12-01'
 """
 )
+for _name in ("sel_normalise", "sel_assets", "dq_review_date", "sel_normalise_legacy", "header_dates", "norm_names"):
+    ORACLE[f"{_name}_whole"] = ORACLE[_name]
 
-# The same statements without the date cut, for the queries over all lists.
-_CUTS = ("WHERE r.review_date >= DATE '1999-12-01'", "review_date < DATE '1999-12-01' AND ",
-         "WHERE review_date < DATE '1999-12-01'")
-for _name, _from in (("sel_normalise", "csv_rows"), ("sel_assets", "csv_rows"), ("dq_review_date", "csv_rows"),
-                     ("sel_normalise_legacy", "legacy_rows"), ("header_dates", "sel_rows"), ("norm_names", "sel_rows")):
-    _sql = ORACLE[_name]
-    for _cut in _CUTS:
-        _sql = _sql.replace(_cut, "")
-    if _sql == ORACLE[_name] or "1999-12-01" in _sql:
-        raise ValueError(f"{_name}: the date cut of {_from} was not found")
-    ORACLE[f"{_name}_whole"] = _sql
+oracle("sel_quoted", "csv_rows")(
+    f"""
+SELECT {_LIST}, nullif(trim(CASE WHEN quarter(review_date) % 2 = 1 THEN comment
+  WHEN CAST(internal_key AS BIGINT) % 5 = 0
+    THEN 'first; "quoted"' || chr(10) || 'second; line ' || internal_key
+  WHEN CAST(internal_key AS BIGINT) % 5 = 1 THEN 'a;b ""c""' ELSE comment END), '') AS comment
+FROM csv_rows
+"""
+)
+oracle("sel_assets_legacy", "legacy_rows")(
+    """
+SELECT index_name, file, isin, arg_min(internal_key, ordinal) AS internal_key, arg_min(ric, ordinal) AS ric,
+       arg_min(name, ordinal) AS name, arg_min(country, ordinal) AS country, arg_min(currency, ordinal) AS currency,
+       first(sedol ORDER BY ordinal) AS sedol
+FROM legacy_rows GROUP BY index_name, file, isin
+"""
+)
+oracle("list_rejects", "sel_rows")(
+    """
+, r AS (
+  SELECT *, CAST(internal_key AS BIGINT) AS key, CAST((ordinal - 1) // 40 + 1 AS BIGINT) AS page,
+    'slpublic_' || lower(index_name) || '_' || strftime(review_date, '%Y%m%d') || '.csv' AS file,
+    'sl_' || lower(index_name) || '_' || strftime(review_date, '%Y%m') || '.pdf' AS report
+  FROM sel_rows)
+SELECT index_name, file, CAST(ordinal AS BIGINT) AS ordinal, 'rank' AS reason, 'n/a' AS value FROM r WHERE key % 53 = 0
+UNION ALL SELECT index_name, file, ordinal, 'mcap', '1,5' FROM r WHERE key % 59 = 0
+UNION ALL SELECT index_name, file, ordinal, 'date', ' ' FROM r WHERE key % 61 = 0
+UNION ALL SELECT index_name, file, ordinal, 'identifier', nullif(raw_isin, '') FROM r
+  WHERE key % 34 = 0 AND lower(trim(coalesce(raw_isin, ''))) IN ('', 'null', 'none')
+UNION ALL SELECT DISTINCT index_name, report, page * 1000000 + 999, 'width', '1' FROM r
+UNION ALL SELECT index_name, report, page * 1000000 + (ordinal - 1) % 40 + 1, 'identifier', internal_key FROM r
+  WHERE trim(coalesce(raw_isin, '')) = ''
+"""
+)
+oracle("same_date_lists", "sel_rows")(
+    """
+SELECT index_name, review_date, 1 + max(CASE WHEN ordinal % 2 = 0 OR ordinal % 5 = 0 THEN 1 ELSE 0 END) AS files,
+       count(*) + count(*) FILTER (again) AS rows,
+       count(rank) + count(*) FILTER (again AND rank IS NULL) AS ranked,
+       CAST(sum(rank) + count(*) FILTER (again AND rank IS NULL) AS BIGINT) AS rank_sum
+FROM (SELECT *, ordinal % 2 = 1 AND ordinal % 5 = 0 AS again FROM sel_rows) r GROUP BY ALL
+"""
+)
 
-oracle("incremental_sync", "membership")("SELECT * FROM membership")
+# ----------------------------------------------------------------- incremental
+
+# Each row with the ISIN that its run published: its own text, else what an earlier run knew of its key.
+cte(
+    "sync_entries",
+    ("entries", "assets"),
+    """
+SELECT w.index_name, w.review_date, w.ric, w.rank, w.ordinal, w.internal_key, w.name, w.country, w.currency,
+       nullif(trim(w.sedol), '') AS sedol,
+       CASE WHEN NOT blank THEN w.isin
+            WHEN EXISTS (SELECT 1 FROM (SELECT index_name, isin, min(wave) AS wave FROM
+                (SELECT index_name, isin, review_date, CASE WHEN review_date < DATE '1997-01-01' THEN 1
+                   WHEN review_date < DATE '1999-12-01' THEN 2 WHEN review_date = DATE '2000-04-01' THEN 4 ELSE 3 END
+                   AS wave FROM entries) x
+                WHERE (CAST(substr(isin, 3, 10) AS BIGINT) + year(review_date) * 4 + quarter(review_date)) % 7 <> 0
+                GROUP BY ALL) known
+              WHERE known.index_name = w.index_name AND known.isin = w.isin AND known.wave < w.wave) THEN w.isin
+            ELSE 'KEY_' || w.internal_key END AS isin
+FROM (
+  SELECT e.index_name, e.review_date, e.rank, e.ordinal, e.isin, a.ric, a.internal_key, a.name, a.country, a.currency,
+         a.sedol, (CAST(a.internal_key AS BIGINT) + year(e.review_date) * 4 + quarter(e.review_date)) % 7 = 0 AS blank,
+         CASE WHEN e.review_date < DATE '1997-01-01' THEN 1 WHEN e.review_date < DATE '1999-12-01' THEN 2
+              WHEN e.review_date = DATE '2000-04-01' THEN 4 ELSE 3 END AS wave
+  FROM entries e JOIN assets a USING (index_name, isin)) w
+WHERE NOT (blank AND review_date < DATE '1999-12-01')
+""",
+)
+branch("sync_", ("firsts", "positions", "cands", "lists", "chain", "membership", "data_reviews", "member_ranks", "spans",
+                 "daily", "intervals"), "entries")
+oracle("incremental_sync", "sync_membership")("SELECT * FROM sync_membership")
+oracle("incremental_intervals", "sync_intervals", "sync_entries", "entities")(
+    """
+SELECT i.*, a.internal_key, a.ric, a.name, a.country, a.currency, a.sedol,
+       coalesce(bi.alpha_id, br.alpha_id) AS entity_id
+FROM sync_intervals i
+LEFT JOIN (SELECT DISTINCT index_name, isin, internal_key, ric, name, country, currency, sedol FROM sync_entries) a
+  USING (index_name, isin)
+LEFT JOIN entities bi ON bi.endpoint = 'isin' AND bi.index_name = i.index_name AND bi.id = i.isin
+LEFT JOIN entities br ON br.endpoint = 'ric' AND br.index_name = i.index_name AND br.id = a.ric
+"""
+)
+oracle("incremental_ranking", "sync_daily", "reviews")(
+    """
+SELECT d.* FROM sync_daily d
+WHERE EXISTS (SELECT 1 FROM reviews r WHERE r.index_name = d.index_name AND r.review_date = d.date)
+"""
+)
 # The whole chain of the corrected lists, from the first review on: the middle review's candidates are
 # reversed, and the chain's statements are the same with other names.
 cte(
@@ -869,15 +1032,7 @@ FROM cands c JOIN review_k k USING (index_name, review_date)
 JOIN (SELECT index_name, count(*) AS n FROM review_k GROUP BY index_name) n USING (index_name)
 """,
 )
-for _name, _deps, _renamed in (
-    ("lists", ("corrected_cands", "rules"), {"FROM cands": "FROM corrected_cands"}),
-    ("chain", ("corrected_lists",), {"FROM lists": "FROM corrected_lists", "FROM chain": "FROM corrected_chain"}),
-    ("membership", ("corrected_chain",), {"FROM chain": "FROM corrected_chain"}),
-):
-    _body = CTES[_name][1]
-    for _old, _new in _renamed.items():
-        _body = _body.replace(_old, _new)
-    cte(f"corrected_{_name}", _deps, _body)
+branch("corrected_", ("lists", "chain", "membership"), "cands")
 oracle("backfill_chain", "corrected_membership")("SELECT * FROM corrected_membership")
 
 oracle("member_dates", "membership")(

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on.  AQE re-plans joins from runtime sizes,
 # coalesces small shuffle partitions and splits skewed ones.
@@ -77,3 +77,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     # staged copies go when the session's JVM ends
     staged.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(staged)
     return path
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back.
+
+    Cuts the lineage (a lost executor reruns nothing upstream) and gives AQE real file sizes.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -63,7 +63,7 @@ def _cust_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
             "key",
             "cents",
             F.lit("C").alias("isin_prefix"),
-            (F.col("c_acctbal") >= 0).alias("eligible"),
+            F.coalesce(F.col("c_acctbal") >= 0, F.lit(False)).alias("eligible"),
         )
     )
 
@@ -89,29 +89,54 @@ def ric_of(prefix: Column, key: Column) -> Column:
     return F.concat(prefix, key.cast("string"), F.lit("."), prefix, F.lit("X"))
 
 
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lists' rows without their places: index, review, instrument, market cap, and whether it is ranked."""
+    rows = _cust_listing(spark, sf_dir).unionByName(_part_listing(spark, sf_dir))
+    prefix, key = F.col("isin_prefix"), F.col("key")
+    return rows.select("index_name", "review_date", isin_of(prefix, key).alias("isin"), ric_of(prefix, key).alias("ric"),
+                       "cents", (F.col("cents") / F.lit(100.0)).alias("ff_mcap"), "eligible")
+
+
+def rank_order() -> list[Column]:
+    """The order of ranked rows: market cap, then ISIN."""
+    return [F.col("cents").desc(), F.col("isin").asc()]
+
+
+def listed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(index, review) of every list, from the dates alone."""
+    return _listed(spark, sf_dir, "review_date")
+
+
+def listed_isins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(index, ISIN) of every instrument that was ever listed."""
+    return _listed(spark, sf_dir, "isin")
+
+
+def _listed(spark: SparkSession, sf_dir: str, what: str) -> DataFrame:
+    customer = read_table(spark, sf_dir, "customer", ["c_custkey"])
+    orders = read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderdate"])
+    known = orders.join(customer, orders.o_custkey == customer.c_custkey, "left_semi")
+    lineitem = read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_shipdate"])
+    values = {"review_date": (_quarter("o_orderdate"), _quarter("l_shipdate")),
+              "isin": (isin_of(F.lit("C"), F.col("o_custkey")), isin_of(F.lit("P"), F.col("l_partkey")))}[what]
+    return known.select(F.lit("CUST").alias("index_name"), values[0].alias(what)).distinct().unionByName(
+        lineitem.select(F.lit("PART").alias("index_name"), values[1].alias(what)).distinct())
+
+
 def review_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Selection-list entries of both indexes (ENTRY_SCHEMA).
+    """Selection-list entries of both indexes (ENTRY_SCHEMA), numbered and staged.
 
     ``ordinal`` is the row's place in its list (ranked rows first, by market
     cap, then ISIN); ``rank`` equals it for ranked rows and is null otherwise.
     """
-    listing = _cust_listing(spark, sf_dir).unionByName(_part_listing(spark, sf_dir))
-    listing = listing.withColumn("isin", isin_of(F.col("isin_prefix"), F.col("key")))
-    ordered = ranked_within(
-        listing,
-        ["index_name", "review_date"],
-        [F.when(F.col("eligible"), 0).otherwise(1), F.col("cents").desc(), F.col("isin")],
-        "ordinal",
-        # descending steps of the market cap's logarithm, listed rows after ranked ones
-        F.when(F.col("eligible"), 0).otherwise(1) * 1000
-        - F.floor(F.log(F.greatest(F.col("cents"), F.lit(0)) + F.lit(1.0)) * 16).cast("int"),
-    )
+    ordered = ranked_within(listing(spark, sf_dir), ["index_name", "review_date"],
+                            [F.when(F.col("eligible"), 0).otherwise(1), *rank_order()], "ordinal")
     return ordered.select(
         "index_name",
         "review_date",
         "isin",
-        ric_of(F.col("isin_prefix"), F.col("key")).alias("ric"),
-        (F.col("cents") / F.lit(100.0)).alias("ff_mcap"),
+        "ric",
+        "ff_mcap",
         F.when(F.col("eligible"), F.col("ordinal")).cast("int").alias("rank"),
         F.when(~F.col("eligible"), F.lit("negative balance")).alias("comment"),
         F.col("ordinal").cast("bigint").alias("ordinal"),
@@ -169,15 +194,17 @@ def raw_isin_text(isin: Column, key: Column) -> Column:
     )
 
 
-def selection_rows(spark: SparkSession, sf_dir: str, entries: DataFrame | None = None,
-                   assets: DataFrame | None = None) -> DataFrame:
+def selection_rows(entries: DataFrame, assets: DataFrame) -> DataFrame:
     """Rows of the vendor's selection lists: entry + instrument data, raw ISIN text."""
-    entries = entries if entries is not None else review_entries(spark, sf_dir)
-    assets = assets if assets is not None else review_assets(spark, sf_dir)
     rows = entries.drop("ric").join(assets, ["index_name", "isin"], "inner")
     return rows.withColumn("raw_isin", raw_isin_text(F.col("isin"), _key()))
 
 
+def patchy_isin_text(isin: Column, key: Column, day: Column) -> Column:
+    """ISIN text that is blank in some of an instrument's lists only."""
+    return F.when((key + F.year(day) * 4 + F.quarter(day)) % 7 == 0, F.lit("")).otherwise(isin)
+
+
 def _variants(df: DataFrame, keep_cols: list[str], *variants: tuple[Column, dict[str, Column]]) -> DataFrame:
     """One scan, several output rows per input row: ``inline`` over an array of
     (keep, fields) structs, then drop the variants whose condition is false."""

@@ -1,9 +1,14 @@
 """Selection-list files: the CSV dialect and the older extracted-report dialect.
 
-Both are read in one job for any number of files.  Order-dependent rules
-("first row", "first line") use an explicit ordinal: (file path, block start,
-monotonically increasing id) — rows of one split keep their file order and
-splits of one file are ordered by their start offset.
+One folder may hold files of both, told apart by their suffix.  Both are read in
+one job for any number of files.  Order-dependent rules ("first row", "first
+line") use an explicit ordinal: (file path, block start, monotonically increasing
+id) — rows of one split keep their file order and splits of one file are ordered
+by their start offset.
+
+Rows that cannot be used as they are come out beside the lists (``csv_rejects``,
+``legacy_rejects``), and ``check_dates`` refuses lists without exactly one review
+date, as the first step of a write.
 
 Writers here produce such files from derived lists (for round trips, tests
 and the incremental-ingestion demo); readers are what a user points at the
@@ -12,14 +17,18 @@ vendor's files.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from constella.functions.names import normalize_name_col
 from constella.operators.intervals import first_per_key
-from constella.operators.resolve import resolve_isins
+from constella.operators.resolve import resolve_isins, valid_isin
 from constella.schemas import LEGACY_COLUMNS, SELECTION_CSV_COLUMNS
 
+
 def _blank_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
@@ -27,7 +36,7 @@ def _blank_null(c: Column) -> Column:
 def _rank(c: Column) -> Column:
     """A rank, also written as a whole decimal ('1.0'); other text is no rank."""
     number = _blank_null(c).try_cast("double")
-    return F.when(number == F.floor(number), number.cast("int"))
+    return F.when(number == F.floor(number), number.try_cast("int"))
 
 
 def _file_key(path_col: Column, part: str) -> Column:
@@ -70,8 +79,7 @@ def write_csv_lists(rows: DataFrame, path: str, raw_isins: bool = True) -> None:
         .drop("ordinal")
         .write.mode("append")
         .partitionBy("index_name", "file")
-        .option("sep", ";")
-        .option("header", True)
+        .options(sep=";", header=True, quote='"', escape='"')
         .csv(path)
     )
 
@@ -100,7 +108,8 @@ def header_lines(index_col: Column, day: Column) -> Column:
 
 
 def write_legacy_reports(rows: DataFrame, path: str, page_size: int = 40) -> None:
-    """Extracted report tables (JSON lines): header row on page 1, a footer per page."""
+    """One report per (index, review) as JSON lines: its header lines, then its table rows (a header row on
+    page 1, a footer per page)."""
     key = legacy_file_key(F.col("index_name"), F.col("review_date"))
     pos = F.col("ordinal") - 1
     data = rows.select(
@@ -124,22 +133,19 @@ def write_legacy_reports(rows: DataFrame, path: str, page_size: int = 40) -> Non
         ).alias("cells"),
     )
     pages = data.groupBy("index_name", "review_date", "file", "page").agg(F.count(F.lit(1)).alias("_n"))
-    header = pages.where(F.col("page") == 1).select(
-        "index_name", "review_date", "file", "page", F.lit(0).alias("row"),
-        F.array(*[F.lit(c) for c in LEGACY_COLUMNS]).alias("cells"),
+    first = pages.where(F.col("page") == 1)
+    header = first.select(
+        "index_name", "file", "page", F.lit(0).alias("row"), F.array(*[F.lit(c) for c in LEGACY_COLUMNS]).alias("cells"),
     )
     footer = pages.select(
-        "index_name", "review_date", "file", "page", F.lit(999).alias("row"),
+        "index_name", "file", "page", F.lit(999).alias("row"),
         F.array(F.concat(F.lit("Page "), F.col("page").cast("string"))).alias("cells"),
     )
-    tables = data.unionByName(header).unionByName(footer)
-    tables.select("file", "index_name", "page", "row", "cells").repartition("file").write.mode("append").json(
-        f"{path}/rows"
-    )
-    heads = pages.where(F.col("page") == 1).select(
-        "file", "index_name", header_lines(F.col("index_name"), F.col("review_date")).alias("lines")
-    )
-    heads.write.mode("append").json(f"{path}/lines")
+    heads = first.select(
+        "index_name", "file", header_lines(F.col("index_name"), F.col("review_date")).alias("lines"))
+    tables = data.drop("review_date").unionByName(header).unionByName(footer).unionByName(
+        heads, allowMissingColumns=True)
+    tables.repartition("index_name", "file").write.mode("append").partitionBy("index_name", "file").json(path)
 
 
 # --------------------------------------------------------------------- reading
@@ -151,40 +157,73 @@ LIST_FIELDS = (
     "internal_key", "isin", "ric", "instrument_name", "country", "currency", "sedol", "ff_mcap_meur",
     "rank_final", "comment", "creation_date",
 )
-# One cell of a ';'-separated line behind a leading ';': quoted (doubled or
-# backslashed quotes inside) or bare.
-_CELL = r';(\s*"(?:[^"\\]|\\.|"")*"\s*|[^;]*)'
+CSV_SUFFIX, REPORT_SUFFIX = ".csv", ".json"
 
 
-def _cells(line: Column) -> Column:
-    """A ';'-separated line (quotes honoured) as an array of texts, of any width; bare blanks are null."""
-    cells = F.regexp_extract_all(F.concat(F.lit(";"), line), F.lit(_CELL), F.lit(1))
+def _files(spark: SparkSession, where: str | list[str], suffix: str):
+    """(reader, paths) of the files with a suffix: those of a folder, or of a list of paths; None without any."""
+    if isinstance(where, str):
+        return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}"), where
+    paths = [p for p in where if p.lower().endswith(suffix)]
+    return (spark.read, paths) if paths else None
 
-    def unquote(c: Column) -> Column:
-        inner = F.regexp_extract(c, r'(?s)^\s*"(.*)"\s*$', 1)
-        return F.when(c == "", None).when(c.rlike(r'(?s)^\s*".*"\s*$'), F.regexp_replace(
-            inner, r'""|\\(.)', F.lit('$1'))).otherwise(c)
 
-    return F.transform(cells, unquote)
+def _placed(df: DataFrame, *columns: str | Column) -> DataFrame:
+    return df.select(
+        *columns,
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_mid"),
+    )
 
 
-def bind_by_header(lines: DataFrame) -> DataFrame:
-    """Bind every file's rows to that file's own header line.
+def _csv_cells(spark: SparkSession, where: str | list[str]) -> DataFrame | None:
+    """Rows of all CSV files as arrays of texts (_cells, _path, _block, _mid), header rows included.
 
-    ``lines`` has (value, _path, _block, _mid).  The header of a file is its
-    first line (a per-file ``min_by``: one row per file, broadcast); data
-    cells are zipped with the normalised header names and selected by name.
+    A pass over the lines first finds, per file, the width of its first line and whether a line has an
+    odd number of quotes, so that a quoted cell may run over a line break.  Such files are read in one
+    piece each (``multiLine``); all others can be split, however large.
+    """
+    found = _files(spark, where, CSV_SUFFIX)
+    if found is None:
+        return None
+    reader, paths = found
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    # one short row per file
+    files = _placed(reader.text(paths), "value").where(F.trim("value") != "").groupBy("_path").agg(
+        F.size(F.split(F.min_by("value", F.struct("_block", "_mid")), ";")).alias("cells"),
+        F.max(quotes % 2 == 1).alias("torn")).collect()
+    if not files:
+        return None
+    width = max(f.cells for f in files)
+    scans = []
+    for torn in (False, True):
+        part = [unquote(f["_path"]) for f in files if f.torn == torn]
+        if part:
+            cells = [f"c{k}" for k in range(width)]
+            scan = spark.read.schema(", ".join(f"{c} string" for c in cells)).options(
+                sep=";", header=False, quote='"', escape='"', multiLine=torn).csv(part)
+            scans.append(_placed(scan, F.array(*cells).alias("_cells")))
+    return scans[0] if len(scans) == 1 else scans[0].unionByName(scans[1])
+
+
+_SCAN = ", ".join(f"{c} string" for c in LIST_FIELDS) + ", _path string, _block long, _mid long"
+
+
+def bind_by_header(rows: DataFrame) -> DataFrame:
+    """Bind every file's rows to that file's own header row.
+
+    ``rows`` has (_cells, _path, _block, _mid).  The header of a file is its first row (a per-file
+    ``min_by``: one row per file, joined by AQE's choice); cells are selected by the place of the
+    normalised header name.
     """
     order = F.struct("_block", "_mid")
-    heads = lines.groupBy("_path").agg(F.min_by(F.struct("value", "_mid"), order).alias("_h")).select(
+    heads = rows.groupBy("_path").agg(F.min_by(F.struct("_cells", "_mid"), order).alias("_h")).select(
         "_path",
         F.col("_h._mid").alias("_hmid"),
-        F.transform(_cells(F.col("_h.value")), normalize_name_col).alias("_header"),
-    )
-    data = lines.where(F.trim("value") != "").join(heads, "_path", "inner").where(
-        F.col("_mid") != F.col("_hmid")
+        F.transform(F.col("_h._cells"), lambda c: F.coalesce(normalize_name_col(c), F.lit(""))).alias("_header"),
     )
-    data = data.withColumn("_cells", _cells(F.col("value")))
+    data = rows.join(heads, "_path", "inner").where(F.col("_mid") != F.col("_hmid"))
     at = {name: F.array_position("_header", name).cast("int") - 1 for name in LIST_FIELDS}
     return data.select(
         *[F.when(at[name] >= 0, F.get("_cells", at[name])).alias(name) for name in LIST_FIELDS],
@@ -192,19 +231,16 @@ def bind_by_header(lines: DataFrame) -> DataFrame:
     )
 
 
-def csv_lines(df: DataFrame) -> DataFrame:
-    """Text lines with their file and split (works for batch and streaming scans)."""
-    return df.select(
-        "value",
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
+def read_csv_lists(spark: SparkSession, where: str | list[str]) -> DataFrame:
+    """S1 scan: all CSV lists of a folder (or of some paths), each bound to its own header."""
+    rows = _csv_cells(spark, where)
+    return spark.createDataFrame([], _SCAN) if rows is None else bind_by_header(rows)
 
 
-def read_csv_lists(spark: SparkSession, path: str) -> DataFrame:
-    """S1 scan: all list files under ``path``, each bound to its own header."""
-    text = spark.read.option("recursiveFileLookup", True).text(path)
-    return bind_by_header(csv_lines(text).withColumn("_mid", F.monotonically_increasing_id()))
+def _ordinal() -> Column:
+    """Place of a row in its file: the split's first byte plus the row's place in the split.  A split has no
+    more rows than bytes, so places follow the file's order, and no task holds a whole file."""
+    return F.col("_block") + F.row_number().over(Window.partitionBy("_path", "_block").orderBy("_mid"))
 
 
 def normalise_csv_lists(scan: DataFrame, lookup: DataFrame | None) -> DataFrame:
@@ -237,6 +273,63 @@ def normalise_csv_lists(scan: DataFrame, lookup: DataFrame | None) -> DataFrame:
     return resolve_isins(rows, lookup)
 
 
+REJECT_COLUMNS = ("index_name", "file", "ordinal", "reason", "value")
+
+
+def _rejected(rows: DataFrame, reasons: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """One row per fault of a row: (index_name, file, ordinal, reason, value)."""
+    faults = F.array_compact(F.array(*[
+        F.when(bad, F.struct(F.lit(reason).alias("reason"), value.alias("value")))
+        for reason, (bad, value) in reasons.items()]))
+    return rows.withColumn("_faults", faults).where(F.size("_faults") > 0).select(
+        "index_name", "file", "ordinal", F.inline("_faults"))
+
+
+def _unread(text: Column, value: Column) -> Column:
+    """Text that is not blank but has no value."""
+    return _blank_null(text).isNotNull() & value.isNull()
+
+
+def csv_rejects(scan: DataFrame) -> DataFrame:
+    """What a CSV row says that cannot be used: an unreadable ``rank`` (the row goes unranked) or
+    market cap (``mcap``), a blank or unreadable creation ``date`` (the file's first one counts), neither ISIN
+    nor key (``identifier``: the row is left out)."""
+    rows = scan.select(
+        _file_key(F.col("_path"), "index_name").alias("index_name"), _file_key(F.col("_path"), "file").alias("file"),
+        _ordinal().alias("ordinal"), "rank_final", "ff_mcap_meur", "creation_date", "isin", "internal_key")
+    date = F.try_to_date(F.trim("creation_date"), "yyyyMMdd")
+    return _rejected(rows, {
+        "rank": (_unread(F.col("rank_final"), _rank(F.col("rank_final"))), F.col("rank_final")),
+        "mcap": (_unread(F.col("ff_mcap_meur"), _blank_null(F.col("ff_mcap_meur")).try_cast("double")),
+                 F.col("ff_mcap_meur")),
+        "date": (date.isNull(), F.col("creation_date")),
+        "identifier": (~valid_isin(F.col("isin")) & _blank_null(F.col("internal_key")).isNull(), F.col("isin")),
+    })
+
+
+def csv_dates(scan: DataFrame) -> DataFrame:
+    """Per CSV file its review date (the first row's) and how many dates its rows name."""
+    day = F.try_to_date(F.trim("creation_date"), "yyyyMMdd")
+    return scan.groupBy("_path").agg(
+        F.min_by(day, F.struct("_block", "_mid")).alias("review_date"), F.countDistinct(day).alias("dates")).select(
+        _file_key(F.col("_path"), "index_name").alias("index_name"), _file_key(F.col("_path"), "file").alias("file"),
+        "review_date", "dates")
+
+
+class ListError(ValueError):
+    """Lists that must not be written."""
+
+
+def check_dates(dates: DataFrame, shown: int = 10) -> None:
+    """Every list needs exactly one review date; raises ``ListError`` before anything is written."""
+    bad = dates.where(F.col("review_date").isNull() | (F.col("dates") != 1)).orderBy("index_name", "file")
+    rows = bad.limit(shown).collect()
+    if rows:
+        raise ListError("; ".join(
+            f"{r.index_name} {r.file}: " + ("no review date" if r.review_date is None else f"{r.dates} review dates")
+            for r in rows))
+
+
 def csv_review_dates(scan: DataFrame) -> DataFrame:
     """V2: distinct creation dates per file (a write needs exactly one)."""
     return scan.groupBy(
@@ -254,12 +347,18 @@ def csv_assets(rows: DataFrame, by_internal_key: bool) -> DataFrame:
     return first_per_key(rows, ["index_name", "file", key], ["_block", "_mid"], cols)
 
 
-def read_legacy_reports(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    rows = spark.read.schema("file string, index_name string, page int, row int, cells array<string>").json(
-        f"{path}/rows"
-    )
-    lines = spark.read.schema("file string, index_name string, lines array<string>").json(f"{path}/lines")
-    return rows, lines
+def read_legacy_reports(spark: SparkSession, where: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """S2 scan: table rows and header lines of all extracted reports of a folder (or of some paths)."""
+    found = _files(spark, where, REPORT_SUFFIX)
+    columns = "page int, row int, cells array<string>, lines array<string>"
+    if found is None:
+        raw = spark.createDataFrame([], f"{columns}, _path string")
+    else:
+        raw = found[0].schema(columns).json(found[1]).select("*", F.col("_metadata.file_path").alias("_path"))
+    raw = raw.withColumn("index_name", _file_key(F.col("_path"), "index_name")).withColumn(
+        "file", _file_key(F.col("_path"), "file"))
+    rows = raw.where("cells is not null").select("file", "index_name", "page", "row", "cells", "_path")
+    return rows, raw.where("lines is not null").select("file", "index_name", "lines")
 
 
 def legacy_header_names(rows: DataFrame) -> DataFrame:
@@ -289,25 +388,31 @@ def header_review_dates(lines: DataFrame) -> DataFrame:
     return dated.groupBy("index_name", "file").agg(F.min_by("review_date", F.col("pos")).alias("review_date"))
 
 
-def normalise_legacy_reports(rows: DataFrame, lines: DataFrame) -> DataFrame:
-    """Rows whose width equals the header's, blank ISINs dropped, BEUR x 1000."""
-    header = rows.where((F.col("page") == 1) & (F.col("row") == 0)).select(
-        "file", F.transform("cells", normalize_name_col).alias("header")
-    )
+def _report_rows(rows: DataFrame) -> tuple[DataFrame, Column]:
+    """Data rows with their report's normalised header, and a cell by its header name (from the right: of
+    repeated header cells the last one counts)."""
+    first = (F.col("page") == 1) & (F.col("row") == 0)
+    header = rows.where(first).select("index_name", "file", F.transform("cells", normalize_name_col).alias("header"))
     # One row per report on the right: AQE broadcasts it, or splits a very large report's partition.
-    data = rows.where(~((F.col("page") == 1) & (F.col("row") == 0))).join(header, "file", "inner")
-    data = data.where(F.size("cells") == F.size("header"))
+    data = rows.where(~first).join(header, ["index_name", "file"], "inner")
 
     def cell(name: str) -> Column:
-        # by position, from the right: of repeated header cells the last one counts
         at = F.size("header") - F.array_position(F.reverse("header"), name).cast("int")
         return F.when(F.array_contains("header", name), F.get("cells", at))
 
-    out = data.select(
+    return data.withColumn("ordinal", F.col("page").cast("long") * 1_000_000 + F.col("row")), cell
+
+
+def normalise_legacy_reports(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """Rows whose width equals the header's, blank ISINs dropped, BEUR x 1000."""
+    data, cell = _report_rows(rows)
+    path = ["_path"] if "_path" in rows.columns else []
+    out = data.where(F.size("cells") == F.size("header")).select(
         "index_name",
         "file",
         "page",
         "row",
+        "ordinal",
         F.trim(cell("isin")).alias("isin"),
         F.trim(cell("int_key")).alias("internal_key"),
         F.trim(cell("ric")).alias("ric"),
@@ -317,6 +422,66 @@ def normalise_legacy_reports(rows: DataFrame, lines: DataFrame) -> DataFrame:
         _blank_null(cell("sedol")).alias("sedol"),
         (_blank_null(cell("ff_mcap_beur")).try_cast("double") * 1000).alias("ff_mcap"),
         _rank(cell("rank_final")).alias("rank"),
+        *path,
     ).where(F.col("isin").isNotNull() & (F.col("isin") != ""))
-    dates = header_review_dates(lines)
-    return out.join(dates.drop("index_name"), "file", "left")
+    return out.join(header_review_dates(lines), ["index_name", "file"], "left")
+
+
+def legacy_assets(rows: DataFrame) -> DataFrame:
+    """Assets of each report: the first row per ISIN."""
+    return first_per_key(rows, ["index_name", "file", "isin"], ["ordinal"],
+                         ["internal_key", "ric", "name", "country", "currency", "sedol"])
+
+
+def legacy_rejects(rows: DataFrame) -> DataFrame:
+    """What a report row says that cannot be used: another ``width`` than the header's or no ISIN
+    (``identifier``; both leave the row out), an unreadable ``rank`` or market cap (``mcap``)."""
+    data, cell = _report_rows(rows)
+    fits = F.size("cells") == F.size("header")
+    held = fits & _blank_null(cell("isin")).isNotNull()
+    return _rejected(data, {
+        "width": (~fits, F.size("cells").cast("string")),
+        "identifier": (fits & ~held, cell("int_key")),
+        "rank": (held & _unread(cell("rank_final"), _rank(cell("rank_final"))), cell("rank_final")),
+        "mcap": (held & _unread(cell("ff_mcap_beur"), _blank_null(cell("ff_mcap_beur")).try_cast("double")),
+                 cell("ff_mcap_beur")),
+    })
+
+
+def legacy_dates(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """Per report its review date (null: none found in the header lines) and how many it has."""
+    files = rows.select("index_name", "file").distinct().join(header_review_dates(lines), ["index_name", "file"], "left")
+    return files.select("index_name", "file", "review_date", F.col("review_date").isNotNull().cast("long").alias("dates"))
+
+
+# ------------------------------------------------------------- both dialects
+
+
+@dataclass(frozen=True)
+class Lists:
+    """``rows``: clean list rows of both dialects; ``rejects``: REJECT_COLUMNS; ``dates``: per file."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    dates: DataFrame
+
+
+LIST_ROW = ("index_name", "file", "dialect", "review_date", "internal_key", "isin", "ric", "name", "country", "currency",
+            "sedol", "ff_mcap", "rank", "comment", "_path", "ordinal")
+
+
+def read_lists(spark: SparkSession, where: str | list[str], lookup: DataFrame | None = None) -> Lists:
+    """S3: the lists of a folder (or of some paths), each read in the dialect of its suffix.
+
+    Missing ISINs of CSV lists are looked up; report rows without one are left out (and rejected).
+    """
+    scan = read_csv_lists(spark, where)
+    tables, lines = read_legacy_reports(spark, where)
+    csv = normalise_csv_lists(scan, lookup).withColumn("ordinal", _ordinal()).withColumn("dialect", F.lit("csv"))
+    old = normalise_legacy_reports(tables, lines).withColumn("dialect", F.lit("legacy")).withColumn(
+        "comment", F.lit(None).cast("string"))
+    return Lists(
+        csv.select(*LIST_ROW).unionByName(old.select(*LIST_ROW)),
+        csv_rejects(scan).unionByName(legacy_rejects(tables)),
+        csv_dates(scan).unionByName(legacy_dates(tables, lines)),
+    )

@@ -1,103 +1,110 @@
 """Incremental ingestion of selection-list files (Structured Streaming).
 
-``start_list_stream`` watches a folder of CSV lists.  With the
-``availableNow`` trigger each run processes exactly the files that arrived
-since the last run (the checkpoint records them) and stops; a second run with
-no new files does nothing.  Every micro-batch:
-
-1. parses its files (review date of a file = creation date of its first row);
-2. per index, takes the earliest review in the batch as the start of the
-   chain to recompute: new lists plus the published lists from that review
-   on (a late, backfilled list re-chains everything after it);
-3. recomputes membership from the published prior (``rechain_from``);
-4. cuts the lineage (reliable checkpoint in the shared folder), then
-   overwrites only the touched (index, review) partitions.
-
-Entries keep the file they came from, and a batch replaces its files' rows, so
-replaying a batch rewrites the same partitions with the same rows.  ``reviews``
-is written last; readers find reviews through it.
+``start_list_stream`` watches a folder of lists of both dialects.  With the ``availableNow`` trigger
+each run processes exactly the files that arrived since the last run (the checkpoint records them) and
+stops; a second run with no new files does nothing.  Every micro-batch:
+
+1. pins the dataset's version and builds the key -> ISIN lookup from the assets published there;
+2. parses its files, each in the dialect of its suffix, and refuses the batch before anything is
+   written unless every list has exactly one review date;
+3. per index, takes the earliest review of the batch as the start of the chain to recompute (a late,
+   backfilled list re-chains everything after it) and the published member set before it as prior;
+4. extends what is derived, from the changed reviews only: member ranks, membership intervals, and the
+   entity ids of the assets;
+5. publishes all tables in one step.  Partitions that do not change keep their files.
+
+Entries keep the file they came from, and a batch replaces its files' rows.  The commit records the
+stream's batch number, so a batch that was published but not yet checkpointed is not applied again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from constella.functions.ranking import calendar_sized
 from constella.operators import membership as M
-from constella.operators.intervals import first_per_key, merge_snapshots
+from constella.operators.intervals import extend_intervals, first_per_key, merge_snapshots
+from constella.operators.ranking import member_ranks
+from constella.operators.resolve import enrich_counted, isin_lookup
 from constella.schemas import IndexRule
-from constella.sources.dataset import ReviewDataset, _writer
-from constella.sources.selection import bind_by_header, csv_lines, normalise_csv_lists
+from constella.session import staged
+from constella.sources.dataset import Change, ReviewDataset
+from constella.sources.selection import Lists, check_dates, read_lists
 
 KEY = ["index_name", "review_date"]
+# of an instrument, in the order of its first listing
+PLACE = ["first_listed", "file", "ordinal"]
+METADATA = ["internal_key", "ric", "name", "country", "currency", "sedol"]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def _published(ds: ReviewDataset, table: str, schema: str) -> DataFrame:
-    if _exists(ds.spark, ds.path(table)):
-        return ds.table(table)
-    return ds.spark.createDataFrame([], schema)
+def published_lookup(ds: ReviewDataset) -> DataFrame:
+    """Key -> ISIN of the published assets; of several valid rows of a key the last listed one wins."""
+    return isin_lookup(ds.assets().withColumn("_place", F.struct(*PLACE)), "_place")
 
 
-def ingest_lists(rows: DataFrame, ds: ReviewDataset, rules: dict[str, IndexRule]) -> None:
-    """Publish parsed list rows: entries, assets, membership re-chained from the first new review."""
-    # Place of each row in its file: the split's first byte plus the row's place in the split.  A split
-    # has no more rows than bytes, so places follow the file's order, and no task holds a whole file.
-    w = Window.partitionBy("_path", "_block").orderBy("_mid")
-    rows = rows.withColumn("ordinal", F.col("_block") + F.row_number().over(w))
+def ingest_lists(
+    lists: Lists,
+    ds: ReviewDataset,
+    rules: dict[str, IndexRule],
+    entities: DataFrame | None = None,
+    batch: tuple[str, int] | None = None,
+) -> ReviewDataset:
+    """Publish parsed lists and all that follows from them; the dataset at its new version."""
+    check_dates(lists.dates)
+    base = ds.pinned()
+    # Parse once; every later job of the batch reads this copy.
+    rows = staged(lists.rows, "batch-rows")
     new_entries = rows.where(F.col("isin").isNotNull()).select(
         *KEY, "isin", "ric", "ff_mcap", "rank", "comment", "ordinal", F.col("_path").alias("file"))
-    since = new_entries.groupBy("index_name").agg(F.min("review_date").alias("review_date"))
+    # every list is a review, even one without a usable row
+    new_reviews = staged(lists.dates.select(*KEY).distinct(), "batch-reviews")
+    since = new_reviews.groupBy("index_name").agg(F.min("review_date").alias("review_date"))
+    reviews = staged(base.table("reviews").select(*KEY).union(new_reviews).distinct(), "batch-calendar")
 
-    old_entries = _published(
-        ds, "entries",
-        "index_name string, review_date date, isin string, ff_mcap double, rank int, comment string, "
-        "ordinal bigint, file string, ric string",
-    )
-    # (index, review) and per-index tables below are calendar-sized: broadcast.
-    touched = F.broadcast(new_entries.select(*KEY).distinct())
     # Same-date lists that arrived earlier are kept next to the new ones; a list that comes again (a
-    # replayed batch, a corrected file) replaces its own rows.
+    # corrected file) replaces its own rows.  Only the touched reviews' partitions are read.
     files = new_entries.select("index_name", "file").distinct()
-    kept_same_date = old_entries.join(touched, KEY, "left_semi").join(files, ["index_name", "file"], "left_anti")
-    kept_same_date = kept_same_date.select(*new_entries.columns)
-    entries_out = new_entries.unionByName(kept_same_date).checkpoint()
-
+    kept = base.table("entries", new_reviews).select(*new_entries.columns).join(
+        files, ["index_name", "file"], "left_anti")
+    entries = staged(new_entries.unionByName(kept), "batch-entries")
     start = F.broadcast(since.select("index_name", F.col("review_date").alias("_since")))
-    later = old_entries.join(start, "index_name").where(F.col("review_date") >= F.col("_since"))
-    later = later.join(touched, KEY, "left_anti").select(*new_entries.columns)
-    cands = M.candidates(entries_out.unionByName(later), rules)
-    published = _published(
-        ds, "membership", "index_name string, review_date date, isin string, is_member boolean, entry_reason string"
-    )
-    membership = M.rechain_from(cands, published, since, rules)
-    membership = membership.join(F.broadcast(since.select("index_name", F.col("review_date").alias("_s"))), "index_name").where(
-        F.col("review_date") >= F.col("_s")
-    ).drop("_s").checkpoint()
-
-    new_assets = first_per_key(
-        rows.select("index_name", "isin", "internal_key", "ric", "name", "country", "currency", "sedol", "_block",
-                    "_mid"),
-        ["index_name", "isin"], ["_block", "_mid"], ["internal_key", "ric", "name", "country", "currency", "sedol"],
-    )
-    old_assets = _published(
-        ds, "assets",
-        "isin string, internal_key string, ric string, name string, country string, currency string, "
-        "sedol string, index_name string",
-    )
-    assets_out = merge_snapshots(old_assets, new_assets, ["index_name", "isin"]).checkpoint()
-
-    key = ["index_name", "review_date"]
-    _writer(assets_out, ["index_name"]).parquet(ds.path("assets"))
-    _writer(entries_out, key).parquet(ds.path("entries"))
-    _writer(membership, key).parquet(ds.path("membership"))
-    reviews = entries_out.select(*key).distinct().unionByName(_published(ds, "reviews", "review_date date, index_name string").select(*key)).distinct().checkpoint()
-    _writer(reviews, ["index_name"]).parquet(ds.path("reviews"))
+    later_reviews = reviews.join(start, "index_name").where(F.col("review_date") >= F.col("_since")).select(*KEY)
+    later = base.table("entries", later_reviews.join(new_reviews, KEY, "left_anti")).select(*entries.columns)
+    changed_entries = entries.unionByName(later)
+
+    cands = M.candidates(changed_entries, rules)
+    membership = staged(M.rechained(cands, base.table("membership"), since, rules, reviews), "batch-membership")
+
+    listed = rows.select("index_name", "isin", *METADATA, F.col("review_date").alias("first_listed"),
+                         F.col("_path").alias("file"), "ordinal")
+    # the first listing of an instrument counts, whatever the order of the files in the batch
+    new_assets = first_per_key(listed, ["index_name", "isin"], PLACE, [*METADATA, *PLACE])
+    known = base.assets().join(calendar_sized(since.select("index_name")), "index_name", "left_semi")
+    assets = merge_snapshots(known, new_assets.where(F.col("isin").isNotNull()), ["index_name", "isin"])
+    if entities is not None:
+        assets, _ = enrich_counted(assets, entities)
+    else:
+        assets = staged(assets.withColumn("entity_id", F.lit(None).cast("string")), "batch-assets")
+
+    ranks = member_ranks(changed_entries, membership, assets).where(F.col("rank") > 0)
+    intervals, place = extend_intervals(base.intervals(), membership, reviews, since)
+    dated = lists.dates.groupBy("index_name", "file").agg(F.max("review_date").alias("review_date"))
+    rejects = lists.rejects.join(dated, ["index_name", "file"])
+    noted = base.table("rejects", new_reviews).join(dated.select("index_name", "file"), ["index_name", "file"],
+                                                    "left_anti")
+    columns = [*KEY, "file", "ordinal", "reason", "value"]
+    return base.commit({
+        "assets": Change(assets),
+        "entries": Change(entries, touched=new_reviews),
+        "membership": Change(membership, since),
+        "reviews": Change(reviews.join(calendar_sized(since.select("index_name")), "index_name", "left_semi")),
+        "ranks": Change(ranks.select(*KEY, "ric", F.col("rank").cast("int").alias("rank")), since),
+        "intervals": Change(intervals.withColumnRenamed("last_included", "review_date"), place),
+        "rejects": Change(rejects.select(*columns).unionByName(noted.select(*columns)), touched=new_reviews),
+    }, batch)
 
 
 def start_list_stream(
@@ -106,20 +113,30 @@ def start_list_stream(
     ds: ReviewDataset,
     checkpoint: str,
     rules: dict[str, IndexRule],
-    lookup: DataFrame | None = None,
+    entities: DataFrame | None = None,
 ) -> None:
-    """Process the files that arrived since the last run, then stop."""
-    # Text lines: each micro-batch holds whole files, so every file is bound
-    # to its own header inside the batch (column order may differ per file).
-    scan = csv_lines(spark.readStream.option("recursiveFileLookup", True).text(source))
+    """Process the files that arrived since the last run, then stop.
+
+    The stream carries the files' paths (their content is not read); a batch names its files once, so
+    every file is parsed as a whole.  ``entities`` (index_name, endpoint, id, alpha_id) gives the ids.
+    """
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.{csv,json}")
+        .load(source)
+        .select("path")
+    )
 
     def each(batch: DataFrame, epoch: int) -> None:
-        lines = batch.withColumn("_mid", F.monotonically_increasing_id())
-        if lines.isEmpty():
-            return
-        # Parse once per batch; every later job of the batch reads this copy.
-        parsed = normalise_csv_lists(bind_by_header(lines), lookup).checkpoint()
-        ingest_lists(parsed, ds, rules)
-
-    q = scan.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        paths = [r.path for r in batch.collect()]  # one short row for each new list
+        base = ds.pinned()
+        done = base.last_batch(stream)
+        if paths and (done is None or done < epoch):
+            lists = read_lists(batch.sparkSession, paths, published_lookup(base))
+            ingest_lists(lists, base, rules, entities, (stream, epoch))
+
+    q = files.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()

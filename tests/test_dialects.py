@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from constella.session import scratch_path
@@ -56,40 +57,91 @@ def test_csv_lists(spark):
     assert dq == {"a.csv": (2, False), "b.csv": (1, True), "c.csv": (1, True)}
 
 
+REPORT_HEAD = ["ISIN", "Sedol", "RIC", "Int.Key", "Company Name", "Country", "Currency", "Component",
+               "FF Mcap (BEUR)", "Rank\n(FINAL)", "Rank\n(PREVIOUS\n)"]
+REPORT_ROWS = [
+    {"page": 1, "row": 0, "cells": REPORT_HEAD},
+    {"page": 1, "row": 1, "cells": ["GB0001", "", "AAA.L", "039600", "Alpha plc", "GB", "GBP", "Y", "1.23456", "1", ""]},
+    {"page": 1, "row": 2, "cells": ["", "", "BBB.L", "039601", "Beta plc", "GB", "GBP", "Y", "2.0", "2", ""]},
+    {"page": 1, "row": 3, "cells": ["Page 1"]},
+    {"page": 2, "row": 1, "cells": ["GB0003", "S3", "CCC.L", "039602", "Gamma plc", "GB", "GBP", "N", "", "x", ""]},
+    {"page": 2, "row": 2, "cells": ["GB0001", "", "ZZZ.L", "039609", "Alpha again", "GB", "GBP", "N", "3", "9", ""]},
+]
+
+
+def _report(root, name, lines, rows=REPORT_ROWS):
+    _write(f"{root}/index_name=IX/file={name}.pdf", "part-0.json", [json.dumps(r) for r in [{"lines": lines}, *rows]])
+
+
 def test_legacy_reports(spark):
     root = local(spark, "t-legacy")
-    head = ["ISIN", "Sedol", "RIC", "Int.Key", "Company Name", "Country", "Currency", "Component",
-            "FF Mcap (BEUR)", "Rank\n(FINAL)", "Rank\n(PREVIOUS\n)"]
-    rows = [
-        {"file": "r1.pdf", "index_name": "IX", "page": 1, "row": 0, "cells": head},
-        {"file": "r1.pdf", "index_name": "IX", "page": 1, "row": 1,
-         "cells": ["GB0001", "", "AAA.L", "039600", "Alpha plc", "GB", "GBP", "Y", "1.23456", "1", ""]},
-        {"file": "r1.pdf", "index_name": "IX", "page": 1, "row": 2,
-         "cells": ["", "", "BBB.L", "039601", "Beta plc", "GB", "GBP", "Y", "2.0", "2", ""]},
-        {"file": "r1.pdf", "index_name": "IX", "page": 1, "row": 3, "cells": ["Page 1"]},
-        {"file": "r1.pdf", "index_name": "IX", "page": 2, "row": 1,
-         "cells": ["GB0003", "S3", "CCC.L", "039602", "Gamma plc", "GB", "GBP", "N", "", "", ""]},
-    ]
-    _write(f"{root}/rows", "part-0.json", [json.dumps(r) for r in rows])
-    _write(f"{root}/lines", "part-0.json", [json.dumps(
-        {"file": "r1.pdf", "index_name": "IX", "lines": ["Selection list", "Last Updated: 13.10.2015"]})])
+    _report(root, "r1", ["Selection list", "Last Updated: 13.10.2015"])
     tables, lines = S.read_legacy_reports(spark, root)
-    got = {r.isin: r for r in S.normalise_legacy_reports(tables, lines).collect()}
-    assert set(got) == {"GB0001", "GB0003"}
-    assert abs(got["GB0001"].ff_mcap - 1234.56) < 1e-9 and got["GB0001"].internal_key == "039600"
-    assert got["GB0001"].sedol is None and got["GB0003"].sedol == "S3"
-    assert got["GB0003"].rank is None and got["GB0003"].ff_mcap is None
-    assert got["GB0001"].review_date == dt.date(2015, 10, 13)
-
-
-def test_cells_of_any_width_quotes_and_ranks(spark):
-    lines = [";".join(f"c{i}" for i in range(41)), 'a;"x;y";"say ""hi""";;"b\\"c"']
-    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, value string")
-    got = {r.i: r.c for r in df.select("i", S._cells(F.col("value")).alias("c")).collect()}
-    assert got[0] == [f"c{i}" for i in range(41)]
-    assert got[1] == ["a", "x;y", 'say "hi"', None, 'b"c'] or got[1][:2] == ["a", "x;y"]
-    ranks = spark.createDataFrame([("1",), ("1.0",), ("1.5",), (" ",), ("x",)], "r string")
-    assert [r[0] for r in ranks.select(S._rank(F.col("r"))).collect()] == [1, 1, None, None, None]
+    rows = S.normalise_legacy_reports(tables, lines)
+    got = {(r.isin, r.ric): r for r in rows.collect()}
+    assert set(got) == {("GB0001", "AAA.L"), ("GB0003", "CCC.L"), ("GB0001", "ZZZ.L")}
+    alpha, gamma = got["GB0001", "AAA.L"], got["GB0003", "CCC.L"]
+    assert abs(alpha.ff_mcap - 1234.56) < 1e-9 and alpha.internal_key == "039600"
+    assert alpha.sedol is None and gamma.sedol == "S3"
+    assert gamma["rank"] is None and gamma.ff_mcap is None
+    assert alpha.review_date == dt.date(2015, 10, 13)
+    assert {(r.isin, r.ric) for r in S.legacy_assets(rows).collect()} == {("GB0001", "AAA.L"), ("GB0003", "CCC.L")}
+    rejects = {(r.file, r.ordinal, r.reason, r.value) for r in S.legacy_rejects(tables).collect()}
+    assert rejects == {("r1.pdf", 1_000_002, "identifier", "039601"), ("r1.pdf", 1_000_003, "width", "1"),
+                       ("r1.pdf", 2_000_001, "rank", "x")}
+
+
+def test_records_over_several_lines(spark):
+    root = local(spark, "t-torn")
+    head = "Internal_Key;ISIN;Comment;Creation_Date;Rank_Final"
+    _write(f"{root}/index_name=IX/file=torn.csv", "part-0.csv", [
+        head, '01;DE01;"two', 'lines; and ""more""";20240301;1', "02;DE02;plain;20240301;2", "",
+        '03;DE03;"x;y";20240301;3'])
+    _write(f"{root}/index_name=IX/file=whole name.csv", "part-0.csv", [
+        "Extra;" + head, 'e;04;DE04;5" pipe ""x"";20240601;1', 'e;05;DE05;"say ""hi""";20240601;2', "e;06;DE06"])
+    rows = {r.internal_key: r for r in S.normalise_csv_lists(S.read_csv_lists(spark, root), None).collect()}
+    assert rows["01"].comment == 'two\nlines; and "more"' and rows["01"]["rank"] == 1
+    assert (rows["02"].comment, rows["03"].comment, rows["03"]["rank"]) == ("plain", "x;y", 3)
+    assert rows["05"].comment == 'say "hi"' and rows["04"].isin == "DE04"
+    assert rows["06"].isin == "DE06" and rows["06"].comment is None and rows["06"].review_date == dt.date(2024, 6, 1)
+    assert len(rows) == 6
+
+
+def test_wide_and_empty_lists(spark):
+    root = local(spark, "t-wide")
+    names = [f"col {i}" for i in range(60)]
+    _write(f"{root}/index_name=IX/file=w.csv", "part-0.csv", [
+        ";".join([*names, "ISIN", "Internal Key", "Creation Date"]), ";".join(["v"] * 60 + ["DE1", "1", "20240301"])])
+    _write(f"{root}/index_name=IX/file=h.csv", "part-0.csv", [HEADER])
+    (row,) = S.normalise_csv_lists(S.read_csv_lists(spark, root), None).collect()
+    assert (row.isin, row.internal_key, row.review_date) == ("DE1", "1", dt.date(2024, 3, 1))
+    empty = local(spark, "t-none")
+    os.makedirs(empty)
+    assert S.read_lists(spark, empty).rows.count() == 0 and S.read_lists(spark, []).dates.count() == 0
+
+
+def test_mixed_folder_rejects_and_dates(spark):
+    root = local(spark, "t-mixed")
+    _report(root, "old", ["Last updated 20150301"])
+    _report(root, "undated", ["no date at all"])
+    _write(f"{root}/index_name=IX/file=new.csv", "part-0.csv", [
+        HEADER, "01;DE01;A.DE;A;DE;EUR;;1;1;;20240301", ";null;B.DE;B;DE;EUR;;2;2;;20240301",
+        "03;DE03;C.DE;C;DE;EUR;;1,5;1.5;;", "04;DE04;D.DE;D;DE;EUR;;;;;20240302"])
+    lists = S.read_lists(spark, root)
+    kinds = {(r.file, r.dialect) for r in lists.rows.collect()}
+    assert kinds == {("old.pdf", "legacy"), ("undated.pdf", "legacy"), ("new.csv", "csv")}
+    rejects = {(r.ordinal, r.reason, r.value) for r in lists.rejects.where("file = 'new.csv'").collect()}
+    assert rejects == {(2, "identifier", "null"), (3, "rank", "1.5"), (3, "mcap", "1,5"), (3, "date", None)}
+    dates = {r.file: (r.review_date, r.dates) for r in lists.dates.collect()}
+    assert dates == {"old.pdf": (dt.date(2015, 3, 1), 1), "undated.pdf": (None, 0), "new.csv": (dt.date(2024, 3, 1), 2)}
+    with pytest.raises(S.ListError, match="new.csv: 2 review dates; IX undated.pdf: no review date"):
+        S.check_dates(lists.dates)
+    S.check_dates(lists.dates.where("file = 'old.pdf'"))
+
+
+def test_ranks(spark):
+    ranks = spark.createDataFrame([("1",), ("1.0",), ("1.5",), (" ",), ("x",), ("1e30",)], "r string")
+    assert [r[0] for r in ranks.select(S._rank(F.col("r"))).collect()] == [1, 1, None, None, None, None]
 
 
 def test_legacy_repeated_and_blank_header_cells(spark):

@@ -7,7 +7,6 @@ import pytest
 
 from constella.operators import membership as M
 from constella.plans.queries import QUERIES
-from constella.session import scratch_path
 from constella.sources.derive import RULES, review_entries
 
 SF = "/root/testdata/sf0.001"
@@ -20,12 +19,24 @@ def executed(df):
 
 
 def test_candidates_limit_before_shuffle(spark):
-    path = scratch_path(spark, "plan-entries")
-    review_entries(spark, SF).write.parquet(path)
-    plan = M.candidates(spark.read.parquet(path), RULES)._jdf.queryExecution().executedPlan().toString()
+    plan = M.candidates(review_entries(spark, SF), RULES)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+@pytest.mark.parametrize("name", [
+    "review_dates", "review_calendar", "publication_keys", "missing_periods", "match_publications", "dq_keys",
+    "resolve_isin", "buffer_chain", "country_top10", "rank_events",
+])
+def test_no_numbering_where_no_rank_is_read(spark, name, monkeypatch):
+    def numbered(*_):
+        raise AssertionError(f"{name} numbers the lists")
+
+    monkeypatch.setattr("constella.plans.book.review_entries", numbered)
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    if name in ("review_dates", "review_calendar", "publication_keys", "missing_periods", "match_publications"):
+        assert "cents" not in plan and "row_number" not in plan
+
+
 def test_rank_events_has_no_grid(spark):
     plan = executed(QUERIES["rank_events"](spark, SF))
     assert "NestedLoop" not in plan and "Cartesian" not in plan

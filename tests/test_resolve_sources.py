@@ -52,6 +52,24 @@ def test_enrichment_falls_back_to_ric_and_keeps_rows(spark):
     assert [r.isin for r in report] == ["I4"]
 
 
+def test_enrichment_counts_and_refuses_other_row_counts(spark, monkeypatch):
+    assets = spark.createDataFrame(
+        [("T", "I1", "R1"), ("T", "I2", "R2"), ("T", "I2", "R2"), ("T", "I3", None)],
+        "index_name string, isin string, ric string")
+    ents = spark.createDataFrame(
+        [("T", "isin", "I1", "E1"), ("T", "ric", "R2", "E2"), ("T", "ric", "R9", "E9")],
+        "index_name string, endpoint string, id string, alpha_id string")
+    out, counts = X.enrich_counted(assets, ents)
+    assert counts == {"rows_before": 4, "rows_after": 4, "by_isin": 1, "by_ric": 2, "unresolved": 1}
+    assert out.count() == 4
+    real = X.enrich_ids
+    monkeypatch.setattr(X, "enrich_ids", lambda a, e, c, seen: real(a, e, c, (seen[0], X.Observation("spare"))).join(
+        ents.select("index_name").limit(2), "index_name").observe(
+        seen[1], F.count(F.lit(1)).alias("rows"), *[F.count(F.lit(1)).alias(k) for k in ("by_isin", "by_ric", "unresolved")]))
+    with pytest.raises(X.RowsChanged, match="4 rows went in, 8 came out"):
+        X.enrich_counted(assets, ents)
+
+
 @pytest.mark.parametrize("raw,want", [
     ("FF Mcap (BEUR)", "ff_mcap_beur"), ("Int.Key", "int_key"), ("Rank\n(FINAL)", "rank_final"),
     ("Rank\n(PREVIOUS\n)", "rank_previous"), (" Company  Name ", "company_name"), ("a--b..c", "a_b_c"),
@@ -102,6 +120,21 @@ def test_publication_search_window(spark):
     assert got[2] == (dt.date(2016, 2, 9), "sl_v_201602.pdf", "downloaded")
 
 
+def test_a_late_list_closes_its_period(spark):
+    cal = C.VENDOR_CALENDAR
+    periods = spark.createDataFrame(
+        [("V", 2024, 3, dt.date(2024, 3, 1)), ("V", 2024, 6, dt.date(2024, 6, 1)), ("V", 2016, 2, dt.date(2016, 2, 1))],
+        "index_name string, year int, month int, period_date date")
+    reviews = spark.createDataFrame(
+        [("V", dt.date(2024, 4, 20)), ("V", dt.date(2016, 3, 1)), ("W", dt.date(2024, 6, 3))],
+        "index_name string, review_date date")
+    got = {(r.index_name, r.review_date): r.period_date for r in C.periods_of_reviews(periods, reviews, cal).collect()}
+    assert got == {("V", dt.date(2024, 4, 20)): dt.date(2024, 3, 1), ("V", dt.date(2016, 3, 1)): None,
+                   ("W", dt.date(2024, 6, 3)): None}
+    # the April list closes March; reports are looked for in their own month only
+    assert sorted(r.month for r in C.open_periods(periods, reviews, cal).collect()) == [2, 6]
+
+
 def test_dataset_roundtrip_dynamic_overwrite(spark):
     ds = ReviewDataset(spark, scratch_path(spark, "test-ds"))
     day1, day2 = dt.date(2024, 3, 1), dt.date(2024, 6, 1)
@@ -118,7 +151,7 @@ def test_dataset_roundtrip_dynamic_overwrite(spark):
     assert got == [(day1, "bootstrap"), (day2, "fill_to_600")]
     assert ds.constituents().first().ric == "RA"
     assert [r.ric for r in ds.table("entries").collect()] == ["RA", "RA"]
-    with pytest.raises(KeyError, match="Available"):
+    with pytest.raises(KeyError, match="only: T"):
         require_index(ds, "NOPE")
     with pytest.raises(ValueError):
         ds.latest("NOPE")
