@@ -356,13 +356,11 @@ def repair(turns: DataFrame, block_bits: int = BLOCK_BITS) -> Repaired:
         "block")).applyInArrow(_edits, _ddl(_EDIT))
     texts = rows.groupBy(F.col("conv_id").alias("_c"), F.col("turn").alias("_t"), F.col("role").alias("_r"),
                          F.col("sha").alias("_s")).agg(F.first("text").alias("text"))
-    left = edits.where("sha is not null").join(
-        texts, F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("turn").eqNullSafe(F.col("_t"))
-        & (F.col("role") == F.col("_r")) & (F.col("sha") == F.col("_s")))
-    columns = ["conv_id", "at", "step", "edit", F.col("new_role").alias("role")]
-    out = left.select(*columns, "text").unionByName(
-        edits.where("sha is null").select(*columns, F.lit("").alias("text")))
-    return Repaired(audits, out)
+    # inserted rows have no text to find
+    found = edits.join(texts, F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("turn").eqNullSafe(F.col("_t"))
+                       & (F.col("role") == F.col("_r")) & (F.col("sha") == F.col("_s")), "left")
+    return Repaired(audits, found.select("conv_id", "at", "step", "edit", F.col("new_role").alias("role"),
+                                         F.coalesce("text", F.lit("")).alias("text")))
 
 
 def digests(turns: DataFrame) -> DataFrame:
