@@ -2,10 +2,12 @@
 
 Candidates are found by three patterns (``assign``, ``access``, ``hex``). A candidate's value is
 hashed, and the hash is counted over the whole corpus: in how many distinct repositories (documents)
-and under how many distinct owners (sources) it occurs. A value seen under ``copied_owners`` owners
-or more is a widely copied example. A value of fewer owners is owner-specific; if it also looks
-random (at least ``least_distinct`` different characters and no placeholder word) it is live-looking,
-and a span ``live`` over the value is added to the spans of its pattern.
+and under how many distinct owners (sources) it occurs. A value is a widely copied example if
+``COPIED_OWNERS`` owners or more hold it, or if several owners hold it in ``COPIED_REPOSITORIES``
+repositories or more. Any other value is owner-specific: one owner may well repeat its own credential
+in many places. If it also looks random (at least ``LEAST_DISTINCT`` different characters and no
+placeholder word) it is live-looking, and a span ``live`` over the value is added to the spans of its
+pattern.
 
 Only DataFrame functions are used. Match offsets come from the pieces between matches: the split of
 a text by a pattern has one piece before each match, so a running sum of piece and match lengths
@@ -13,7 +15,8 @@ a text by a pattern has one piece before each match, so a running sum of piece a
 numbered, joined and regrouped by row number. Counting first reduces to distinct (value, owner,
 repository), so a value that a third of the rows hold is spread over its repositories.
 
-Row cases: a null text counts as empty. A null source is an owner of its own, a null doc_id a
+Row cases: a null text counts as empty; whole texts are scanned, however long. An empty table gives an
+empty result. A null source is an owner of its own, a null doc_id a
 repository of its own. Repeated rows give repeated rows and count once as a repository. Extra columns
 of any name pass through the stage in one struct.
 """
@@ -82,14 +85,17 @@ def candidates(scanned: DataFrame) -> DataFrame:
 
 LEAST_DISTINCT = 6
 COPIED_OWNERS = 3
+COPIED_REPOSITORIES = 8
 
 
-def ownership(found: DataFrame, copied_owners: int = COPIED_OWNERS) -> DataFrame:
+def ownership(found: DataFrame, copied_owners: int = COPIED_OWNERS,
+              copied_repositories: int = COPIED_REPOSITORIES) -> DataFrame:
     """Per hashed value: distinct repositories and owners, and whether it is a widely copied example."""
     by_repository = found.select("hash", "owner", "repository").distinct()
     by_owner = by_repository.groupBy("hash", "owner").agg(F.count("*").alias("n"))
     return by_owner.groupBy("hash").agg(F.sum("n").alias("repositories"), F.count("*").alias("owners")).withColumn(
-        "copied", F.col("owners") >= copied_owners)
+        "copied", (F.col("owners") >= copied_owners)
+        | ((F.col("owners") > 1) & (F.col("repositories") >= copied_repositories)))
 
 
 def judged(scanned: DataFrame, copied_owners: int = COPIED_OWNERS) -> DataFrame:
@@ -105,7 +111,8 @@ def _joined(spans: Column) -> Column:
 
 
 def report(documents: DataFrame, copied_owners: int = COPIED_OWNERS) -> DataFrame:
-    """Per row: doc_id, counts per kind, base spans and all spans in order, live and copied counts."""
+    """Per row: doc_id, counts per kind, base spans and all spans in order, live and copied counts, and the
+    widest spread of its values (owners, repositories)."""
     scanned = scan(documents)
     order = F.when(F.col("kind") == "assign", 0).when(F.col("kind") == "access", 1).otherwise(2)
     span = F.struct("start", order.alias("place"), "end", "kind")
@@ -113,10 +120,12 @@ def report(documents: DataFrame, copied_owners: int = COPIED_OWNERS) -> DataFram
     of_row = judged(scanned, copied_owners).groupBy("rid").agg(
         *[F.sum((F.col("kind") == k).cast("long")).alias(f"n_{k}") for k in KINDS],
         F.sum(F.col("live").cast("long")).alias("n_live"), F.sum(F.col("copied").cast("long")).alias("n_copied"),
+        F.max("owners").alias("n_owners"), F.max("repositories").alias("n_repositories"),
         F.collect_list(span).alias("base"), F.collect_set(F.when(F.col("live"), live)).alias("added"))
     none = F.lit(0).cast("long")
     return scanned.select("rid", "doc_id").join(of_row, "rid", "left").select(
-        "doc_id", *[F.coalesce(f"n_{k}", none).alias(f"n_{k}") for k in (*KINDS, "live", "copied")],
+        "doc_id", *[F.coalesce(f"n_{k}", none).alias(f"n_{k}") for k in (
+            *KINDS, "live", "copied", "owners", "repositories")],
         F.coalesce(_joined(F.col("base")), F.lit("")).alias("base_spans"),
         F.coalesce(_joined(F.concat("base", "added")), F.lit("")).alias("spans"))
 
@@ -125,19 +134,22 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = report(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex",
                         F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans", "n_live",
-                        "n_copied")
+                        "n_copied", "n_owners", "n_repositories")
 
 
 def stage_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the values of live-looking secrets are masked; all rows and columns kept.
 
     Widely copied examples and placeholders stay as they are. Overlapping spans are masked once.
-    ``n_chars`` of a changed row is its new length.
+    ``n_chars`` of a changed row is its new length. Rows without a candidate are read straight through; only
+    rows with one meet the spans.
     """
     scanned = scan(docs, carry=True)
     spans = judged(scanned).where("live").groupBy("rid").agg(
         F.array_sort(F.collect_set(F.struct(F.col("value_start").alias("start"), "end"))).alias("live"))
-    joined = scanned.select("rid", "row").join(spans, "rid", "left")
+    some = F.size("matches") > 0
+    joined = scanned.where(some).select("rid", "row").join(spans, "rid", "left").select("row", "live").union(
+        scanned.where(~some).select("row", F.lit(None).cast(spans.schema["live"].dataType)))
     text = F.col("row.text").cast("string")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
     # a span that begins inside the one before only moves the end; else the gap and a mask are added
@@ -181,13 +193,17 @@ WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 c AS ({_positions('assign', _quoted(PATTERNS['assign']), f'length(v) >= {LEAST_ASSIGN}', 2)}
   UNION ALL {_positions('access', _quoted('AKIA[A-Z0-9]{14,}'), 'true', 0)}
   UNION ALL {_positions('hex', _quoted('[0-9a-f]{16,}'), 'true', 0)}),
-o AS (SELECT v, count(DISTINCT coalesce(source, chr(1))) AS owners FROM c GROUP BY v),
+o AS (
+  SELECT v, count(DISTINCT coalesce(source, chr(1))) AS owners,
+    count(DISTINCT (coalesce(source, chr(1)), coalesce(doc_id::VARCHAR, 'null'))) AS repositories FROM c GROUP BY v),
+w AS (
+  SELECT *, owners >= {COPIED_OWNERS} OR owners > 1 AND repositories >= {COPIED_REPOSITORIES} AS copied FROM o),
 j AS (
-  SELECT c.*, owners >= {COPIED_OWNERS} AS copied, owners < {COPIED_OWNERS}
+  SELECT c.*, owners, repositories, copied, NOT copied
     AND len(list_distinct(string_split(c.v, ''))) >= {LEAST_DISTINCT}
     AND NOT regexp_matches(c.v, '{PLACEHOLDERS}') AS live,
     CASE kind WHEN 'assign' THEN 0 WHEN 'access' THEN 1 ELSE 2 END AS k
-  FROM c JOIN o USING (v)),
+  FROM c JOIN w USING (v)),
 s AS (
   SELECT doc_id, s, k, e, kind || ':' || s || ':' || e AS t, true AS base FROM j
   UNION ALL SELECT DISTINCT doc_id, e - length(v), 3, e, 'live:' || (e - length(v)) || ':' || e, false FROM j
@@ -197,10 +213,12 @@ a AS (
   FROM s GROUP BY doc_id),
 n AS (
   SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
-    count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (live) AS n_live, count(*) FILTER (copied) AS n_copied
+    count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (live) AS n_live, count(*) FILTER (copied) AS n_copied,
+    max(owners) AS n_owners, max(repositories) AS n_repositories
   FROM j GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
   coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(x, '') AS spans,
-  coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_copied, 0)::BIGINT AS n_copied
+  coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_copied, 0)::BIGINT AS n_copied,
+  coalesce(n_owners, 0)::BIGINT AS n_owners, coalesce(n_repositories, 0)::BIGINT AS n_repositories
 FROM d LEFT JOIN a USING (doc_id) LEFT JOIN n USING (doc_id)
 """

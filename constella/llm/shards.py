@@ -7,7 +7,9 @@ Pass 1 scatters the rows of each shard uniformly over buckets by a seeded hash o
 a shard gets as many buckets as its bytes need at ``bucket_bytes`` each, so a shard that one id fills
 only gets more buckets. Pass 2 takes a bucket as one array, puts it in the order of the hashes,
 permutes it by Spark's ``shuffle`` (a Fisher-Yates shuffle with a seed) and writes the rows out. A
-row's slot is its bucket's offset in the shard (a running sum of bucket counts) plus its place.
+row's slot is its bucket's offset in the shard (a running sum of bucket counts) plus its place. There
+is one offset for each ``bucket_bytes`` of text; up to ``BROADCAST_BUCKETS`` of them (20 MB) are
+broadcast, so the rows move once, beyond that they are joined.
 
 Only DataFrame functions are used. Row cases: a null text has no bytes (size 1, CRC 0); null ids all
 go to one shard; repeated rows take a slot each; an empty table gives an empty result; extra columns
@@ -24,6 +26,7 @@ from constella.llm.common import staged, table
 SHARDS = 16
 SEED = 9
 BUCKET_BYTES = 16 << 20
+BROADCAST_BUCKETS = 1_000_000
 
 
 def shard_of(doc_id: Column, shards: int, seed: int = SEED) -> Column:
@@ -46,7 +49,8 @@ def shard(documents: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_b
         "row", shard_of(doc_id, shards, seed).alias("shard"), size_of(text).alias("size"),
         F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)).alias("h"))
     sizes = {r["shard"]: r["bytes"] for r in rows.groupBy("shard").agg(F.sum("size").alias("bytes")).collect()}
-    buckets = F.array(*[F.lit(max(1, -(-sizes.get(k, 0) // bucket_bytes))) for k in range(shards)])
+    of_shard = [max(1, -(-sizes.get(k, 0) // bucket_bytes)) for k in range(shards)]
+    buckets = F.array(*[F.lit(n) for n in of_shard])
     # pass 1: the exchange scatters, each group is one bucket
     scattered = rows.withColumn("bucket", F.pmod("h", F.element_at(buckets, F.col("shard") + 1))).groupBy(
         "shard", "bucket").agg(F.collect_list(F.struct("h", "row")).alias("rows"))
@@ -58,6 +62,8 @@ def shard(documents: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_b
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = permuted.groupBy("shard", "bucket").agg(F.count("*").alias("n")).select(
         "shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    if sum(of_shard) <= BROADCAST_BUCKETS:
+        offsets = F.broadcast(offsets)
     out = permuted.join(offsets, ["shard", "bucket"]).select(
         "row", F.col("shard").cast("int").alias("shard"), (F.col("offset") + F.col("place")).alias("slot"))
     if path:

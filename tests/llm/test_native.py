@@ -1,9 +1,11 @@
 """Secret scan, sharding and host rules: brute force in plain Python, and edge rows."""
 
 import re
+import struct
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from constella.llm import rules, secrets, shards
@@ -55,6 +57,18 @@ def test_ownership_separates_copies_from_own(spark):
     assert masked[0].text == rows[0][1] and masked[0].n_chars == 0
 
 
+def test_repositories_take_part_in_the_verdict(spark):
+    """A value that two owners hold in many documents is an example; one owner's own stays live."""
+    rows = [(i, "token = spreadValue77Abc", None, f"s{i % 2}", 0) for i in range(40)]
+    rows += [(100 + i, "token = soloValue55Xyz", None, "s9", 0) for i in range(40)]
+    rows += [(200, "token = pairValue33Qrs", None, "s1", 0), (201, "token = pairValue33Qrs", None, "s2", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in secrets.report(df).collect()}
+    assert {(got[i].n_live, got[i].n_owners, got[i].n_repositories) for i in range(40)} == {(0, 2, 40)}
+    assert {(got[i].n_live, got[i].n_owners, got[i].n_repositories) for i in range(100, 140)} == {(1, 1, 40)}
+    assert {(got[i].n_live, got[i].n_owners, got[i].n_repositories) for i in (200, 201)} == {(1, 2, 2)}
+
+
 def test_masking_equals_brute_force(spark):
     df = documents(spark, TEXTS)
     live = {r.rid: [] for r in secrets.scan(df).collect()}
@@ -97,6 +111,33 @@ def test_shards_are_gapless_and_stable(spark, bucket_bytes):
     assert shards.shard(docs.limit(0)).count() == 0
 
 
+def test_shards_equal_an_independent_hash(spark):
+    """Rendezvous hashing by the xxhash library: a chain of hashes, each the seed of the next."""
+    def chained(*values):
+        h = 42
+        for kind, v in values:
+            if v is not None:
+                h = xxhash.xxh64(struct.pack(kind, v), seed=h).intdigest()
+        return h - (1 << 64) if h >> 63 else h
+
+    ids = [None, 0, 1, -5, 10**15, *range(100, 400)]
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    for r in df.select("doc_id", shards.shard_of(F.col("doc_id"), 16).alias("s")).collect():
+        best = max(range(16), key=lambda k: (chained(("<q", r.doc_id), ("<i", k), ("<i", shards.SEED)), -k))
+        assert r.s == best
+
+
+@pytest.mark.parametrize("most", [0, 10**6])
+def test_slots_whether_offsets_are_broadcast_or_not(spark, monkeypatch, most):
+    monkeypatch.setattr(shards, "BROADCAST_BUCKETS", most)
+    docs = spark.range(500).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    rows = shards.shard(docs, 3, bucket_bytes=300).collect()
+    by = defaultdict(list)
+    for r in rows:
+        by[r["shard"]].append(r.slot)
+    assert all(sorted(x) == list(range(len(x))) for x in by.values()) and len(rows) == 500
+
+
 def test_one_more_shard_takes_only_for_itself(spark):
     ids = spark.range(4000).select("id", shards.shard_of(F.col("id"), 16).alias("a"),
                                    shards.shard_of(F.col("id"), 17).alias("b")).collect()
