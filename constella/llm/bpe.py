@@ -7,7 +7,8 @@ its right neighbour), each a logarithmic update, so a word of n symbols takes O(
 its length. Texts are cut into words with the vocabulary file's own normaliser and word pattern.
 
 Row cases: a null text counts as empty (no tokens, decoded ""); repeated rows give repeated rows;
-other columns are ignored, whatever their names; a text that is one long word is encoded whole.
+other columns are ignored, whatever their names; a text that is one long word is encoded whole; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations

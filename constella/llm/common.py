@@ -34,7 +34,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def lean_batches(spark: SparkSession) -> SparkSession:
     """Arrow batches of 1,000 rows unless the session asks for another number than Spark's default.
 
-    Batches are counted in rows; at 10,000 whole texts each, a batch takes hundreds of MB off the heap.
+    Batches are counted in rows; at 10,000 whole texts each, a batch takes hundreds of MB off the heap. The
+    setting stays for the session: plans read it when they run, which may be after the caller's return.
     """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key, "10000") == "10000":
@@ -84,16 +85,17 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def min_classes(pairs: DataFrame, max_rounds: int = 40) -> DataFrame:
+def min_classes(pairs: DataFrame) -> DataFrame:
     """Connected classes of undirected links ``(a, b)``: rows ``(node, label)``, label = least member.
 
     Large-star and small-star steps in turn (Kiveris et al., "Connected Components in MapReduce
     and Beyond"); each round is one or two aggregates, and the links are cut from their lineage in
-    the shared folder. No neighbourhood is collected: each step needs a node's least neighbour only.
+    the shared folder. No neighbourhood is collected: each step needs a node's least neighbour only. Rounds
+    go on until all is settled; each one shortens every path, so their number grows with its logarithm.
     """
     links = checkpointed(pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                          .distinct())
-    for _ in range(max_rounds):
+    while True:
         # large star: every larger neighbour of a node points to the node's least neighbour (itself included)
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -109,7 +111,5 @@ def min_classes(pairs: DataFrame, max_rounds: int = 40) -> DataFrame:
         links = step
         if open_.isEmpty():
             break
-    else:
-        raise RuntimeError(f"classes not settled after {max_rounds} rounds")
     return links.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
         links.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())

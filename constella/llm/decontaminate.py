@@ -15,8 +15,10 @@ are read once more per block and never shuffled. Between blocks the partial resu
 shared folder.
 
 Row cases: null or wordless texts have no words and no hits. Null benchmark texts and items without
-words have no windows. Items with a null id hit as any other and count as one item. Repeated rows of documents give repeated
-rows; repeated items count once per id. Extra columns of any name pass through in one struct.
+words have no windows. Items with a null id hit as any other and count as one item. Repeated rows of
+documents give repeated rows; repeated items count once per id. Whole texts are searched, however long.
+An empty benchmark hits nothing; an empty table of documents gives an empty result. Extra columns of any
+name pass through in one struct.
 """
 
 from __future__ import annotations

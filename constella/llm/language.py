@@ -6,9 +6,11 @@ at which any of its n-grams is known. The language with the highest sum wins.
 
 Learning: word and n-gram counts are Spark aggregates over a bounded hashed sample of labelled rows
 (``sample_rows`` per language), and only the ``model_words`` and ``model_grams`` most frequent
-entries per language are kept, so the broadcast model is bounded. Prediction covers every row.
+entries per language are kept, so the broadcast model is bounded; a word that is not kept is unseen
+and backs off. Prediction covers every row and whole texts, in pieces of 50,000 words.
 
-Row cases: null text, or one without a letter: ``und`` with score 0. Text whose letters are all
+Row cases: null or empty text, or one without a letter (numerals such as ``½`` or ``Ⅷ`` are none): ``und``
+with score 0. An empty table gives an empty result. Text whose letters are all
 unknown to the model: the learned language with most rows, score 1/languages. Null language labels
 teach nothing. Nothing learned (no labelled row): ``und``, score 0. Ties go to the first language
 by name. Repeated rows give repeated rows; other columns are ignored.
@@ -79,7 +81,7 @@ def learn(labelled: DataFrame, sample_rows: int = 1500, model_words: int = 40_00
                                                   .alias("term"), "n").where("term <> ' '")
     counts = words.select("lang", F.lit(0).alias("size"), F.col("word").alias("term"), "n").union(
         grams.groupBy("lang", "size", "term").agg(F.sum("n").alias("n")))
-    counts = checkpointed(counts.where("length(term) < 64"))
+    counts = checkpointed(counts)
     totals = {(r["lang"], r["size"]): r["s"]
               for r in counts.groupBy("lang", "size").agg(F.sum("n").alias("s")).collect()}
     order = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "term")
@@ -132,7 +134,8 @@ class Scorer:
     def predict(self, text: str | None) -> tuple[str, float]:
         words = _LETTERS.findall(text.lower()) if text else []
         languages = self.model["languages"]
-        if not words or not languages:
+        # a run of word characters may hold nothing but numerals that are no decimal digits
+        if not languages or not any(c.isalpha() for w in words for c in w):
             return UNKNOWN, 0.0
         total = np.zeros(len(languages))
         known = self.known

@@ -1,9 +1,12 @@
 """Operator 6: near-duplicate classes by consistent weighted sampling over TF-IDF shingles.
 
 A document is the weighted set of its five-word shingles (lower-cased words; a text of one to four
-words is one shingle). A shingle weighs tf * idf ** idf_power, where idf = 1 + ln(N / df) / ln(N)
-lies between 1 and 2. The document frequency comes from a hashed count table over all documents, of
-fixed size (``CELLS``). The power is below 1 so that a large group of copies, which makes its own
+words is one shingle). A shingle weighs tf * idf ** idf_power, where idf = 1 + ln(1 / f) / ln(1 / RARE)
+lies between 1 and 2 and f is the share of documents that hold the shingle, at least ``RARE``. So the
+weights follow from shares and not from the corpus' size. The shares come from a hashed count table
+over all documents, of fixed size (``CELLS``), less the mean load of a cell. That load is a share, too:
+shingles of a document / CELLS, whatever the number of documents; where it nears ``RARE`` (texts of
+hundreds of words on average), ``RARE`` is raised to four times the load. The power is below 1 so that a large group of copies, which makes its own
 shingles common, keeps its similarity; common boilerplate still weighs less than rare text.
 
 1. Count table: each task sums its documents' cells; the partial tables are added in a tree.
@@ -43,6 +46,7 @@ from constella.llm.common import checkpointed, lean_batches, min_classes, staged
 SHINGLE = 5
 SIMILARITY = 0.8
 CELLS = 1 << 18
+RARE = 1 / 256
 SAMPLES, ROWS = 96, 4
 #: Texts and bytes of a block in verification, leaders of a bucket, and columns of a dense product.
 BLOCK, BLOCK_BYTES, LEADERS, COLUMNS = 192, 4 << 20, 48, 4096
@@ -103,12 +107,18 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return (np.frombuffer(zlib.decompress(packed), np.int64) if packed else np.zeros(CELLS, np.int64)), n
 
 
-def idf_table(texts: DataFrame, idf_power: float) -> np.ndarray:
-    counts, n = document_frequencies(texts)
-    if n < 2:
+def idf_of(counts: np.ndarray, n: int, idf_power: float) -> np.ndarray:
+    """Weights by cell, from the cells' counts over ``n`` texts with words."""
+    if n < 1:
         return np.ones(CELLS, np.float32)
-    raw = 1 + np.log(n / np.clip(counts, 1, n)) / np.log(n)
-    return (raw ** idf_power).astype(np.float32)
+    load = counts.mean() / n
+    rare = min(max(RARE, 4 * load), 0.5)
+    share = np.clip(counts / n - load, rare, 1.0)
+    return ((1 + np.log(share) / np.log(rare)) ** idf_power).astype(np.float32)
+
+
+def idf_table(texts: DataFrame, idf_power: float) -> np.ndarray:
+    return idf_of(*document_frequencies(texts), idf_power)
 
 
 def weigh(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

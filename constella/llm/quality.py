@@ -1,18 +1,18 @@
 """Operator 2: quality classifier, a byte-level convolutional network in numpy.
 
-A text's UTF-8 bytes are embedded and run through filters of six bytes at every second byte. The
+A text's UTF-8 bytes are embedded and run through filters of six bytes at every byte. The
 whole document is covered by overlapping chunks of 256 bytes, one every 128 bytes. Each filter is
 max-pooled over a chunk; a dense layer reads the pooled filters of a chunk; its units are max-pooled
 over all chunks of the document, and a logistic unit combines them into one probability.
 
-Learning: ``sample_rows`` labelled rows at most (a hashed sample, half of each label where there are
-enough; texts over ``sample_chars`` characters are left out of the sample only) are fitted by Adam on
-the driver. The gradient passes through both max-pools, so it touches only the winning windows.
+Learning: a hashed sample of about ``sample_rows`` labelled documents, half of each label where there
+are enough, with their whole texts (the least one of a repeated id), is fitted by Adam on the driver. The gradient passes through both max-pools, so it touches only the winning windows.
 Scoring runs over every row, in blocks of fixed size whatever a text's length.
 
 Row cases: a null text counts as empty; an empty text is one chunk of padding and gets the network's
 score for it. Without labels of both kinds all scores are the share of label 1 (0.5 if there is no
-label). Repeated label rows count once (the least label of an id). Other columns are ignored.
+label). Repeated label rows count once (the least label of an id). An empty table gives an empty
+result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from constella.llm.common import fold, hashed_sample, lean_batches, table, text_batches
 
 HALF = 128  # bytes; a chunk is two halves
-WIDTH, STRIDE = 6, 2
+WIDTH, STRIDE = 6, 1
 EMBED, FILTERS, HIDDEN = 6, 32, 16
-BLOCK_HALVES = 4096
+BLOCK_HALVES = 2048
 
 
 def pad(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -180,9 +180,9 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 14, batch: int = 32,
     return m
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, rows: int, chars: int,
+def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, rows: int,
                     balanced: bool) -> tuple[list[str], np.ndarray]:
-    """A bounded hashed sample of texts with their labels (see the modules' docstrings)."""
+    """Texts and labels of a hashed sample of about ``rows`` labelled ids: one whole text for each id."""
     known = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).cast("int").alias("y"))
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     parts = [hashed_sample(known.where(F.col("y") == y), F.col("doc_id"), rows // 2 if balanced else
@@ -190,14 +190,14 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, rows: i
     if not parts:
         return [], np.zeros(0)
     chosen = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
-    found = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where(
-        F.length("text") <= chars).join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").limit(
-            rows + rows // 4).collect()
+    found = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(
+        F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect()
+    found.sort(key=lambda r: r["doc_id"])
     return [r["text"] for r in found], np.array([r["y"] for r in found], float)
 
 
-def learn(documents: DataFrame, labels: DataFrame, sample_rows: int = 1600, sample_chars: int = 40_000) -> dict:
-    texts, y = labelled_sample(documents, labels, "quality", sample_rows, sample_chars, balanced=True)
+def learn(documents: DataFrame, labels: DataFrame, sample_rows: int = 1600) -> dict:
+    texts, y = labelled_sample(documents, labels, "quality", sample_rows, balanced=True)
     return fit(texts, y)
 
 

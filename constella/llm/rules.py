@@ -10,7 +10,7 @@ Only DataFrame functions are used. All counts of a document are made inside its
 not shuffled, and the measures are cut from the texts before hosts are summed (partial sums first,
 so a host of a third of all rows is one row per task).
 
-Row cases: null text has no words (base rules fail it). A null source is a host of its own. Repeated
+Row cases: null text has no words (base rules fail it). Whole texts are measured, however long. A null source is a host of its own. Repeated
 rows are counted and returned each. Empty table: empty result. Fewer than two hosts, or hosts with
 equal rates: the prior weighs as ``default_strength`` documents. Extra columns are ignored.
 """

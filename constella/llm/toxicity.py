@@ -6,11 +6,13 @@ and its first three, four and five letters. Sentence probabilities are combined
 ``1 - prod(1 - p)``. Only documents carry labels; the gradient of the noisy-or tells which sentences
 to blame. Weights are kept sparse by an L1 penalty (proximal Adam steps).
 
-Learning: at most ``sample_rows`` labelled rows (a hashed sample that keeps the labels' shares; texts
-over ``sample_chars`` characters are left out of the sample only), on the driver. Scoring covers
-every row. ``locate`` names the offending sentences.
+Learning: a hashed sample of about ``sample_rows`` labelled documents that keeps the labels' shares,
+with their whole texts (the least one of a repeated id), on the driver; features of fewer than
+``least_documents`` sampled documents get no weight. Scoring covers every row and whole texts, a
+sentence at a time. ``locate`` names the offending sentences.
 
-Row cases: null or wordless texts are one empty sentence (the bias alone). Without labels of both
+Row cases: null or wordless texts are one empty sentence (the bias alone). An empty table gives an empty
+result. Without labels of both
 kinds all scores are the share of label 1 (0.5 if there is no label). Repeated label rows count once
 (the least label of an id). Other columns are ignored.
 """
@@ -156,8 +158,8 @@ def locate(documents: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
         run, "doc_id long, score double, offending array<struct<start:int,end:int>>")
 
 
-def learn(documents: DataFrame, labels: DataFrame, sample_rows: int = 5000, sample_chars: int = 40_000) -> dict:
-    return fit(*labelled_sample(documents, labels, "toxic", sample_rows, sample_chars, balanced=False))
+def learn(documents: DataFrame, labels: DataFrame, sample_rows: int = 5000) -> dict:
+    return fit(*labelled_sample(documents, labels, "toxic", sample_rows, balanced=False))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,4 +168,6 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = learn(learnt(documents), learnt(table(spark, sf_dir, "labels")))
     return locate(documents, model).select(
         "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"),
+        F.array_join(F.transform("offending", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast(
+            "string"))), ",").alias("offending"))

@@ -78,7 +78,9 @@ def test_language_words_then_grams(spark):
     known, unseen = scorer.word("house"), scorer.word("houses")
     assert known == model["tables"][0]["house"] and unseen != known
     assert scorer.predict("漢字")[0] == model["common"]
-    assert scorer.predict("12 + 3")[0] == scorer.predict(None)[0] == scorer.predict("")[0] == language.UNKNOWN
+    for text in ("12 + 3", None, "", "½ ² ①", "Ⅷ", "½_1 …"):
+        assert scorer.predict(text) == (language.UNKNOWN, 0.0)
+    assert scorer.predict("½ the ①")[0] == "en" and scorer.predict("Ⅷ 漢")[0] == model["common"]
     score = scorer.predict("the dog und le chat")[1]
     assert 0 <= score <= 1
 
@@ -95,6 +97,45 @@ def test_language_word_score_is_brute_force_backoff(spark):
         assert np.allclose(model["tables"][0][w], np.log((np.array(c) + 0.5) / sums))
 
 
+def test_language_predictions_are_brute_force(spark):
+    """Whole predictions from plain counts: words first, else the longest known n-grams' mean."""
+    labelled = spark.createDataFrame(TRAIN, "doc_id long, text string, lang string")
+    scorer, languages = language.Scorer(language.learn(labelled)), ["de", "en", "fr"]
+    tables = {size: {} for size in range(5)}
+    for _, text, lang in TRAIN:
+        for w in text.split():
+            for size in range(5):
+                padded = f" {w} "
+                terms = [w] if size == 0 else [padded[i:i + size] for i in range(len(padded) - size + 1)]
+                for t in terms:
+                    if t != " ":
+                        tables[size].setdefault(t, [0] * 3)[languages.index(lang)] += 1
+
+    def odds(size, counts):
+        sums = [sum(c[i] for c in tables[size].values()) + 0.5 * len(tables[size]) + 1 for i in range(3)]
+        return np.log((np.array(counts) + 0.5) / sums)
+
+    def word(w):
+        if w in tables[0]:
+            return odds(0, tables[0][w])
+        for size in (4, 3, 2, 1):
+            padded = f" {w} " if size > 1 else w
+            grams = [padded[i:i + size] for i in range(len(padded) - size + 1)]
+            found = [odds(size, tables[size][g]) for g in grams if g in tables[size]]
+            if found:
+                return np.mean(found, axis=0)
+        return np.zeros(3)
+
+    for text in ("the houses of Katzen", "le chien bleuatre", "himmelblau ist gut 12", "sky skies CIEL", "zzz wetterhaus",
+                 "blau bleu blue " * 30):
+        words = [w for w in text.lower().split() if w.isalpha()]
+        total = sum(word(w) for w in words)
+        best = int(np.argmax(total))
+        score = 1 / np.exp((total - total[best]) * min(len(words), 20) / len(words)).sum()
+        got = scorer.predict(text)
+        assert got[0] == languages[best] and abs(got[1] - score) < 1e-6
+
+
 def test_language_edge_rows(spark):
     docs = documents(spark)
     model = language.learn(docs)

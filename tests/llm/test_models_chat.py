@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -36,6 +37,35 @@ def test_network_gradients():
             assert abs((up - down) / 2e-5 - g[k].reshape(-1)[i]) < 1e-5
 
 
+def naive_forward(m, text):
+    """The network by its description, one window and one chunk at a time."""
+    raw = (text or "").encode()
+    halves = (len(raw) + quality.WIDTH) // quality.HALF + 1
+    raw = raw.ljust(halves * quality.HALF, b"\0")
+    ends = len(raw) - quality.WIDTH + 1  # windows that fit
+    values = [m["embed"][list(raw[at:at + quality.WIDTH])].reshape(-1) @ m["filters"] for at in range(ends)]
+    best = None
+    for chunk in range(max(halves - 1, 1)):
+        span = range(chunk * quality.HALF, min((chunk + 2) * quality.HALF, ends))
+        pooled = np.maximum(np.max([values[at] for at in span], axis=0) + m["filter_bias"], 0)
+        units = np.maximum(pooled @ m["dense"] + m["dense_bias"], 0)
+        best = units if best is None else np.maximum(best, units)
+    return 1 / (1 + np.exp(-(best @ m["out"] + m["out_bias"][0])))
+
+
+def test_network_equals_naive_forward_pass():
+    m = quality.init(4)
+    texts = ["", None, "abc", "x" * 121, "y" * 122, "z" * 250, "Ünïcode 漢字 " * 40, "words of all kinds, " * 60]
+    assert np.allclose(quality.forward(m, texts)["p"], [naive_forward(m, t) for t in texts], atol=1e-5)
+
+
+def test_network_sees_patterns_at_every_byte():
+    m = quality.init(4)
+    values = [quality.pooled_halves(m, *quality.pad([" " * k + "$%&*#!" + " " * 40]))[0] for k in range(8, 16)]
+    inner = np.array(values)
+    assert np.allclose(inner, inner[0], atol=1e-5)  # the same windows, wherever the pattern stands
+
+
 def test_network_scores_do_not_depend_on_neighbours_or_blocks():
     m = quality.init()
     texts = [None, "", "abc", "x" * 122, "y" * 121, "z" * 5000, "long " * 150_000]
@@ -83,8 +113,42 @@ def test_models_edge_rows(spark):
     assert toxicity.locate(docs, toxicity.learn(docs, none)).count() == len(EDGE_TEXTS)
     repeated = spark.createDataFrame([(4, 1, 0), (4, 1, 0), (5, 0, 1), (None, 1, 1), (6, None, None)],
                                      "doc_id long, quality int, toxic int")
-    texts, y = quality.labelled_sample(docs, repeated, "quality", 100, 10_000, balanced=True)
+    texts, y = quality.labelled_sample(docs.union(docs), repeated, "quality", 100, balanced=True)
     assert sorted(y.tolist()) == [0, 1] and len(texts) == 2
+    assert quality.score(docs.limit(0), network).count() == 0
+    assert toxicity.locate(docs.limit(0), toxicity.learn(docs, none)).count() == 0
+    assert quality.score(docs, quality.learn(docs.limit(0), repeated)).count() == len(EDGE_TEXTS)
+
+
+def test_sample_holds_long_texts_and_every_id(spark):
+    rows = [(i, f"text {i} " * (1 + 9000 * (i % 3))) for i in range(30)] + [(29, "text again")] * 40
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    texts, y = quality.labelled_sample(spark.createDataFrame(rows, "doc_id long, text string"), labels, "quality", 60, False)
+    assert len(texts) == 30 and y.tolist() == [i % 2 for i in range(30)]
+    assert max(map(len, texts)) > 40_000 and texts[29] == min(t for i, t in rows if i == 29)
+
+
+def test_toxicity_scores_equal_naive_noisy_or(spark):
+    rng = random.Random(4)
+    words = ["kale", "mipona", "vexing", "Zonkish", "é漢字", "a", "pona12x", "vexed"]
+    texts = [" ".join(rng.choice(words) + rng.choice(["", ".", "!", "?", "\n", ","]) for _ in range(rng.randrange(0, 60)))
+             for _ in range(60)] + [None, "", "...", "123 456"]
+    model = {"bias": -1.5, "weights": {"vexing": 2.0, "^vex": 0.7, "^zonk": 1.1, "kale": -0.5, "^mip": 0.3}}
+
+    def naive(text):
+        clean = 1.0
+        sentences = [s for s in re.split(r"[.!?\n]", (text or "").lower()) if re.search(r"[^\W\d_]", s)]
+        for s in sentences or [""]:
+            odds = model["bias"]
+            for w in re.findall(r"[^\W\d_]+", s):
+                odds += model["weights"].get(w, 0) + sum(
+                    model["weights"].get("^" + w[:n], 0) for n in (3, 4, 5) if len(w) > n)
+            clean *= 1 - 1 / (1 + np.exp(-odds))
+        return 1 - clean
+
+    got = {r.doc_id: r.score for r in toxicity.locate(spark.createDataFrame(
+        list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    assert np.allclose([got[i] for i in range(len(texts))], [naive(t) for t in texts])
 
 
 def test_noisy_or_blames_the_sentence(spark):

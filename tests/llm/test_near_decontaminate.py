@@ -103,6 +103,44 @@ def test_document_frequencies_count_every_row(spark):
     assert n == len(texts) and (counts == want).all()
 
 
+def shares(texts):
+    held = {}
+    for t in texts:
+        for f in near.shingles(t)[0].tolist():
+            held[f] = held.get(f, 0) + 1
+    return {f: n / len(texts) for f, n in held.items()}
+
+
+def test_idf_follows_exact_shares(spark):
+    """Weights from the hashed table against weights from exact counts."""
+    shared = [" ".join(prose(900 + k, 40)) for k in range(4)]
+    texts = [" ".join(prose(i, 150, 50_000)) + "".join(f" {s}" for k, s in enumerate(shared) if i % (2, 5, 20, 100)[k] == 0)
+             for i in range(1500)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    idf = near.idf_table(df, 1.0)
+    off = []
+    for f, share in shares(texts).items():
+        exact = 1 + np.log(max(share, near.RARE)) / np.log(near.RARE)
+        off.append(abs(idf[near._cells(np.array([f], np.uint64))][0] - exact))
+    assert np.mean(off) < 0.01 and np.quantile(off, 0.999) < 0.12
+
+
+def test_similarity_does_not_depend_on_the_corpus_size():
+    """Ten times the documents, the same shares: the same similarity of a fixed pair."""
+    a, b = prose(1, 300), prose(2, 60)
+    pair = [" ".join(a + b), " ".join(edited(a, 3, 8) + b)]
+    found = []
+    for n in (3_000, 30_000, 3_000_000, 300_000_000):
+        rng = np.random.default_rng(1)  # every document has 400 shingles of its own, one in six holds the passage b
+        counts = rng.poisson(n * 400 / near.CELLS, near.CELLS)
+        counts[near._cells(near.shingles(" ".join(b))[0])] += n // 6
+        idf = near.idf_of(counts, n, 0.25)
+        found.append(near.weighted_jaccard(near.weigh(pair[0], idf), near.weigh(pair[1], idf)))
+    assert max(found) - min(found) < 0.002
+    flat = near.weighted_jaccard(*(near.weigh(t, np.ones(near.CELLS, np.float32)) for t in pair))
+    assert abs(found[0] - flat) > 0.002  # and the weights act
+
+
 def test_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(5)
     features = np.unique(rng.integers(0, 1 << 63, 400).astype(np.uint64))
