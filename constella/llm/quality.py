@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from constella.llm.common import fold, hashed_sample, lean_batches, table, text_batches
 
 HALF = 128  # bytes; a chunk is two halves
-WIDTH, STRIDE = 6, 1
+WIDTH = 6
 EMBED, FILTERS, HIDDEN = 6, 32, 16
 BLOCK_HALVES = 2048
 
@@ -49,18 +49,19 @@ def init(seed: int = 2) -> dict[str, np.ndarray]:
 
 
 def _windows(m: dict, data: np.ndarray) -> np.ndarray:
-    """Filter values at every window start of ``data`` (a multiple of HALF bytes, zeros behind it)."""
-    pairs = m["embed"][np.concatenate([data, np.zeros(WIDTH - STRIDE, np.uint8)])].reshape(-1, STRIDE * EMBED)
-    taps = m["filters"].reshape(WIDTH // STRIDE, STRIDE * EMBED, FILTERS)
-    n = len(data) // STRIDE
-    out = pairs[:n] @ taps[0]
-    for k in range(1, len(taps)):
-        out += pairs[k:k + n] @ taps[k]
+    """Filter values of every window of ``data``, one product for each phase of window starts: windows
+    that start WIDTH bytes apart lie side by side in the embedded bytes."""
+    n = len(data) - WIDTH + 1
+    flat = m["embed"][data].reshape(-1)
+    out = np.empty((n, FILTERS), flat.dtype)
+    for phase in range(min(WIDTH, n)):
+        rows = -(-(n - phase) // WIDTH)
+        out[phase::WIDTH] = flat[phase * EMBED:(phase + rows * WIDTH) * EMBED].reshape(rows, -1) @ m["filters"]
     return out
 
 
 #: A text's last windows, which would reach into the next text; they start in its padding.
-BEYOND = (WIDTH - STRIDE) // STRIDE
+BEYOND = WIDTH - 1
 
 
 def pooled_halves(m: dict, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -68,9 +69,9 @@ def pooled_halves(m: dict, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
     out, last = [], np.cumsum(counts) - 1
     for at in range(0, len(data), BLOCK_HALVES * HALF):
         block = data[at:at + BLOCK_HALVES * HALF]
-        tail = data[at + len(block):at + len(block) + WIDTH - STRIDE]
-        values = _windows(m, np.concatenate([block, tail, np.zeros(-len(tail) % HALF, np.uint8)]))
-        values = values[:len(block) // STRIDE].reshape(-1, HALF // STRIDE, FILTERS)
+        tail = data[at + len(block):at + len(block) + BEYOND]
+        values = _windows(m, np.concatenate([block, tail, np.zeros(BEYOND - len(tail), np.uint8)]))
+        values = values.reshape(-1, HALF, FILTERS)
         here = last[(last >= at // HALF) & (last < at // HALF + len(values))] - at // HALF
         values[here, -BEYOND:] = -np.inf
         out.append(values.max(axis=1))
@@ -122,16 +123,16 @@ def gradients(m: dict, f: dict, labels: np.ndarray, weights: np.ndarray) -> dict
     behind = np.concatenate([f["data"], np.zeros(2 * HALF + WIDTH, np.uint8)])
     starts = f["first"][used] * HALF
     chunk_of_doc = np.repeat(f["counts"], np.maximum(f["counts"] - 1, 1))[used]
-    windows = behind[starts[:, None] + np.arange(2 * HALF + WIDTH - STRIDE)]
-    values = np.stack([_windows_of(m, w) for w in windows]) if len(used) else np.zeros((0, HALF, FILTERS), np.float32)
+    windows = behind[starts[:, None] + np.arange(2 * HALF + BEYOND)]
+    values = np.stack([_windows(m, w) for w in windows]) if len(used) else np.zeros((0, HALF, FILTERS), np.float32)
     if len(used):
-        values[chunk_of_doc == 1, HALF // STRIDE - BEYOND:] = -np.inf
+        values[chunk_of_doc == 1, HALF - BEYOND:] = -np.inf
         final = np.zeros(len(f["units"]), bool)
         final[ends - 1] = True
         values[final[used], -BEYOND:] = -np.inf
     best = values.argmax(axis=1) if len(used) else np.zeros((0, FILTERS), np.int64)
     rows, columns = np.nonzero(at_filter)
-    position = starts[rows] + best[rows, columns] * STRIDE
+    position = starts[rows] + best[rows, columns]
     seen = behind[position[:, None] + np.arange(WIDTH)]
     amount = at_filter[rows, columns]
     g["filters"] = np.zeros_like(m["filters"])
@@ -141,16 +142,6 @@ def gradients(m: dict, f: dict, labels: np.ndarray, weights: np.ndarray) -> dict
     return g
 
 
-def _windows_of(m: dict, data: np.ndarray) -> np.ndarray:
-    pairs = m["embed"][data].reshape(-1, STRIDE * EMBED)
-    taps = m["filters"].reshape(WIDTH // STRIDE, STRIDE * EMBED, FILTERS)
-    n = len(pairs) - len(taps) + 1
-    out = pairs[:n] @ taps[0]
-    for k in range(1, len(taps)):
-        out += pairs[k:k + n] @ taps[k]
-    return out
-
-
 def fit(texts: list[str], labels: np.ndarray, epochs: int = 14, batch: int = 32, rate: float = 0.01,
         seed: int = 2) -> dict[str, np.ndarray]:
     """Adam over shuffled batches; both labels weigh alike."""
