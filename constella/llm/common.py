@@ -66,23 +66,26 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: int, rows: int = 256
 
 #: Words whose hash a Python worker remembers; a memo only, small enough for two workers an executor.
 MEMO_HASHES = 100_000
-_hashes: dict[bytes, int] = {}
+
+
+class _Hashes(dict):
+    """Hash of a word, worked out on first use; a long word, or one beyond the memo's size, each time."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) < 64 and len(self) <= MEMO_HASHES:
+            self[word] = value
+        return value
+
+
+_hashes = _Hashes()
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit hashes of words."""
-    memo = _hashes
-    if len(memo) > MEMO_HASHES:
-        memo.clear()
-    get, out = memo.get, []
-    for w in words:
-        h = get(w)
-        if h is None:
-            h = xxhash.xxh3_64_intdigest(w)
-            if len(w) < 64 and len(memo) <= MEMO_HASHES:
-                memo[w] = h
-        out.append(h)
-    return np.array(out, np.uint64)
+    if len(_hashes) > MEMO_HASHES:
+        _hashes.clear()
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 
 def min_classes(pairs: DataFrame) -> DataFrame:

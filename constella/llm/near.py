@@ -85,13 +85,17 @@ def _cells(features: np.ndarray) -> np.ndarray:
     return (features >> np.uint64(64 - 18)).astype(np.int64)
 
 
+def _distinct(ordered: np.ndarray) -> np.ndarray:
+    return ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])] if len(ordered) else ordered
+
+
 def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """The hashed count table over all rows of ``text``, and the number of texts with words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, n = np.zeros(CELLS, np.int64), 0
         for _, rows in text_batches(batches, 0):
-            found = [np.unique(_cells(shingles(t)[0])) for t in rows if t]
+            found = [_distinct(_cells(shingles(t)[0])) for t in rows if t]
             n += sum(len(x) > 0 for x in found)
             if found:
                 counts += np.bincount(np.concatenate(found), minlength=CELLS)
@@ -137,24 +141,52 @@ def _parameters() -> list[np.ndarray]:
     return _draws
 
 
-def samples(features: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The 96 samples (shingle, level) of a weighted set, each as one 64-bit hash."""
-    r, inverse, log_c, beta = _parameters()
+_values: dict[float, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _levels(log_weights: np.ndarray, row: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Values and levels of the samples for weights (their logarithms) in parameter rows (None: in all)."""
+    r, inverse, log_c, beta = (x if row is None else np.take(x, row, axis=0) for x in _parameters())
+    level = np.floor(log_weights[:, None] * inverse + beta)
+    return log_c - r * (level - beta) - r, level
+
+
+def _values_of(weight: np.float32) -> tuple[np.ndarray, np.ndarray]:
+    """Values and levels of one weight in all parameter rows; the last weights are remembered."""
+    key = float(weight)
+    if key not in _values:
+        if len(_values) >= 2:
+            _values.clear()
+        _values[key] = _levels(np.log(np.full(_PARAMETERS, weight, np.float32)), None)
+    return _values[key]
+
+
+def samples(features: np.ndarray, weights: np.ndarray, usual: np.float32 | None = None) -> np.ndarray:
+    """The 96 samples (shingle, level) of a weighted set, each as one 64-bit hash.
+
+    Most shingles are rare and occur once, so they have one weight (``usual``), whose values are looked up.
+    """
     best = np.full(SAMPLES, np.inf, np.float32)
-    out = np.zeros(SAMPLES, np.uint64)
+    out, owner = np.zeros(SAMPLES, np.uint64), np.zeros(SAMPLES, np.uint64)
     columns = np.arange(SAMPLES)
-    for at in range(0, len(features), 4096):  # blocks: memory does not grow with the text
-        part = features[at:at + 4096]
-        row = (part & np.uint64(_PARAMETERS - 1)).astype(np.int64)
-        rr, bb = r[row], beta[row]
-        level = np.floor(np.log(weights[at:at + 4096])[:, None] * inverse[row] + bb)
-        value = log_c[row] - rr * (level - bb) - rr
-        place = np.argmin(value, axis=0)
-        least = value[place, columns]
-        new = least < best
-        best[new] = least[new]
-        picked = level[place, columns].astype(np.int64).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-        out[new] = _mix(part[place] ^ picked)[new]
+    common = weights == usual if usual is not None else np.zeros(len(weights), bool)
+    for looked_up, chosen in ((True, common), (False, ~common)):
+        some, some_weights = features[chosen], weights[chosen]
+        for at in range(0, len(some), 4096):  # blocks: memory does not grow with the text
+            part = some[at:at + 4096]
+            row = (part & np.uint64(_PARAMETERS - 1)).astype(np.int64)
+            if looked_up:
+                values, levels = _values_of(usual)
+                value = np.take(values, row, axis=0)
+            else:
+                value, level = _levels(np.log(some_weights[at:at + 4096]), row)
+            place = np.argmin(value, axis=0)
+            least = value[place, columns]
+            new = (least < best) | ((least == best) & (part[place] < owner))  # the smaller shingle on a tie
+            best[new], owner[new] = least[new], part[place][new]
+            at_level = levels[row[place], columns] if looked_up else level[place, columns]
+            picked = at_level.astype(np.int64).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+            out[new] = _mix(part[place] ^ picked)[new]
     return out
 
 
@@ -176,13 +208,13 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
 def _signer(idf: Broadcast):
     @F.arrow_udf(_SIGNED)
     def sign(texts: pa.Array) -> pa.Array:
-        keys, words, bands = [], [], []
+        keys, words, bands, usual = [], [], [], idf.value.max()
         for text in texts.to_pylist():
             features, weights = weigh(text, idf.value) if text else (np.empty(0, np.uint64), None)
             keys.append(None if text is None else xxhash.xxh3_128_digest(text.encode()))
             words.append(len(features) > 0)
             if len(features):
-                bands.append(bands_of(samples(features, weights)))
+                bands.append(bands_of(samples(features, weights, usual)))
             else:
                 bands.append(None)
         return pa.StructArray.from_arrays(

@@ -156,6 +156,16 @@ def test_samples_estimate_weighted_jaccard():
     assert abs(agreed - exact) < 0.05
 
 
+def test_looked_up_samples_equal_computed_ones():
+    rng = np.random.default_rng(7)
+    for n in (1, 50, 9000):
+        features = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        usual = np.float32(2 ** 0.25)
+        weights = np.where(rng.random(len(features)) < 0.8, usual, rng.random(len(features)) + 1).astype(np.float32)
+        assert (near.samples(features, weights, usual) == near.samples(features, weights)).all()
+        assert (near.samples(features, weights, np.float32(9)) == near.samples(features, weights)).all()
+
+
 def test_lone_pairs_at_the_threshold_share_a_band():
     rng = np.random.default_rng(8)
     ones = np.ones(90, np.float32)
