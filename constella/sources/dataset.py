@@ -48,6 +48,8 @@ EMPTY = {
     "rejects": "file string, ordinal long, reason string, value string, index_name string, review_date date",
 }
 _MANIFEST = "`table` string, index_name string, review_date date, `commit` string"
+#: Tables of a commit that are written at the same time.
+JOBS_AT_ONCE = 2
 #: Manifest rows that name the last batch of a stream instead of a partition.
 STREAM = "_stream"
 
@@ -136,12 +138,12 @@ class ReviewDataset:
     def commit(self, changes: dict[str, Change], batch: tuple[str, int] | None = None) -> ReviewDataset:
         """Publish all changes in one step; the dataset at the new version.
 
-        The tables are independent, so their jobs run side by side.  ``batch`` (stream, number) is
-        recorded, so that a replayed batch can be told (``last_batch``).
+        The tables are independent, so some of their jobs run side by side (each costs the driver memory).
+        ``batch`` (stream, number) is recorded, so that a replayed batch can be told (``last_batch``).
         """
         base = self.pinned()
         name = f"c{base.version + 1:06d}-{uuid.uuid4().hex[:8]}"
-        with ThreadPoolExecutor(len(changes)) as pool:
+        with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
             parts = list(pool.map(lambda item: self._publish(name, *item), changes.items()))
         rows = [row for part in parts for row in part]
         if batch:
