@@ -53,15 +53,18 @@ def ingest_lists(
     batch: tuple[str, int] | None = None,
 ) -> ReviewDataset:
     """Publish parsed lists and all that follows from them; the dataset at its new version."""
-    check_dates(lists.dates)
+    # Small frames that many plans of the batch read are written once as well: each plan that derives them
+    # anew costs the driver its exchanges.
+    dates = staged(lists.dates, "batch-dates")
+    check_dates(dates)
     base = ds.pinned()
     # Parse once; every later job of the batch reads this copy.
     rows = staged(lists.rows, "batch-rows")
     new_entries = rows.where(F.col("isin").isNotNull()).select(
         *KEY, "isin", "ric", "ff_mcap", "rank", "comment", "ordinal", F.col("_path").alias("file"))
     # every list is a review, even one without a usable row
-    new_reviews = staged(lists.dates.select(*KEY).distinct(), "batch-reviews")
-    since = new_reviews.groupBy("index_name").agg(F.min("review_date").alias("review_date"))
+    new_reviews = staged(dates.select(*KEY).distinct(), "batch-reviews")
+    since = staged(new_reviews.groupBy("index_name").agg(F.min("review_date").alias("review_date")), "batch-since")
     reviews = staged(base.table("reviews").select(*KEY).union(new_reviews).distinct(), "batch-calendar")
 
     # Same-date lists that arrived earlier are kept next to the new ones; a list that comes again (a
@@ -72,7 +75,8 @@ def ingest_lists(
     entries = staged(new_entries.unionByName(kept), "batch-entries")
     start = F.broadcast(since.select("index_name", F.col("review_date").alias("_since")))
     later_reviews = reviews.join(start, "index_name").where(F.col("review_date") >= F.col("_since")).select(*KEY)
-    later = base.table("entries", later_reviews.join(new_reviews, KEY, "left_anti")).select(*entries.columns)
+    untouched = staged(later_reviews.join(calendar_sized(new_reviews), KEY, "left_anti"), "batch-later")
+    later = base.table("entries", untouched).select(*entries.columns)
     changed_entries = entries.unionByName(later)
 
     cands = M.candidates(changed_entries, rules)
@@ -83,15 +87,16 @@ def ingest_lists(
     # the first listing of an instrument counts, whatever the order of the files in the batch
     new_assets = first_per_key(listed, ["index_name", "isin"], PLACE, [*METADATA, *PLACE])
     known = base.assets().join(calendar_sized(since.select("index_name")), "index_name", "left_semi")
-    assets = merge_snapshots(known, new_assets.where(F.col("isin").isNotNull()), ["index_name", "isin"])
+    assets = staged(merge_snapshots(known, new_assets.where(F.col("isin").isNotNull()), ["index_name", "isin"]),
+                    "batch-assets")
     if entities is not None:
         assets, _ = enrich_counted(assets, entities)
     else:
-        assets = staged(assets.withColumn("entity_id", F.lit(None).cast("string")), "batch-assets")
+        assets = assets.withColumn("entity_id", F.lit(None).cast("string"))
 
     ranks = member_ranks(changed_entries, membership, assets).where(F.col("rank") > 0)
     intervals, place = extend_intervals(base.intervals(), membership, reviews, since)
-    dated = lists.dates.groupBy("index_name", "file").agg(F.max("review_date").alias("review_date"))
+    dated = dates.groupBy("index_name", "file").agg(F.max("review_date").alias("review_date"))
     rejects = lists.rejects.join(dated, ["index_name", "file"])
     noted = base.table("rejects", new_reviews).join(dated.select("index_name", "file"), ["index_name", "file"],
                                                     "left_anti")
