@@ -9,16 +9,18 @@ counted over all documents. A document's shingles are looked up among these keys
 word ``p`` of a shingle that stands at offset ``o`` of a window of ``L`` words is tested only if the
 window fits (``0 <= p - o`` and ``p - o + L <= n_words``), and then word by word.
 
-The benchmark is streamed in blocks of at most ``BLOCK_WORDS`` words; a longer item is cut into pieces
-that share ``WINDOW - 1`` words, so no window is lost and each broadcast has a fixed bound. Documents
-are read once more per block and never shuffled. Between blocks the partial results are written to the
-shared folder.
+Spark derives the index: distinct windows, their shingles, the documents' counts of these shingles (one
+pass over the documents, which emits only shingles that pass a bit table of the benchmark's; the table has
+at most ``MOST_BITS`` bits, and what passes wrongly falls out of the join) and each window's rarest one.
+The finished index is broadcast in blocks of at most ``BLOCK_BYTES`` measured bytes (one window at least), so
+the driver holds one block at a time. Documents are read once more per block and never shuffled. Between
+blocks the partial results are written to the shared folder.
 
 Row cases: null or wordless texts have no words and no hits. Null benchmark texts and items without
 words have no windows. Items with a null id hit as any other and count as one item. Repeated rows of
-documents give repeated rows; repeated items count once per id. Whole texts are searched, however long.
-An empty benchmark hits nothing; an empty table of documents gives an empty result. Extra columns of any
-name pass through in one struct.
+documents give repeated rows; repeated items count once per id. Whole texts are searched, however long; a
+long item gives its windows in pieces. An empty benchmark hits nothing; an empty table of documents gives
+an empty result. Extra columns of any name pass through in one struct.
 """
 
 from __future__ import annotations
@@ -32,13 +34,16 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 from pyspark.sql.types import _parse_datatype_string as _parse
 
 from constella.llm.common import lean_batches, staged, table, text_batches, word_hashes
 
 WINDOW = 13
 SHINGLE = 3
-BLOCK_WORDS = 2_000_000
+BLOCK_BYTES = 32 << 20
+PIECE_WORDS = 20_000
+MOST_BITS = 1 << 25
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 _FOUND = "n_words long, spans array<struct<start:long,end:long>>, items array<long>"
 
@@ -60,6 +65,10 @@ def _shingles(ids: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def _window_shingles(window: list[bytes]) -> np.ndarray:
+    return _shingles(word_hashes(window), min(SHINGLE, len(window)))
+
+
 def _at(sorted_keys: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Positions of ``values`` that are among ``sorted_keys``."""
     if not len(sorted_keys) or not len(values):
@@ -78,18 +87,17 @@ def _in_order(ids: set[int | None]) -> list[int | None]:
     return sorted(ids - {None}) + [None] * (None in ids)
 
 
-def windows_of(items: list[tuple[int | None, str | None]]) -> dict[tuple[bytes, ...], list[int | None]]:
-    """Distinct windows of the items, with the ids of the items that hold them."""
-    return _windows([(item, words_of(text)) for item, text in items])
+def windows_of(items: list[tuple[int | None, str | None]]) -> dict[bytes, set[int | None]]:
+    """Distinct windows of the items (words joined by a space), with the ids of the items that hold them."""
+    found: dict[bytes, set[int | None]] = defaultdict(set)
+    for item, text in items:
+        for window in _windows(words_of(text)):
+            found[window].add(item)
+    return found
 
 
-def _windows(pieces: list[tuple[int | None, list[bytes]]]) -> dict[tuple[bytes, ...], list[int | None]]:
-    found: dict[tuple[bytes, ...], set[int | None]] = defaultdict(set)
-    for item, words in pieces:
-        if words:
-            for at in range(max(1, len(words) - WINDOW + 1)):
-                found[tuple(words[at:at + WINDOW])].add(item)
-    return {w: _in_order(ids) for w, ids in found.items()}
+def _windows(words: list[bytes]) -> list[bytes]:
+    return [b" ".join(words[at:at + WINDOW]) for at in range(max(1, len(words) - WINDOW + 1))] if words else []
 
 
 def _pieces(words: list[bytes], most: int) -> Iterator[list[bytes]]:
@@ -99,71 +107,150 @@ def _pieces(words: list[bytes], most: int) -> Iterator[list[bytes]]:
         yield words[at:at + step + WINDOW - 1]
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[int | None, list[bytes]]]]:
-    block, size = [], 0
-    for r in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():
-        for words in _pieces(words_of(r[1]), block_words):
-            if block and size + len(words) > block_words:
-                yield block
-                block, size = [], 0
-            block.append((r[0], words))
-            size += len(words)
-    if block:
-        yield block
+def benchmark_windows(benchmark: DataFrame) -> DataFrame:
+    """Distinct (window, item) of the benchmark."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_batches(batches, 1):
+            for item, text in zip(part.column(0).to_pylist(), texts, strict=True):
+                for words in _pieces(words_of(text), PIECE_WORDS):
+                    rows = _windows(words)
+                    yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()),
+                                                      pa.array([item] * len(rows), pa.int64())],
+                                                     names=["window", "item"])
+
+    return (benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+            .mapInArrow(run, "window binary, item long").distinct())
+
 
+@F.arrow_udf(ArrayType(LongType()))
+def _keys(windows: pa.Array) -> pa.Array:
+    return pa.array([_window_shingles(w.split(b" ")).view(np.int64) for w in windows.to_pylist()],
+                    pa.list_(pa.int64()))
 
-def _document_counts(texts: DataFrame, keys: dict[int, np.ndarray]) -> dict[int, int]:
-    """Of the benchmark block's shingles: in how many documents each occurs."""
-    shared = texts.sparkSession.sparkContext.broadcast(keys)
+
+def _bit_table(spots: DataFrame) -> np.ndarray:
+    """Packed bits, one set for each key: 16 to 32 a key, ``MOST_BITS`` at most."""
+    bits = min(MOST_BITS, 1 << max(16, (16 * spots.count()).bit_length()))
+    words = (spots.groupBy(F.expr(f"shiftright(key & {bits - 1}L, 6)").alias("at"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63 AS int))")).alias("set")).toArrow())
+    out = np.zeros(bits >> 6, "<i8")
+    out[words["at"].to_numpy()] = words["set"].to_numpy()
+    return out.view(np.uint8)
+
+
+def _document_counts(texts: DataFrame, table_: np.ndarray, sizes: list[int]) -> DataFrame:
+    """In how many documents each shingle (``key``) occurs that passes the bit table."""
+    shared = texts.sparkSession.sparkContext.broadcast(table_)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = {size: np.zeros(len(k), np.int64) for size, k in shared.value.items()}
+        known = np.unpackbits(shared.value, bitorder="little").view(bool)
+        low = np.uint64(len(known) - 1)
         for _, rows in text_batches(batches, 0):
+            passed = []
             for text in rows:
                 ids = word_hashes(words_of(text))
-                for size, k in shared.value.items():
+                for size in sizes:
                     s = _shingles(ids, size)
-                    counts[size][np.searchsorted(k, np.unique(s[_at(k, s)]))] += 1
-        for size, n in counts.items():
-            at = np.flatnonzero(n)
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(shared.value[size][at].view(np.int64)), pa.array(n[at])],
-                                                 names=["k", "n"])
-
-    rows = texts.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()
-    return {r["k"] & 0xFFFFFFFFFFFFFFFF: r["n"] for r in rows}  # at most one row per key of the block
-
-
-def build_index(windows: dict[tuple[bytes, ...], list[int]], counts: dict[int, int] | None = None) -> dict:
-    """Per shingle length: sorted keys, and per key the (offset, window number) to test."""
-    index: dict = {"windows": list(windows), "items": list(windows.values()), "keys": {}, "tests": {}}
-    tests: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
-    for number, words in enumerate(windows):
-        size = min(SHINGLE, len(words))
-        hashes = _shingles(word_hashes(list(words)), size).tolist()
+                    passed.append(np.unique(s[known[(s & low).astype(np.int64)]]))
+            keys, n = np.unique(np.concatenate(passed), return_counts=True)
+            if len(keys):
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())],
+                                                 names=["key", "n"])
+
+    return texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def index_rows(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The index as a table: ``window, item, key, offset``, the key being the window's rarest shingle."""
+    windows = staged(benchmark_windows(benchmark), "benchmark-windows")
+    spots = staged(windows.select("window").distinct().select("window", F.posexplode(_keys("window"))
+                                                              .alias("offset", "key")), "benchmark-shingles")
+    # a window of one or two words has one shingle, a longer one has shingles of three
+    words = F.length("window") - F.length(F.translate(F.decode("window", "ISO-8859-1"), " ", "")) + 1
+    sizes = sorted(r[0] for r in windows.select(F.least(words, F.lit(SHINGLE))).distinct().collect())
+    if not sizes:
+        return windows.withColumns({"key": F.lit(0).cast("long"), "offset": F.lit(0)})
+    counts = _document_counts(texts, _bit_table(spots), sizes)
+    rarest = (spots.join(counts, "key", "left").groupBy("window")
+              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key", "offset")).alias("least")))
+    return windows.join(rarest, "window").select("window", "item", "least.key", "least.offset")
+
+
+#: Bytes of an entry beside its window: key, offset, words, place in the bytes, place in the items, item.
+_ENTRY_BYTES = 48
+_Block = dict[bytes, tuple[int, int, set[int | None]]]
+
+
+def _blocks(rows: DataFrame, block_bytes: int) -> Iterator[_Block]:
+    """The index in blocks: per window its key, offset and items. A window's items may lie in several."""
+    block: _Block = {}
+    size = 0
+    for window, item, key, offset in rows.toLocalIterator():
+        window = bytes(window)
+        more = 8 if window in block else len(window) + _ENTRY_BYTES
+        if block and size + more > block_bytes:
+            yield block
+            block, size, more = {}, 0, len(window) + _ENTRY_BYTES
+        block.setdefault(window, (key & 0xFFFFFFFFFFFFFFFF, offset, set()))[2].add(item)
+        size += more
+    if block:
+        yield block
+
+
+def build_index(windows: dict[bytes, set[int | None]], counts: dict[int, int] | None = None) -> dict:
+    """Index of windows held in memory, each under the shingle that is rarest by ``counts``."""
+    block: _Block = {}
+    for window, items in windows.items():
+        hashes = _window_shingles(window.split(b" ")).tolist()
         offset = min(range(len(hashes)), key=lambda o: ((counts or {}).get(hashes[o], 0), hashes[o]))
-        tests[size][hashes[offset]].append((offset, number))
-    for size, of_key in tests.items():
-        index["keys"][size] = np.array(sorted(of_key), np.uint64)
-        index["tests"][size] = dict(of_key)
+        block[window] = (hashes[offset], offset, set(items))
+    return _index(block)
+
+
+def _index(block: _Block) -> dict:
+    """Flat arrays, windows in the order of their keys; per shingle length the distinct keys and their runs."""
+    rows = sorted((min(SHINGLE, n := w.count(b" ") + 1), key, w, offset, n, items)
+                  for w, (key, offset, items) in block.items())
+    index: dict = {"bytes": b"".join(r[2] for r in rows),
+                   "at": np.cumsum([0] + [len(r[2]) for r in rows]),
+                   "offset": np.array([r[3] for r in rows], np.int64),
+                   "words": np.array([r[4] for r in rows], np.int64),
+                   "items": np.array([i for r in rows for i in r[5] if i is not None], np.int64),
+                   "item_at": np.cumsum([0] + [len(r[5] - {None}) for r in rows]),
+                   "no_id": np.array([None in r[5] for r in rows], bool), "keys": {}}
+    sizes = np.array([r[0] for r in rows], np.int64)
+    keys = np.array([r[1] for r in rows], np.uint64)
+    for size in np.unique(sizes).tolist():
+        first, last = np.searchsorted(sizes, [size, size + 1])
+        distinct, run = np.unique(keys[first:last], return_index=True)
+        index["keys"][size] = (distinct, np.append(run, last - first) + first)
     return index
 
 
-def find(text: str | None, index: dict) -> tuple[int, list[tuple[int, int]], set[int]]:
+def find(text: str | None, index: dict) -> tuple[int, list[tuple[int, int]], set[int | None]]:
     """Number of words, merged spans of hit words, ids of the items whose windows occur."""
     words = words_of(text)
     ids = word_hashes(words)
-    hits, items = [], set()
-    for size, keys in index["keys"].items():
+    hits, windows = [], set()
+    for size, (keys, runs) in index["keys"].items():
         hashes = _shingles(ids, size)
-        for p in _at(keys, hashes).tolist():
-            for offset, number in index["tests"][size][int(hashes[p])]:
-                window = index["windows"][number]
+        spots = _at(keys, hashes)
+        places = np.searchsorted(keys, hashes[spots])
+        for p, first, last in zip(spots.tolist(), runs[places].tolist(), runs[places + 1].tolist(), strict=True):
+            tests = zip(range(first, last), index["offset"][first:last].tolist(),
+                        index["words"][first:last].tolist(), strict=True)
+            for number, offset, n in tests:
                 start = p - offset
-                if start >= 0 and start + len(window) <= len(words) and (
-                        tuple(words[start:start + len(window)]) == window):
-                    hits.append((start, start + len(window)))
-                    items.update(index["items"][number])
+                if start >= 0 and start + n <= len(words) and (
+                        b" ".join(words[start:start + n])
+                        == index["bytes"][index["at"][number]:index["at"][number + 1]]):
+                    hits.append((start, start + n))
+                    windows.add(number)
+    items: set[int | None] = set()
+    for number in windows:
+        items.update(index["items"][index["item_at"][number]:index["item_at"][number + 1]].tolist())
+        if index["no_id"][number]:
+            items.add(None)
     return len(words), merge(hits), items
 
 
@@ -194,30 +281,22 @@ def _finder(shared: Broadcast):
     return found
 
 
-def match(documents: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+def match(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of ``documents``: ``row`` (the whole input row) and ``found`` (see ``find``)."""
     spark = lean_batches(documents.sparkSession)
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
     text = F.col("row.text").cast("string")
     out = rows.withColumn("found", F.lit(None).cast(_parse(_FOUND)))
+    texts = documents.select(F.col("text").cast("string"))
     blocks = 0
-    for block in _blocks(benchmark, block_words):
-        windows = _windows(block)
-        if not windows:
-            continue
+    for block in _blocks(index_rows(texts, benchmark), block_bytes):
         if blocks:
             out = staged(out, "decontaminate")
-        keys: dict[int, set[int]] = defaultdict(set)
-        for w in windows:
-            size = min(SHINGLE, len(w))
-            keys[size].update(_shingles(word_hashes(list(w)), size).tolist())
-        counts = _document_counts(documents.select(F.col("text").cast("string")),
-                                  {s: np.array(sorted(k), np.uint64) for s, k in keys.items()})
-        shared = spark.sparkContext.broadcast(build_index(windows, counts))
+        shared = spark.sparkContext.broadcast(_index(block))
         out = out.select("row", _finder(shared)(text, F.col("found")).alias("found"))
         blocks += 1
     if not blocks:  # no window at all: only the words are counted
-        shared = spark.sparkContext.broadcast(build_index({}))
+        shared = spark.sparkContext.broadcast(_index({}))
         out = out.select("row", _finder(shared)(text, F.col("found")).alias("found"))
     return out
 
