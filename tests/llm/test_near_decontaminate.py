@@ -255,6 +255,29 @@ def test_items_without_id_hit_as_in_sql(spark, block_words):
     assert got == [(0, 30, 2), (1, 0, 0), (2, 2, 1), (3, 0, 0)]
 
 
+def test_index_takes_the_rarest_shingle_of_all_documents(spark):
+    texts = [" ".join(prose(i, 150, 12)) for i in range(30)] + [None, "", "w1 w2"]
+    items = [(1, " ".join(prose(90, 30, 12))), (2, " ".join(prose(91, 13, 12))), (3, "w1 w2"), (None, "w3"), (4, "W3")]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    held = {}
+    for t in texts:
+        w = decontaminate.words_of(t)
+        for size in (1, 2, 3):
+            for shingle in {tuple(w[i:i + size]) for i in range(len(w) - size + 1)}:
+                held[shingle] = held.get(shingle, 0) + 1
+    rows = decontaminate.index_rows(docs, bench).collect()
+    expected = {(bytes(w), i) for w, ids in decontaminate.windows_of(items).items() for i in ids}
+    assert {(bytes(r.window), r.item) for r in rows} == expected and len(rows) == len(expected)
+    for r in rows:
+        w = bytes(r.window).split(b" ")
+        size = min(3, len(w))
+        counts = [held.get(tuple(w[i:i + size]), 0) for i in range(len(w) - size + 1)]
+        assert counts[r.offset] == min(counts)
+        key = int(decontaminate._shingles(common.word_hashes(w), size).view("int64")[r.offset])
+        assert r.key == key
+
+
 @pytest.mark.parametrize("most", [1, 13, 14, 20, 40, 1000])
 def test_pieces_hold_each_window_once(most):
     size = decontaminate.WINDOW
