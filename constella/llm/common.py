@@ -64,28 +64,9 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: int, rows: int = 256
             yield part, part.column(column).to_pylist()
 
 
-#: Words whose hash a Python worker remembers; a memo only, small enough for two workers an executor.
-MEMO_HASHES = 100_000
-
-
-class _Hashes(dict):
-    """Hash of a word, worked out on first use; a long word, or one beyond the memo's size, each time."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) < 64 and len(self) <= MEMO_HASHES:
-            self[word] = value
-        return value
-
-
-_hashes = _Hashes()
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words."""
-    if len(_hashes) > MEMO_HASHES:
-        _hashes.clear()
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    """64-bit hashes of words (``xxh3_64``), as the digests' bytes: no Python number is made for a word."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
 
 
 def min_classes(pairs: DataFrame) -> DataFrame:

@@ -29,7 +29,6 @@ has none). Extra columns of any name pass through untouched, as the row travels
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -53,7 +52,8 @@ BLOCK, BLOCK_BYTES, LEADERS, COLUMNS = 192, 4 << 20, 48, 4096
 #: Bands of the first round.
 EARLY = 4
 _PARAMETERS = 1 << 14
-_WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
+#: Every byte that is in no word (``[0-9a-z\x80-\xff]+``) becomes a space.
+_WORD_BYTES = bytes(b if b >= 0x80 or chr(b) in "0123456789abcdefghijklmnopqrstuvwxyz" else 32 for b in range(256))
 _SIGNED = "key binary, words boolean, bands array<long>"
 _draws: list[np.ndarray] = []
 
@@ -67,7 +67,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of a whole text, and how often each occurs."""
-    words = _WORDS.findall(text.lower().encode())
+    words = text.lower().encode().translate(_WORD_BYTES).split()
     if not words:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     ids = word_hashes(words)
@@ -191,10 +191,11 @@ def samples(features: np.ndarray, weights: np.ndarray, usual: np.float32 | None
 
 
 def bands_of(sig: np.ndarray) -> np.ndarray:
-    groups = sig.reshape(-1, ROWS)
-    keys = np.arange(len(groups), dtype=np.uint64)
+    """Bucket numbers of the bands of one signature, or of each row of several."""
+    groups = sig.reshape(*sig.shape[:-1], -1, ROWS)
+    keys = np.arange(groups.shape[-2], dtype=np.uint64)
     for k in range(ROWS):
-        keys = _mix((keys ^ groups[:, k]) * np.uint64(0x9E3779B97F4A7C15))
+        keys = _mix((keys ^ groups[..., k]) * np.uint64(0x9E3779B97F4A7C15))
     return keys.view(np.int64)
 
 
@@ -208,15 +209,15 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
 def _signer(idf: Broadcast):
     @F.arrow_udf(_SIGNED)
     def sign(texts: pa.Array) -> pa.Array:
-        keys, words, bands, usual = [], [], [], idf.value.max()
+        keys, words, signatures, usual = [], [], [], idf.value.max()
         for text in texts.to_pylist():
             features, weights = weigh(text, idf.value) if text else (np.empty(0, np.uint64), None)
             keys.append(None if text is None else xxhash.xxh3_128_digest(text.encode()))
             words.append(len(features) > 0)
             if len(features):
-                bands.append(bands_of(samples(features, weights, usual)))
-            else:
-                bands.append(None)
+                signatures.append(samples(features, weights, usual))
+        found = iter(bands_of(np.array(signatures)) if signatures else ())  # of all texts of the batch at once
+        bands = [next(found) if held else None for held in words]
         return pa.StructArray.from_arrays(
             [pa.array(keys, pa.binary()), pa.array(words, pa.bool_()), pa.array(bands, pa.list_(pa.int64()))],
             names=["key", "words", "bands"])

@@ -2,10 +2,12 @@
 
 import itertools
 import random
+import re
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from constella.llm import common, decontaminate, near
@@ -297,3 +299,16 @@ def test_decontamination_edge_rows(spark):
     rows = decontaminate.match(docs, some).select("row.text", "found.items").collect()
     assert [r["items"] for r in rows if r.text == "one two three"] == [[1]]
     assert decontaminate.match(docs.limit(0), some).count() == 0
+
+
+def test_words_hashes_and_bands_of_a_batch_are_those_of_each_text():
+    texts = [*(t for t in EDGE_TEXTS if t), "İstanbul ẞ\x00a\x1fb\x85c\u2028d E-F_g", " ".join(prose(5, 300))]
+    for text in texts:
+        words = re.findall(rb"[0-9a-z\x80-\xff]+", text.lower().encode())
+        assert text.lower().encode().translate(near._WORD_BYTES).split() == words
+        assert common.word_hashes(words).tolist() == [xxhash.xxh3_64_intdigest(w) for w in words]
+    rng = np.random.default_rng(4)
+    signatures = rng.integers(0, 1 << 63, (5, near.SAMPLES)).astype(np.uint64)
+    bands = near.bands_of(signatures)
+    assert bands.shape == (5, near.SAMPLES // near.ROWS)
+    assert (bands == np.array([near.bands_of(s) for s in signatures])).all()
