@@ -53,13 +53,14 @@ def ingest_lists(
     batch: tuple[str, int] | None = None,
 ) -> ReviewDataset:
     """Publish parsed lists and all that follows from them; the dataset at its new version."""
+    # Parse once; dates, rows, rejects and every later job of the batch read this copy.
+    lists = lists.once()
     # Small frames that many plans of the batch read are written once as well: each plan that derives them
     # anew costs the driver its exchanges.
     dates = staged(lists.dates, "batch-dates")
     check_dates(dates)
     base = ds.pinned()
-    # Parse once; every later job of the batch reads this copy.
-    rows = staged(lists.rows, "batch-rows")
+    rows = lists.rows
     new_entries = rows.where(F.col("isin").isNotNull()).select(
         *KEY, "isin", "ric", "ff_mcap", "rank", "comment", "ordinal", F.col("_path").alias("file"))
     # every list is a review, even one without a usable row

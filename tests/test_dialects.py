@@ -152,3 +152,26 @@ def test_legacy_repeated_and_blank_header_cells(spark):
                                   "file string, index_name string, lines array<string>")
     (r,) = S.normalise_legacy_reports(df, heads).collect()
     assert (r.isin, r.internal_key, r["rank"], str(r.review_date)) == ("DE1", "new", 3, "2020-01-02")
+
+
+def test_lists_parsed_once_are_those_of_the_files(spark):
+    root = local(spark, "t-once")
+    _report(root, "old", ["Last updated 20150301"])
+    _report(root, "undated", ["no date at all"])
+    _report(root, "headless", ["Last updated 20160301"], REPORT_ROWS[1:])  # no row can be read, yet it is a list
+    _report(root, "bare", ["Last updated 20170301"], REPORT_ROWS[:1])
+    _write(f"{root}/index_name=IX/file=new.csv", "part-0.csv", [
+        HEADER, "01;DE01;A.DE;A;DE;EUR;;1;1;;20240301", ";null;B.DE;B;DE;EUR;;2;2;;20240301",
+        "03;;C.DE;C;DE;EUR;;1,5;1.5;;", "04;DE04;D.DE;D;DE;EUR;;;;;20240302"])
+    _write(f"{root}/index_name=IX/file=undated.csv", "part-0.csv", [HEADER, "01;DE01;A.DE;A;DE;EUR;;1;1;;"])
+    lookup = spark.createDataFrame([("IX", "03", "DE03")], "index_name string, internal_key string, isin string")
+    lists = S.read_lists(spark, root, lookup)
+    once = lists.once()
+    for part in ("rows", "rejects", "dates"):
+        want, got = getattr(lists, part), getattr(once, part)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert once.dates.count() == 6 and once.rows.where("isin = 'DE03'").count() == 1
+    for part in (once.rows, once.rejects, once.dates):  # nothing reads the files again
+        assert {f.rsplit(".", 1)[1] for f in part.inputFiles()} == {"parquet"}
+    assert once.rows.count() == 11
