@@ -32,7 +32,7 @@ from constella.operators.resolve import enrich_counted, isin_lookup
 from constella.schemas import IndexRule
 from constella.session import staged
 from constella.sources.dataset import Change, ReviewDataset
-from constella.sources.selection import Lists, check_dates, read_lists
+from constella.sources.selection import PACKED_GLOB, Lists, check_dates, read_lists
 
 KEY = ["index_name", "review_date"]
 # of an instrument, in the order of its first listing
@@ -131,7 +131,7 @@ def start_list_stream(
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.{csv,json}")
+        .option("pathGlobFilter", f"*.{{csv,json}}{PACKED_GLOB}")
         .load(source)
         .select("path")
     )
