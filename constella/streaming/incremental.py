@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from constella.functions.ranking import calendar_sized
 from constella.operators import membership as M
-from constella.operators.intervals import extend_intervals, first_per_key, merge_snapshots
+from constella.operators.intervals import extend_intervals, merge_listed
 from constella.operators.ranking import member_ranks
 from constella.operators.resolve import enrich_counted, isin_lookup
 from constella.schemas import IndexRule
@@ -73,27 +73,26 @@ def ingest_lists(
     files = new_entries.select("index_name", "file").distinct()
     kept = base.table("entries", new_reviews).select(*new_entries.columns).join(
         files, ["index_name", "file"], "left_anti")
-    entries = staged(new_entries.unionByName(kept), "batch-entries")
+    # (the new rows are staged already)
+    entries = new_entries.unionByName(staged(kept, "batch-kept"))
     start = F.broadcast(since.select("index_name", F.col("review_date").alias("_since")))
     later_reviews = reviews.join(start, "index_name").where(F.col("review_date") >= F.col("_since")).select(*KEY)
     untouched = staged(later_reviews.join(calendar_sized(new_reviews), KEY, "left_anti"), "batch-later")
     later = base.table("entries", untouched).select(*entries.columns)
     changed_entries = entries.unionByName(later)
 
-    cands = M.candidates(changed_entries, rules)
+    cands = M.candidates(M.leading_first(changed_entries, rules), rules, dedupe=False)
     membership = staged(M.rechained(cands, base.table("membership"), since, rules, reviews), "batch-membership")
 
     listed = rows.select("index_name", "isin", *METADATA, F.col("review_date").alias("first_listed"),
                          F.col("_path").alias("file"), "ordinal")
     # the first listing of an instrument counts, whatever the order of the files in the batch
-    new_assets = first_per_key(listed, ["index_name", "isin"], PLACE, [*METADATA, *PLACE])
     known = base.assets().join(calendar_sized(since.select("index_name")), "index_name", "left_semi")
-    assets = staged(merge_snapshots(known, new_assets.where(F.col("isin").isNotNull()), ["index_name", "isin"]),
-                    "batch-assets")
+    assets = merge_listed(known, listed.where(F.col("isin").isNotNull()), ["index_name", "isin"], PLACE)
     if entities is not None:
-        assets, _ = enrich_counted(assets, entities)
+        assets, _ = enrich_counted(assets, entities, one_per_isin=True)
     else:
-        assets = assets.withColumn("entity_id", F.lit(None).cast("string"))
+        assets = staged(assets.drop("_spread"), "batch-assets").withColumn("entity_id", F.lit(None).cast("string"))
 
     ranks = member_ranks(changed_entries, membership, assets).where(F.col("rank") > 0)
     intervals, place = extend_intervals(base.intervals(), membership, reviews, since)
